@@ -1,0 +1,86 @@
+"""Registered queries: each reads the shipped test tables (whole tables) and runs one
+operator group of the engine. Keys match ``castwright.plans.oracle.ORACLE_SQL``."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from castwright.functions import text as tx
+from castwright.operators import chunking
+from castwright.sources import pages as pages_src
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def register(name: str):
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return deco
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# --- sources ---------------------------------------------------------------------------
+
+@register("article_source")
+def article_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_src.extract_articles(table(spark, sf_dir, "pages"), mode="nested")
+
+
+@register("article_source_html5")
+def article_source_html5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_src.extract_articles(table(spark, sf_dir, "pages"), mode="implied_end")
+
+
+@register("clean_text")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cleaned = tx.clean_lines(tx.split_lines("text"))
+    return docs.select("doc_id", cleaned.alias("text")).select(
+        "doc_id", "text", tx.char_count("text").alias("n_chars")
+    )
+
+
+# --- speech text -------------------------------------------------------------------------
+
+def _doc_chunks(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
+    from castwright.session import spread
+
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return chunking.explode_chunks(docs, ["doc_id"], "text", limit)
+
+
+@register("tts_chunks")
+def tts_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doc_chunks(spark, sf_dir, chunking.PIPELINE_CHUNK_LIMIT)
+
+
+@register("tts_chunks_min")
+def tts_chunks_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _doc_chunks(spark, sf_dir, chunking.MIN_CHUNK_LIMIT)
+
+
+@register("ssml")
+def ssml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ch = _doc_chunks(spark, sf_dir, chunking.PIPELINE_CHUNK_LIMIT).where(F.col("error").isNull())
+    return ch.select(
+        "doc_id", "chunk_no", chunking.ssml_column("chunk").alias("ssml")
+    )
+
+
+@register("duration")
+def duration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(
+        "doc_id",
+        tx.word_count("text").alias("word_count"),
+        tx.estimate_duration_sec("text").alias("duration_sec"),
+    )

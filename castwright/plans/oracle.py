@@ -1,0 +1,72 @@
+"""DuckDB statements that state the same answers as ``castwright.plans.catalog`` over the
+pre-registered test-table views."""
+
+from __future__ import annotations
+
+from castwright.plans import sqlbits as q
+
+ORACLE_SQL: dict[str, str] = {}
+
+
+def _article_sql(nested: bool) -> str:
+    # Follows the grammar of the test pages: one <article>, paragraphs opened by <p>; the
+    # unclosed "<p><b>" paragraph owns the rest of the article in nested mode.
+    body = (
+        "CASE WHEN starts_with(parts[idx], '<b>') THEN array_to_string(parts[idx:], '<p>') "
+        "ELSE split_part(parts[idx], '</p>', 1) END"
+        if nested
+        else "split_part(parts[idx], '</p>', 1)"
+    )
+    piece = q.strip(q.entity_decode("x"))
+    return f"""
+WITH a AS (
+  SELECT page_id, string_split(regexp_extract(regexp_replace(html, '(?s)<script.*?</script>', '', 'g'),
+                                              '(?s)<article>(.*?)</article>', 1), '<p>') AS parts
+  FROM pages),
+p AS (SELECT page_id, parts, unnest(generate_series(2, len(parts))) AS idx FROM a),
+b AS (SELECT page_id, idx, {body} AS body FROM p),
+t AS (
+  SELECT page_id, idx,
+         array_to_string(list_filter(list_transform(regexp_split_to_array(body, '<[^>]*>'),
+                                                    lambda x: {piece}), lambda x: x <> ''), ' ') AS ptxt
+  FROM b),
+g AS (SELECT page_id, {q.strip("string_agg(ptxt, chr(10) ORDER BY idx)")} AS text
+      FROM t WHERE ptxt <> '' GROUP BY page_id)
+SELECT pg.page_id, g.text, length(g.text)::BIGINT AS n_chars,
+       CASE WHEN g.text IS NULL THEN 'No readable text found in the article.' END AS error
+FROM pages pg LEFT JOIN g ON pg.page_id = g.page_id
+"""
+
+
+ORACLE_SQL["article_source"] = _article_sql(True)
+ORACLE_SQL["article_source_html5"] = _article_sql(False)
+
+_kept = f"list_filter(list_transform({q.lines('text')}, lambda x: {q.strip('x')}), lambda x: x <> '')"
+_clean = q.strip(f"regexp_replace(array_to_string({_kept}, chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+ORACLE_SQL["clean_text"] = f"""
+SELECT doc_id, {_clean} AS text, length({_clean})::BIGINT AS n_chars FROM documents
+"""
+
+
+def _chunk_sql(limit: int) -> str:
+    return f"""
+WITH RECURSIVE {q.chunks_cte('documents', 'doc_id', 'text', limit)}
+SELECT doc_id, chunk_no, chunk, length(chunk)::BIGINT AS chunk_chars, NULL::VARCHAR AS error FROM ck
+UNION ALL
+SELECT doc_id, NULL::BIGINT, NULL::VARCHAR, NULL::BIGINT, 'Input text is empty.'
+FROM documents WHERE text IS NULL OR {q.strip('text')} = ''
+"""
+
+
+ORACLE_SQL["tts_chunks"] = _chunk_sql(1800)
+ORACLE_SQL["tts_chunks_min"] = _chunk_sql(100)
+ORACLE_SQL["ssml"] = f"""
+WITH RECURSIVE {q.chunks_cte('documents', 'doc_id', 'text', 1800)}
+SELECT doc_id, chunk_no, {q.ssml('chunk')} AS ssml FROM ck
+"""
+
+_wc = f"len({q.words('text')})"
+ORACLE_SQL["duration"] = f"""
+SELECT doc_id, {_wc}::BIGINT AS word_count, trunc(({_wc}::DOUBLE / 150.0) * 60.0)::BIGINT AS duration_sec
+FROM documents
+"""

@@ -1,0 +1,113 @@
+"""Run registered Spark queries and their DuckDB statements side by side and compare
+row count, column names and an order-insensitive multiset of rows.
+
+    python tests/oracle_harness.py [--sf /root/testdata/sf0.01] [name ...]
+"""
+
+from __future__ import annotations
+
+import argparse
+import math
+import os
+import sys
+import time
+from collections import Counter
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 6)
+    if isinstance(v, (bytes, bytearray, memoryview)):
+        return bytes(v).hex()
+    if isinstance(v, bool):
+        return int(v)
+    if hasattr(v, "item"):
+        return _norm(v.item())
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((str(k), _norm(x)) for k, x in v.items()))
+    return v if isinstance(v, (int, str)) else str(v)
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [tuple(_norm(r[i]) for i in order) for r in rows], [columns[i] for i in order]
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    res = con.execute(sql)
+    d_cols = [d[0] for d in res.description]
+    d_rows = res.fetchall()
+    t2 = time.time()
+    s_norm, s_names = rows_of(s_cols, s_rows)
+    d_norm, d_names = rows_of(d_cols, d_rows)
+    ok = s_names == d_names and Counter(s_norm) == Counter(d_norm)
+    detail = ""
+    if not ok:
+        if s_names != d_names:
+            detail = f"columns spark={s_names} duck={d_names}"
+        else:
+            sc, dc = Counter(s_norm), Counter(d_norm)
+            only_s = list((sc - dc).elements())[:2]
+            only_d = list((dc - sc).elements())[:2]
+            detail = f"rows spark={len(s_rows)} duck={len(d_rows)} only_spark={str(only_s)[:600]} only_duck={str(only_d)[:600]}"
+    return ok, len(s_rows), len(d_rows), t1 - t0, t2 - t1, detail
+
+
+def main() -> int:
+    ap = argparse.ArgumentParser()
+    ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("names", nargs="*")
+    args = ap.parse_args()
+    import __spark_entry__ as entry
+    from castwright.session import local_session
+
+    spark = local_session()
+    con = duck(args.sf)
+    qs, sqls = entry.queries(), entry.oracle_sql()
+    names = args.names or sorted(qs)
+    bad = 0
+    for n in names:
+        if n not in sqls:
+            df = qs[n](spark, args.sf)
+            print(f"ROWS  {n}: {df.count()} rows (no oracle)", flush=True)
+            continue
+        try:
+            ok, ns, nd, ts, td, detail = compare(spark, con, n, qs[n], sqls[n], args.sf)
+        except Exception as exc:  # report and continue
+            ok, ns, nd, ts, td, detail = False, -1, -1, 0, 0, f"{type(exc).__name__}: {str(exc)[:800]}"
+        bad += not ok
+        print(f"{'OK  ' if ok else 'FAIL'}  {n}: spark={ns} duck={nd} ({ts:.1f}s/{td:.1f}s) {detail}", flush=True)
+    spark.stop()
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
