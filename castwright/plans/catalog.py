@@ -84,3 +84,108 @@ def duration(spark: SparkSession, sf_dir: str) -> DataFrame:
         tx.word_count("text").alias("word_count"),
         tx.estimate_duration_sec("text").alias("duration_sec"),
     )
+
+
+# --- conversations: duo scripts, turns, voices, speech ----------------------------------
+
+from castwright.operators import speech, turns as turns_op  # noqa: E402
+from castwright.plans.inputs import conversation_lines  # noqa: E402
+from castwright.settings import PROVIDER_ELEVENLABS, Settings  # noqa: E402
+from castwright.sources import transcripts  # noqa: E402
+
+# Run settings used by the registered speech queries (voices from the reference's tests).
+QUERY_SETTINGS = Settings(polly_voice_id="Amy", polly_duo_voice_id="Matthew")
+QUERY_SETTINGS_EL = Settings(tts_provider=PROVIDER_ELEVENLABS, elevenlabs_api_key="set-at-run-time")
+
+
+def _conv_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = conversation_lines(table(spark, sf_dir, "conversations"))
+    return turns_op.parse_duo_turns(lines, key="conv_id", order=("turn", "line_no"))
+
+
+def _voice_overrides(df: DataFrame) -> DataFrame:
+    """Per-job voice overrides derived from the job key (stand-in for request fields)."""
+    return df.withColumns({
+        "event_voice_id": F.when(F.col("conv_id") % 3 == 0, F.lit("Ruth")),
+        "event_voice_id_b": F.when(F.col("conv_id") % 4 == 0, F.lit("Stephen")),
+    })
+
+
+@register("duo_turns")
+def duo_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _conv_turns(spark, sf_dir)
+
+
+@register("duo_rejects")
+def duo_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    return turns_op.duo_rejects(conv, _conv_turns(spark, sf_dir), key="conv_id")
+
+
+@register("voice_route")
+def voice_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _voice_overrides(_conv_turns(spark, sf_dir))
+    fmt = speech.route_format(F.lit(QUERY_SETTINGS.tts_provider), QUERY_SETTINGS)
+    return t.select(
+        "conv_id", "turn_no", "speaker",
+        speech.route_voice("speaker", "event_voice_id", "event_voice_id_b", QUERY_SETTINGS).alias("voice_id"),
+        fmt["output_format"].alias("output_format"),
+        fmt["text_type"].alias("text_type"),
+    )
+
+
+def _turn_chunks(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
+    t = _voice_overrides(_conv_turns(spark, sf_dir)).select(
+        "conv_id", "turn_no", "text",
+        speech.route_voice("speaker", "event_voice_id", "event_voice_id_b", settings).alias("voice_id"),
+    )
+    ch = chunking.explode_chunks(t, ["conv_id", "turn_no", "voice_id"], "text", chunking.PIPELINE_CHUNK_LIMIT)
+    return ch
+
+
+def _requests(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
+    req = speech.synthesis_requests(_turn_chunks(spark, sf_dir, settings), settings)
+    return req.select(
+        "conv_id", "turn_no", "chunk_no", "voice_id", "provider", "output_format", "text_type",
+        "request_text", "engine", "endpoint", "model_id", "request_error",
+    )
+
+
+@register("synthesis_requests")
+def synthesis_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _requests(spark, sf_dir, QUERY_SETTINGS)
+
+
+@register("synthesis_requests_el")
+def synthesis_requests_el(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _requests(spark, sf_dir, QUERY_SETTINGS_EL)
+
+
+def _audio_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = speech.synthesis_requests(_turn_chunks(spark, sf_dir, QUERY_SETTINGS), QUERY_SETTINGS)
+    return speech.synthesize(req, speech.stand_in_speech, keys=["conv_id", "turn_no"])
+
+
+@register("audio_concat")
+def audio_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = speech.concat_audio(_audio_parts(spark, sf_dir), job_key="conv_id")
+    return out.select("conv_id", "audio_bytes", F.md5("audio").alias("audio_md5"), "chunk_count", "error")
+
+
+@register("synthesis_report")
+def synthesis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return speech.synthesis_report(_audio_parts(spark, sf_dir), job_key="conv_id")
+
+
+@register("transcript_paragraphs")
+def transcript_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = conversation_lines(table(spark, sf_dir, "conversations"))
+    return transcripts.transcript_paragraphs(lines, key="conv_id", order=("turn", "line_no"), text="raw")
+
+
+@register("transcript_source")
+def transcript_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    paras = transcripts.transcript_paragraphs(conversation_lines(conv), key="conv_id",
+                                              order=("turn", "line_no"), text="raw")
+    return transcripts.transcript_text(paras, jobs=conv, key="conv_id")

@@ -1,0 +1,32 @@
+"""Inputs derived by Spark from the shipped test tables (whole tables, no row subsets).
+
+The engine's operators take job-shaped tables (scripts, pages, files, requests); the test
+tables are mapped onto those shapes here.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from castwright.functions.text import split_lines
+
+# Speaker label put in front of each conversation row, by role.
+ROLE_LABELS = {"user": "HOST_A: ", "assistant": "HOST_B: ", "system": ""}
+
+
+def role_label(role: str = "role"):
+    expr = F.lit("")
+    for r, label in ROLE_LABELS.items():
+        expr = F.when(F.col(role) == F.lit(r), F.lit(label)).otherwise(expr)
+    return expr
+
+
+def conversation_lines(conversations: DataFrame) -> DataFrame:
+    """conversations(conv_id, turn, role, text) -> (conv_id, turn, line_no, raw): the duo script of a
+    conversation is its rows in ``turn`` order, each prefixed with the role's label; lines are
+    the ``splitlines`` pieces of each prefixed row."""
+    piece = F.concat(role_label("role"), F.col("text"))
+    return conversations.select(
+        "conv_id", "turn", F.posexplode(split_lines(piece)).alias("line_no", "raw")
+    ).withColumn("line_no", F.col("line_no").cast("bigint"))

@@ -70,3 +70,119 @@ ORACLE_SQL["duration"] = f"""
 SELECT doc_id, {_wc}::BIGINT AS word_count, trunc(({_wc}::DOUBLE / 150.0) * 60.0)::BIGINT AS duration_sec
 FROM documents
 """
+
+
+# --- conversations -------------------------------------------------------------------------
+
+from castwright.operators.turns import LABEL_RX  # noqa: E402
+
+_CONV_LINES = f"""conv_lines AS (
+  SELECT conv_id, turn, (ln - 1)::BIGINT AS line_no, arr[ln] AS raw
+  FROM (SELECT conv_id, turn, arr, unnest(generate_series(1, len(arr))) AS ln
+        FROM (SELECT conv_id, turn,
+                     {q.lines("CASE role WHEN 'user' THEN 'HOST_A: ' WHEN 'assistant' THEN 'HOST_B: ' ELSE '' END || text")} AS arr
+              FROM conversations)))"""
+
+_CONV_TURNS = f"""{_CONV_LINES},
+conv_marked AS (
+  SELECT conv_id, turn, line_no, raw, regexp_matches(raw, '{LABEL_RX}') AS is_label FROM conv_lines),
+conv_numbered AS (
+  SELECT conv_id, turn, line_no,
+         sum(is_label::INT) OVER (PARTITION BY conv_id ORDER BY turn, line_no
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS turn_no,
+         CASE WHEN is_label THEN {q.strip(f"regexp_extract(raw, '{LABEL_RX}', 2)")} ELSE {q.strip('raw')} END AS body,
+         CASE WHEN is_label THEN upper(regexp_extract(raw, '{LABEL_RX}', 1)) END AS speaker
+  FROM conv_marked),
+conv_turns_all AS (
+  SELECT conv_id, turn_no::BIGINT AS turn_no, max(speaker) AS speaker,
+         {q.strip("string_agg(body, chr(10) ORDER BY turn, line_no)")} AS text
+  FROM conv_numbered WHERE turn_no > 0 GROUP BY conv_id, turn_no),
+conv_turns AS (SELECT * FROM conv_turns_all WHERE text <> '')"""
+
+ORACLE_SQL["duo_turns"] = f"""
+WITH {_CONV_TURNS}
+SELECT conv_id, turn_no, speaker, text, length(text)::BIGINT AS n_chars FROM conv_turns
+"""
+
+ORACLE_SQL["duo_rejects"] = f"""
+WITH {_CONV_TURNS}
+SELECT DISTINCT conv_id, 'generate' AS stage,
+       'script_mode=duo requires script lines prefixed with HOST_A: or HOST_B:.' AS error
+FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM conv_turns)
+"""
+
+
+def _voice(default_a: str, default_b: str) -> str:
+    return (
+        f"CASE WHEN speaker = 'HOST_A' THEN coalesce(CASE WHEN conv_id % 3 = 0 THEN 'Ruth' END, '{default_a}') "
+        f"ELSE coalesce(CASE WHEN conv_id % 4 = 0 THEN 'Stephen' END, '{default_b}') END"
+    )
+
+
+ORACLE_SQL["voice_route"] = f"""
+WITH {_CONV_TURNS}
+SELECT conv_id, turn_no, speaker, {_voice('Amy', 'Matthew')} AS voice_id,
+       'mp3' AS output_format, 'ssml' AS text_type
+FROM conv_turns
+"""
+
+
+def _turn_chunks(default_a: str, default_b: str) -> str:
+    return f"""{_CONV_TURNS},
+vt AS (SELECT conv_id, turn_no, {_voice(default_a, default_b)} AS voice_id, text FROM conv_turns),
+{q.chunks_cte('vt', 'conv_id, turn_no, voice_id', 'text', 1800)}"""
+
+
+ORACLE_SQL["synthesis_requests"] = f"""
+WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')}
+SELECT conv_id, turn_no, chunk_no, voice_id, 'polly' AS provider, 'mp3' AS output_format,
+       'ssml' AS text_type, {q.ssml('chunk')} AS request_text, 'generative' AS engine,
+       NULL::VARCHAR AS endpoint, NULL::VARCHAR AS model_id, NULL::VARCHAR AS request_error
+FROM ck
+"""
+
+ORACLE_SQL["synthesis_requests_el"] = f"""
+WITH RECURSIVE {_turn_chunks('JBFqnCBsd6RMkjVDRZzb', 'JBFqnCBsd6RMkjVDRZzb')}
+SELECT conv_id, turn_no, chunk_no, voice_id, 'elevenlabs' AS provider,
+       'mp3_44100_128' AS output_format, 'text' AS text_type, chunk AS request_text,
+       NULL::VARCHAR AS engine, 'https://api.elevenlabs.io/v1/text-to-speech/' || voice_id AS endpoint,
+       'eleven_multilingual_v2' AS model_id, NULL::VARCHAR AS request_error
+FROM ck
+"""
+
+ORACLE_SQL["audio_concat"] = f"""
+WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')},
+a AS (SELECT conv_id, string_agg(chunk, '' ORDER BY turn_no, chunk_no) AS audio, count(*) AS n FROM ck GROUP BY conv_id)
+SELECT conv_id, strlen(audio)::BIGINT AS audio_bytes, md5(audio) AS audio_md5, n::BIGINT AS chunk_count,
+       NULL::VARCHAR AS error
+FROM a
+"""
+
+ORACLE_SQL["synthesis_report"] = f"""
+WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')}
+SELECT conv_id, turn_no, count(*)::BIGINT AS chunk_count, sum(length(chunk))::BIGINT AS input_chars,
+       sum(strlen(chunk))::BIGINT AS audio_bytes, GROUPING(turn_no)::BIGINT AS level
+FROM ck GROUP BY GROUPING SETS ((conv_id, turn_no), (conv_id))
+"""
+
+_PARAGRAPHS = f"""{_CONV_LINES},
+kept AS (SELECT conv_id, turn, line_no, {q.strip(q.collapse_ws('raw'))} AS line FROM conv_lines),
+numbered AS (
+  SELECT conv_id, turn, line_no, line,
+         ((row_number() OVER (PARTITION BY conv_id ORDER BY turn, line_no)) - 1) // 6 AS paragraph_no
+  FROM kept WHERE line <> ''),
+paras AS (
+  SELECT conv_id, paragraph_no::BIGINT AS paragraph_no, string_agg(line, ' ' ORDER BY turn, line_no) AS text
+  FROM numbered GROUP BY conv_id, paragraph_no)"""
+
+ORACLE_SQL["transcript_paragraphs"] = f"WITH {_PARAGRAPHS}\nSELECT conv_id, paragraph_no, text FROM paras"
+
+ORACLE_SQL["transcript_source"] = f"""
+WITH {_PARAGRAPHS},
+j AS (SELECT conv_id, {q.strip("string_agg(text, chr(10) || chr(10) ORDER BY paragraph_no)")} AS text
+      FROM paras GROUP BY conv_id),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, j.text, length(j.text)::BIGINT AS n_chars,
+       CASE WHEN j.text IS NULL THEN 'YouTube transcript is empty' END AS error
+FROM c LEFT JOIN j ON c.conv_id = j.conv_id
+"""

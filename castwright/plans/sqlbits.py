@@ -46,7 +46,8 @@ def ssml(x: str) -> str:
 
 
 def chunks_cte(source: str, key: str, text: str, limit: int, name: str = "ck") -> str:
-    """Recursive CTE giving (key, chunk_no, chunk) for the greedy speech cut."""
+    """Recursive CTE giving (key..., chunk_no, chunk) for the greedy speech cut; ``key`` may
+    be a comma-separated column list."""
     floor = int(limit * 0.6)
     brk = f"length(regexp_extract(substring(r, 1, {limit}), '(?s)^(.*)[\\n ]', 1))"
     return f"""{name}_rec({key}, i, r, c) AS (
