@@ -189,3 +189,67 @@ def transcript_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     paras = transcripts.transcript_paragraphs(conversation_lines(conv), key="conv_id",
                                               order=("turn", "line_no"), text="raw")
     return transcripts.transcript_text(paras, jobs=conv, key="conv_id")
+
+
+# --- requests and URLs ------------------------------------------------------------------
+
+from castwright.functions import urls as url_fn  # noqa: E402
+from castwright.operators import intake  # noqa: E402
+from castwright.plans import inputs  # noqa: E402
+
+
+@register("url_route")
+def url_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = inputs.page_urls(table(spark, sf_dir, "pages"))
+    return u.select(
+        "page_id", "url",
+        url_fn.scheme_ok("url").alias("scheme_ok"),
+        url_fn.is_video_url("url").alias("is_video"),
+        url_fn.url_host("url").alias("host"),
+        F.when(~url_fn.scheme_ok("url"), F.lit(url_fn.SCHEME_ERROR)).alias("error"),
+    )
+
+
+@register("video_id")
+def video_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = inputs.page_urls(table(spark, sf_dir, "pages"))
+    err = url_fn.video_id_error("url")
+    return u.select("page_id", "url", F.when(err.isNull(), url_fn.video_id("url")).alias("video_id"),
+                    err.alias("error"))
+
+
+def _intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = inputs.request_rows(table(spark, sf_dir, "events"))
+    return intake.intake_requests(req, key="event_id")
+
+
+@register("request_parse")
+def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = inputs.request_rows(table(spark, sf_dir, "events"))
+    p = intake.parse_bodies(req.select("event_id", "body", "is_base64"))
+    keys = F.array_join(F.array_sort(F.json_object_keys(F.to_json(F.col("_payload")))), ",")
+    return p.select("event_id", F.when(F.col("_parse_error").isNull(), keys).alias("body_keys"),
+                    F.col("_parse_error").alias("error"))
+
+
+@register("request_validate")
+def request_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _intake(spark, sf_dir).select("event_id", "status_code", "error")
+
+
+@register("request_normalize")
+def request_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _intake(spark, sf_dir)
+
+
+@register("request_accept")
+def request_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intake.accept_response(_intake(spark, sf_dir), key="event_id")
+
+
+@register("job_id_assign")
+def job_id_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from castwright.session import materialize
+
+    accepted = _intake(spark, sf_dir).where("status_code = 202").select("event_id", "job_id")
+    return materialize(intake.assign_job_ids(accepted), "job-ids")

@@ -30,3 +30,150 @@ def conversation_lines(conversations: DataFrame) -> DataFrame:
     return conversations.select(
         "conv_id", "turn", F.posexplode(split_lines(piece)).alias("line_no", "raw")
     ).withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
+# --- text templates rendered identically for Spark and for the DuckDB statements ------------
+
+import re as _re  # noqa: E402
+
+_SLOT = _re.compile(r"\{(id|uid|etype|b64|url)\}")
+
+
+def _spark_slot(name: str):
+    return {
+        "id": lambda: F.col("_id").cast("string"),
+        "uid": lambda: F.col("user_id").cast("string"),
+        "etype": lambda: F.col("event_type"),
+        "b64": lambda: F.base64(F.encode(F.concat(F.lit("hello "), F.col("_id").cast("string")), "UTF-8")),
+        "url": lambda: F.col("url"),
+    }[name]()
+
+
+SQL_SLOTS = {
+    "id": "CAST(_id AS VARCHAR)",
+    "uid": "CAST(user_id AS VARCHAR)",
+    "etype": "event_type",
+    "b64": "to_base64(encode('hello ' || CAST(_id AS VARCHAR)))",
+    "url": "url",
+}
+
+
+def render_spark(template: str):
+    parts = _SLOT.split(template)
+    cols = [F.lit(p) if i % 2 == 0 else _spark_slot(p) for i, p in enumerate(parts) if i % 2 or p]
+    return F.concat(*cols) if cols else F.lit("")
+
+
+def render_sql(template: str) -> str:
+    parts = _SLOT.split(template)
+    out = []
+    for i, p in enumerate(parts):
+        if i % 2:
+            out.append(SQL_SLOTS[p])
+        elif p:
+            out.append("'" + p.replace("'", "''") + "'")
+    return "(" + " || ".join(out) + ")" if out else "''"
+
+
+def case_column(key: str, templates: list[str]):
+    """Pick template ``key % len(templates)`` for every row (derivation, not a filter)."""
+    n = len(templates)
+    expr = render_spark(templates[-1])
+    for i in range(n - 2, -1, -1):
+        expr = F.when(F.col(key) % n == i, render_spark(templates[i])).otherwise(expr)
+    return expr
+
+
+def case_sql(key: str, templates: list[str]) -> str:
+    n = len(templates)
+    arms = " ".join(f"WHEN {key} % {n} = {i} THEN {render_sql(t)}" for i, t in enumerate(templates[:-1]))
+    return f"(CASE {arms} ELSE {render_sql(templates[-1])} END)"
+
+
+# Request bodies derived from `events` rows: each rule of the request layer is hit by some rows.
+REQUEST_BODIES = [
+    '{"source_url": "https://example.com/a/{id}", "job_id": "job-{id}", "style": "{etype}"}',
+    '{"source_url": "https://www.youtube.com/watch?v=v{id}", "transcript_text": "line {id}"}',
+    '{"source_url": "https://youtu.be/v{id}"}',
+    '{"source_file_name": "doc{id}.txt", "source_file_base64": "{b64}", "job_id": "job-{id}"}',
+    '{"source_url": "https://example.com/{id}", "source_file_base64": "aGVsbG8="}',
+    '{"source_file_base64": "aGVsbG8=", "job_id": "job-{id}"}',
+    '{"source_file_name": "x{id}.pdf", "source_file_base64": "aGVsbG8=", "source_text": "t{id}"}',
+    '{"source_file_name": "x{id}.pdf", "source_file_base64": "aGVsbG8"}',
+    '{"source_url": "https://example.com/{id}", "script_mode": "Duo", "voice_id": " Amy ", "voice_id_b": "Brian", "job_id": "job-{id}"}',
+    '{"source_url": "https://example.com/{id}", "script_mode": "three-way"}',
+    '{"source_url": "https://example.com/{id}", "voice_id_b": "   "}',
+    '{bad-json {id}',
+    '',
+    '[{id}, 2]',
+    '{"source_url": {id}}',
+    '{"source_url": "  https://example.com/{id}  ", "source_text": "  body {uid}  ", "job_id": "  job-{id}  ", "style": 7, "script_mode": null, "trace_id": "t-{uid}", "tags": [1]}',
+    '{"source_url": "https://www.youtube.com/watch?v=v{id}", "source_text": "", "transcript_text": "line {id}"}',
+    '{"source_url": "https://www.youtube.com/watch?v=v{id}", "source_text": null, "transcript_text": "line {id}", "job_id": "job-{id}"}',
+    '{"source_file_name": "  ", "source_file_base64": "aGVsbG8="}',
+    '{"source_url": "https://example.com/{id}", "voice_id": 12, "state_machine_arn": " arn:sm:{uid} "}',
+]
+# Rows whose body is sent base64-wrapped (request case 0 and the empty body, on even users).
+BASE64_CASES = (0, 12)
+REGION_BY_CASE = {8: " eu-west-1 ", 0: "  "}
+
+
+def request_rows(events: DataFrame) -> DataFrame:
+    """events -> requests(event_id, body, is_base64, query)."""
+    n = len(REQUEST_BODIES)
+    e = events.select(F.col("event_id").alias("_id"), "user_id", "event_type")
+    case = F.col("_id") % n
+    # The rendered body is its own column so the base64 wrap below does not repeat it.
+    e = e.select("_id", "user_id", case_column("_id", REQUEST_BODIES).alias("_raw"))
+    wrapped = case.isin(*BASE64_CASES) & (F.col("user_id") % 2 == 0)
+    raw = F.col("_raw")
+    region = F.lit(None).cast("string")
+    for c, r in REGION_BY_CASE.items():
+        region = F.when(case == c, F.lit(r)).otherwise(region)
+    query = F.when(region.isNotNull(), F.create_map(F.lit("region"), region)).otherwise(
+        F.create_map().cast("map<string,string>")
+    )
+    return e.select(
+        F.col("_id").alias("event_id"),
+        F.when(wrapped, F.base64(F.encode(raw, "UTF-8"))).otherwise(raw).alias("body"),
+        wrapped.alias("is_base64"),
+        query.alias("query"),
+    )
+
+
+def request_rows_sql() -> str:
+    n = len(REQUEST_BODIES)
+    wrapped = f"(_id % {n} IN {BASE64_CASES} AND user_id % 2 = 0)"
+    raw = case_sql("_id", REQUEST_BODIES)
+    region = "CASE " + " ".join(f"WHEN _id % {n} = {c} THEN '{r}'" for c, r in REGION_BY_CASE.items()) + " END"
+    return f"""requests AS (
+  SELECT _id AS event_id,
+         CASE WHEN {wrapped} THEN to_base64(encode({raw})) ELSE {raw} END AS body,
+         {wrapped} AS is_base64, {region} AS region_param
+  FROM (SELECT event_id AS _id, user_id, event_type FROM events))"""
+
+
+# Derived source URLs for the URL rules (one variant per page, chosen by page id).
+URL_VARIANTS = [
+    "{url}",
+    "https://www.youtube.com/watch?v=v{id}",
+    "https://youtu.be/v{id}",
+    "https://m.youtube.com/shorts/s{id}/x",
+    "https://youtube.com/embed/e{id}?start=3",
+    "https://WWW.YouTube.com:443/watch?feature=share&v=&v=id%2D{id}+x",
+    "https://www.youtube.com/watch",
+    "ftp://files{id}.example.com/f",
+    "https://user@youtu.be:80/",
+    "https://www.youtube.com/live/l{id}#t=1",
+]
+
+
+def page_urls(pages: DataFrame) -> DataFrame:
+    p = pages.select(F.col("page_id").alias("_id"), "url")
+    return p.select(F.col("_id").alias("page_id"), case_column("_id", URL_VARIANTS).alias("url"))
+
+
+def page_urls_sql() -> str:
+    return f"""urls AS (
+  SELECT _id AS page_id, {case_sql('_id', URL_VARIANTS)} AS url
+  FROM (SELECT page_id AS _id, url FROM pages))"""

@@ -186,3 +186,162 @@ SELECT c.conv_id, j.text, length(j.text)::BIGINT AS n_chars,
        CASE WHEN j.text IS NULL THEN 'YouTube transcript is empty' END AS error
 FROM c LEFT JOIN j ON c.conv_id = j.conv_id
 """
+
+
+# --- URLs and requests --------------------------------------------------------------------------
+
+from castwright.functions import urls as U  # noqa: E402
+from castwright.plans import inputs as I  # noqa: E402
+
+_HOST = f"lower(regexp_extract(url, '{U.HOST_RX}', 1))"
+_PATH = f"regexp_extract(url, '{U.PATH_RX}', 1)"
+_QUERY = f"regexp_extract(url, '{U.QUERY_RX}', 1)"
+_VIDEO_HOSTS = ", ".join(f"'{h}'" for h in U.VIDEO_HOSTS)
+_SHORT = ", ".join(f"'{h}'" for h in U.SHORT_HOSTS)
+_LONG = ", ".join(f"'{h}'" for h in U.LONG_HOSTS)
+_SCHEME_OK = "(starts_with(url, 'http://') OR starts_with(url, 'https://'))"
+
+
+def _plus_decode(x: str) -> str:
+    return f"url_decode(replace({x}, '+', ' '))"
+
+
+_V_HIT = (
+    f"list_filter(string_split({_QUERY}, '&'), lambda f: position('=' IN f) > 0 "
+    f"AND {_plus_decode('split_part(f, ' + chr(39) + '=' + chr(39) + ', 1)')} = 'v' "
+    f"AND substring(f, position('=' IN f) + 1) <> '')[1]"
+)
+_WATCH = f"CASE WHEN {_PATH} = '/watch' THEN {_plus_decode(f'substring({_V_HIT}, position({chr(39)}={chr(39)} IN {_V_HIT}) + 1)')} END"
+_PREFIXED = "CASE " + " ".join(
+    f"WHEN starts_with({_PATH}, '{p}') AND split_part(substring({_PATH}, {len(p) + 1}), '/', 1) <> '' "
+    f"THEN split_part(substring({_PATH}, {len(p) + 1}), '/', 1)"
+    for p in U.VIDEO_PATH_PREFIXES
+) + " END"
+_SHORT_ID = f"split_part(ltrim({_PATH}, '/'), '/', 1)"
+_VIDEO_ID = (
+    f"CASE WHEN {_HOST} IN ({_SHORT}) AND {_SHORT_ID} <> '' THEN {_SHORT_ID} "
+    f"WHEN {_HOST} IN ({_LONG}) THEN coalesce(CASE WHEN {_WATCH} <> '' THEN {_WATCH} END, {_PREFIXED}) END"
+)
+_IS_VIDEO = f"coalesce({_HOST} IN ({_VIDEO_HOSTS}), false)"
+
+ORACLE_SQL["url_route"] = f"""
+WITH {I.page_urls_sql()}
+SELECT page_id, url, {_SCHEME_OK} AS scheme_ok, {_IS_VIDEO} AS is_video, {_HOST} AS host,
+       CASE WHEN NOT {_SCHEME_OK} THEN '{U.SCHEME_ERROR}' END AS error
+FROM urls
+"""
+
+ORACLE_SQL["video_id"] = f"""
+WITH {I.page_urls_sql()},
+v AS (SELECT page_id, url, {_IS_VIDEO} AS is_video, {_VIDEO_ID} AS vid FROM urls)
+SELECT page_id, url, CASE WHEN is_video AND vid IS NOT NULL THEN vid END AS video_id,
+       CASE WHEN NOT is_video THEN '{U.NOT_VIDEO_ERROR}' WHEN vid IS NULL THEN '{U.NO_VIDEO_ID_ERROR}' END AS error
+FROM v
+"""
+
+
+def _jt(f: str) -> str:
+    return f"json_type(js, '$.{f}')"
+
+
+def _absent(f: str) -> str:
+    return f"({_jt(f)} IS NULL OR {_jt(f)} = 'NULL')"
+
+
+def _is_str(f: str) -> str:
+    return f"coalesce({_jt(f)} = 'VARCHAR', false)"
+
+
+def _sval(f: str) -> str:
+    return f"(CASE WHEN {_is_str(f)} THEN json_extract_string(js, '$.{f}') END)"
+
+
+def _nonblank(x: str) -> str:
+    return f"(CASE WHEN {q.strip(x)} <> '' THEN {q.strip(x)} END)"
+
+
+def _req_string_checks(f: str) -> list[tuple[str, str]]:
+    return [
+        (f"NOT {_absent(f)} AND NOT {_is_str(f)}", f"field must be a string: {f}"),
+        (f"{_is_str(f)} AND {q.strip(_sval(f))} = ''", f"field must not be empty: {f}"),
+    ]
+
+
+def _first(pairs: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN '{m}'" for c, m in pairs) + " END"
+
+
+_MODE = f"lower({q.strip('coalesce(' + _sval('script_mode') + ', ' + repr('') + ')')})"
+
+
+def _host(col: str) -> str:
+    return f"lower(regexp_extract({col}, '{U.HOST_RX}', 1))"
+
+
+from castwright.functions.encoding import STRICT_B64_RX  # noqa: E402
+from castwright.operators import intake as K  # noqa: E402
+
+_NORMALIZE_ERROR = _first(
+    [(f"NOT {_absent('source_url')} AND NOT {_is_str('source_url')}", K.must_be_string("source_url"))]
+    + _req_string_checks("source_file_name")
+    + [("script_mode NOT IN ('single', 'duo')", K.E_MODE)]
+    + _req_string_checks("voice_id")
+    + _req_string_checks("voice_id_b")
+)
+_SOURCE_ERROR = _first([
+    ("(source_url IS NOT NULL) = (source_file_base64 IS NOT NULL)", K.E_EXACTLY_ONE),
+    ("source_file_base64 IS NOT NULL AND source_file_name IS NULL", K.E_NAME_REQUIRED),
+    ("source_file_base64 IS NOT NULL AND source_text IS NOT NULL", K.E_TEXT_WITH_FILE),
+    (f"source_file_base64 IS NOT NULL AND NOT regexp_matches(source_file_base64, '{STRICT_B64_RX}')", K.E_BAD_FILE_B64),
+    (f"source_url IS NOT NULL AND {_host('source_url')} IN ({_VIDEO_HOSTS}) AND source_text IS NULL", K.E_VIDEO_NEEDS_TEXT),
+])
+
+_INTAKE = f"""{I.request_rows_sql()},
+p AS (
+  SELECT event_id, body, is_base64, region_param, (body IS NULL OR body = '') AS empty,
+         CASE WHEN is_base64 THEN decode(from_base64(regexp_replace(body, '[^A-Za-z0-9+/=]', '', 'g'))) ELSE body END AS text
+  FROM requests),
+j0 AS (
+  SELECT *, CASE WHEN empty THEN NULL WHEN NOT json_valid(text) THEN '{K.E_BAD_JSON}'
+                 WHEN json_type(text) <> 'OBJECT' THEN '{K.E_NOT_OBJECT}' END AS parse_error
+  FROM p),
+j AS (SELECT *, CASE WHEN empty OR parse_error IS NOT NULL THEN '{{}}' ELSE text END AS js FROM j0),
+n0 AS (
+  SELECT event_id, parse_error, js, region_param,
+    {_nonblank(_sval('source_url'))} AS source_url,
+    {_nonblank(f"CASE WHEN {_absent('source_text')} THEN {_sval('transcript_text')} ELSE {_sval('source_text')} END")} AS source_text,
+    {_nonblank(_sval('source_file_name'))} AS source_file_name,
+    {_nonblank(_sval('source_file_base64'))} AS source_file_base64,
+    {_nonblank(_sval('job_id'))} AS job_id,
+    coalesce({_nonblank(_sval('style'))}, 'podcast') AS style,
+    CASE WHEN {_MODE} = '' THEN 'single' ELSE {_MODE} END AS script_mode,
+    {_nonblank(_sval('voice_id'))} AS voice_id,
+    {_nonblank(_sval('voice_id_b'))} AS voice_id_b,
+    coalesce({_nonblank('region_param')}, 'us-east-1') AS region,
+    {_nonblank(_sval('state_machine_arn'))} AS state_machine_arn
+  FROM j),
+n AS (SELECT *, {_NORMALIZE_ERROR} AS normalize_error, {_SOURCE_ERROR} AS source_error FROM n0),
+r AS (SELECT *, coalesce(parse_error, normalize_error, source_error) AS error FROM n)"""
+
+_REQ_FIELDS = ", ".join(f"CASE WHEN error IS NULL THEN {f} END AS {f}" for f in K.REQUEST_FIELDS)
+
+ORACLE_SQL["request_parse"] = f"""
+WITH {_INTAKE}
+SELECT event_id, CASE WHEN parse_error IS NULL THEN array_to_string(list_sort(json_keys(js)), ',') END AS body_keys,
+       parse_error AS error
+FROM r
+"""
+ORACLE_SQL["request_validate"] = f"""
+WITH {_INTAKE}
+SELECT event_id, CASE WHEN error IS NULL THEN 202 ELSE 400 END::INTEGER AS status_code, error FROM r
+"""
+ORACLE_SQL["request_normalize"] = f"""
+WITH {_INTAKE}
+SELECT event_id, {_REQ_FIELDS}, CASE WHEN error IS NULL THEN 202 ELSE 400 END::INTEGER AS status_code, error FROM r
+"""
+ORACLE_SQL["request_accept"] = f"""
+WITH {_INTAKE}
+SELECT event_id, job_id, source_url, source_file_name, style, script_mode, voice_id, voice_id_b, region,
+       state_machine_arn
+FROM r WHERE error IS NULL
+"""

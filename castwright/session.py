@@ -84,3 +84,18 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     if keys:
         return df.repartition(target, *keys)
     return df.repartition(target)
+
+
+def observed(df: DataFrame, name: str, *metrics) -> DataFrame:
+    """Attach row metrics to ``df`` (``Dataset.observe``).
+
+    Besides reporting counts, the CollectMetrics node stops the optimizer from pushing a later
+    filter on a derived column down through a deep stack of projections, which would otherwise
+    inline every intermediate expression into one huge predicate at the scan.
+    """
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    ms = list(metrics) or [F.count(F.lit(1)).alias("rows")]
+    return df.observe(f"{name}-{uuid.uuid4().hex[:8]}", *ms)
