@@ -92,7 +92,8 @@ def _nonblank(c: Column) -> Column:
 
 # --- S1 ---------------------------------------------------------------------------------
 
-def parse_bodies(df: DataFrame, body: str = "body", is_base64: str | None = "is_base64") -> DataFrame:
+def parse_bodies(df: DataFrame, body: str = "body", is_base64: str | None = "is_base64",
+                 keep_text: bool = False) -> DataFrame:
     """Adds ``_payload`` (variant) and ``_parse_error``. Absent or empty body -> {};
     optional base64 layer (lenient alphabet, then UTF-8); invalid JSON or a non-object -> error.
 
@@ -115,10 +116,11 @@ def parse_bodies(df: DataFrame, body: str = "body", is_base64: str | None = "is_
         (F.col("_parsed").isNull(), E_BAD_JSON),
         (~F.coalesce(F.schema_of_variant("_parsed").startswith("OBJECT"), F.lit(False)), E_NOT_OBJECT),
     )
-    decided = parsed.select(*keep, "_empty", "_parsed", error.alias("_parse_error"))
+    decided = parsed.select(*keep, "_empty", "_parsed", "_text", error.alias("_parse_error"))
     payload = F.when(F.col("_empty"), F.parse_json(F.lit("{}"))).when(
         F.col("_parse_error").isNull(), F.col("_parsed"))
-    return decided.select(*keep, payload.alias("_payload"), "_parse_error")
+    text = [F.when(F.col("_parse_error").isNull(), F.col("_text")).alias("_text")] if keep_text else []
+    return decided.select(*keep, payload.alias("_payload"), "_parse_error", *text)
 
 
 # --- V1–V3, V11 -------------------------------------------------------------------------

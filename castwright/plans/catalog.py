@@ -253,3 +253,47 @@ def job_id_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     accepted = _intake(spark, sf_dir).where("status_code = 202").select("event_id", "job_id")
     return materialize(intake.assign_job_ids(accepted), "job-ids")
+
+
+# --- pipeline events ----------------------------------------------------------------------
+
+from castwright.operators import events as events_op  # noqa: E402
+
+EVENT_VIEW = ("event_id", "stage", "job_id", "style", "script_mode", "title", "article_s3_key",
+              "script_s3_key", "article_char_count", "audio_estimated_duration_sec", "error")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_op.read_events(inputs.event_rows(table(spark, sf_dir, "events")))
+
+
+@register("event_validate")
+def event_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).select(*EVENT_VIEW)
+
+
+@register("event_extras")
+def event_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    return ev.select("event_id", F.array_join(F.map_keys("extras"), ",").alias("extra_keys"), "error")
+
+
+@register("stage_gate")
+def stage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir)
+    return ev.select("event_id", "stage", F.coalesce("error", events_op.stage_gate("stage")).alias("error"))
+
+
+@register("event_json")
+def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _events(spark, sf_dir).where(F.col("error").isNull())
+    js = events_op.event_json(ev)
+    keys = events_op.handover_keys(ev)
+    return ev.select(
+        "event_id",
+        F.array_join(keys, ",").alias("handover_keys"),
+        F.size(keys).cast("bigint").alias("n_keys"),
+        F.get_json_object(js, "$.job_id").alias("job_id"),
+        F.get_json_object(js, "$.script_mode").alias("script_mode"),
+        F.get_json_object(js, "$.article_char_count").cast("bigint").alias("article_char_count"),
+    )

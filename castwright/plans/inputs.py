@@ -177,3 +177,38 @@ def page_urls_sql() -> str:
     return f"""urls AS (
   SELECT _id AS page_id, {case_sql('_id', URL_VARIANTS)} AS url
   FROM (SELECT page_id AS _id, url FROM pages))"""
+
+
+# Pipeline events derived from `events` rows: each typed-field and stage rule is hit by some rows.
+EVENT_BODIES = [
+    '{"job_id": "job-{id}", "source_url": "https://example.com/{id}", "trace_id": "abc-{uid}"}',
+    '{}',
+    '{"job_id": "job-{id}"}',
+    '{"job_id": "job-{id}", "source_url": "https://example.com/{id}", "source_file_base64": "aGVsbG8="}',
+    '{"job_id": "job-{id}", "source_file_base64": "aGVsbG8=", "source_file_name": "n{id}.txt", "source_text": "x"}',
+    '{"job_id": {id}}',
+    '{"job_id": "job-{id}", "audio_estimated_duration_sec": -1}',
+    '{"job_id": "job-{id}", "script_mode": "three-way"}',
+    '{"job_id": " job-{id} ", "article_s3_key": "jobs/job-{id}/source.txt", "article_char_count": {uid}, "script_mode": "DUO", "title": "T{id}"}',
+    '{"job_id": "job-{id}", "script_s3_key": "jobs/job-{id}/script.txt", "article_char_count": true}',
+    '{"job_id": "job-{id}", "script_s3_key": "jobs/job-{id}/script.txt", "style": "  "}',
+    '{"job_id": "job-{id}", "script_s3_key": "jobs/job-{id}/script.txt", "audio_estimated_duration_sec": 1.0, "x": {"y": 1}}',
+    '{"zeta": 1, "job_id": "job-{id}", "source_file_base64": "aGVsbG8=", "source_file_name": "f{id}.pdf", "alpha": "a", "script_s3_key": "k{id}", "article_s3_key": "a{id}"}',
+    '"just a string"',
+]
+# Stage of each derived event, chosen by user id.
+EVENT_STAGES = ("fetch", "rewrite", "generate", "publish")
+
+
+def event_rows(events: DataFrame) -> DataFrame:
+    """events -> pipeline events(event_id, stage, body)."""
+    e = events.select(F.col("event_id").alias("_id"), "user_id", "event_type")
+    stage = F.element_at(F.array(*[F.lit(s) for s in EVENT_STAGES]), (F.col("user_id") % len(EVENT_STAGES) + 1).cast("int"))
+    return e.select(F.col("_id").alias("event_id"), stage.alias("stage"), case_column("_id", EVENT_BODIES).alias("body"))
+
+
+def event_rows_sql() -> str:
+    stages = ", ".join(f"'{s}'" for s in EVENT_STAGES)
+    return f"""pevents AS (
+  SELECT _id AS event_id, [{stages}][(user_id % {len(EVENT_STAGES)}) + 1] AS stage, {case_sql('_id', EVENT_BODIES)} AS body
+  FROM (SELECT event_id AS _id, user_id, event_type FROM events))"""

@@ -345,3 +345,85 @@ SELECT event_id, job_id, source_url, source_file_name, style, script_mode, voice
        state_machine_arn
 FROM r WHERE error IS NULL
 """
+
+
+# --- pipeline events ---------------------------------------------------------------------------
+
+from castwright.operators import events as EV  # noqa: E402
+
+_KNOWN = ", ".join(f"'{n}'" for n in EV.EVENT_FIELDS)
+_EV_MODE = f"lower({q.strip('coalesce(' + q.strip(_sval('script_mode')) + ', ' + repr('single') + ')')})"
+
+
+def _ev_clean(n: str) -> str:
+    if n in EV.INT_FIELDS:
+        return f"CASE WHEN {_jt(n)} IN ('BIGINT', 'UBIGINT') THEN json_extract(js, '$.{n}')::BIGINT END"
+    if n == "style":
+        return f"coalesce({q.strip(_sval('style'))}, 'podcast')"
+    if n == "script_mode":
+        return _EV_MODE
+    return q.strip(_sval(n))
+
+
+def _ev_checks(n: str) -> list[tuple[str, str]]:
+    if n in EV.INT_FIELDS:
+        return [
+            (f"NOT {_absent(n)} AND {_jt(n)} NOT IN ('BIGINT', 'UBIGINT')", f"event field ''{n}'' must be an integer"),
+            (f"NOT {_absent(n)} AND ({_ev_clean(n)}) < 0", f"event field ''{n}'' must be >= 0"),
+        ]
+    out = [
+        (f"NOT {_absent(n)} AND NOT {_is_str(n)}", f"event field ''{n}'' must be a string"),
+        (f"{_is_str(n)} AND {q.strip(_sval(n))} = ''", f"event field ''{n}'' must not be empty"),
+    ]
+    if n == "script_mode":
+        out.append((f"{_EV_MODE} NOT IN ('single', 'duo')", "event field ''script_mode'' must be one of: duo, single"))
+    return out
+
+
+_EVENTS = f"""{I.event_rows_sql()},
+p AS (SELECT event_id, stage, body, (body IS NULL OR body = '') AS empty FROM pevents),
+j0 AS (SELECT *, CASE WHEN empty THEN NULL WHEN NOT json_valid(body) THEN 'invalid JSON request body'
+                      WHEN json_type(body) <> 'OBJECT' THEN 'event must be a JSON object' END AS parse_error FROM p),
+j AS (SELECT *, CASE WHEN empty OR parse_error IS NOT NULL THEN '{{}}' ELSE body END AS js FROM j0),
+c AS (
+  SELECT event_id, stage,
+         coalesce(parse_error, {_first([c for n in EV.EVENT_FIELDS for c in _ev_checks(n)])}) AS error,
+         {", ".join(f"{_ev_clean(n)} AS {n}" for n in EV.EVENT_FIELDS)},
+         list_filter(json_keys(js), lambda k: k NOT IN ({_KNOWN})) AS extra_keys
+  FROM j),
+ev AS (
+  SELECT event_id, stage, error,
+         {", ".join(f"CASE WHEN error IS NULL THEN {n} END AS {n}" for n in EV.EVENT_FIELDS)},
+         CASE WHEN error IS NULL THEN extra_keys END AS extra_keys
+  FROM c)"""
+
+ORACLE_SQL["event_validate"] = f"""
+WITH {_EVENTS}
+SELECT event_id, stage, job_id, style, script_mode, title, article_s3_key, script_s3_key,
+       article_char_count, audio_estimated_duration_sec, error
+FROM ev
+"""
+ORACLE_SQL["event_extras"] = f"""
+WITH {_EVENTS}
+SELECT event_id, array_to_string(extra_keys, ',') AS extra_keys, error FROM ev
+"""
+_GATE = f"""CASE WHEN stage = 'fetch' THEN {_first([
+    ("job_id IS NULL", EV.E_FETCH_JOB),
+    ("(source_url IS NOT NULL) = (source_file_base64 IS NOT NULL)", EV.E_FETCH_ONE),
+    ("source_file_base64 IS NOT NULL AND source_file_name IS NULL", EV.E_FETCH_NAME),
+    ("source_file_base64 IS NOT NULL AND source_text IS NOT NULL", EV.E_FETCH_TEXT)])}
+  WHEN stage = 'rewrite' THEN CASE WHEN job_id IS NULL OR article_s3_key IS NULL THEN '{EV.E_REWRITE}' END
+  WHEN stage = 'generate' THEN CASE WHEN job_id IS NULL OR script_s3_key IS NULL THEN '{EV.E_GENERATE}' END
+  ELSE 'unsupported pipeline stage: ' || stage END"""
+ORACLE_SQL["stage_gate"] = f"""
+WITH {_EVENTS}
+SELECT event_id, stage, coalesce(error, {_GATE}) AS error FROM ev
+"""
+_HANDOVER = "list_concat(extra_keys, list_filter([" + ", ".join(
+    f"CASE WHEN {n} IS NOT NULL THEN '{n}' END" for n in EV.EVENT_FIELDS) + "], lambda k: k IS NOT NULL))"
+ORACLE_SQL["event_json"] = f"""
+WITH {_EVENTS}
+SELECT event_id, array_to_string({_HANDOVER}, ',') AS handover_keys, len({_HANDOVER})::BIGINT AS n_keys,
+       job_id, script_mode, article_char_count
+FROM ev WHERE error IS NULL
+"""
