@@ -24,6 +24,11 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def b64encode(b: Column | str) -> Column:
+    """Standard base64 on one line (Spark's ``base64`` may wrap MIME-style every 76 chars)."""
+    return F.regexp_replace(F.base64(_c(b)), "[\r\n]", "")
+
+
 def is_strict_base64(s: Column | str) -> Column:
     return _c(s).rlike(STRICT_B64_RX)
 

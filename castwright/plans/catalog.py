@@ -297,3 +297,72 @@ def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object(js, "$.script_mode").alias("script_mode"),
         F.get_json_object(js, "$.article_char_count").cast("bigint").alias("article_char_count"),
     )
+
+
+# --- documents and files ------------------------------------------------------------------
+
+from castwright.functions import encoding as enc  # noqa: E402
+from castwright.sources import files as files_src  # noqa: E402
+
+
+@register("doc_type")
+def doc_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = inputs.document_files(table(spark, sf_dir, "documents")).select("doc_id", "name")
+    return f.select("doc_id", "name", files_src.doc_type("name").alias("doc_type"),
+                    files_src.doc_type_error("name").alias("error"))
+
+
+# Base64 variants: as encoded, without padding, with an inner space (the last two are not strict).
+def _b64_variant():
+    b64 = enc.b64encode(F.encode("text", "UTF-8"))
+    return (F.when(F.col("doc_id") % 4 == 1, F.rtrim(b64, F.lit("=")))
+            .when(F.col("doc_id") % 4 == 2, F.concat(F.substring(b64, 1, 4), F.lit(" "), F.substring(b64, 5, 1 << 30)))
+            .otherwise(b64))
+
+
+@register("base64_text")
+def base64_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", _b64_variant().alias("b64"))
+    raw = enc.strict_unbase64("b64")
+    return d.select(
+        "doc_id",
+        raw.isNotNull().alias("valid"),
+        F.md5(raw).alias("decoded_md5"),
+        F.octet_length(raw).cast("bigint").alias("n_bytes"),
+        F.when(raw.isNull(), F.lit(files_src.E_FETCH_BAD_B64)).alias("error"),
+    )
+
+
+@register("txt_decode")
+def txt_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"))).otherwise(
+        F.encode("text", "UTF-8"))
+    dec = enc.decode_text_bytes(raw)
+    return d.select("doc_id", dec["text"].alias("text"), dec["encoding"].alias("encoding"))
+
+
+@register("page_assembly")
+def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = inputs.document_pages(table(spark, sf_dir, "documents"))
+    return files_src.assemble_pages(pages, "doc_id", "page_no", "text")
+
+
+@register("docx_text")
+def docx_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", inputs.docx_bytes(F.col("text")).alias("content"))
+    return files_src.extract_docx(d, "doc_id")
+
+
+@register("document_source")
+def document_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pages = files_src.assemble_pages(inputs.document_pages(docs), "doc_id", "page_no", "text")
+    return files_src.extract_documents(inputs.document_files(docs), key="doc_id", page_texts=pages)
+
+
+@register("file_scan")
+def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 over the shipped table files themselves (name, base64 payload size)."""
+    f = files_src.scan_files(spark, sf_dir, "*.parquet")
+    return f.select("name", "n_bytes", F.length("content_base64").cast("bigint").alias("base64_chars"), "error")

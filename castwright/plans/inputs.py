@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from castwright.functions.encoding import b64encode
 from castwright.functions.text import split_lines
 
 # Speaker label put in front of each conversation row, by role.
@@ -44,7 +45,7 @@ def _spark_slot(name: str):
         "id": lambda: F.col("_id").cast("string"),
         "uid": lambda: F.col("user_id").cast("string"),
         "etype": lambda: F.col("event_type"),
-        "b64": lambda: F.base64(F.encode(F.concat(F.lit("hello "), F.col("_id").cast("string")), "UTF-8")),
+        "b64": lambda: b64encode(F.encode(F.concat(F.lit("hello "), F.col("_id").cast("string")), "UTF-8")),
         "url": lambda: F.col("url"),
     }[name]()
 
@@ -135,7 +136,7 @@ def request_rows(events: DataFrame) -> DataFrame:
     )
     return e.select(
         F.col("_id").alias("event_id"),
-        F.when(wrapped, F.base64(F.encode(raw, "UTF-8"))).otherwise(raw).alias("body"),
+        F.when(wrapped, b64encode(F.encode(raw, "UTF-8"))).otherwise(raw).alias("body"),
         wrapped.alias("is_base64"),
         query.alias("query"),
     )
@@ -212,3 +213,45 @@ def event_rows_sql() -> str:
     return f"""pevents AS (
   SELECT _id AS event_id, [{stages}][(user_id % {len(EVENT_STAGES)}) + 1] AS stage, {case_sql('_id', EVENT_BODIES)} AS body
   FROM (SELECT event_id AS _id, user_id, event_type FROM events))"""
+
+
+# --- files derived from `documents` ---------------------------------------------------------
+
+# File name suffix of each derived file, chosen by document id.
+FILE_SUFFIXES = (".txt", ".TXT", ".pdf", ".docx", ".md", "")
+EMPTY_FILE_EVERY = 7  # documents whose id is a multiple of this get an empty file
+
+
+def _docx_from_text_kernel(texts):
+    import pandas as pd
+
+    from castwright.sources.files import build_docx
+
+    return pd.Series([None if t is None else build_docx(t.splitlines()) for t in texts])
+
+
+def docx_bytes(text_col):
+    """DOCX archive bytes with one paragraph per line of the text (Arrow batches)."""
+    from pyspark.sql.types import BinaryType
+
+    udf = F.pandas_udf(_docx_from_text_kernel, BinaryType())
+    return udf(text_col)
+
+
+def document_files(documents: DataFrame) -> DataFrame:
+    """documents -> files(doc_id, name, content) with the suffix mix above."""
+    n = len(FILE_SUFFIXES)
+    suffix = F.element_at(F.array(*[F.lit(x) for x in FILE_SUFFIXES]), (F.col("doc_id") % n + 1).cast("int"))
+    d = documents.select("doc_id", "text", suffix.alias("_suffix"))
+    content = (
+        F.when(F.col("doc_id") % EMPTY_FILE_EVERY == 0, F.lit(b"").cast("binary"))
+        .when(F.col("_suffix") == ".docx", docx_bytes(F.when(F.col("_suffix") == ".docx", F.col("text"))))
+        .otherwise(F.encode("text", "UTF-8"))
+    )
+    return d.select("doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string"), "_suffix").alias("name"),
+                    content.alias("content"))
+
+
+def document_pages(documents: DataFrame) -> DataFrame:
+    """documents -> page_texts(doc_id, page_no, text): each line of a document is a page."""
+    return documents.select("doc_id", F.posexplode(split_lines("text")).alias("page_no", "text"))

@@ -427,3 +427,55 @@ SELECT event_id, array_to_string({_HANDOVER}, ',') AS handover_keys, len({_HANDO
        job_id, script_mode, article_char_count
 FROM ev WHERE error IS NULL
 """
+
+
+# --- documents and files -------------------------------------------------------------------------
+
+from castwright.sources import files as FS  # noqa: E402
+
+_SUFFIX = "[" + ", ".join(f"'{x}'" for x in I.FILE_SUFFIXES) + f"][(doc_id % {len(I.FILE_SUFFIXES)}) + 1]"
+_NAME = f"('doc' || CAST(doc_id AS VARCHAR) || {_SUFFIX})"
+_SFX = f"lower(regexp_extract({_NAME}, '{FS.SUFFIX_RX}', 1))"
+_TYPE = f"CASE {_SFX} WHEN '.pdf' THEN 'pdf' WHEN '.docx' THEN 'docx' WHEN '.txt' THEN 'txt' END"
+_TYPE_ERR = (f"CASE WHEN ({_TYPE}) IS NULL THEN 'Unsupported document type ''' || "
+             f"CASE WHEN {_SFX} <> '' THEN {_SFX} ELSE {_NAME} END || '''. Use: .docx, .pdf, .txt' END")
+
+ORACLE_SQL["doc_type"] = f"SELECT doc_id, {_NAME} AS name, {_TYPE} AS doc_type, {_TYPE_ERR} AS error FROM documents"
+
+_B64 = "to_base64(encode(text))"
+_B64V = (f"CASE WHEN doc_id % 4 = 1 THEN rtrim({_B64}, '=') "
+         f"WHEN doc_id % 4 = 2 THEN substring({_B64}, 1, 4) || ' ' || substring({_B64}, 5) ELSE {_B64} END")
+ORACLE_SQL["base64_text"] = f"""
+WITH b AS (SELECT doc_id, {_B64V} AS b64 FROM documents),
+v AS (SELECT doc_id, b64, regexp_matches(b64, '{STRICT_B64_RX}') AS valid FROM b)
+SELECT doc_id, valid, CASE WHEN valid THEN md5(from_base64(b64)) END AS decoded_md5,
+       CASE WHEN valid THEN octet_length(from_base64(b64)) END::BIGINT AS n_bytes,
+       CASE WHEN NOT valid THEN '{FS.E_FETCH_BAD_B64}' END AS error
+FROM v
+"""
+ORACLE_SQL["txt_decode"] = f"SELECT doc_id, {q.strip('text')} AS text, 'utf-8-sig' AS encoding FROM documents"
+
+_PAGES_TEXT = q.strip(
+    f"array_to_string(list_filter(list_transform({q.lines('text')}, lambda x: {q.strip('x')}), lambda x: x <> ''), chr(10) || chr(10))"
+)
+ORACLE_SQL["page_assembly"] = f"""
+SELECT doc_id, {_PAGES_TEXT} AS text FROM documents WHERE {_PAGES_TEXT} <> ''
+"""
+ORACLE_SQL["docx_text"] = f"SELECT doc_id, {_PAGES_TEXT} AS text, NULL::VARCHAR AS error FROM documents"
+
+ORACLE_SQL["document_source"] = f"""
+WITH f AS (
+  SELECT doc_id, {_NAME} AS name, {_TYPE} AS t, {_TYPE_ERR} AS type_error,
+         doc_id % {I.EMPTY_FILE_EVERY} = 0 AS empty,
+         CASE {_TYPE} WHEN 'txt' THEN {q.strip('text')} ELSE {_PAGES_TEXT} END AS x
+  FROM documents),
+g AS (
+  SELECT doc_id, name, CASE WHEN NOT empty THEN t END AS doc_type,
+         CASE WHEN empty THEN '{FS.E_EMPTY_FILE}' ELSE type_error END AS e, x FROM f)
+SELECT doc_id, name, doc_type,
+       CASE WHEN e IS NULL AND x <> '' THEN x END AS text,
+       CASE WHEN e IS NULL AND x <> '' THEN length(x) END::BIGINT AS n_chars,
+       CASE WHEN e IS NOT NULL THEN e WHEN coalesce(x, '') = '' THEN
+            'No readable text found in uploaded ' || upper(doc_type) || ' document.' END AS error
+FROM g
+"""
