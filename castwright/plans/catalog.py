@@ -366,3 +366,80 @@ def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 over the shipped table files themselves (name, base64 payload size)."""
     f = files_src.scan_files(spark, sf_dir, "*.parquet")
     return f.select("name", "n_bytes", F.length("content_base64").cast("bigint").alias("base64_chars"), "error")
+
+
+# --- prompts and model ------------------------------------------------------------------------
+
+from castwright.operators import prompts  # noqa: E402
+
+
+def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.rewrite_jobs(table(spark, sf_dir, "documents"))
+
+
+@register("prompt")
+def prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = _jobs(spark, sf_dir)
+    return j.select(
+        "doc_id",
+        prompts.prompt_column("text", "title", "style", "source_type", "script_mode").alias("prompt"),
+        prompts.prompt_error("script_mode").alias("error"),
+    )
+
+
+@register("model_route")
+def model_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = _jobs(spark, sf_dir)
+    return j.select("doc_id", "model_id", prompts.model_family("model_id").alias("family"),
+                    prompts.model_family_error("model_id").alias("error"))
+
+
+@register("model_request")
+def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = _jobs(spark, sf_dir).select(
+        "doc_id", prompts.model_family("model_id").alias("family"),
+        prompts.prompt_column("text", "title", "style", "source_type", "script_mode").alias("prompt"),
+    ).where(F.col("family").isNotNull() & F.col("prompt").isNotNull())
+    body = prompts.request_body("family", "prompt")
+    b = j.select("doc_id", "family", body.alias("body"))
+    anth = F.col("family") == "anthropic"
+    return b.select(
+        "doc_id", "family",
+        F.when(anth, F.get_json_object("body", "$.max_tokens")).otherwise(
+            F.get_json_object("body", "$.inferenceConfig.maxTokens")).cast("bigint").alias("max_tokens"),
+        F.when(anth, F.get_json_object("body", "$.temperature")).otherwise(
+            F.get_json_object("body", "$.inferenceConfig.temperature")).cast("double").alias("temperature"),
+        F.get_json_object("body", "$.messages[0].role").alias("role"),
+        F.get_json_object("body", "$.anthropic_version").alias("version"),
+        F.md5(F.get_json_object("body", "$.messages[0].content[0].text")).alias("prompt_md5"),
+    )
+
+
+@register("model_response")
+def model_response(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = inputs.model_responses(table(spark, sf_dir, "documents"))
+    t = prompts.response_text("family", "response")
+    return r.select("doc_id", "family", t["text"].alias("script"), t["error"].alias("error"))
+
+
+@register("script_metadata")
+def script_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = _jobs(spark, sf_dir).withColumn("source_url", F.lit(None).cast("string"))
+    js = prompts.script_metadata(j, "anthropic.claude-3-haiku-20240307-v1:0")
+    m = j.select("doc_id", js.alias("js"))
+    return m.select(
+        "doc_id",
+        F.size(F.json_object_keys("js")).cast("bigint").alias("n_fields"),
+        F.get_json_object("js", "$.job_id").alias("job_id"),
+        F.get_json_object("js", "$.title").alias("title"),
+        F.get_json_object("js", "$.source_type").alias("source_type"),
+        F.get_json_object("js", "$.script_s3_key").alias("script_s3_key"),
+        F.get_json_object("js", "$.model_id").alias("model_id"),
+    )
+
+
+@register("rewrite")
+def rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = _jobs(spark, sf_dir)
+    out = prompts.rewrite(j, prompts.echo_model, "us.amazon.nova-pro-v1:0", key="doc_id")
+    return out.select("doc_id", "script", F.char_length("script").cast("bigint").alias("script_chars"), "error")

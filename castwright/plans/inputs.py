@@ -255,3 +255,78 @@ def document_files(documents: DataFrame) -> DataFrame:
 def document_pages(documents: DataFrame) -> DataFrame:
     """documents -> page_texts(doc_id, page_no, text): each line of a document is a page."""
     return documents.select("doc_id", F.posexplode(split_lines("text")).alias("page_no", "text"))
+
+
+# --- rewrite-stage jobs derived from `documents` ---------------------------------------------
+
+SOURCE_TYPES = (None, "youtube", "text", "article", "pdf")
+SCRIPT_MODES_MIX = ("single", "duo", "single", " DUO ", "single", "duo", "trio")
+MODEL_IDS = (
+    "anthropic.claude-3-haiku-20240307-v1:0",
+    "us.anthropic.claude-3-5-sonnet-20240620-v1:0",
+    "amazon.nova-lite-v1:0",
+    "us.amazon.nova-pro-v1:0",
+    "meta.llama3-8b-instruct-v1:0",
+)
+
+
+def _pick(values, key: str = "doc_id"):
+    arr = F.array(*[F.lit(v) if v is not None else F.lit(None).cast("string") for v in values])
+    return F.element_at(arr, (F.col(key) % len(values) + 1).cast("int"))
+
+
+def _pick_sql(values, key: str = "doc_id") -> str:
+    items = ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values)
+    return f"([{items}]::VARCHAR[])[({key} % {len(values)}) + 1]"
+
+
+def rewrite_jobs(documents: DataFrame) -> DataFrame:
+    """documents -> jobs(doc_id, job_id, text, title, style, source_type, script_mode, model_id)."""
+    return documents.select(
+        "doc_id",
+        F.concat(F.lit("job-"), F.col("doc_id").cast("string")).alias("job_id"),
+        "text",
+        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("Doc "), F.col("doc_id").cast("string"))).alias("title"),
+        F.col("source").alias("style"),
+        _pick(SOURCE_TYPES).alias("source_type"),
+        _pick(SCRIPT_MODES_MIX).alias("script_mode"),
+        _pick(MODEL_IDS).alias("model_id"),
+    )
+
+
+def rewrite_jobs_sql() -> str:
+    return f"""jobs AS (
+  SELECT doc_id, 'job-' || CAST(doc_id AS VARCHAR) AS job_id, text,
+         CASE WHEN doc_id % 2 = 0 THEN 'Doc ' || CAST(doc_id AS VARCHAR) END AS title,
+         source AS style, {_pick_sql(SOURCE_TYPES)} AS source_type,
+         {_pick_sql(SCRIPT_MODES_MIX)} AS script_mode, {_pick_sql(MODEL_IDS)} AS model_id
+  FROM documents)"""
+
+
+# Model responses (one per document) covering the response rules of both families.
+RESPONSES = [
+    ("anthropic", '{"content": [{"type": "text", "text": "  Script {id}  "}]}'),
+    ("anthropic", '{"content": []}'),
+    ("anthropic", '{"content": [{"type": "text", "text": ""}]}'),
+    ("nova", '{"output": {"message": {"content": [{"image": 1}, {"text": " Nova {id} "}]}}}'),
+    ("nova", '{"output": {"message": {"content": [{"image": 1}]}}}'),
+    ("anthropic", '{"content": {"text": "x{id}"}}'),
+    ("nova", '{"output": {}}'),
+    ("anthropic", '{"content": [{"type": "text", "text": "line1\\nline2 {id}"}]}'),
+]
+
+
+def model_responses(documents: DataFrame) -> DataFrame:
+    d = documents.select(F.col("doc_id").alias("_id"))
+    return d.select(
+        F.col("_id").alias("doc_id"),
+        _pick([f for f, _ in RESPONSES], "_id").alias("family"),
+        case_column("_id", [t for _, t in RESPONSES]).alias("response"),
+    )
+
+
+def model_responses_sql() -> str:
+    return f"""responses AS (
+  SELECT _id AS doc_id, {_pick_sql([f for f, _ in RESPONSES], '_id')} AS family,
+         {case_sql('_id', [t for _, t in RESPONSES])} AS response
+  FROM (SELECT doc_id AS _id FROM documents))"""

@@ -479,3 +479,66 @@ SELECT doc_id, name, doc_type,
             'No readable text found in uploaded ' || upper(doc_type) || ' document.' END AS error
 FROM g
 """
+
+
+# --- prompts and model ---------------------------------------------------------------------------
+
+from castwright.operators import prompts as P  # noqa: E402
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_MODE_SQL = f"lower({q.strip('script_mode')})"
+_PROMPT = (
+    f"CASE WHEN {_MODE_SQL} IN ('single', 'duo') THEN "
+    f"{_lit(P.PROMPT_HEAD)} || CASE {_MODE_SQL} WHEN 'single' THEN {_lit(P.SINGLE_INSTRUCTION)} ELSE {_lit(P.DUO_INSTRUCTION)} END"
+    f" || {_lit(P.PROMPT_TAIL)} || 'Style: ' || coalesce(style, 'None') || chr(10)"
+    f" || 'Script Mode: ' || {_MODE_SQL} || chr(10)"
+    f" || CASE WHEN title IS NOT NULL AND title <> '' THEN 'Title: ' || title || chr(10) ELSE '' END"
+    f" || 'Input Type: ' || CASE WHEN source_type IS NOT NULL AND source_type <> '' THEN source_type ELSE 'article' END || chr(10)"
+    f" || CASE WHEN source_type = 'youtube' THEN {_lit(P.VIDEO_LABEL)} ELSE {_lit(P.SOURCE_LABEL)} END || ':' || chr(10)"
+    f" || text END"
+)
+_PROMPT_ERR = f"CASE WHEN {_MODE_SQL} NOT IN ('single', 'duo') OR {_MODE_SQL} IS NULL THEN {_lit(P.PROMPT_MODE_ERROR)} END"
+_FAMILY = ("CASE WHEN starts_with(model_id, 'anthropic.') OR starts_with(model_id, 'us.anthropic.') THEN 'anthropic' "
+           "WHEN starts_with(model_id, 'amazon.nova') OR starts_with(model_id, 'us.amazon.nova') THEN 'nova' END")
+
+ORACLE_SQL["prompt"] = f"WITH {I.rewrite_jobs_sql()}\nSELECT doc_id, {_PROMPT} AS prompt, {_PROMPT_ERR} AS error FROM jobs"
+ORACLE_SQL["model_route"] = f"""WITH {I.rewrite_jobs_sql()}
+SELECT doc_id, model_id, {_FAMILY} AS family,
+       CASE WHEN ({_FAMILY}) IS NULL THEN 'Unsupported Bedrock model_id: ' || model_id END AS error
+FROM jobs"""
+ORACLE_SQL["model_request"] = f"""WITH {I.rewrite_jobs_sql()},
+b AS (SELECT doc_id, {_FAMILY} AS family, {_PROMPT} AS prompt FROM jobs)
+SELECT doc_id, family, {P.MAX_TOKENS}::BIGINT AS max_tokens, {P.TEMPERATURE}::DOUBLE AS temperature, 'user' AS role,
+       CASE WHEN family = 'anthropic' THEN '{P.FAMILY_A_VERSION}' END AS version, md5(prompt) AS prompt_md5
+FROM b WHERE family IS NOT NULL AND prompt IS NOT NULL"""
+
+_A_CONTENT_T = "json_type(response, '$.content')"
+_A_FALSY = (f"({_A_CONTENT_T} IS NULL OR {_A_CONTENT_T} = 'NULL' "
+            f"OR json_extract(response, '$.content')::VARCHAR IN ('[]', '{{}}', '\"\"', 'false', '0'))")
+_A_FIRST = f"CASE WHEN {_A_CONTENT_T} = 'ARRAY' THEN json_extract_string(response, '$.content[0].text') END"
+_N_HIT = "list_filter(coalesce(json_extract(response, '$.output.message.content[*]'), []), lambda x: json_exists(x, '$.text'))"
+_N_TEXT = f"json_extract_string({_N_HIT}[1], '$.text')"
+ORACLE_SQL["model_response"] = f"""WITH {I.model_responses_sql()},
+x AS (
+  SELECT doc_id, family,
+         CASE WHEN family = 'anthropic' THEN
+              CASE WHEN {_A_FALSY} THEN '{P.E_A_NO_CONTENT}' WHEN coalesce({_A_FIRST}, '') = '' THEN '{P.E_A_NO_TEXT}' END
+              ELSE CASE WHEN {_N_TEXT} IS NULL THEN '{P.E_N_NO_TEXT}' END END AS error,
+         CASE WHEN family = 'anthropic' THEN {q.strip(_A_FIRST)} ELSE {q.strip(_N_TEXT)} END AS t
+  FROM responses)
+SELECT doc_id, family, CASE WHEN error IS NULL THEN t END AS script, error FROM x"""
+
+ORACLE_SQL["script_metadata"] = f"""WITH {I.rewrite_jobs_sql()}
+SELECT doc_id, 8::BIGINT AS n_fields, job_id, title, source_type, 'jobs/' || job_id || '/script.txt' AS script_s3_key,
+       'anthropic.claude-3-haiku-20240307-v1:0' AS model_id
+FROM jobs"""
+
+ORACLE_SQL["rewrite"] = f"""WITH {I.rewrite_jobs_sql()},
+x AS (SELECT doc_id, {_PROMPT_ERR} AS error, {q.strip('text')} AS s FROM jobs)
+SELECT doc_id, CASE WHEN error IS NULL THEN s END AS script,
+       CASE WHEN error IS NULL THEN length(s) END::BIGINT AS script_chars, error
+FROM x"""
