@@ -443,3 +443,42 @@ def rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _jobs(spark, sf_dir)
     out = prompts.rewrite(j, prompts.echo_model, "us.amazon.nova-pro-v1:0", key="doc_id")
     return out.select("doc_id", "script", F.char_length("script").cast("bigint").alias("script_chars"), "error")
+
+
+# --- fetch stage ----------------------------------------------------------------------------
+
+from castwright.operators import routing  # noqa: E402
+
+
+@register("source_route")
+def source_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acc = _intake(spark, sf_dir).where(F.col("status_code") == 202)
+    return acc.select("event_id", routing.route_type().alias("source_type"), routing.route_error().alias("error"))
+
+
+def fetch_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs of all three source kinds, derived from pages, conversations and documents."""
+    none = F.lit(None).cast("string")
+    pages = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("job_id"),
+        F.col("url").alias("source_url"), none.alias("source_text"),
+        none.alias("source_file_name"), none.alias("source_file_base64"))
+    conv = table(spark, sf_dir, "conversations")
+    paras = transcripts.transcript_paragraphs(conversation_lines(conv), key="conv_id",
+                                              order=("turn", "line_no"), text="raw")
+    texts = transcripts.transcript_text(paras, key="conv_id")
+    videos = texts.select(
+        F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("job_id"),
+        F.concat(F.lit("https://www.youtube.com/watch?v=c"), F.col("conv_id").cast("string")).alias("source_url"),
+        F.col("text").alias("source_text"), none.alias("source_file_name"), none.alias("source_file_base64"))
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("job_id"),
+        none.alias("source_url"), none.alias("source_text"),
+        F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_file_name"),
+        enc.b64encode(F.encode("text", "UTF-8")).alias("source_file_base64"))
+    return pages.unionByName(videos).unionByName(docs)
+
+
+@register("fetch_stage")
+def fetch_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.fetch_sources(fetch_jobs(spark, sf_dir), pages=table(spark, sf_dir, "pages"))

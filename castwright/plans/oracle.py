@@ -542,3 +542,54 @@ x AS (SELECT doc_id, {_PROMPT_ERR} AS error, {q.strip('text')} AS s FROM jobs)
 SELECT doc_id, CASE WHEN error IS NULL THEN s END AS script,
        CASE WHEN error IS NULL THEN length(s) END::BIGINT AS script_chars, error
 FROM x"""
+
+
+# --- fetch stage -----------------------------------------------------------------------------------
+
+
+def _doc_type_of(col: str) -> str:
+    sfx = f"lower(regexp_extract({col}, '{FS.SUFFIX_RX}', 1))"
+    return f"CASE {sfx} WHEN '.pdf' THEN 'pdf' WHEN '.docx' THEN 'docx' WHEN '.txt' THEN 'txt' END"
+
+
+def _doc_type_err_of(col: str) -> str:
+    sfx = f"lower(regexp_extract({col}, '{FS.SUFFIX_RX}', 1))"
+    return (f"CASE WHEN ({_doc_type_of(col)}) IS NULL THEN 'Unsupported document type ''' || "
+            f"CASE WHEN {sfx} <> '' THEN {sfx} ELSE {col} END || '''. Use: .docx, .pdf, .txt' END")
+
+
+from castwright.operators import routing as RT  # noqa: E402
+
+_RNAME = "coalesce(source_file_name, 'uploaded-document')"
+_RVIDEO = f"(source_url IS NOT NULL AND {_host('source_url')} IN ({_VIDEO_HOSTS}))"
+ORACLE_SQL["source_route"] = f"""
+WITH {_INTAKE}
+SELECT event_id,
+  CASE WHEN source_file_base64 IS NOT NULL THEN {_doc_type_of(_RNAME)}
+       WHEN source_text IS NOT NULL THEN CASE WHEN {_RVIDEO} THEN 'youtube' ELSE 'text' END
+       WHEN {_RVIDEO} THEN NULL ELSE 'article' END AS source_type,
+  CASE WHEN source_file_base64 IS NOT NULL AND NOT regexp_matches(source_file_base64, '{STRICT_B64_RX}') THEN '{FS.E_FETCH_BAD_B64}'
+       WHEN source_file_base64 IS NOT NULL THEN {_doc_type_err_of(_RNAME)}
+       WHEN source_text IS NULL AND {_RVIDEO} THEN '{RT.E_VIDEO_NO_TEXT}'
+       WHEN source_text IS NULL AND NOT (starts_with(source_url, 'http://') OR starts_with(source_url, 'https://')) THEN '{U.SCHEME_ERROR}'
+  END AS error
+FROM r WHERE error IS NULL
+"""
+
+_ART = _article_sql(True).strip()
+ORACLE_SQL["fetch_stage"] = f"""
+WITH art AS ({_ART}),
+{_PARAGRAPHS},
+tj AS (SELECT conv_id, {q.strip("string_agg(text, chr(10) || chr(10) ORDER BY paragraph_no)")} AS text FROM paras GROUP BY conv_id),
+u AS (
+  SELECT 'page-' || CAST(page_id AS VARCHAR) AS job_id, CASE WHEN error IS NULL THEN 'article' END AS source_type,
+         text, error FROM art
+  UNION ALL
+  SELECT 'conv-' || CAST(conv_id AS VARCHAR), 'youtube', text, NULL FROM tj
+  UNION ALL
+  SELECT 'doc-' || CAST(doc_id AS VARCHAR), 'txt', {q.strip('text')}, NULL FROM documents)
+SELECT job_id, 'podcast-artifacts' AS bucket, source_type, text,
+       CASE WHEN error IS NULL THEN 'jobs/' || job_id || '/source.txt' END AS article_s3_key,
+       CASE WHEN error IS NULL THEN length(text) END::BIGINT AS article_char_count, error
+FROM u
+"""

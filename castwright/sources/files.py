@@ -194,7 +194,7 @@ def assemble_pages(page_texts: DataFrame, key: str = "doc_id", page: str = "page
 # --- R11 ----------------------------------------------------------------------------------
 
 def extract_documents(files: DataFrame, key: str = "file_id", name: str = "name", content: str = "content",
-                      page_texts: DataFrame | None = None) -> DataFrame:
+                      page_texts: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """files(key, name, content) -> (key, name, doc_type, text, n_chars, error).
 
     Checks in order: empty file, unsupported type, extraction, blank text. One scan, one
@@ -204,12 +204,12 @@ def extract_documents(files: DataFrame, key: str = "file_id", name: str = "name"
     kind = doc_type(name)
     empty = F.col(content).isNull() | (F.octet_length(content) == 0)
     pre = F.when(empty, F.lit(E_EMPTY_FILE)).otherwise(doc_type_error(name))
-    routed = files.select(key, F.col(name).alias("name"), content, kind.alias("doc_type"), pre.alias("_pre"))
+    routed = files.select(key, *keep, F.col(name).alias("name"), content, kind.alias("doc_type"), pre.alias("_pre"))
     runnable = F.col("_pre").isNull()
     txt = decode_text_bytes(F.when(runnable & (F.col("doc_type") == "txt"), F.col(content)))
     docx = docx_column(F.when(runnable & (F.col("doc_type") == "docx"), F.col(content)))
     extracted = routed.select(
-        key, "name",
+        key, *keep, "name",
         F.when(F.col("_pre") != F.lit(E_EMPTY_FILE), F.col("doc_type")).otherwise(
             F.when(F.col("_pre").isNull(), F.col("doc_type"))).alias("doc_type"),
         F.when(F.col("doc_type") == "txt", txt["text"]).when(F.col("doc_type") == "docx", docx["text"]).alias("text"),
@@ -218,20 +218,20 @@ def extract_documents(files: DataFrame, key: str = "file_id", name: str = "name"
     if page_texts is not None:
         pages = page_texts.select(F.col(key), F.col("text").alias("_pdf_text"))
         extracted = extracted.join(pages, key, "left").select(
-            key, "name", "doc_type",
+            key, *keep, "name", "doc_type",
             F.when(F.col("doc_type") == "pdf", F.col("_pdf_text")).otherwise(F.col("text")).alias("text"),
             "error",
         )
     else:
         extracted = extracted.select(
-            key, "name", "doc_type", "text",
+            key, *keep, "name", "doc_type", "text",
             F.when(F.col("error").isNull() & (F.col("doc_type") == "pdf"), F.lit(E_PDF_UNAVAILABLE))
             .otherwise(F.col("error")).alias("error"),
         )
     blank = F.col("error").isNull() & (F.coalesce(F.col("text"), F.lit("")) == F.lit(""))
     ok = F.col("error").isNull() & ~blank
     return extracted.select(
-        key, "name", "doc_type",
+        key, *keep, "name", "doc_type",
         F.when(ok, F.col("text")).alias("text"),
         F.when(ok, F.char_length("text").cast("bigint")).alias("n_chars"),
         F.when(blank, no_text_error("doc_type")).otherwise(F.col("error")).alias("error"),
