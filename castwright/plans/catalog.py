@@ -482,3 +482,116 @@ def fetch_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("fetch_stage")
 def fetch_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.fetch_sources(fetch_jobs(spark, sf_dir), pages=table(spark, sf_dir, "pages"))
+
+
+# --- speech step, job summary, ledger, run status -------------------------------------------
+
+from castwright.operators import ledger  # noqa: E402
+
+
+@register("synthesize")
+def synthesize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _audio_parts(spark, sf_dir).select("conv_id", "turn_no", "chunk_no", "input_chars", "audio_bytes", "error")
+
+
+def _script_words(conv: DataFrame) -> DataFrame:
+    """Whole-script word count per conversation (labels included): the per-row counts add up
+    because rows are joined by a line break."""
+    piece = F.concat(inputs.role_label("role"), F.col("text"))
+    return conv.groupBy("conv_id").agg(F.sum(tx.word_count(piece)).cast("bigint").alias("words"))
+
+
+@register("podcast_jobs")
+def podcast_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per conversation job: T1 -> T5 -> T9/T10 -> T11 -> T12, with the R12 source."""
+    conv = table(spark, sf_dir, "conversations")
+    paras = transcripts.transcript_paragraphs(conversation_lines(conv), key="conv_id",
+                                              order=("turn", "line_no"), text="raw")
+    source = transcripts.transcript_text(paras, key="conv_id").select(
+        "conv_id", F.col("n_chars").alias("article_char_count"))
+    turns = _conv_turns(spark, sf_dir).groupBy("conv_id").agg(F.count(F.lit(1)).alias("turn_count"))
+    audio = speech.concat_audio(_audio_parts(spark, sf_dir), job_key="conv_id").select(
+        "conv_id", "chunk_count", "audio_bytes", F.col("error").alias("audio_error"))
+    words = _script_words(conv)
+    dur = ((F.col("words").cast("double") / F.lit(150.0)) * F.lit(60.0)).cast("bigint")
+    jobs = conv.select("conv_id").distinct()
+    j = jobs.join(source, "conv_id", "left").join(turns, "conv_id", "left").join(audio, "conv_id", "left") \
+        .join(words, "conv_id", "left")
+    err = F.when(F.col("turn_count").isNull(), F.lit(turns_op.NO_TURNS_ERROR)).otherwise(F.col("audio_error"))
+    return j.select(
+        "conv_id", F.lit("youtube").alias("source_type"), "article_char_count",
+        F.coalesce(F.col("turn_count"), F.lit(0)).cast("bigint").alias("turn_count"),
+        F.coalesce(F.col("chunk_count"), F.lit(0)).cast("bigint").alias("chunk_count"),
+        "audio_bytes", dur.alias("duration_sec"),
+        F.when(err.isNull(), F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("status"),
+        err.alias("error"),
+    )
+
+
+@register("artefact_keys")
+def artefact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.artefact_keys(_jobs(spark, sf_dir).select("job_id"))
+
+
+LEDGER_MODEL = "us.amazon.nova-pro-v1:0"
+
+
+@register("run_ledger")
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as uploaded-file jobs through fetch -> rewrite -> generate; the ledger keeps the
+    first failing stage of each job."""
+    docs = table(spark, sf_dir, "documents")
+    attrs = inputs.rewrite_jobs(docs).select("doc_id", "job_id", "title", "style", "script_mode")
+    files = inputs.document_files(docs).join(attrs, "doc_id")
+    pages = files_src.assemble_pages(inputs.document_pages(docs), "doc_id", "page_no", "text") \
+        .join(attrs.select("doc_id", "job_id"), "doc_id").select("job_id", "text")
+    fetched = files_src.extract_documents(
+        files.select("job_id", "name", "content", "title", "style", "script_mode"),
+        key="job_id", page_texts=pages, keep=("title", "style", "script_mode"))
+    ok_fetch = fetched.where(F.col("error").isNull()).select(
+        "job_id", "text", "title", "style", "script_mode", F.col("doc_type").alias("source_type"))
+    scripts = prompts.rewrite(ok_fetch, prompts.echo_model, LEDGER_MODEL, key="job_id")
+    ok_scripts = scripts.where(F.col("error").isNull()).select("job_id", F.col("script").alias("text"))
+    chunks = chunking.explode_chunks(ok_scripts, ["job_id"], "text", chunking.PIPELINE_CHUNK_LIMIT)
+    generated = chunks.groupBy("job_id").agg(F.max("error").alias("error"))
+    return ledger.run_ledger({"fetch": fetched.select("job_id", "error"),
+                              "rewrite": scripts.select("job_id", "error"),
+                              "generate": generated})
+
+
+def runs_table(events: DataFrame) -> DataFrame:
+    """Runs derived from `events`: one execution per event."""
+    status = (F.when(F.col("event_type") == "error", F.lit("FAILED"))
+              .when(F.col("event_type") == "click", F.lit("RUNNING")).otherwise(F.lit("SUCCEEDED")))
+    return events.select(
+        F.concat(F.lit("arn:exec:"), F.col("event_id").cast("string")).alias("execution_arn"),
+        F.lit("arn:sm:podcast").alias("state_machine_arn"),
+        status.alias("status"),
+        F.col("ts").alias("start_date"),
+        F.when(status != "RUNNING", F.col("ts") + F.make_dt_interval(secs=F.col("value"))).alias("stop_date"),
+        F.col("props").alias("input"),
+        F.when(status == "FAILED", F.concat(F.lit("error: "), F.col("event_type"))).otherwise(F.col("props")).alias("output"),
+    )
+
+
+def status_lookups(events: DataFrame) -> DataFrame:
+    """Lookup requests: mostly known ids (padded), some blank, some unknown."""
+    eid = F.col("event_id").cast("string")
+    arn = (F.when(F.col("event_id") % 50 == 0, F.lit("  "))
+           .when(F.col("event_id") % 33 == 0, F.concat(F.lit("arn:exec:missing-"), eid))
+           .otherwise(F.concat(F.lit(" arn:exec:"), eid, F.lit(" "))))
+    return events.select(F.col("event_id").alias("request_id"), arn.alias("execution_arn"))
+
+
+@register("run_status")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    st = ledger.run_status(status_lookups(ev), runs_table(ev), key="request_id")
+    return st.select(
+        "request_id", "execution_arn", "state_machine_arn", "status", "start_date", "stop_date",
+        F.col("input.kind").alias("input_kind"),
+        F.try_variant_get(F.col("input.json"), "$.k", "bigint").alias("input_k"),
+        F.col("output.kind").alias("output_kind"),
+        F.col("output.raw").alias("output_raw"),
+        F.col("status_code").cast("int").alias("status_code"), "error",
+    )

@@ -593,3 +593,96 @@ SELECT job_id, 'podcast-artifacts' AS bucket, source_type, text,
        CASE WHEN error IS NULL THEN length(text) END::BIGINT AS article_char_count, error
 FROM u
 """
+
+
+# --- speech step, job summary, ledger, run status ---------------------------------------------
+
+ORACLE_SQL["synthesize"] = f"""
+WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')}
+SELECT conv_id, turn_no, chunk_no, length(chunk)::BIGINT AS input_chars, strlen(chunk)::BIGINT AS audio_bytes,
+       NULL::VARCHAR AS error
+FROM ck
+"""
+
+from castwright.operators.turns import NO_TURNS_ERROR as _NO_TURNS  # noqa: E402
+
+_WORDS = q.words("CASE role WHEN 'user' THEN 'HOST_A: ' WHEN 'assistant' THEN 'HOST_B: ' ELSE '' END || text")
+ORACLE_SQL["podcast_jobs"] = f"""
+WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')},
+kept AS (SELECT conv_id, turn, line_no, {q.strip(q.collapse_ws('raw'))} AS line FROM conv_lines),
+numbered AS (
+  SELECT conv_id, turn, line_no, line,
+         ((row_number() OVER (PARTITION BY conv_id ORDER BY turn, line_no)) - 1) // 6 AS paragraph_no
+  FROM kept WHERE line <> ''),
+paras AS (SELECT conv_id, paragraph_no, string_agg(line, ' ' ORDER BY turn, line_no) AS text
+          FROM numbered GROUP BY conv_id, paragraph_no),
+src AS (SELECT conv_id, length({q.strip("string_agg(text, chr(10) || chr(10) ORDER BY paragraph_no)")})::BIGINT AS n
+        FROM paras GROUP BY conv_id),
+tc AS (SELECT conv_id, count(*) AS turn_count FROM conv_turns GROUP BY conv_id),
+au AS (SELECT conv_id, count(*) AS chunk_count, sum(strlen(chunk)) AS audio_bytes FROM ck GROUP BY conv_id),
+w AS (SELECT conv_id, sum(len({_WORDS})) AS words FROM conversations GROUP BY conv_id),
+jobs AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT jobs.conv_id, 'youtube' AS source_type, src.n AS article_char_count,
+       coalesce(tc.turn_count, 0)::BIGINT AS turn_count, coalesce(au.chunk_count, 0)::BIGINT AS chunk_count,
+       au.audio_bytes::BIGINT AS audio_bytes, trunc((w.words::DOUBLE / 150.0) * 60.0)::BIGINT AS duration_sec,
+       CASE WHEN tc.turn_count IS NULL THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+       CASE WHEN tc.turn_count IS NULL THEN '{_NO_TURNS}' END AS error
+FROM jobs LEFT JOIN src USING (conv_id) LEFT JOIN tc USING (conv_id) LEFT JOIN au USING (conv_id)
+     LEFT JOIN w USING (conv_id)
+"""
+
+from castwright.operators import ledger as LG  # noqa: E402
+
+ORACLE_SQL["artefact_keys"] = "WITH " + I.rewrite_jobs_sql() + "\n" + "\nUNION ALL\n".join(
+    f"SELECT job_id, '{a}' AS artefact, 'jobs/' || job_id || '/{f}' AS object_key FROM jobs" for a, f in LG.ARTEFACTS
+)
+
+ORACLE_SQL["run_ledger"] = f"""
+WITH {I.rewrite_jobs_sql()},
+f AS (
+  SELECT doc_id, {_NAME} AS name, {_TYPE} AS t, {_TYPE_ERR} AS type_error,
+         doc_id % {I.EMPTY_FILE_EVERY} = 0 AS empty,
+         CASE {_TYPE} WHEN 'txt' THEN {q.strip('text')} ELSE {_PAGES_TEXT} END AS x
+  FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN empty THEN '{FS.E_EMPTY_FILE}' ELSE type_error END AS e, t, x FROM f),
+fe AS (
+  SELECT doc_id, CASE WHEN e IS NOT NULL THEN e WHEN coalesce(x, '') = '' THEN
+                 'No readable text found in uploaded ' || upper(t) || ' document.' END AS fetch_error FROM g),
+re AS (SELECT jobs.doc_id, job_id, fetch_error, {_PROMPT_ERR} AS rewrite_error FROM jobs JOIN fe USING (doc_id))
+SELECT job_id, CASE WHEN coalesce(fetch_error, rewrite_error) IS NULL THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
+       CASE WHEN fetch_error IS NOT NULL THEN 'fetch' WHEN rewrite_error IS NOT NULL THEN 'rewrite' END AS failed_stage,
+       coalesce(fetch_error, rewrite_error) AS error
+FROM re
+"""
+
+
+def _iso(x: str) -> str:
+    return (f"CASE WHEN {x} IS NOT NULL THEN strftime({x}, '%Y-%m-%dT%H:%M:%S') || "
+            f"CASE WHEN microsecond({x}) % 1000000 <> 0 THEN '.' || lpad(CAST(microsecond({x}) % 1000000 AS VARCHAR), 6, '0') ELSE '' END"
+            f" || '+00:00' END")
+
+
+ORACLE_SQL["run_status"] = f"""
+WITH runs AS (
+  SELECT 'arn:exec:' || CAST(event_id AS VARCHAR) AS execution_arn, 'arn:sm:podcast' AS state_machine_arn,
+         CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_type = 'click' THEN 'RUNNING' ELSE 'SUCCEEDED' END AS status,
+         ts AS start_date, event_type, value, props FROM events),
+runs2 AS (
+  SELECT *, CASE WHEN status <> 'RUNNING' THEN start_date + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END AS stop_date,
+         props AS input, CASE WHEN status = 'FAILED' THEN 'error: ' || event_type ELSE props END AS output FROM runs),
+lk AS (
+  SELECT event_id AS request_id,
+         CASE WHEN event_id % 50 = 0 THEN '  ' WHEN event_id % 33 = 0 THEN 'arn:exec:missing-' || CAST(event_id AS VARCHAR)
+              ELSE ' arn:exec:' || CAST(event_id AS VARCHAR) || ' ' END AS arn FROM events),
+ids AS (SELECT request_id, CASE WHEN {q.strip('arn')} <> '' THEN {q.strip('arn')} END AS a FROM lk)
+SELECT request_id, a AS execution_arn, state_machine_arn, status, {_iso('start_date')} AS start_date,
+       {_iso('stop_date')} AS stop_date,
+       CASE WHEN input IS NULL THEN NULL WHEN json_valid(input) THEN 'json' ELSE 'raw' END AS input_kind,
+       CASE WHEN json_valid(input) THEN json_extract(input, '$.k')::BIGINT END AS input_k,
+       CASE WHEN output IS NULL THEN NULL WHEN json_valid(output) THEN 'json' ELSE 'raw' END AS output_kind,
+       CASE WHEN output IS NOT NULL AND NOT json_valid(output) THEN output END AS output_raw,
+       (CASE WHEN a IS NULL THEN 400 WHEN status IS NULL THEN 404 ELSE 200 END)::INTEGER AS status_code,
+       CASE WHEN a IS NULL THEN '{LG.E_MISSING_ARN}' WHEN status IS NULL THEN 'execution not found: ' || a END AS error
+FROM ids LEFT JOIN runs2 ON ids.a = runs2.execution_arn
+"""
