@@ -595,3 +595,25 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("output.raw").alias("output_raw"),
         F.col("status_code").cast("int").alias("status_code"), "error",
     )
+
+
+# --- streaming intake ---------------------------------------------------------------------------
+
+@register("stream_intake")
+def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request rows written as files, consumed by the intake stream in several micro-batches,
+    both sinks read back; equals the batch ``request_validate`` result."""
+    import uuid
+
+    from castwright.session import checkpoint_dir, ensure_checkpoint_dir
+    from castwright.streaming.intake import read_intake_output, start_intake_stream
+
+    ensure_checkpoint_dir(spark)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-intake-{uuid.uuid4().hex}"
+    req = inputs.request_rows(table(spark, sf_dir, "events"))
+    req.repartition(4).write.parquet(f"{base}/in")
+    q = start_intake_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_intake_output(spark, f"{base}/out").select("event_id", "status_code", "error")

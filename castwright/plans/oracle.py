@@ -686,3 +686,6 @@ SELECT request_id, a AS execution_arn, state_machine_arn, status, {_iso('start_d
        CASE WHEN a IS NULL THEN '{LG.E_MISSING_ARN}' WHEN status IS NULL THEN 'execution not found: ' || a END AS error
 FROM ids LEFT JOIN runs2 ON ids.a = runs2.execution_arn
 """
+
+
+ORACLE_SQL["stream_intake"] = ORACLE_SQL["request_validate"]
