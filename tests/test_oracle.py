@@ -1,0 +1,31 @@
+"""Every registered query against its DuckDB statement on the smallest shipped tables
+(the driver repeats this at sf0.01), plus stream == batch."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import SMALL_SF
+from tests.oracle_harness import compare, duck
+
+NAMES = sorted(entry.oracle_sql())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SMALL_SF)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_duckdb(spark, con, name):
+    ok, ns, nd, _, _, detail = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SMALL_SF)
+    assert ok, detail
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+def test_rows_only_queries_run(spark, name):
+    assert entry.queries()[name](spark, SMALL_SF).count() > 0
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0 and df.columns == ["page_id", "text", "n_chars", "error"]
