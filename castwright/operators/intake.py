@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from castwright.functions.encoding import STRICT_B64_RX, is_strict_base64
+from castwright.functions.encoding import is_strict_base64
 from castwright.functions.text import py_strip
 from castwright.functions.urls import is_video_url
 from castwright.session import observed
@@ -101,7 +101,7 @@ def parse_bodies(df: DataFrame, body: str = "body", is_base64: str | None = "is_
     wrapped = (F.coalesce(F.col(is_base64), F.lit(False)) if is_base64 and is_base64 in df.columns
                else F.lit(False))
     cleaned = F.regexp_replace(F.col(body), "[^A-Za-z0-9+/=]", "")
-    decoded = F.try_validate_utf8(F.when(cleaned.rlike(STRICT_B64_RX), F.unbase64(cleaned)).cast("string"))
+    decoded = F.try_validate_utf8(F.when(is_strict_base64(cleaned), F.unbase64(cleaned)).cast("string"))
     keep = [c for c in df.columns if c != body]
     staged = df.select(
         *keep,

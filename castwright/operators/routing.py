@@ -5,6 +5,9 @@ the URL is a video URL, else ``text``), else a video URL without text is an erro
 URL is an article page. The page download is replaced by an equi-join with a ``pages`` table
 keyed by URL. Inline payloads are dropped from the output (R14) and the source artefact key and
 character count are added (K1, R13).
+
+Plan: one linear pipeline per job row (join pages -> one projection with the conditional
+extractors -> optional PDF page-text join), so no branch re-reads the jobs' lineage.
 """
 
 from __future__ import annotations
@@ -14,8 +17,9 @@ from pyspark.sql import functions as F
 
 from castwright.functions.encoding import strict_unbase64
 from castwright.functions.urls import SCHEME_ERROR, is_video_url, scheme_ok
-from castwright.sources.files import E_FETCH_BAD_B64, doc_type, doc_type_error, extract_documents
-from castwright.sources.pages import extract_articles
+from castwright.sources.files import E_FETCH_BAD_B64, doc_type, doc_type_error, document_parts, finish_documents
+from castwright.session import spread
+from castwright.sources.pages import article_column
 
 E_VIDEO_NO_TEXT = (
     "YouTube source_url requires caller-provided transcript text "
@@ -57,63 +61,54 @@ def route_error(df: DataFrame | None = None) -> Column:
 def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: DataFrame | None = None,
                   default_bucket: str = "podcast-artifacts", mode: str = "nested") -> DataFrame:
     """jobs(job_id, source_url, source_text, source_file_name, source_file_base64[, bucket])
-    -> (job_id, bucket, source_type, text, article_s3_key, article_char_count, error).
-
-    Articles: only (job_id, url) of article rows meet the pages table in the join, and the
-    extractor sees only the html of matched pages."""
+    -> (job_id, bucket, source_type, text, article_s3_key, article_char_count, error)."""
     bucket = F.coalesce(F.col("bucket"), F.lit(default_bucket)) if "bucket" in jobs.columns else F.lit(default_bucket)
-    routed = jobs.select(
+    # A job table read as a few large splits is spread first: extraction is per-row work.
+    base = spread(jobs, "job_id").select(
         "job_id", "source_url", "source_text", "source_file_name", "source_file_base64",
         bucket.alias("bucket"), route().alias("_route"),
     )
-    # file / text / video rows: one projection, no join
-    direct = routed.where(F.col("_route") != "article")
-    raw = strict_unbase64("source_file_base64")
-    files = direct.select(
-        "job_id", "bucket", "_route", "source_text",
-        F.coalesce(F.col("source_file_name"), F.lit(DEFAULT_FILE_NAME)).alias("name"),
-        F.when(F.col("_route") == "file", raw).alias("content"),
-        F.when((F.col("_route") == "file") & raw.isNull(), F.lit(E_FETCH_BAD_B64))
-        .when(F.col("_route") == "video_without_text", F.lit(E_VIDEO_NO_TEXT)).alias("_pre"),
-    )
-    file_rows = files.where((F.col("_route") == "file") & F.col("_pre").isNull())
-    docs = extract_documents(file_rows.select("job_id", "bucket", "name", "content"), key="job_id",
-                             page_texts=page_texts, keep=("bucket",))
-    docs = docs.select("job_id", "bucket", F.col("doc_type").alias("source_type"), "text", "error")
-    other = files.where((F.col("_route") != "file") | F.col("_pre").isNotNull()).select(
-        "job_id", "bucket",
-        F.when(F.col("_pre").isNull(), F.col("_route")).alias("source_type"),
-        F.when(F.col("_pre").isNull(), F.col("source_text")).alias("text"),
-        F.col("_pre").alias("error"),
-    )
-    # article rows: scheme guard, then the pages table stands in for the download
-    art = routed.where(F.col("_route") == "article").select("job_id", "bucket", "source_url")
-    bad_scheme = art.where(~scheme_ok("source_url")).select(
-        "job_id", "bucket", F.lit(None).cast("string").alias("source_type"),
-        F.lit(None).cast("string").alias("text"), F.lit(SCHEME_ERROR).alias("error"))
-    good = art.where(scheme_ok("source_url"))
+    is_article = (F.col("_route") == "article") & scheme_ok("source_url")
     if pages is not None:
-        matched = good.join(pages.select(F.col("url").alias("source_url"), "html"), "source_url", "left")
-        matched = matched.withColumn("_missing", F.col("html").isNull())
-        extracted = extract_articles(matched, mode=mode, key="job_id", keep=("bucket", "source_url", "_missing"))
-        articles = extracted.select(
-            "job_id", "bucket",
-            F.when(F.col("error").isNull(), F.lit("article")).alias("source_type"), "text",
-            F.when(F.col("_missing"), F.concat(F.lit("Failed to fetch article from "), F.col("source_url"),
-                                                F.lit(": page not found"))).otherwise(F.col("error")).alias("error"),
-        )
+        # Rows that need no page get a per-row key that cannot match a URL, so they spread by
+        # job id instead of all hashing to the null-key partition of the join.
+        key = F.when(is_article, F.col("source_url")).otherwise(F.concat(F.lit("\u0000"), F.col("job_id")))
+        base = base.withColumn("_page_key", key).join(
+            pages.select(F.col("url").alias("_page_key"), "html"), "_page_key", "left")
     else:
-        articles = good.select(
-            "job_id", "bucket", F.lit(None).cast("string").alias("source_type"),
-            F.lit(None).cast("string").alias("text"),
-            F.concat(F.lit("Failed to fetch article from "), F.col("source_url"), F.lit(": no pages table")).alias("error"))
-    out = docs.unionByName(other).unionByName(bad_scheme).unionByName(articles)
+        base = base.withColumn("html", F.lit(None).cast("string"))
+
+    r = F.col("_route")
+    raw = F.when(r == "file", strict_unbase64("source_file_base64"))
+    name = F.coalesce(F.col("source_file_name"), F.lit(DEFAULT_FILE_NAME))
+    pre = (
+        F.when((r == "file") & raw.isNull(), F.lit(E_FETCH_BAD_B64))
+        .when(r == "video_without_text", F.lit(E_VIDEO_NO_TEXT))
+        .when((r == "article") & ~scheme_ok("source_url"), F.lit(SCHEME_ERROR))
+        .when((r == "article") & F.col("html").isNull(),
+              F.concat(F.lit("Failed to fetch article from "), F.col("source_url"), F.lit(": page not found")))
+    )
+    staged = base.select("job_id", "bucket", "_route", "source_text", name.alias("_name"), raw.alias("_content"),
+                         F.col("html"), pre.alias("_pre"))
+    is_file = (F.col("_route") == "file") & F.col("_pre").isNull()
+    doc = document_parts("_name", "_content", active=is_file)
+    art = article_column(F.when((F.col("_route") == "article") & F.col("_pre").isNull(), F.col("html")), mode)
+    extracted = staged.select(
+        "job_id", "bucket", is_file.alias("_is_file"),
+        F.when(is_file, doc["doc_type"]).when(F.col("_route") == "article", F.lit("article"))
+        .otherwise(F.col("_route")).alias("doc_type"),
+        F.when(is_file, doc["text"]).when(F.col("_route") == "article", art["text"])
+        .otherwise(F.col("source_text")).alias("text"),
+        F.coalesce(F.col("_pre"), F.when(is_file, doc["error"]),
+                   F.when(F.col("_route") == "article", art["error"])).alias("error"),
+    )
+    out = finish_documents(extracted, "job_id", page_texts, keep=("bucket",), active="_is_file")
     ok = F.col("error").isNull()
     return out.select(
         "job_id", "bucket",
-        F.when(ok, F.col("source_type")).alias("source_type"),
-        F.when(ok, F.col("text")).alias("text"),
+        F.when(ok, F.col("doc_type")).alias("source_type"),
+        "text",
         F.when(ok, F.concat(F.lit("jobs/"), F.col("job_id"), F.lit("/source.txt"))).alias("article_s3_key"),
-        F.when(ok, F.char_length("text").cast("bigint")).alias("article_char_count"),
+        F.col("n_chars").alias("article_char_count"),
         "error",
     )

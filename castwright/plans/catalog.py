@@ -24,8 +24,19 @@ def register(name: str):
     return deco
 
 
+# Row key of each shipped table. These files hold one row group each, so the scan is a single
+# task; spreading them by key right after the scan puts the per-row work on every core and
+# leaves the data hash-partitioned by the key later windows and aggregations group on. On
+# large inputs (many splits) ``spread`` does nothing.
+TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "conversations": "conv_id", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from castwright.session import spread
+
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
 
 
 # --- sources ---------------------------------------------------------------------------
@@ -545,9 +556,13 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = inputs.document_files(docs).join(attrs, "doc_id")
     pages = files_src.assemble_pages(inputs.document_pages(docs), "doc_id", "page_no", "text") \
         .join(attrs.select("doc_id", "job_id"), "doc_id").select("job_id", "text")
-    fetched = files_src.extract_documents(
+    # The fetch output is the job's source artefact: written once, then read by the next stage
+    # and by the ledger (no second extraction pass).
+    from castwright.session import materialize
+
+    fetched = materialize(files_src.extract_documents(
         files.select("job_id", "name", "content", "title", "style", "script_mode"),
-        key="job_id", page_texts=pages, keep=("title", "style", "script_mode"))
+        key="job_id", page_texts=pages, keep=("title", "style", "script_mode")), "fetch")
     ok_fetch = fetched.where(F.col("error").isNull()).select(
         "job_id", "text", "title", "style", "script_mode", F.col("doc_type").alias("source_type"))
     scripts = prompts.rewrite(ok_fetch, prompts.echo_model, LEDGER_MODEL, key="job_id")

@@ -193,50 +193,63 @@ def assemble_pages(page_texts: DataFrame, key: str = "doc_id", page: str = "page
 
 # --- R11 ----------------------------------------------------------------------------------
 
-def extract_documents(files: DataFrame, key: str = "file_id", name: str = "name", content: str = "content",
-                      page_texts: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """files(key, name, content) -> (key, name, doc_type, text, n_chars, error).
-
-    Checks in order: empty file, unsupported type, extraction, blank text. One scan, one
-    projection: each extractor only receives the bytes of its own type (other rows pass null),
-    valid UTF-8 text never leaves the JVM. PDF texts come from ``page_texts`` (assembled, keyed
-    like ``files``) through a left join on the narrow result."""
-    kind = doc_type(name)
-    empty = F.col(content).isNull() | (F.octet_length(content) == 0)
-    pre = F.when(empty, F.lit(E_EMPTY_FILE)).otherwise(doc_type_error(name))
-    routed = files.select(key, *keep, F.col(name).alias("name"), content, kind.alias("doc_type"), pre.alias("_pre"))
-    runnable = F.col("_pre").isNull()
-    txt = decode_text_bytes(F.when(runnable & (F.col("doc_type") == "txt"), F.col(content)))
-    docx = docx_column(F.when(runnable & (F.col("doc_type") == "docx"), F.col(content)))
-    extracted = routed.select(
-        key, *keep, "name",
-        F.when(F.col("_pre") != F.lit(E_EMPTY_FILE), F.col("doc_type")).otherwise(
-            F.when(F.col("_pre").isNull(), F.col("doc_type"))).alias("doc_type"),
-        F.when(F.col("doc_type") == "txt", txt["text"]).when(F.col("doc_type") == "docx", docx["text"]).alias("text"),
-        F.coalesce(F.col("_pre"), F.when(F.col("doc_type") == "docx", docx["error"])).alias("error"),
-    )
+def document_parts(name: Column | str, content: Column | str, active: Column | None = None) -> dict[str, Column]:
+    """R11 as columns: ``doc_type``, ``text`` (null for PDF, which comes from page texts) and
+    ``error`` (empty file, unsupported type, DOCX failure). Each extractor only receives the
+    bytes of its own type on ``active`` rows; every other row passes null (no Python work)."""
+    n, c = _c(name), _c(content)
+    on = F.lit(True) if active is None else active
+    kind = doc_type(n)
+    empty = c.isNull() | (F.octet_length(c) == 0)
+    pre = F.when(empty, F.lit(E_EMPTY_FILE)).otherwise(doc_type_error(n))
+    runnable = on & pre.isNull()
+    txt = decode_text_bytes(F.when(runnable & (kind == "txt"), c))
+    docx = docx_column(F.when(runnable & (kind == "docx"), c))
+    return {
+        "doc_type": F.when(~empty, kind),
+        "text": F.when(kind == "txt", txt["text"]).when(kind == "docx", docx["text"]),
+        "error": F.coalesce(pre, F.when(kind == "docx", docx["error"])),
+    }
+
+
+def finish_documents(df: DataFrame, key: str, page_texts: DataFrame | None, keep: tuple[str, ...] = (),
+                     active: str | None = None) -> DataFrame:
+    """Fill PDF text from assembled page texts (left join on the narrow key) and turn blank
+    text into the per-type error. ``active`` names a boolean column limiting this to file rows."""
+    is_on = F.col(active) if active else F.lit(True)
     if page_texts is not None:
         pages = page_texts.select(F.col(key), F.col("text").alias("_pdf_text"))
-        extracted = extracted.join(pages, key, "left").select(
-            key, *keep, "name", "doc_type",
-            F.when(F.col("doc_type") == "pdf", F.col("_pdf_text")).otherwise(F.col("text")).alias("text"),
-            "error",
-        )
+        df = df.join(pages, key, "left")
+        text = F.when(is_on & (F.col("doc_type") == "pdf"), F.col("_pdf_text")).otherwise(F.col("text"))
+        error = F.col("error")
     else:
-        extracted = extracted.select(
-            key, *keep, "name", "doc_type", "text",
-            F.when(F.col("error").isNull() & (F.col("doc_type") == "pdf"), F.lit(E_PDF_UNAVAILABLE))
-            .otherwise(F.col("error")).alias("error"),
-        )
-    blank = F.col("error").isNull() & (F.coalesce(F.col("text"), F.lit("")) == F.lit(""))
+        text = F.col("text")
+        error = F.when(is_on & F.col("error").isNull() & (F.col("doc_type") == "pdf"),
+                       F.lit(E_PDF_UNAVAILABLE)).otherwise(F.col("error"))
+    df = df.select(key, *keep, *([active] if active else []), "doc_type", text.alias("text"), error.alias("error"))
+    blank = is_on & F.col("error").isNull() & (F.coalesce(F.col("text"), F.lit("")) == F.lit(""))
     ok = F.col("error").isNull() & ~blank
-    return extracted.select(
-        key, *keep, "name", "doc_type",
+    return df.select(
+        key, *keep, "doc_type",
         F.when(ok, F.col("text")).alias("text"),
         F.when(ok, F.char_length("text").cast("bigint")).alias("n_chars"),
         F.when(blank, no_text_error("doc_type")).otherwise(F.col("error")).alias("error"),
     )
 
 
+def extract_documents(files: DataFrame, key: str = "file_id", name: str = "name", content: str = "content",
+                      page_texts: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """files(key, name, content) -> (key, name, doc_type, text, n_chars, error).
+
+    Checks in order: empty file, unsupported type, extraction, blank text. One scan, one
+    projection; PDF texts come from ``page_texts`` (assembled, keyed like ``files``) through
+    a left join on the narrow result."""
+    parts = document_parts(name, content)
+    extracted = files.select(key, *keep, F.col(name).alias("name"),
+                             *[v.alias(k) for k, v in parts.items()])
+    out = finish_documents(extracted, key, page_texts, keep=tuple(keep) + ("name",))
+    return out.select(key, *keep, "name", "doc_type", "text", "n_chars", "error")
+
+
 __all__ = ["doc_type", "doc_type_error", "scan_files", "extract_docx", "docx_text", "build_docx",
            "assemble_pages", "extract_documents", "clean_lines", "split_lines"]
