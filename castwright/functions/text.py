@@ -67,6 +67,15 @@ def split_lines(c: Column | str) -> Column:
     ).otherwise(parts)
 
 
+def piece_lines(c: Column | str) -> Column:
+    """Lines a piece contributes when pieces are joined by newline and the whole is split with
+    ``str.splitlines``: every boundary splits (an empty piece is one empty line), and a piece
+    ending in CR loses that CR because CR + the joining LF form one boundary. (The joined text's
+    final empty line, which ``splitlines`` drops, is kept: a trailing blank line changes no turn
+    or paragraph.)"""
+    return F.split(F.regexp_replace(_col(c), "\\r\\z", ""), LINE_BREAK_RX, -1)
+
+
 def split_words(c: Column | str) -> Column:
     """``str.split()`` with no argument: runs of whitespace separate, no empty words."""
     return F.filter(F.split(_col(c), WS_CLASS + "+", -1), lambda w: w != F.lit(""))

@@ -5,9 +5,7 @@ Rule (fixed by the source behaviour): a line matching ``^\\s*(HOST_A|HOST_B)\\s*
 current turn; lines before the first label are dropped; a turn's text is its stripped lines
 joined by newline, then stripped (inner blank lines stay); empty turns are dropped.
 
-Plan: one row per line (``posexplode``), a running label count per job gives the turn number,
-and an ordered ``listagg`` per (job, turn) rebuilds the turn text. The window shuffles on the
-job key once; the following group-by on (job, turn) reuses that partitioning.
+Plan: see ``parse_duo_turns``; no step groups a whole job into one task.
 """
 
 from __future__ import annotations
@@ -15,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from castwright.functions.text import WS_CLASS, char_count, py_strip, split_lines
+from castwright.functions.text import WS_CLASS, char_count, piece_lines, py_strip, split_lines
+from castwright.operators.ordering import running_sum
 
 # The two speaker labels.
 HOST_A = "HOST_A"
@@ -31,20 +30,45 @@ def script_lines(scripts: DataFrame, key: str = "job_id", text: str = "text") ->
     ).withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
-def parse_duo_turns(lines: DataFrame, key: str = "job_id", order: tuple[str, ...] = ("line_no",),
-                    raw: str = "raw") -> DataFrame:
-    """Lines in script order -> (key, turn_no, speaker, text, n_chars).
+def parse_duo_turns(rows: DataFrame, key: str = "job_id", order: tuple[str, ...] = (),
+                    text: str = "text") -> DataFrame:
+    """Script rows -> (key, turn_no, speaker, text, n_chars).
 
-    ``turn_no`` is the 1-based ordinal of the turn's label in the script.
+    ``rows`` holds each job's script as consecutive pieces in ``order`` (one row per job when
+    ``order`` is empty); the script is the pieces joined by newline, so a piece may span
+    several lines (``piece_lines``). ``turn_no`` is the 1-based ordinal of
+    the turn's label in the script.
+
+    Plan: the only cross-row dependency is how many labels precede a piece. That count is a
+    per-job running sum over narrow (key, order, count) rows, computed with the blocked scan
+    (``ordering.running_sum``) so a job with a huge number of pieces is split over many tasks.
+    The pieces are then joined back on (key, order), exploded into lines, numbered inside each
+    piece, and grouped by (key, turn) -- every wide shuffle is keyed by more than the job, so no
+    single job lands in one task.
     """
-    is_label = F.col(raw).rlike(LABEL_RX)
-    body = F.when(is_label, py_strip(F.regexp_extract(raw, LABEL_RX, 2))).otherwise(py_strip(raw))
-    speaker = F.when(is_label, F.upper(F.regexp_extract(raw, LABEL_RX, 1)))
-    marked = lines.select(key, *order, body.alias("body"), speaker.alias("speaker"),
-                          is_label.cast("int").alias("is_label"))
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = marked.withColumn("turn_no", F.sum("is_label").over(w).cast("bigint")).where("turn_no > 0")
-    order_sql = ", ".join(order)
+    order = tuple(order)
+    lines_of = piece_lines if order else split_lines
+    n_labels = F.size(F.filter(lines_of(text), lambda ln: ln.rlike(LABEL_RX))).cast("bigint")
+    if order:
+        narrow = rows.select(key, *order, n_labels.alias("_n"))
+        before = running_sum(narrow, key, order, "_n", "_cum").select(
+            key, *order, (F.col("_cum") - F.col("_n")).alias("_before"))
+        wide = rows.select(key, *order, text).join(before, [key, *order])
+    else:
+        wide = rows.select(key, text, F.lit(0).cast("bigint").alias("_before"))
+    lines = wide.select(key, *order, "_before", F.posexplode(lines_of(text)).alias("_line", "_raw"))
+    raw = F.col("_raw")
+    is_label = raw.rlike(LABEL_RX)
+    marked = lines.select(
+        key, *order, "_before", "_line",
+        F.when(is_label, py_strip(F.regexp_extract(raw, LABEL_RX, 2))).otherwise(py_strip(raw)).alias("body"),
+        F.when(is_label, F.upper(F.regexp_extract(raw, LABEL_RX, 1))).alias("speaker"),
+        is_label.cast("int").alias("is_label"),
+    )
+    w = Window.partitionBy(key, *order).orderBy("_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = marked.withColumn(
+        "turn_no", (F.col("_before") + F.sum("is_label").over(w)).cast("bigint")).where("turn_no > 0")
+    order_sql = ", ".join([*order, "_line"])
     turns = numbered.groupBy(key, "turn_no").agg(
         F.max("speaker").alias("speaker"),
         py_strip(F.expr(f"listagg(body, '\\n') WITHIN GROUP (ORDER BY {order_sql})")).alias("text"),

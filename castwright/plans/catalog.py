@@ -100,7 +100,7 @@ def duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- conversations: duo scripts, turns, voices, speech ----------------------------------
 
 from castwright.operators import speech, turns as turns_op  # noqa: E402
-from castwright.plans.inputs import conversation_lines  # noqa: E402
+from castwright.plans.inputs import conversation_pieces  # noqa: E402
 from castwright.settings import PROVIDER_ELEVENLABS, Settings  # noqa: E402
 from castwright.sources import transcripts  # noqa: E402
 
@@ -110,8 +110,8 @@ QUERY_SETTINGS_EL = Settings(tts_provider=PROVIDER_ELEVENLABS, elevenlabs_api_ke
 
 
 def _conv_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = conversation_lines(table(spark, sf_dir, "conversations"))
-    return turns_op.parse_duo_turns(lines, key="conv_id", order=("turn", "line_no"))
+    pieces = conversation_pieces(table(spark, sf_dir, "conversations"))
+    return turns_op.parse_duo_turns(pieces, key="conv_id", order=("turn",))
 
 
 def _voice_overrides(df: DataFrame) -> DataFrame:
@@ -190,15 +190,15 @@ def synthesis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("transcript_paragraphs")
 def transcript_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = conversation_lines(table(spark, sf_dir, "conversations"))
-    return transcripts.transcript_paragraphs(lines, key="conv_id", order=("turn", "line_no"), text="raw")
+    pieces = conversation_pieces(table(spark, sf_dir, "conversations"))
+    return transcripts.transcript_paragraphs(pieces, key="conv_id", order=("turn",), split_rows=True)
 
 
 @register("transcript_source")
 def transcript_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
-    paras = transcripts.transcript_paragraphs(conversation_lines(conv), key="conv_id",
-                                              order=("turn", "line_no"), text="raw")
+    paras = transcripts.transcript_paragraphs(conversation_pieces(conv), key="conv_id",
+                                              order=("turn",), split_rows=True)
     return transcripts.transcript_text(paras, jobs=conv, key="conv_id")
 
 
@@ -475,8 +475,8 @@ def fetch_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url").alias("source_url"), none.alias("source_text"),
         none.alias("source_file_name"), none.alias("source_file_base64"))
     conv = table(spark, sf_dir, "conversations")
-    paras = transcripts.transcript_paragraphs(conversation_lines(conv), key="conv_id",
-                                              order=("turn", "line_no"), text="raw")
+    paras = transcripts.transcript_paragraphs(conversation_pieces(conv), key="conv_id",
+                                              order=("turn",), split_rows=True)
     texts = transcripts.transcript_text(paras, key="conv_id")
     videos = texts.select(
         F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("job_id"),
@@ -516,8 +516,8 @@ def _script_words(conv: DataFrame) -> DataFrame:
 def podcast_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation job: T1 -> T5 -> T9/T10 -> T11 -> T12, with the R12 source."""
     conv = table(spark, sf_dir, "conversations")
-    paras = transcripts.transcript_paragraphs(conversation_lines(conv), key="conv_id",
-                                              order=("turn", "line_no"), text="raw")
+    paras = transcripts.transcript_paragraphs(conversation_pieces(conv), key="conv_id",
+                                              order=("turn",), split_rows=True)
     source = transcripts.transcript_text(paras, key="conv_id").select(
         "conv_id", F.col("n_chars").alias("article_char_count"))
     turns = _conv_turns(spark, sf_dir).groupBy("conv_id").agg(F.count(F.lit(1)).alias("turn_count"))

@@ -23,6 +23,12 @@ def role_label(role: str = "role"):
     return expr
 
 
+def conversation_pieces(conversations: DataFrame) -> DataFrame:
+    """conversations -> script pieces (conv_id, turn, text): each row prefixed with its role's
+    label; a conversation's duo script is its pieces in ``turn`` order, joined by newlines."""
+    return conversations.select("conv_id", "turn", F.concat(role_label("role"), F.col("text")).alias("text"))
+
+
 def conversation_lines(conversations: DataFrame) -> DataFrame:
     """conversations(conv_id, turn, role, text) -> (conv_id, turn, line_no, raw): the duo script of a
     conversation is its rows in ``turn`` order, each prefixed with the role's label; lines are

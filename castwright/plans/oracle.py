@@ -80,7 +80,7 @@ _CONV_LINES = f"""conv_lines AS (
   SELECT conv_id, turn, (ln - 1)::BIGINT AS line_no, arr[ln] AS raw
   FROM (SELECT conv_id, turn, arr, unnest(generate_series(1, len(arr))) AS ln
         FROM (SELECT conv_id, turn,
-                     {q.lines("CASE role WHEN 'user' THEN 'HOST_A: ' WHEN 'assistant' THEN 'HOST_B: ' ELSE '' END || text")} AS arr
+                     {q.piece_lines("CASE role WHEN 'user' THEN 'HOST_A: ' WHEN 'assistant' THEN 'HOST_B: ' ELSE '' END || text")} AS arr
               FROM conversations)))"""
 
 _CONV_TURNS = f"""{_CONV_LINES},

@@ -24,6 +24,11 @@ def lines(x: str) -> str:
     )
 
 
+def piece_lines(x: str) -> str:
+    """Lines a piece contributes to a newline-joined script (see functions.text.piece_lines)."""
+    return f"regexp_split_to_array(regexp_replace({x}, '\\r$', ''), '{LINE_BREAK_RX}')"
+
+
 def words(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '{WS_CLASS}+'), lambda w: w <> '')"
 

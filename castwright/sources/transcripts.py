@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from castwright.functions.text import collapse_whitespace, py_strip
+from castwright.functions.text import collapse_whitespace, piece_lines, py_strip
+from castwright.operators.ordering import running_sum
 
 LINES_PER_PARAGRAPH = 6
 EMPTY_TRANSCRIPT_ERROR = "YouTube transcript is empty"
@@ -23,17 +24,42 @@ def segments_from_array(df: DataFrame, key: str = "job_id", segments: str = "seg
     ).where(F.col("text").isNotNull())
 
 
-def transcript_paragraphs(lines: DataFrame, key: str = "job_id", order: tuple[str, ...] = ("pos",),
-                          text: str = "text", group_size: int = LINES_PER_PARAGRAPH) -> DataFrame:
-    """Ordered lines -> (key, paragraph_no, text) with ``group_size`` kept lines per paragraph."""
-    cleaned = lines.select(key, *order, py_strip(collapse_whitespace(text)).alias("line")).where(
-        F.col("line") != F.lit("")
-    )
-    w = Window.partitionBy(key).orderBy(*order)
-    numbered = cleaned.withColumn(
-        "paragraph_no", F.floor((F.row_number().over(w) - 1) / group_size).cast("bigint")
-    )
-    order_sql = ", ".join(order)
+def transcript_paragraphs(rows: DataFrame, key: str = "job_id", order: tuple[str, ...] = ("pos",),
+                          text: str = "text", group_size: int = LINES_PER_PARAGRAPH,
+                          split_rows: bool = False) -> DataFrame:
+    """Ordered transcript rows -> (key, paragraph_no, text) with ``group_size`` kept lines per
+    paragraph. Each row is one line (a segment), or several lines when ``split_rows``.
+
+    The global line index is a per-job running count of kept lines over narrow rows, computed
+    with the blocked scan (``ordering.running_sum``) so one very long transcript is spread over
+    many tasks; the rows are joined back on (key, order) and grouped by (key, paragraph)."""
+    order = tuple(order)
+
+    def clean(x):
+        return py_strip(collapse_whitespace(x))
+
+    if split_rows:
+        n_kept = F.size(F.filter(F.transform(piece_lines(text), clean), lambda ln: ln != F.lit("")))
+    else:
+        n_kept = F.when(clean(F.col(text)) != F.lit(""), F.lit(1)).otherwise(F.lit(0))
+    if order:
+        narrow = rows.select(key, *order, n_kept.cast("bigint").alias("_n"))
+        before = running_sum(narrow, key, order, "_n", "_cum").select(
+            key, *order, (F.col("_cum") - F.col("_n")).alias("_before"))
+        wide = rows.select(key, *order, text).join(before, [key, *order])
+    else:
+        wide = rows.select(key, text, F.lit(0).cast("bigint").alias("_before"))
+    if split_rows:
+        lines = wide.select(key, *order, "_before", F.posexplode(piece_lines(text)).alias("_line", "_raw"))
+        kept = lines.select(key, *order, "_before", "_line", clean("_raw").alias("line")).where(F.col("line") != F.lit(""))
+        w = Window.partitionBy(key, *order).orderBy("_line")
+        idx = F.col("_before") + F.row_number().over(w)
+    else:
+        kept = wide.select(key, *order, "_before", F.lit(0).alias("_line"), clean(text).alias("line")).where(
+            F.col("line") != F.lit(""))
+        idx = F.col("_before") + F.lit(1)
+    numbered = kept.withColumn("paragraph_no", F.floor((idx - 1) / group_size).cast("bigint"))
+    order_sql = ", ".join([*order, "_line"])
     return numbered.groupBy(key, "paragraph_no").agg(
         F.expr(f"listagg(line, ' ') WITHIN GROUP (ORDER BY {order_sql})").alias("text")
     )

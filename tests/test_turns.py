@@ -8,7 +8,7 @@ from tests.conftest import rows
 
 def _parse(spark, scripts):
     df = spark.createDataFrame(list(scripts.items()), "job_id string, text string")
-    out = T.parse_duo_turns(T.script_lines(df))
+    out = T.parse_duo_turns(df)
     got = {}
     for job, _, spk, text in rows(out.orderBy("job_id", "turn_no"), "job_id", "turn_no", "speaker", "text"):
         got.setdefault(job, []).append((spk, text))
@@ -45,7 +45,7 @@ def test_same_label_twice_and_multiline(spark):
 
 def test_no_turns_is_rejected(spark):
     df = spark.createDataFrame([("j1", "No speaker labels here"), ("j2", "HOST_B: x")], "job_id string, text string")
-    t = T.parse_duo_turns(T.script_lines(df))
+    t = T.parse_duo_turns(df)
     assert rows(T.duo_rejects(df, t), "job_id", "error") == [("j1", T.NO_TURNS_ERROR)]
 
 
@@ -74,3 +74,39 @@ def test_transcript_empty_is_error(spark):
     empty = spark.createDataFrame([], "job_id string, pos long, text string")
     out = transcripts.transcript_text(transcripts.transcript_paragraphs(empty), jobs=jobs)
     assert rows(out, "job_id", "error") == [("j", transcripts.EMPTY_TRANSCRIPT_ERROR)]
+
+
+def test_pieces_across_rows_match_single_row(spark):
+    """The blocked-scan path (script split over many ordered rows) equals the one-row path."""
+    rng = random.Random(5)
+    pieces = ["HOST_A: a", "HOST_B: b b", "cont", "", "  ", "x\\ny", "host_a:", "z"]
+    data, scripts = [], {}
+    for j in range(30):
+        parts = [rng.choice(pieces).replace("\\n", "\n") for _ in range(rng.randint(1, 40))]
+        scripts[f"j{j}"] = "\n".join(parts)
+        data += [(f"j{j}", i, p) for i, p in enumerate(parts)]
+    rows_df = spark.createDataFrame(data, "job_id string, pos long, text string")
+    multi = T.parse_duo_turns(rows_df, order=("pos",))
+    got = {}
+    for job, _, spk, text in rows(multi.orderBy("job_id", "turn_no"), "job_id", "turn_no", "speaker", "text"):
+        got.setdefault(job, []).append((spk, text))
+    for k, s in scripts.items():
+        assert got.get(k, []) == _brute(s), s
+
+
+def test_running_sum_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from castwright.operators.ordering import running_sum
+
+    # one key with most rows plus many small keys; ranges cut the hot key into pieces
+    data = [("hot", i, i % 3) for i in range(5000)] + [(f"k{i}", 0, 1) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, o long, v long")
+    out = running_sum(df, "k", ["o"], "v", "cum", ranges=16)
+    hot = rows(out.where(F.col("k") == "hot").orderBy("o"), "o", "cum")
+    expect, acc = [], 0
+    for i in range(5000):
+        acc += i % 3
+        expect.append((i, acc))
+    assert hot == expect
+    assert out.where(F.col("k") != "hot").where(F.col("cum") != 1).count() == 0
