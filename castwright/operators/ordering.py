@@ -24,7 +24,13 @@ from pyspark.sql import functions as F
 def running_sum(df: DataFrame, key: str, order: list[str] | tuple[str, ...], value: str, out: str,
                 ranges: int | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` per ``key`` in ``order``; returns ``df``'s columns plus
-    ``out``. ``order`` must make rows unique within a key."""
+    ``out``. ``order`` must make rows unique within a key.
+
+    Offsets are only needed for keys that cross a range boundary, and such a key is the first
+    or last key of every range it touches. So the offset table has at most two rows per range
+    (a bound fixed by ``ranges``, not by the data) and is broadcast back; every other key's
+    offset is 0.
+    """
     spark = df.sparkSession
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     order = list(order)
@@ -32,8 +38,12 @@ def running_sum(df: DataFrame, key: str, order: list[str] | tuple[str, ...], val
         "_range", F.spark_partition_id())
     local_w = Window.partitionBy("_range", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(value).over(local_w))
-    totals = local.groupBy("_range", key).agg(F.max("_local").alias("_total"))
+    # first and last key of each range: <= 2 * ranges rows
+    edges = local.groupBy("_range").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi")).select(
+        "_range", F.explode(F.array("_lo", "_hi")).alias(key)).distinct()
+    totals = local.join(F.broadcast(edges), ["_range", key]).groupBy("_range", key).agg(
+        F.max("_local").alias("_total"))
     prev_w = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_range", key, F.coalesce(F.sum("_total").over(prev_w), F.lit(0)).alias("_offset"))
-    return local.join(offsets, ["_range", key]).select(
-        *df.columns, (F.col("_local") + F.col("_offset")).alias(out))
+    return local.join(F.broadcast(offsets), ["_range", key], "left").select(
+        *df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).alias(out))

@@ -520,8 +520,9 @@ def podcast_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               order=("turn",), split_rows=True)
     source = transcripts.transcript_text(paras, key="conv_id").select(
         "conv_id", F.col("n_chars").alias("article_char_count"))
-    turns = _conv_turns(spark, sf_dir).groupBy("conv_id").agg(F.count(F.lit(1)).alias("turn_count"))
-    audio = speech.concat_audio(_audio_parts(spark, sf_dir), job_key="conv_id").select(
+    parts = _audio_parts(spark, sf_dir)  # written once; turns and audio both come from it
+    turns = parts.groupBy("conv_id").agg(F.countDistinct("turn_no").alias("turn_count"))
+    audio = speech.concat_audio(parts, job_key="conv_id").select(
         "conv_id", "chunk_count", "audio_bytes", F.col("error").alias("audio_error"))
     words = _script_words(conv)
     dur = ((F.col("words").cast("double") / F.lit(150.0)) * F.lit(60.0)).cast("bigint")
