@@ -6,8 +6,9 @@ URL is an article page. The page download is replaced by an equi-join with a ``p
 keyed by URL. Inline payloads are dropped from the output (R14) and the source artefact key and
 character count are added (K1, R13).
 
-Plan: one linear pipeline per job row (join pages -> one projection with the conditional
-extractors -> optional PDF page-text join), so no branch re-reads the jobs' lineage.
+Plan: article pages are extracted once per distinct URL (pages semi-joined with the URLs jobs
+ask for), then one linear pipeline per job row (join the article texts -> one projection with
+the conditional file extractors -> optional PDF page-text join).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from castwright.functions.encoding import strict_unbase64
 from castwright.functions.urls import SCHEME_ERROR, is_video_url, scheme_ok
 from castwright.sources.files import E_FETCH_BAD_B64, doc_type, doc_type_error, document_parts, finish_documents
 from castwright.session import spread
-from castwright.sources.pages import article_column
+from castwright.sources.pages import extract_articles
 
 E_VIDEO_NO_TEXT = (
     "YouTube source_url requires caller-provided transcript text "
@@ -70,13 +71,20 @@ def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: D
     )
     is_article = (F.col("_route") == "article") & scheme_ok("source_url")
     if pages is not None:
+        # Each distinct article URL is extracted once, however many jobs point at it (a hot URL
+        # costs one parse); only the pages that some job needs reach the extractor.
+        urls = base.where(is_article).select(F.col("source_url").alias("page_url")).distinct()
+        needed = pages.select(F.col("url").alias("page_url"), "html").join(urls, "page_url", "left_semi")
+        texts = extract_articles(needed, mode=mode, key="page_url").select(
+            "page_url", F.col("text").alias("_art_text"), F.col("error").alias("_art_error"),
+            F.lit(True).alias("_found"))
         # Rows that need no page get a per-row key that cannot match a URL, so they spread by
         # job id instead of all hashing to the null-key partition of the join.
         key = F.when(is_article, F.col("source_url")).otherwise(F.concat(F.lit("\u0000"), F.col("job_id")))
-        base = base.withColumn("_page_key", key).join(
-            pages.select(F.col("url").alias("_page_key"), "html"), "_page_key", "left")
+        base = base.withColumn("page_url", key).join(texts, "page_url", "left")
     else:
-        base = base.withColumn("html", F.lit(None).cast("string"))
+        base = base.select("*", F.lit(None).cast("string").alias("_art_text"),
+                           F.lit(None).cast("string").alias("_art_error"), F.lit(None).cast("boolean").alias("_found"))
 
     r = F.col("_route")
     raw = F.when(r == "file", strict_unbase64("source_file_base64"))
@@ -85,22 +93,21 @@ def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: D
         F.when((r == "file") & raw.isNull(), F.lit(E_FETCH_BAD_B64))
         .when(r == "video_without_text", F.lit(E_VIDEO_NO_TEXT))
         .when((r == "article") & ~scheme_ok("source_url"), F.lit(SCHEME_ERROR))
-        .when((r == "article") & F.col("html").isNull(),
+        .when((r == "article") & F.col("_found").isNull(),
               F.concat(F.lit("Failed to fetch article from "), F.col("source_url"), F.lit(": page not found")))
     )
     staged = base.select("job_id", "bucket", "_route", "source_text", name.alias("_name"), raw.alias("_content"),
-                         F.col("html"), pre.alias("_pre"))
+                         "_art_text", "_art_error", pre.alias("_pre"))
     is_file = (F.col("_route") == "file") & F.col("_pre").isNull()
     doc = document_parts("_name", "_content", active=is_file)
-    art = article_column(F.when((F.col("_route") == "article") & F.col("_pre").isNull(), F.col("html")), mode)
     extracted = staged.select(
         "job_id", "bucket", is_file.alias("_is_file"),
         F.when(is_file, doc["doc_type"]).when(F.col("_route") == "article", F.lit("article"))
         .otherwise(F.col("_route")).alias("doc_type"),
-        F.when(is_file, doc["text"]).when(F.col("_route") == "article", art["text"])
+        F.when(is_file, doc["text"]).when(F.col("_route") == "article", F.col("_art_text"))
         .otherwise(F.col("source_text")).alias("text"),
         F.coalesce(F.col("_pre"), F.when(is_file, doc["error"]),
-                   F.when(F.col("_route") == "article", art["error"])).alias("error"),
+                   F.when(F.col("_route") == "article", F.col("_art_error"))).alias("error"),
     )
     out = finish_documents(extracted, "job_id", page_texts, keep=("bucket",), active="_is_file")
     ok = F.col("error").isNull()

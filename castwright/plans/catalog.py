@@ -492,7 +492,12 @@ def fetch_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fetch_stage")
 def fetch_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routing.fetch_sources(fetch_jobs(spark, sf_dir), pages=table(spark, sf_dir, "pages"))
+    from castwright.session import materialize
+
+    # The job table is a stored stage table in a run; the derived one is written once so the
+    # fetch plan reads it like one (the routing reads it twice: URL list and job rows).
+    jobs = materialize(fetch_jobs(spark, sf_dir), "fetch-jobs")
+    return routing.fetch_sources(jobs, pages=table(spark, sf_dir, "pages"))
 
 
 # --- speech step, job summary, ledger, run status -------------------------------------------

@@ -38,35 +38,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to a shared file system; only when it is unset
-    (local tests) do we pick a fresh scratch folder.
+    On a cluster the launcher sets it to a shared file system and it is only read here. Only a
+    local-mode session (tests, the smoke check, the bench) without the setting gets a fresh
+    scratch folder; a cluster session without it is an error rather than a machine-local path.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         current = tempfile.mkdtemp(prefix="castwright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-    return current
+    return ensure_checkpoint_dir(spark)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Used where a value must not be recomputed on task retry (generated job ids, remote
-    model or speech calls): the written table cuts the lineage, so a lost executor
-    re-reads the files instead of calling the remote service again.
+    model or speech calls) and for stage tables read more than once: the written table cuts
+    the lineage, so a lost executor re-reads the files instead of recomputing (or calling the
+    remote service again).
     """
     import uuid
 
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
