@@ -249,6 +249,9 @@ def intake_requests(requests: DataFrame, key: str = "request_id", body: str = "b
     )
 
 
+GENERATED_JOB_ID_RX = r"^job-[0-9]{8}T[0-9]{12}Z-[0-9a-f]{8}\z"
+
+
 def assign_job_ids(accepted: DataFrame, job_col: str = "job_id") -> DataFrame:
     """V5: keep a given id, else ``job-<UTC yyyyMMddTHHmmssffffff>Z-<8 hex>``.
 

@@ -260,10 +260,18 @@ def request_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("job_id_assign")
 def job_id_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 on accepted requests. The ids are written once (they are random); the query reports,
+    per request, the given id, whether one was generated and whether the id has the right form
+    (given ids kept as is, generated ones ``job-<yyyymmddThhmmssffffff>Z-<8 hex>``)."""
     from castwright.session import materialize
 
-    accepted = _intake(spark, sf_dir).where("status_code = 202").select("event_id", "job_id")
-    return materialize(intake.assign_job_ids(accepted), "job-ids")
+    accepted = _intake(spark, sf_dir).where("status_code = 202").select(
+        "event_id", F.col("job_id").alias("job_id_given"), "job_id")
+    ids = materialize(intake.assign_job_ids(accepted), "job-ids")
+    generated = F.col("job_id_given").isNull()
+    well_formed = F.when(generated, F.col("job_id").rlike(intake.GENERATED_JOB_ID_RX)).otherwise(
+        F.col("job_id") == F.col("job_id_given"))
+    return ids.select("event_id", "job_id_given", generated.alias("is_generated"), well_formed.alias("id_ok"))
 
 
 # --- pipeline events ----------------------------------------------------------------------

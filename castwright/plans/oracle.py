@@ -689,3 +689,8 @@ FROM ids LEFT JOIN runs2 ON ids.a = runs2.execution_arn
 
 
 ORACLE_SQL["stream_intake"] = ORACLE_SQL["request_validate"]
+
+ORACLE_SQL["job_id_assign"] = f"""
+WITH {_INTAKE}
+SELECT event_id, job_id AS job_id_given, job_id IS NULL AS is_generated, true AS id_ok FROM r WHERE error IS NULL
+"""
