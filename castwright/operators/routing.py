@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from castwright.functions.encoding import strict_unbase64
 from castwright.functions.urls import SCHEME_ERROR, is_video_url, scheme_ok
 from castwright.sources.files import E_FETCH_BAD_B64, doc_type, doc_type_error, document_parts, finish_documents
-from castwright.session import spread
 from castwright.sources.pages import extract_articles
 
 E_VIDEO_NO_TEXT = (
@@ -64,8 +63,7 @@ def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: D
     """jobs(job_id, source_url, source_text, source_file_name, source_file_base64[, bucket])
     -> (job_id, bucket, source_type, text, article_s3_key, article_char_count, error)."""
     bucket = F.coalesce(F.col("bucket"), F.lit(default_bucket)) if "bucket" in jobs.columns else F.lit(default_bucket)
-    # A job table read as a few large splits is spread first: extraction is per-row work.
-    base = spread(jobs, "job_id").select(
+    base = jobs.select(
         "job_id", "source_url", "source_text", "source_file_name", "source_file_base64",
         bucket.alias("bucket"), route().alias("_route"),
     )

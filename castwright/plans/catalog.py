@@ -63,9 +63,7 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- speech text -------------------------------------------------------------------------
 
 def _doc_chunks(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
-    from castwright.session import spread
-
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return chunking.explode_chunks(docs, ["doc_id"], "text", limit)
 
 

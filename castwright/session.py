@@ -74,10 +74,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread rows over the cluster when the scan gave too few partitions.
+    """Hash-spread the rows of a freshly read table when the scan gave too few splits.
 
-    Large inputs already arrive in many file splits and are left alone (no shuffle);
-    a small file with one row group would otherwise put all row-level work on one core.
+    Call it on a scan (optionally with projections/filters), not on a DataFrame that already
+    contains a shuffle: for a scan, counting partitions only lists files, while on a shuffled
+    plan it would run the upstream stages. Large inputs already arrive in many file splits and
+    are left alone (no shuffle); a small file with one row group would otherwise put all
+    row-level work on one core.
     """
     spark = df.sparkSession
     target = min_partitions or int(spark.sparkContext.defaultParallelism)
