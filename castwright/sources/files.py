@@ -92,6 +92,63 @@ def scan_files(spark, path: str, glob: str | None = None) -> DataFrame:
     )
 
 
+E_CLI_EXACTLY_ONE = "Provide exactly one of a source URL or --source-file <path>."
+
+
+def cli_source_error(source: Column | str, source_file: Column | str) -> Column:
+    """V4: exactly one of a URL and a file path, by truthiness (an empty string is absent)."""
+    has_url = F.coalesce(_c(source) != F.lit(""), F.lit(False))
+    has_file = F.coalesce(_c(source_file) != F.lit(""), F.lit(False))
+    return F.when(has_url == has_file, F.lit(E_CLI_EXACTLY_ONE))
+
+
+def _read_file_kernel(key: str, path: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import base64
+        import os
+
+        from pyarrow import fs as pafs
+
+        local = pafs.LocalFileSystem()
+        for pdf in batches:
+            names, payloads, errors = [], [], []
+            for p in pdf[path]:
+                name = payload = err = None
+                try:
+                    filesystem, inner = (pafs.FileSystem.from_uri(p) if "://" in p else (local, os.path.abspath(p)))
+                    info = filesystem.get_file_info(inner)
+                    if info.type != pafs.FileType.File:
+                        err = f"{E_MISSING_FILE}{p}"
+                    elif info.size == 0:
+                        err = f"{E_EMPTY_SOURCE_FILE}{p}"
+                    else:
+                        with filesystem.open_input_stream(inner) as fh:
+                            payload = base64.b64encode(fh.read()).decode("ascii")
+                        name = inner.rstrip("/").rsplit("/", 1)[-1]
+                except (OSError, ValueError):
+                    err = f"{E_MISSING_FILE}{p}"
+                names.append(name)
+                payloads.append(payload)
+                errors.append(err)
+            yield pd.DataFrame({key: pdf[key], path: pdf[path], "source_file_name": names,
+                                "source_file_base64": payloads, "error": errors})
+
+    return run
+
+
+def read_requested_files(requests: DataFrame, key: str = "request_id", path: str = "source_file") -> DataFrame:
+    """S3 for a table of requested file paths: each task checks and reads its own paths through
+    Arrow's file-system layer (local paths or URIs), so no path list passes through the driver.
+    Missing -> "Source file was not found: <path>", empty -> "Source file is empty: <path>",
+    else (base name, base64 payload). Rows without a path are passed through untouched."""
+    key_type = requests.schema[key].dataType.simpleString()
+    src = requests.select(key, path).where(F.col(path).isNotNull() & (F.col(path) != F.lit("")))
+    return src.mapInPandas(
+        _read_file_kernel(key, path),
+        f"{key} {key_type}, {path} string, source_file_name string, source_file_base64 string, error string",
+    )
+
+
 # --- R9 -----------------------------------------------------------------------------------
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"

@@ -62,3 +62,27 @@ def test_document_dispatch(spark):
     assert out[5]["text"] == "A\n\nB"
     assert out[6]["error"].startswith("Failed to parse DOCX document")
     assert out[7]["error"] == FS.E_PDF_UNAVAILABLE
+
+
+def test_cli_sources_and_requested_files(spark, tmp_path):
+    import base64
+
+    (tmp_path / "brief.txt").write_text("hello from file")
+    (tmp_path / "empty.txt").write_bytes(b"")
+    req = spark.createDataFrame([
+        (1, None, str(tmp_path / "brief.txt")), (2, "https://x", str(tmp_path / "brief.txt")),
+        (3, "", ""), (4, None, str(tmp_path / "nope.txt")), (5, None, str(tmp_path / "empty.txt")),
+    ], "request_id long, source string, source_file string")
+    errs = dict(rows(req.select("request_id", FS.cli_source_error("source", "source_file"))))
+    assert errs == {1: None, 2: FS.E_CLI_EXACTLY_ONE, 3: FS.E_CLI_EXACTLY_ONE, 4: None, 5: None}
+    out = {r["request_id"]: r for r in FS.read_requested_files(req).collect()}
+    assert (out[1]["source_file_name"], out[1]["source_file_base64"]) == (
+        "brief.txt", base64.b64encode(b"hello from file").decode())
+    assert out[4]["error"] == f"Source file was not found: {tmp_path / 'nope.txt'}"
+    assert out[5]["error"] == f"Source file is empty: {tmp_path / 'empty.txt'}"
+
+
+def test_strip_covers_nbsp_and_separators(spark):
+    df = spark.createDataFrame([(" \x1c a b 　",)], "s string")
+    from castwright.functions.text import py_strip
+    assert df.select(py_strip("s")).first()[0] == " \x1c a b 　".strip() == "a b"
