@@ -110,3 +110,23 @@ def test_running_sum_hot_key(spark):
         expect.append((i, acc))
     assert hot == expect
     assert out.where(F.col("k") != "hot").where(F.col("cum") != 1).count() == 0
+
+
+def test_running_sum_both_plans_with_negative_values(spark):
+    from pyspark.sql import functions as F
+
+    from castwright.operators.ordering import blocked_running_sum, ranged_running_sum
+
+    data = [("hot", i, (i % 7) - 3) for i in range(3000)] + [(f"k{i}", 5, -2) for i in range(50)]
+    df = spark.createDataFrame(data, "k string, o long, v long")
+    expect, acc = {}, 0
+    for i in range(3000):
+        acc += (i % 7) - 3
+        expect[("hot", i)] = acc
+    for i in range(50):
+        expect[(f"k{i}", 5)] = -2
+    for out in (blocked_running_sum(df, "k", "o", "v", "cum", block_rows=64),
+                ranged_running_sum(df, "k", ["o"], "v", "cum", ranges=12),
+                ranged_running_sum(df.withColumn("o2", F.lpad(F.col("o").cast("string"), 6, "0")),
+                                   "k", ["o2"], "v", "cum", ranges=12)):
+        assert {(r["k"], r["o"]): r["cum"] for r in out.collect()} == expect
