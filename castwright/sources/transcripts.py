@@ -24,6 +24,17 @@ def segments_from_array(df: DataFrame, key: str = "job_id", segments: str = "seg
     ).where(F.col("text").isNotNull())
 
 
+def segments_from_json(df: DataFrame, key: str = "job_id", segments: str = "segments_json") -> DataFrame:
+    """S6 for segments held as JSON text (a list of objects): keep, in order, the ``text`` of
+    every item whose ``text`` is a JSON string; other items are skipped."""
+    items = F.try_variant_get(F.try_parse_json(segments), "$", "array<variant>")
+    return df.select(key, F.posexplode(items).alias("pos", "seg")).select(
+        key, F.col("pos").cast("bigint").alias("pos"),
+        F.when(F.schema_of_variant(F.try_variant_get("seg", "$.text", "variant")) == F.lit("STRING"),
+               F.try_variant_get("seg", "$.text", "string")).alias("text"),
+    ).where(F.col("text").isNotNull())
+
+
 def transcript_paragraphs(rows: DataFrame, key: str = "job_id", order: tuple[str, ...] = ("pos",),
                           text: str = "text", group_size: int = LINES_PER_PARAGRAPH,
                           split_rows: bool = False) -> DataFrame:

@@ -130,3 +130,14 @@ def test_running_sum_both_plans_with_negative_values(spark):
                 ranged_running_sum(df.withColumn("o2", F.lpad(F.col("o").cast("string"), 6, "0")),
                                    "k", ["o2"], "v", "cum", ranges=12)):
         assert {(r["k"], r["o"]): r["cum"] for r in out.collect()} == expect
+
+
+def test_segments_from_json_skip_non_string_text(spark):
+    import json
+
+    segs = [{"text": "one  two"}, {"text": 5}, {"start": 1}, {"text": "three"}, "x"]
+    df = spark.createDataFrame([("j", json.dumps(segs))], "job_id string, segments_json string")
+    lines = transcripts.segments_from_json(df)
+    assert rows(lines.orderBy("pos"), "pos", "text") == [(0, "one  two"), (3, "three")]
+    out = transcripts.transcript_text(transcripts.transcript_paragraphs(lines))
+    assert rows(out, "job_id", "text") == [("j", "one two three")]
