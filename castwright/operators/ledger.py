@@ -90,25 +90,29 @@ def run_status(lookups: DataFrame, runs: DataFrame, key: str = "request_id", arn
 # --- K9 -----------------------------------------------------------------------------------
 
 def run_ledger(stage_results: dict[str, DataFrame], key: str = "job_id",
-               counts: dict[str, Column] | None = None) -> DataFrame:
+               counts: tuple[str, ...] = ()) -> DataFrame:
     """K9: stage results (each keyed by job with an ``error`` column, in stage order) -> one row
-    per job: status, failed stage, error of the first failing stage.
+    per job: status, failed stage, error of the first failing stage, plus the ``counts``
+    columns (each taken from whichever stage table carries it).
 
-    The stage tables are unioned (narrow: key, stage rank, error) and reduced with one
-    ``min_by`` aggregation per job, so the ledger costs one shuffle on the job key."""
+    The stage tables are unioned (narrow: key, stage rank, error, counts) and reduced with one
+    aggregation per job (``min_by`` for the first failure, partial aggregation map-side), so the
+    ledger costs one shuffle on the job key."""
     parts = []
     for rank, (stage, df) in enumerate(stage_results.items()):
-        parts.append(df.select(key, F.lit(rank).alias("_rank"), F.lit(stage).alias("_stage"), "error"))
+        cols = [F.col(c).cast("bigint").alias(c) if c in df.columns else F.lit(None).cast("bigint").alias(c)
+                for c in counts]
+        parts.append(df.select(key, F.lit(rank).alias("_rank"), F.lit(stage).alias("_stage"), "error", *cols))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     agg = u.groupBy(key).agg(
         F.expr("min_by(_stage, _rank) FILTER (WHERE error IS NOT NULL)").alias("failed_stage"),
         F.expr("min_by(error, _rank) FILTER (WHERE error IS NOT NULL)").alias("error"),
-        F.max("_rank").alias("_last"),
+        *[F.max(c).alias(c) for c in counts],
     )
     return agg.select(
         key,
         F.when(F.col("failed_stage").isNull(), F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("status"),
-        "failed_stage", "error",
+        "failed_stage", "error", *counts,
     )

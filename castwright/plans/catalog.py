@@ -580,10 +580,13 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     scripts = prompts.rewrite(ok_fetch, prompts.echo_model, LEDGER_MODEL, key="job_id")
     ok_scripts = scripts.where(F.col("error").isNull()).select("job_id", F.col("script").alias("text"))
     chunks = chunking.explode_chunks(ok_scripts, ["job_id"], "text", chunking.PIPELINE_CHUNK_LIMIT)
-    generated = chunks.groupBy("job_id").agg(F.max("error").alias("error"))
-    return ledger.run_ledger({"fetch": fetched.select("job_id", "error"),
-                              "rewrite": scripts.select("job_id", "error"),
-                              "generate": generated})
+    generated = chunks.groupBy("job_id").agg(
+        F.max("error").alias("error"), F.count("chunk_no").alias("chunk_count"))
+    return ledger.run_ledger(
+        {"fetch": fetched.select("job_id", "error", F.col("n_chars").alias("article_char_count")),
+         "rewrite": scripts.select("job_id", "error", F.char_length("script").alias("script_chars")),
+         "generate": generated},
+        counts=("article_char_count", "script_chars", "chunk_count"))
 
 
 def runs_table(events: DataFrame) -> DataFrame:

@@ -638,7 +638,7 @@ ORACLE_SQL["artefact_keys"] = "WITH " + I.rewrite_jobs_sql() + "\n" + "\nUNION A
 )
 
 ORACLE_SQL["run_ledger"] = f"""
-WITH {I.rewrite_jobs_sql()},
+WITH RECURSIVE {I.rewrite_jobs_sql()},
 f AS (
   SELECT doc_id, {_NAME} AS name, {_TYPE} AS t, {_TYPE_ERR} AS type_error,
          doc_id % {I.EMPTY_FILE_EVERY} = 0 AS empty,
@@ -647,13 +647,21 @@ f AS (
 g AS (
   SELECT doc_id, CASE WHEN empty THEN '{FS.E_EMPTY_FILE}' ELSE type_error END AS e, t, x FROM f),
 fe AS (
-  SELECT doc_id, CASE WHEN e IS NOT NULL THEN e WHEN coalesce(x, '') = '' THEN
+  SELECT doc_id, x, CASE WHEN e IS NOT NULL THEN e WHEN coalesce(x, '') = '' THEN
                  'No readable text found in uploaded ' || upper(t) || ' document.' END AS fetch_error FROM g),
-re AS (SELECT jobs.doc_id, job_id, fetch_error, {_PROMPT_ERR} AS rewrite_error FROM jobs JOIN fe USING (doc_id))
-SELECT job_id, CASE WHEN coalesce(fetch_error, rewrite_error) IS NULL THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
+re AS (
+  SELECT jobs.doc_id, job_id, fetch_error, CASE WHEN fetch_error IS NULL THEN length(x) END AS article_char_count,
+         CASE WHEN fetch_error IS NULL THEN {_PROMPT_ERR} END AS rewrite_error,
+         CASE WHEN fetch_error IS NULL AND ({_PROMPT_ERR}) IS NULL THEN {q.strip('x')} END AS script
+  FROM jobs JOIN fe USING (doc_id)),
+ok AS (SELECT job_id, script FROM re WHERE script IS NOT NULL),
+{q.chunks_cte('ok', 'job_id', 'script', 1800)},
+cc AS (SELECT job_id, count(*) AS chunk_count FROM ck GROUP BY job_id)
+SELECT re.job_id, CASE WHEN coalesce(fetch_error, rewrite_error) IS NULL THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
        CASE WHEN fetch_error IS NOT NULL THEN 'fetch' WHEN rewrite_error IS NOT NULL THEN 'rewrite' END AS failed_stage,
-       coalesce(fetch_error, rewrite_error) AS error
-FROM re
+       coalesce(fetch_error, rewrite_error) AS error, article_char_count::BIGINT AS article_char_count,
+       length(script)::BIGINT AS script_chars, cc.chunk_count::BIGINT AS chunk_count
+FROM re LEFT JOIN cc ON re.job_id = cc.job_id
 """
 
 
