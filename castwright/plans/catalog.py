@@ -647,3 +647,24 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return read_intake_output(spark, f"{base}/out").select("event_id", "status_code", "error")
+
+
+# --- whole runs from request rows ----------------------------------------------------------------
+
+@register("request_jobs")
+def request_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests derived from `events` through the whole chain (intake -> fetch against `pages`
+    -> rewrite with the stand-in model -> turns/chunks -> stand-in speech -> ledger); one row
+    per request. Every stage is SQL-checked on its own query; this composite is rows-only."""
+    from castwright.plans.jobs import run_requests
+
+    req = inputs.request_rows(table(spark, sf_dir, "events")).withColumnRenamed("event_id", "request_id")
+    settings = Settings(model_id=LEDGER_MODEL, polly_voice_id="Amy", polly_duo_voice_id="Matthew")
+    out = run_requests(req, settings, prompts.echo_model, speech.stand_in_speech,
+                       pages=table(spark, sf_dir, "pages"))
+    book = out["jobs"].select("request_id", "job_id").join(out["ledger"], "job_id")
+    return out["intake"].select("request_id", "status_code", F.col("error").alias("request_error")).join(
+        book, "request_id", "left").select(
+        F.col("request_id").alias("event_id"), "status_code", "request_error",
+        F.coalesce(F.col("status"), F.lit("REJECTED")).alias("status"), "failed_stage", "error",
+        "article_char_count", "script_chars", "chunk_count", "audio_bytes", "duration_sec")
