@@ -8,9 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from castwright.functions import encoding as enc
 from castwright.functions import text as tx
-from castwright.operators import chunking
+from castwright.functions import urls as url_fn
+from castwright.operators import chunking, intake, ledger, prompts, routing, speech
+from castwright.operators import events as events_op
+from castwright.operators import turns as turns_op
+from castwright.plans import inputs
+from castwright.plans.inputs import conversation_pieces
+from castwright.settings import PROVIDER_ELEVENLABS, Settings
+from castwright.sources import files as files_src
 from castwright.sources import pages as pages_src
+from castwright.sources import transcripts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,10 +106,6 @@ def duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- conversations: duo scripts, turns, voices, speech ----------------------------------
 
-from castwright.operators import speech, turns as turns_op  # noqa: E402
-from castwright.plans.inputs import conversation_pieces  # noqa: E402
-from castwright.settings import PROVIDER_ELEVENLABS, Settings  # noqa: E402
-from castwright.sources import transcripts  # noqa: E402
 
 # Run settings used by the registered speech queries (voices from the reference's tests).
 QUERY_SETTINGS = Settings(polly_voice_id="Amy", polly_duo_voice_id="Matthew")
@@ -202,10 +207,6 @@ def transcript_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- requests and URLs ------------------------------------------------------------------
 
-from castwright.functions import urls as url_fn  # noqa: E402
-from castwright.operators import intake  # noqa: E402
-from castwright.plans import inputs  # noqa: E402
-
 
 @register("url_route")
 def url_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +275,6 @@ def job_id_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- pipeline events ----------------------------------------------------------------------
 
-from castwright.operators import events as events_op  # noqa: E402
 
 EVENT_VIEW = ("event_id", "stage", "job_id", "style", "script_mode", "title", "article_s3_key",
               "script_s3_key", "article_char_count", "audio_estimated_duration_sec", "error")
@@ -318,9 +318,6 @@ def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- documents and files ------------------------------------------------------------------
 
-from castwright.functions import encoding as enc  # noqa: E402
-from castwright.sources import files as files_src  # noqa: E402
-
 
 @register("doc_type")
 def doc_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,8 +384,6 @@ def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- prompts and model ------------------------------------------------------------------------
 
-from castwright.operators import prompts  # noqa: E402
-
 
 def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.rewrite_jobs(table(spark, sf_dir, "documents"))
@@ -464,8 +459,6 @@ def rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- fetch stage ----------------------------------------------------------------------------
 
-from castwright.operators import routing  # noqa: E402
-
 
 @register("source_route")
 def source_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -508,8 +501,6 @@ def fetch_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- speech step, job summary, ledger, run status -------------------------------------------
 
-from castwright.operators import ledger  # noqa: E402
-
 
 @register("synthesize")
 def synthesize(spark: SparkSession, sf_dir: str) -> DataFrame:

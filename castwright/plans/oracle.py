@@ -4,6 +4,17 @@ pre-registered test-table views."""
 from __future__ import annotations
 
 from castwright.plans import sqlbits as q
+from castwright.functions import urls as U
+from castwright.functions.encoding import STRICT_B64_RX
+from castwright.operators import events as EV
+from castwright.operators import intake as K
+from castwright.operators import ledger as LG
+from castwright.operators import prompts as P
+from castwright.operators import routing as RT
+from castwright.operators.turns import LABEL_RX
+from castwright.operators.turns import NO_TURNS_ERROR as _NO_TURNS
+from castwright.plans import inputs as I
+from castwright.sources import files as FS
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -74,7 +85,6 @@ FROM documents
 
 # --- conversations -------------------------------------------------------------------------
 
-from castwright.operators.turns import LABEL_RX  # noqa: E402
 
 _CONV_LINES = f"""conv_lines AS (
   SELECT conv_id, turn, (ln - 1)::BIGINT AS line_no, arr[ln] AS raw
@@ -190,8 +200,6 @@ FROM c LEFT JOIN j ON c.conv_id = j.conv_id
 
 # --- URLs and requests --------------------------------------------------------------------------
 
-from castwright.functions import urls as U  # noqa: E402
-from castwright.plans import inputs as I  # noqa: E402
 
 _HOST = f"lower(regexp_extract(url, '{U.HOST_RX}', 1))"
 _PATH = f"regexp_extract(url, '{U.PATH_RX}', 1)"
@@ -278,9 +286,6 @@ def _host(col: str) -> str:
     return f"lower(regexp_extract({col}, '{U.HOST_RX}', 1))"
 
 
-from castwright.functions.encoding import STRICT_B64_RX  # noqa: E402
-from castwright.operators import intake as K  # noqa: E402
-
 _NORMALIZE_ERROR = _first(
     [(f"NOT {_absent('source_url')} AND NOT {_is_str('source_url')}", K.must_be_string("source_url"))]
     + _req_string_checks("source_file_name")
@@ -349,7 +354,6 @@ FROM r WHERE error IS NULL
 
 # --- pipeline events ---------------------------------------------------------------------------
 
-from castwright.operators import events as EV  # noqa: E402
 
 _KNOWN = ", ".join(f"'{n}'" for n in EV.EVENT_FIELDS)
 _EV_MODE = f"lower({q.strip('coalesce(' + q.strip(_sval('script_mode')) + ', ' + repr('single') + ')')})"
@@ -431,7 +435,6 @@ FROM ev WHERE error IS NULL
 
 # --- documents and files -------------------------------------------------------------------------
 
-from castwright.sources import files as FS  # noqa: E402
 
 _SUFFIX = "[" + ", ".join(f"'{x}'" for x in I.FILE_SUFFIXES) + f"][(doc_id % {len(I.FILE_SUFFIXES)}) + 1]"
 _NAME = f"('doc' || CAST(doc_id AS VARCHAR) || {_SUFFIX})"
@@ -483,8 +486,6 @@ FROM g
 
 # --- prompts and model ---------------------------------------------------------------------------
 
-from castwright.operators import prompts as P  # noqa: E402
-
 
 def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -558,8 +559,6 @@ def _doc_type_err_of(col: str) -> str:
             f"CASE WHEN {sfx} <> '' THEN {sfx} ELSE {col} END || '''. Use: .docx, .pdf, .txt' END")
 
 
-from castwright.operators import routing as RT  # noqa: E402
-
 _RNAME = "coalesce(source_file_name, 'uploaded-document')"
 _RVIDEO = f"(source_url IS NOT NULL AND {_host('source_url')} IN ({_VIDEO_HOSTS}))"
 ORACLE_SQL["source_route"] = f"""
@@ -604,7 +603,6 @@ SELECT conv_id, turn_no, chunk_no, length(chunk)::BIGINT AS input_chars, strlen(
 FROM ck
 """
 
-from castwright.operators.turns import NO_TURNS_ERROR as _NO_TURNS  # noqa: E402
 
 _WORDS = q.words("CASE role WHEN 'user' THEN 'HOST_A: ' WHEN 'assistant' THEN 'HOST_B: ' ELSE '' END || text")
 ORACLE_SQL["podcast_jobs"] = f"""
@@ -631,7 +629,6 @@ FROM jobs LEFT JOIN src USING (conv_id) LEFT JOIN tc USING (conv_id) LEFT JOIN a
      LEFT JOIN w USING (conv_id)
 """
 
-from castwright.operators import ledger as LG  # noqa: E402
 
 ORACLE_SQL["artefact_keys"] = "WITH " + I.rewrite_jobs_sql() + "\n" + "\nUNION ALL\n".join(
     f"SELECT job_id, '{a}' AS artefact, 'jobs/' || job_id || '/{f}' AS object_key FROM jobs" for a, f in LG.ARTEFACTS
