@@ -646,7 +646,7 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests derived from `events` through the whole chain (intake -> fetch against `pages`
     -> rewrite with the stand-in model -> turns/chunks -> stand-in speech -> ledger); one row
-    per request. Every stage is SQL-checked on its own query; this composite is rows-only."""
+    per request."""
     from castwright.plans.jobs import run_requests
 
     req = inputs.request_rows(table(spark, sf_dir, "events")).withColumnRenamed("event_id", "request_id")

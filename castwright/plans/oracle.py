@@ -699,3 +699,76 @@ ORACLE_SQL["job_id_assign"] = f"""
 WITH {_INTAKE}
 SELECT event_id, job_id AS job_id_given, job_id IS NULL AS is_generated, true AS id_ok FROM r WHERE error IS NULL
 """
+
+
+# --- whole runs from request rows -----------------------------------------------------------------
+
+_RJ_TYPE = _doc_type_of("coalesce(source_file_name, 'uploaded-document')")
+_RJ_TYPE_ERR = _doc_type_err_of("coalesce(source_file_name, 'uploaded-document')")
+_RJ_LABEL = LABEL_RX
+
+ORACLE_SQL["request_jobs"] = f"""
+WITH RECURSIVE {_INTAKE},
+art AS ({_article_sql(True).strip()}),
+art_url AS (SELECT p.url, a.text AS art_text, a.error AS art_error FROM pages p JOIN art a ON p.page_id = a.page_id),
+acc AS (SELECT * FROM r WHERE error IS NULL),
+routed AS (
+  SELECT acc.*,
+         CASE WHEN source_file_base64 IS NOT NULL THEN 'file'
+              WHEN source_text IS NOT NULL THEN CASE WHEN {_RVIDEO} THEN 'youtube' ELSE 'text' END
+              WHEN {_RVIDEO} THEN 'video' ELSE 'article' END AS route
+  FROM acc),
+fetched AS (
+  SELECT routed.event_id, routed.style, routed.script_mode, route,
+    CASE WHEN route = 'file' THEN
+           CASE WHEN NOT regexp_matches(source_file_base64, '{STRICT_B64_RX}') THEN '{FS.E_FETCH_BAD_B64}'
+                WHEN ({_RJ_TYPE_ERR}) IS NOT NULL THEN {_RJ_TYPE_ERR}
+                WHEN {_RJ_TYPE} = 'pdf' THEN '{FS.E_PDF_UNAVAILABLE}'
+                WHEN {_RJ_TYPE} = 'txt' AND {q.strip("decode(from_base64(source_file_base64))")} = ''
+                  THEN 'No readable text found in uploaded TXT document.' END
+         WHEN route = 'video' THEN '{RT.E_VIDEO_NO_TEXT}'
+         WHEN route = 'article' AND NOT (starts_with(source_url, 'http://') OR starts_with(source_url, 'https://')) THEN '{U.SCHEME_ERROR}'
+         WHEN route = 'article' AND art_url.url IS NULL THEN 'Failed to fetch article from ' || source_url || ': page not found'
+         WHEN route = 'article' THEN art_error END AS fetch_error,
+    CASE WHEN route = 'file' THEN {q.strip("decode(from_base64(source_file_base64))")}
+         WHEN route IN ('youtube', 'text') THEN source_text
+         WHEN route = 'article' THEN art_text END AS src
+  FROM routed LEFT JOIN art_url ON routed.route = 'article' AND art_url.url = routed.source_url),
+scripts AS (
+  SELECT event_id, script_mode, {q.strip('src')} AS script FROM fetched WHERE fetch_error IS NULL),
+s_lines AS (
+  SELECT event_id, ln, arr[ln] AS raw
+  FROM (SELECT event_id, arr, unnest(generate_series(1, len(arr))) AS ln
+        FROM (SELECT event_id, {q.lines('script')} AS arr FROM scripts WHERE script_mode = 'duo'))),
+s_marked AS (SELECT *, regexp_matches(raw, '{_RJ_LABEL}') AS is_label FROM s_lines),
+s_numbered AS (
+  SELECT event_id, ln,
+         sum(is_label::INT) OVER (PARTITION BY event_id ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS turn_no,
+         CASE WHEN is_label THEN {q.strip(f"regexp_extract(raw, '{_RJ_LABEL}', 2)")} ELSE {q.strip('raw')} END AS body
+  FROM s_marked),
+d_turns AS (
+  SELECT event_id, turn_no::BIGINT AS turn_no, {q.strip("string_agg(body, chr(10) ORDER BY ln)")} AS text
+  FROM s_numbered WHERE turn_no > 0 GROUP BY event_id, turn_no),
+all_turns AS (
+  SELECT event_id, turn_no, text FROM d_turns WHERE text <> ''
+  UNION ALL
+  SELECT event_id, 1::BIGINT, script FROM scripts WHERE script_mode <> 'duo'),
+{q.chunks_cte('all_turns', 'event_id, turn_no', 'text', 1800)},
+gen AS (SELECT event_id, count(*) AS chunk_count, sum(strlen(chunk)) AS audio_bytes FROM ck GROUP BY event_id),
+book AS (
+  SELECT f.event_id, f.fetch_error,
+         CASE WHEN f.fetch_error IS NULL THEN length(f.src) END AS article_char_count,
+         length(s.script) AS script_chars,
+         CASE WHEN s.script IS NOT NULL AND s.script_mode = 'duo' AND gen.event_id IS NULL THEN '{_NO_TURNS}' END AS gen_error,
+         gen.chunk_count, gen.audio_bytes,
+         CASE WHEN s.script IS NOT NULL THEN trunc((len({q.words('s.script')})::DOUBLE / 150.0) * 60.0) END AS duration_sec
+  FROM fetched f LEFT JOIN scripts s ON f.event_id = s.event_id LEFT JOIN gen ON f.event_id = gen.event_id)
+SELECT r.event_id, CASE WHEN r.error IS NULL THEN 202 ELSE 400 END::INTEGER AS status_code, r.error AS request_error,
+       CASE WHEN r.error IS NOT NULL THEN 'REJECTED' WHEN coalesce(b.fetch_error, b.gen_error) IS NULL THEN 'SUCCEEDED'
+            ELSE 'FAILED' END AS status,
+       CASE WHEN b.fetch_error IS NOT NULL THEN 'fetch' WHEN b.gen_error IS NOT NULL THEN 'generate' END AS failed_stage,
+       coalesce(b.fetch_error, b.gen_error) AS error,
+       b.article_char_count::BIGINT AS article_char_count, b.script_chars::BIGINT AS script_chars,
+       b.chunk_count::BIGINT AS chunk_count, b.audio_bytes::BIGINT AS audio_bytes, b.duration_sec::BIGINT AS duration_sec
+FROM r LEFT JOIN book b ON r.event_id = b.event_id
+"""
