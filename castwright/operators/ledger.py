@@ -61,6 +61,19 @@ def json_or_raw(raw: Column | str) -> Column:
     )
 
 
+def lookup_id(query: Column | str, path_params: Column | str | None = None, name: str = "execution_arn") -> Column:
+    """K6 id resolution: the query parameter (stripped, blank -> absent), else the path
+    parameter of the same name (stripped, blank -> absent); null means a 400 lookup."""
+    q = F.col(query) if isinstance(query, str) else query
+    from_query = F.try_element_at(q, F.lit(name))
+    cleaned_q = F.when(py_strip(from_query) != F.lit(""), py_strip(from_query))
+    if path_params is None:
+        return cleaned_q
+    p = F.col(path_params) if isinstance(path_params, str) else path_params
+    from_path = F.try_element_at(p, F.lit(name))
+    return F.coalesce(cleaned_q, F.when(py_strip(from_path) != F.lit(""), py_strip(from_path)))
+
+
 def run_status(lookups: DataFrame, runs: DataFrame, key: str = "request_id", arn: str = "execution_arn") -> DataFrame:
     """K6: a batch of status lookups joined with the runs table.
 

@@ -56,3 +56,10 @@ def test_artefact_sink_roundtrip(spark, tmp_path):
     assert back["source"]["text"] == "text body"
     assert back["script_metadata"]["json"] == '{"job_id": "j1"}'
     assert bytes(back["audio"]["audio"]) == b"\x00\x01mp3"
+
+
+def test_lookup_id_query_then_path(spark):
+    df = spark.createDataFrame([({"execution_arn": " a "}, {"execution_arn": "b"}), ({"execution_arn": "  "}, {"execution_arn": " b "}),
+                                ({}, {}), (None, {"execution_arn": "  "})],
+                               "q map<string,string>, p map<string,string>")
+    assert [r[0] for r in df.select(L.lookup_id("q", "p")).collect()] == ["a", "b", None, None]
