@@ -229,13 +229,13 @@ def video_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _intake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    req = inputs.request_rows(table(spark, sf_dir, "events"))
+    req = inputs.request_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages"))
     return intake.intake_requests(req, key="event_id")
 
 
 @register("request_parse")
 def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    req = inputs.request_rows(table(spark, sf_dir, "events"))
+    req = inputs.request_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages"))
     p = intake.parse_bodies(req.select("event_id", "body", "is_base64"))
     keys = F.array_join(F.array_sort(F.json_object_keys(F.to_json(F.col("_payload")))), ",")
     return p.select("event_id", F.when(F.col("_parse_error").isNull(), keys).alias("body_keys"),
@@ -631,7 +631,7 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ensure_checkpoint_dir(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-intake-{uuid.uuid4().hex}"
-    req = inputs.request_rows(table(spark, sf_dir, "events"))
+    req = inputs.request_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages"))
     req.repartition(4).write.parquet(f"{base}/in")
     q = start_intake_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
     q.awaitTermination()
@@ -649,7 +649,7 @@ def request_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     per request."""
     from castwright.plans.jobs import run_requests
 
-    req = inputs.request_rows(table(spark, sf_dir, "events")).withColumnRenamed("event_id", "request_id")
+    req = inputs.request_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages")).withColumnRenamed("event_id", "request_id")
     settings = Settings(model_id=LEDGER_MODEL, polly_voice_id="Amy", polly_duo_voice_id="Matthew")
     out = run_requests(req, settings, prompts.echo_model, speech.stand_in_speech,
                        pages=table(spark, sf_dir, "pages"))

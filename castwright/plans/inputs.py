@@ -43,7 +43,7 @@ def conversation_lines(conversations: DataFrame) -> DataFrame:
 
 import re as _re  # noqa: E402
 
-_SLOT = _re.compile(r"\{(id|uid|etype|b64|url)\}")
+_SLOT = _re.compile(r"\{(id|uid|etype|b64|url|page)\}")
 
 
 def _spark_slot(name: str):
@@ -53,6 +53,7 @@ def _spark_slot(name: str):
         "etype": lambda: F.col("event_type"),
         "b64": lambda: b64encode(F.encode(F.concat(F.lit("hello "), F.col("_id").cast("string")), "UTF-8")),
         "url": lambda: F.col("url"),
+        "page": lambda: F.coalesce(F.col("_page_url"), F.concat(F.lit("https://example.com/a/"), F.col("_id").cast("string"))),
     }[name]()
 
 
@@ -62,6 +63,7 @@ SQL_SLOTS = {
     "etype": "event_type",
     "b64": "to_base64(encode('hello ' || CAST(_id AS VARCHAR)))",
     "url": "url",
+    "page": "coalesce(_page_url, 'https://example.com/a/' || CAST(_id AS VARCHAR))",
 }
 
 
@@ -99,7 +101,7 @@ def case_sql(key: str, templates: list[str]) -> str:
 
 # Request bodies derived from `events` rows: each rule of the request layer is hit by some rows.
 REQUEST_BODIES = [
-    '{"source_url": "https://example.com/a/{id}", "job_id": "job-{id}", "style": "{etype}"}',
+    '{"source_url": "{page}", "job_id": "job-{id}", "style": "{etype}"}',
     '{"source_url": "https://www.youtube.com/watch?v=v{id}", "transcript_text": "line {id}"}',
     '{"source_url": "https://youtu.be/v{id}"}',
     '{"source_file_name": "doc{id}.txt", "source_file_base64": "{b64}", "job_id": "job-{id}"}',
@@ -125,10 +127,15 @@ BASE64_CASES = (0, 12)
 REGION_BY_CASE = {8: " eu-west-1 ", 0: "  "}
 
 
-def request_rows(events: DataFrame) -> DataFrame:
-    """events -> requests(event_id, body, is_base64, query)."""
+def request_rows(events: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """events -> requests(event_id, body, is_base64, query). Article requests ask for the URL of
+    the page whose id equals the event id when there is one (an equi-join with ``pages``)."""
     n = len(REQUEST_BODIES)
     e = events.select(F.col("event_id").alias("_id"), "user_id", "event_type")
+    if pages is not None:
+        e = e.join(pages.select(F.col("page_id").alias("_id"), F.col("url").alias("_page_url")), "_id", "left")
+    else:
+        e = e.withColumn("_page_url", F.lit(None).cast("string"))
     case = F.col("_id") % n
     # The rendered body is its own column so the base64 wrap below does not repeat it.
     e = e.select("_id", "user_id", case_column("_id", REQUEST_BODIES).alias("_raw"))
@@ -157,7 +164,8 @@ def request_rows_sql() -> str:
   SELECT _id AS event_id,
          CASE WHEN {wrapped} THEN to_base64(encode({raw})) ELSE {raw} END AS body,
          {wrapped} AS is_base64, {region} AS region_param
-  FROM (SELECT event_id AS _id, user_id, event_type FROM events))"""
+  FROM (SELECT e.event_id AS _id, e.user_id, e.event_type, p.url AS _page_url
+        FROM events e LEFT JOIN pages p ON p.page_id = e.event_id))"""
 
 
 # Derived source URLs for the URL rules (one variant per page, chosen by page id).
