@@ -69,3 +69,12 @@ def test_job_id_generated(spark):
     ids = dict(rows(K.assign_job_ids(df), "request_id", "job_id"))
     assert ids[1] == "j"
     assert ids[0].startswith("job-") and ids[0].endswith(ids[0][-8:]) and len(ids[0]) == len("job-20240101T000000000000Z-abcdef12")
+
+
+def test_base64_wrapped_bodies(spark):
+    bodies = ["QQ", "/w==", "@@@", base64.b64encode(b'{"source_url": "https://e.com"}').decode()]
+    out = _run(spark, bodies, b64={0, 1, 2, 3})
+    assert out[0]["error"] == "invalid base64 request body"   # bad padding
+    assert out[1]["error"] == "invalid base64 request body"   # not UTF-8 once decoded
+    assert out[2]["error"] == "invalid JSON request body"     # nothing left after dropping non-alphabet
+    assert out[3]["status_code"] == 202 and out[3]["source_url"] == "https://e.com"
