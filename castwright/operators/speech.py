@@ -205,6 +205,17 @@ def concat_audio(parts: DataFrame, job_key: str = "job_id", order: tuple[str, ..
     )
 
 
+def write_audio_parts(parts: DataFrame, path: str, job_key: str = "job_id",
+                      order: tuple[str, ...] = ("turn_no", "chunk_no"), mode: str = "overwrite") -> None:
+    """T10/K3 without a per-job aggregate: the audio parts of every job are written in
+    (turn, chunk) order under ``<path>/<job_key>=<id>/``; reading a job's part rows in that
+    order and joining their bytes gives the job's audio file. Use this instead of
+    ``concat_audio`` when one job's audio may not fit in one value or one task's memory."""
+    ok = parts.where(F.col("error").isNull()).select(job_key, *order, "audio")
+    ok.repartition(job_key, *order[:1]).sortWithinPartitions(job_key, *order).write.mode(mode).partitionBy(
+        job_key).parquet(path)
+
+
 def synthesis_report(parts: DataFrame, job_key: str = "job_id", turn_key: str = "turn_no") -> DataFrame:
     """Per (job, turn) and per job (``level`` 1) chunk count, input characters, audio bytes."""
     return parts.rollup(job_key, turn_key).agg(

@@ -71,3 +71,15 @@ def test_settings_checks():
             raise AssertionError(bad)
         except SettingsError:
             pass
+
+
+def test_write_audio_parts_in_order(spark, tmp_path):
+    parts = spark.createDataFrame(
+        [("j", 2, 0, bytearray(b"C"), None), ("j", 1, 1, bytearray(b"B"), None), ("j", 1, 0, bytearray(b"A"), None),
+         ("k", 1, 0, None, "boom")],
+        "job_id string, turn_no long, chunk_no long, audio binary, error string")
+    path = str(tmp_path / "audio")
+    S.write_audio_parts(parts, path)
+    back = spark.read.parquet(path).orderBy("job_id", "turn_no", "chunk_no").collect()
+    assert b"".join(bytes(r.audio) for r in back if r.job_id == "j") == b"ABC"
+    assert all(r.job_id == "j" for r in back)
