@@ -1,0 +1 @@
+"""Operators over job tables: intake, events, routing, prompts, turns, chunking, speech, ledger."""

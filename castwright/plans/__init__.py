@@ -1,0 +1 @@
+"""Registered queries over the shipped tables, their DuckDB statements, and whole runs."""

@@ -1,0 +1 @@
+"""Sources: HTML pages, uploaded files and documents, transcript segments."""
