@@ -164,12 +164,13 @@ ModelCall = Callable[[str, str], str]
 
 
 def rewrite(jobs: DataFrame, call_factory: Callable[[], ModelCall], model_id: str, key: str = "job_id",
-            write_once: bool = True) -> DataFrame:
+            write_once: bool = True, concurrency: int = 1) -> DataFrame:
     """M7: jobs(key, text, title, style, source_type, script_mode) -> (key, script, error).
 
     The prompt, family and body are native columns; the call runs once per row inside
-    ``mapInPandas`` (one client per partition) and the result is written to the shared
-    checkpoint folder before use, so a task retry never calls the model twice."""
+    ``mapInPandas`` (one client per partition; ``concurrency`` > 1 overlaps that many calls per
+    task for a latency-bound service, results kept in row order) and the result is written to
+    the shared checkpoint folder before use, so a task retry never calls the model twice."""
     fam = model_family(F.lit(model_id))
     prompt = prompt_column("text", "title", "style", "source_type", "script_mode")
     pre_error = F.coalesce(model_family_error(F.lit(model_id)), prompt_error("script_mode"))
@@ -181,21 +182,29 @@ def rewrite(jobs: DataFrame, call_factory: Callable[[], ModelCall], model_id: st
     key_type = jobs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from concurrent.futures import ThreadPoolExecutor
+
         call = None
-        for pdf in batches:
-            out = []
-            for body, pre in zip(pdf["body"], pdf["pre_error"]):
-                if pre is not None:
-                    out.append((None, pre))
-                    continue
-                if call is None:
+        pool = ThreadPoolExecutor(max_workers=concurrency) if concurrency > 1 else None
+
+        def one(body):
+            try:
+                return call(model_id, body), None
+            except Exception as exc:  # recorded per row
+                return None, f"Model call failed: {exc}"
+
+        try:
+            for pdf in batches:
+                todo = [b for b, pre in zip(pdf["body"], pdf["pre_error"]) if pre is None]
+                if todo and call is None:
                     call = call_factory()
-                try:
-                    out.append((call(model_id, body), None))
-                except Exception as exc:  # recorded per row
-                    out.append((None, f"Model call failed: {exc}"))
-            yield pd.DataFrame({key: pdf[key], "family": pdf["family"],
-                                "response": [o[0] for o in out], "call_error": [o[1] for o in out]})
+                done = iter(pool.map(one, todo) if pool else map(one, todo))
+                out = [(None, pre) if pre is not None else next(done) for pre in pdf["pre_error"]]
+                yield pd.DataFrame({key: pdf[key], "family": pdf["family"],
+                                    "response": [o[0] for o in out], "call_error": [o[1] for o in out]})
+        finally:
+            if pool:
+                pool.shutdown()
 
     called = req.mapInPandas(run, f"{key} {key_type}, family string, response string, call_error string")
     if write_once:

@@ -132,10 +132,11 @@ def _speech_error(provider: str, index: int, status, audio, body, exc: Exception
 
 
 def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys: list[str],
-               write_once: bool = True) -> DataFrame:
+               write_once: bool = True, concurrency: int = 1) -> DataFrame:
     """Call the speech service once per request row.
 
-    ``call_factory`` is invoked once per partition on the executor (one client per task).
+    ``call_factory`` is invoked once per partition on the executor (one client per task);
+    ``concurrency`` > 1 overlaps that many calls per task (results kept in row order).
     Output: keys + chunk_no, input_chars, audio (binary), audio_bytes, error. Rows that already
     carry a request error are passed through without a call.
     """
@@ -146,31 +147,38 @@ def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys
     schema = f"{key_schema}, chunk_no bigint, input_chars bigint, audio binary, audio_bytes bigint, error string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = None
-        for pdf in batches:
-            audio_out, err_out = [], []
-            for rec in pdf.to_dict("records"):
-                if rec.get("request_error"):
-                    audio_out.append(None)
-                    err_out.append(rec["request_error"])
-                    continue
-                if call is None:
-                    call = call_factory()
-                status = audio = body = exc = None
-                try:
-                    status, audio, body = call(rec)
-                except Exception as e:  # transport failure, recorded per chunk
-                    exc = e
-                index = int(rec["chunk_no"]) if rec["chunk_no"] is not None else -1
-                err = _speech_error(rec["provider"], index, status, audio, body, exc)
-                audio_out.append(None if err else bytes(audio))
-                err_out.append(err)
-            out = pdf[keys + ["chunk_no"]].copy()
-            out["input_chars"] = [len(t) if isinstance(t, str) else None for t in pdf["chunk"]]
-            out["audio"] = audio_out
-            out["audio_bytes"] = [len(a) if a is not None else None for a in audio_out]
-            out["error"] = err_out
-            yield out
+        from concurrent.futures import ThreadPoolExecutor
+
+        state = {"call": None}
+        pool = ThreadPoolExecutor(max_workers=concurrency) if concurrency > 1 else None
+
+        def one(rec: dict) -> tuple:
+            status = audio = body = exc = None
+            try:
+                status, audio, body = state["call"](rec)
+            except Exception as e:  # transport failure, recorded per chunk
+                exc = e
+            index = int(rec["chunk_no"]) if rec["chunk_no"] is not None else -1
+            err = _speech_error(rec["provider"], index, status, audio, body, exc)
+            return (None if err else bytes(audio)), err
+
+        try:
+            for pdf in batches:
+                recs = pdf.to_dict("records")
+                todo = [r for r in recs if not r.get("request_error")]
+                if todo and state["call"] is None:
+                    state["call"] = call_factory()
+                done = iter(pool.map(one, todo) if pool else map(one, todo))
+                results = [(None, r["request_error"]) if r.get("request_error") else next(done) for r in recs]
+                out = pdf[keys + ["chunk_no"]].copy()
+                out["input_chars"] = [len(t) if isinstance(t, str) else None for t in pdf["chunk"]]
+                out["audio"] = [a for a, _ in results]
+                out["audio_bytes"] = [len(a) if a is not None else None for a, _ in results]
+                out["error"] = [e for _, e in results]
+                yield out
+        finally:
+            if pool:
+                pool.shutdown()
 
     out = src.mapInPandas(run, schema)
     return materialize(out, "speech") if write_once else out

@@ -44,3 +44,16 @@ def test_response_parsing(spark):
     got = [(x.t, x.e) for x in df.select(P.response_text("f", "r").alias("x")).select("x.*").select(
         F.col("text").alias("t"), F.col("error").alias("e")).collect()]
     assert got == [(t, e) for _, _, t, e in cases]
+
+
+def test_rewrite_with_concurrent_calls_keeps_row_order(spark):
+    jobs = spark.createDataFrame([(f"j{i}", f"text {i}", None, "podcast", "text", "single" if i % 5 else "trio")
+                                  for i in range(40)],
+                                 "job_id string, text string, title string, style string, source_type string, script_mode string")
+    out = {r.job_id: (r.script, r.error) for r in
+           P.rewrite(jobs, P.echo_model, "amazon.nova-lite-v1:0", concurrency=4, write_once=False).collect()}
+    for i in range(40):
+        if i % 5:
+            assert out[f"j{i}"] == (f"text {i}", None)
+        else:
+            assert out[f"j{i}"] == (None, P.PROMPT_MODE_ERROR)

@@ -44,7 +44,7 @@ def test_synthesis_errors_and_concat(spark):
             return 200, {"a": b"voice-a", "b": b"voice-b", "c": b"x"}[rec["chunk"]], None
         return call
 
-    parts = S.synthesize(req, factory, keys=["job_id", "turn_no"])
+    parts = S.synthesize(req, factory, keys=["job_id", "turn_no"], concurrency=3)
     errs = {(r[0], r[1], r[2]): r[3] for r in rows(parts, "job_id", "turn_no", "chunk_no", "error")}
     assert errs[("k", 1, 1)] == "ElevenLabs request failed (status=500, chunk=1): upstream broke"
     out = {r[0]: (r[1], r[2]) for r in rows(S.concat_audio(parts), "job_id", "audio", "error")}
