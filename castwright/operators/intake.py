@@ -252,15 +252,44 @@ def intake_requests(requests: DataFrame, key: str = "request_id", body: str = "b
 GENERATED_JOB_ID_RX = r"^job-[0-9]{8}T[0-9]{12}Z-[0-9a-f]{8}\z"
 
 
+def _generated_id() -> Column:
+    stamp = F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmssSSSSSS'Z'")
+    suffix = F.substring(F.replace(F.expr("uuid()"), F.lit("-"), F.lit("")), 1, 8)
+    return F.concat(F.lit("job-"), stamp, F.lit("-"), suffix)
+
+
 def assign_job_ids(accepted: DataFrame, job_col: str = "job_id") -> DataFrame:
     """V5: keep a given id, else ``job-<UTC yyyyMMddTHHmmssffffff>Z-<8 hex>``.
 
     Non-deterministic: the caller must materialise the result (``session.materialize``)
-    before it is used twice."""
-    stamp = F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmssSSSSSS'Z'")
-    suffix = F.substring(F.replace(F.expr("uuid()"), F.lit("-"), F.lit("")), 1, 8)
-    generated = F.concat(F.lit("job-"), stamp, F.lit("-"), suffix)
-    return accepted.withColumn(job_col, F.coalesce(F.col(job_col), generated))
+    before it is used twice; ``unique_job_ids`` does that and also repairs collisions."""
+    return accepted.withColumn(job_col, F.coalesce(F.col(job_col), _generated_id()))
+
+
+def unique_job_ids(accepted: DataFrame, key: str, job_col: str = "job_id", max_rounds: int = 5) -> DataFrame:
+    """V5 for a whole batch, written once. All ids of one batch share the batch timestamp, so
+    their 8-hex suffixes can collide in a large batch (about n^2 / 2^33 pairs); generated ids
+    that collide with another id are drawn again until none do (a few rounds at most). Each
+    round is one aggregation on the id column and a rewrite of the affected rows only."""
+    from castwright.session import materialize
+
+    given = F.col(job_col).isNotNull()
+    ids = materialize(accepted.withColumn("_generated", ~given).withColumn(
+        job_col, F.coalesce(F.col(job_col), _generated_id())), "job-ids")
+    for _ in range(max_rounds):
+        dup = ids.groupBy(job_col).agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(~F.col("_generated"), 1)).alias("_has_given"),
+                                       F.min(key).alias("_first"))
+        clash = dup.where(F.col("_n") > 1)
+        if not clash.take(1):
+            break
+        # keep a given id, or else the first generated row of each clashing id; redraw the rest
+        redraw = ids.join(clash, job_col, "left").select(
+            *[F.col(c) for c in ids.columns if c != job_col],
+            F.when(F.col("_n").isNotNull() & F.col("_generated")
+                   & (F.col("_has_given").isNotNull() | (F.col(key) != F.col("_first"))),
+                   _generated_id()).otherwise(F.col(job_col)).alias(job_col))
+        ids = materialize(redraw, "job-ids")
+    return ids.drop("_generated")
 
 
 def accept_response(intake: DataFrame, key: str = "request_id") -> DataFrame:

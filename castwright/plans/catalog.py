@@ -266,7 +266,7 @@ def job_id_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     accepted = _intake(spark, sf_dir).where("status_code = 202").select(
         "event_id", F.col("job_id").alias("job_id_given"), "job_id")
-    ids = materialize(intake.assign_job_ids(accepted), "job-ids")
+    ids = intake.unique_job_ids(accepted, key="event_id")
     generated = F.col("job_id_given").isNull()
     well_formed = F.when(generated, F.col("job_id").rlike(intake.GENERATED_JOB_ID_RX)).otherwise(
         F.col("job_id") == F.col("job_id_given"))

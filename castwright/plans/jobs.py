@@ -32,8 +32,8 @@ def run_requests(requests: DataFrame, settings: Settings,
     ``sources``, ``scripts``, ``turns``, ``chunks``, ``parts``, ``audio`` and ``ledger``
     (one row per accepted job: status, failed stage, error, counts, duration estimate)."""
     decided = intake.intake_requests(requests, key=key)
-    accepted = materialize(
-        intake.assign_job_ids(decided.where(F.col("status_code") == 202).drop("status_code", "error")), "jobs")
+    accepted = intake.unique_job_ids(
+        decided.where(F.col("status_code") == 202).drop("status_code", "error"), key=key)
     attrs = accepted.select("job_id", "style", "script_mode", "voice_id", "voice_id_b",
                             F.lit(None).cast("string").alias("title"))
 

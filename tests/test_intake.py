@@ -78,3 +78,22 @@ def test_base64_wrapped_bodies(spark):
     assert out[1]["error"] == "invalid base64 request body"   # not UTF-8 once decoded
     assert out[2]["error"] == "invalid JSON request body"     # nothing left after dropping non-alphabet
     assert out[3]["status_code"] == 202 and out[3]["source_url"] == "https://e.com"
+
+
+def test_unique_job_ids_repairs_collisions(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    calls = {"n": 0}
+    real = K._generated_id
+
+    def tiny_space():
+        # first draw: only 4 possible ids for 40 rows (forced clashes); later draws: the real rule
+        calls["n"] += 1
+        if calls["n"] == 1:
+            return F.concat(F.lit("job-x-"), (F.rand(7) * 4).cast("int").cast("string"))
+        return real()
+
+    monkeypatch.setattr(K, "_generated_id", tiny_space)
+    df = spark.createDataFrame([(i, "given" if i == 0 else None) for i in range(40)], "request_id long, job_id string")
+    ids = [r.job_id for r in K.unique_job_ids(df, key="request_id").collect()]
+    assert len(ids) == 40 and len(set(ids)) == 40 and "given" in ids
