@@ -32,6 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -104,3 +105,30 @@ def observed(df: DataFrame, name: str, *metrics) -> DataFrame:
 
     ms = list(metrics) or [F.count(F.lit(1)).alias("rows")]
     return df.observe(f"{name}-{uuid.uuid4().hex[:8]}", *ms)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``castwright`` importable on the executors' Python workers (``addPyFile`` of a zip
+    of the package, once per application), whatever their working directory or path."""
+    import zipfile
+
+    import castwright
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(castwright.__file__))
+    fd, path = tempfile.mkstemp(suffix=".zip", prefix="castwright-pkg-")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
