@@ -39,7 +39,7 @@ WORDS = 200_000
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: How many quartile ranges outside the quartiles a band reaches, and its least half width.
 REACH = 4.0
-SLACK = {"chars_per_token": 0.15, "chars_per_byte_token": 0.15, "fallback_share": 0.02, "entropy_share": 0.05}
+SLACK = {"chars_per_token": 0.04, "chars_per_byte_token": 0.04, "fallback_share": 0.02, "entropy_share": 0.05}
 _SYMBOLS, _BLANK = b"#*$%&|<>", b" \t\n\x0b\x0c\r"
 #: First bytes of UTF-8 characters by script (fixed values).
 _SCRIPTS = {"greek": (0xCD, 0xD0), "cyrillic": (0xD0, 0xD4), "arabic": (0xD8, 0xDC), "indic": (0xE0, 0xE1), "cjk": (0xE3, 0xED)}

@@ -1,9 +1,11 @@
 """Operator 4: toxicity, a convolutional text classifier trained in numpy.
 
-Words (lower-cased, punctuation off) are hashed to buckets with an embedding each. Filters of one,
-two and three words slide over the whole text, each gives its largest response (max pooling), and a
-linear layer over those gives a logit. Training is minibatch Adam on a bounded sample; buckets that
-fewer than ``MIN_DOCS`` training texts hold stay at zero, so rare words cannot be learnt by heart.
+Words (lower-cased, punctuation off) and their beginnings of four and six bytes are hashed to buckets
+with an embedding each; a word is the sum of the three, so forms of one stem share what is learnt.
+Filters of one, two and three words slide over the whole text, each gives its largest response (max
+pooling), and a linear layer over those gives a logit. Training is minibatch Adam on a bounded sample;
+buckets that fewer than ``MIN_DOCS`` training texts hold count as zero, so rare words cannot be learnt
+by heart, and only the others get a row in the model.
 For scoring, embedding and filters are multiplied out to one table for each filter position, so a
 text costs a few lookups and a maximum per word.
 
@@ -30,10 +32,13 @@ from castwright.llm.common import add_arrow_columns
 from castwright.llm.decontaminate import words_of
 from castwright.llm.training import labelled_sample
 
-BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 6, (1, 2, 3)
-PER_CLASS, MAX_WORDS, MIN_DOCS = 2000, 20_000, 4
+BUCKETS, DIM, FILTERS, WIDTHS, STEMS = 1 << 20, 8, 6, (1, 2, 3), (4, 6)
+PER_CLASS, MAX_WORDS, MIN_DOCS = 2000, 20_000, 5
 MOD, HELD_OUT, CALIBRATION = 5, 0, 4
 EPOCHS, BATCH, RATE, DECAY = 4, 32, 0.02, 1e-4
+#: Distinct words that a task remembers; it forgets them all when full.
+WORDS = 200_000
+_SCORERS: dict = {}
 #: Function words that tell languages apart (fixed values).
 LANGUAGES = {
     "en": "the of and to in is that it with was for be on are this by from",
@@ -43,21 +48,24 @@ LANGUAGES = {
 }
 
 
-def bucket_ids(text: str | None) -> np.ndarray:
-    """Bucket of each word, 1 to BUCKETS - 1."""
-    words = words_of(text)
-    return np.fromiter(map(crc32, words), np.int64, len(words)) % (BUCKETS - 1) + 1
+def bucket_ids(words: list[bytes]) -> np.ndarray:
+    """Buckets, 1 to BUCKETS - 1, of each word and of its beginnings (words x 3)."""
+    out = np.zeros((len(words), 1 + len(STEMS)), np.int64)
+    out[:, 0] = np.fromiter(map(crc32, words), np.int64, len(words))
+    for k, size in enumerate(STEMS, 1):
+        out[:, k] = np.fromiter((crc32(w[:size], k) if len(w) > size else 0 for w in words), np.int64, len(words))
+    return np.where(out > 0, out % (BUCKETS - 1) + 1, 0)
 
 
 def _language_table() -> np.ndarray:
-    table = np.zeros(BUCKETS, np.int64)
+    table = np.zeros(BUCKETS, np.int8)
     owners: dict[str, list[int]] = {}
     for k, words in enumerate(LANGUAGES.values(), 1):
         for w in words.split():
             owners.setdefault(w, []).append(k)
     for w, ks in owners.items():
         if len(ks) == 1:
-            table[bucket_ids(w)] = ks[0]
+            table[bucket_ids([w.encode()])[:, 0]] = ks[0]
     return table
 
 
@@ -72,11 +80,15 @@ class TextCnn:
                 some = np.unique(ids)
                 seen[some] += 1
                 toxic[some] += v
-        self.known = seen >= MIN_DOCS
+        seen[0] = 0
+        known = np.flatnonzero(seen >= MIN_DOCS)
+        self.row = np.zeros(BUCKETS, np.int32)  # row of a bucket in the model; 0: not known
+        self.row[known] = np.arange(1, len(known) + 1)
         n1, n0 = max(1, (y[~calibration] == 1).sum()), max(1, (y[~calibration] == 0).sum())
-        odds = np.log((toxic + 0.5) / (n1 + 1)) - np.log((seen - toxic + 0.5) / (n0 + 1))
-        self.emb = np.where(self.known[:, None], rng.normal(0, 0.1, (BUCKETS, DIM)), 0.0)
-        self.emb[:, 0] = np.where(self.known, np.clip(odds, -3, 3) / 3, 0)  # start from the words' odds
+        odds = np.log((toxic[known] + 0.5) / (n1 + 1)) - np.log((seen[known] - toxic[known] + 0.5) / (n0 + 1))
+        self.emb = rng.normal(0, 0.1, (len(known) + 1, DIM))
+        self.emb[1:, 0] = np.clip(odds, -3, 3) / 3  # start from the words' odds
+        self.emb[0] = 0
         self.w = {k: rng.normal(0, 0.3, (k, DIM, FILTERS)) for k in WIDTHS}
         for k in WIDTHS:
             self.w[k][0, 0, 0] = 1.0
@@ -85,16 +97,15 @@ class TextCnn:
         self.languages = _language_table()
         self.cuts = np.zeros(len(LANGUAGES) + 1)
         train = np.flatnonzero(~calibration)
-        ids = [np.where(self.known[t], t, 0) for t in texts]
-        self._train([ids[i] for i in train], y[train].astype(float), rng)
-        self._tabulate()
+        self._train([self.row[texts[i]] for i in train], y[train].astype(float), rng)
+        self.table = np.concatenate([self.emb @ self.w[k][j] for k in WIDTHS for j in range(k)], axis=1).astype(np.float32)
         self._calibrate(texts, y, np.flatnonzero(calibration))
 
     def _train(self, ids: list[np.ndarray], y: np.ndarray, rng) -> None:
         params = {("w", k): self.w[k] for k in WIDTHS} | {("b", k): self.b[k] for k in WIDTHS} | {("v", 0): self.v}
         m = {k: np.zeros_like(p) for k, p in params.items()}
         s = {k: np.zeros_like(p) for k, p in params.items()}
-        adagrad = np.full(BUCKETS, 1e-3)
+        adagrad = np.full(len(self.emb), 1e-3)
         weight = np.where(y == 1, len(y) / (2 * max(1, y.sum())), len(y) / (2 * max(1, (1 - y).sum())))
         step = 0
         for _ in range(EPOCHS):
@@ -105,9 +116,8 @@ class TextCnn:
                 rows, slopes, grad_c = [], [], 0.0
                 batch = order[at : at + BATCH]
                 for i in batch:
-                    t = np.concatenate((ids[i], np.zeros(max(WIDTHS) - 1, np.int64)))
-                    x, n, pooled, where = self.emb[t], len(ids[i]) or 1, [], []
-                    x = x if len(x) >= n + max(WIDTHS) - 1 else np.zeros((n + max(WIDTHS) - 1, DIM))
+                    t, n = self._padded(ids[i])
+                    x, pooled, where = self.emb[t].sum(1), [], []
                     for k in WIDTHS:
                         r = sum(x[j : j + n] @ self.w[k][j] for j in range(k)) + self.b[k]
                         best = r.argmax(0)
@@ -127,9 +137,9 @@ class TextCnn:
                         for j in range(k):
                             place = where[q] + j
                             grads[("w", k)][j] += x[place].T * part
-                            word = t[place] if len(t) > place.max() else np.zeros(FILTERS, np.int64)
-                            rows.append(word)
-                            slopes.append((self.w[k][j] * part).T)
+                            for part_of_word in t[place].T:
+                                rows.append(part_of_word)
+                                slopes.append((self.w[k][j] * part).T)
                 for k, p in params.items():
                     m[k] = 0.9 * m[k] + 0.1 * grads[k]
                     s[k] = 0.999 * s[k] + 0.001 * grads[k] ** 2
@@ -143,34 +153,38 @@ class TextCnn:
                 self.emb[some] -= RATE * total / np.sqrt(adagrad[some])[:, None]
                 self.emb[0] = 0
 
-    def _tabulate(self) -> None:
-        """One table (bucket x filter) for each position of each width."""
-        emb = np.where(self.known[:, None], self.emb, 0)
-        self.tables = {k: [(emb @ self.w[k][j]).astype(np.float32) for j in range(k)] for k in WIDTHS}
+    @staticmethod
+    def _padded(rows: np.ndarray) -> tuple[np.ndarray, int]:
+        """Rows of a text with zero words after it, for the last windows; an empty text is one zero word."""
+        n = max(1, len(rows))
+        out = np.zeros((n + max(WIDTHS) - 1, 1 + len(STEMS)), np.int64)
+        out[: len(rows)] = rows
+        return out, n
+
+    def responses(self, ids: np.ndarray) -> np.ndarray:
+        """What each word adds to each filter at each of its positions (words x 36)."""
+        return self.table[self.row[ids]].sum(1)
 
-    def logit(self, ids: np.ndarray) -> float:
-        ids = np.concatenate((ids if len(ids) else [0], np.zeros(max(WIDTHS) - 1, np.int64))).astype(np.int64)
-        n, pooled = len(ids) - max(WIDTHS) + 1, []
+    def logit(self, responses: np.ndarray) -> float:
+        """Largest response of each filter over the text, through the linear layer."""
+        n, at, pooled = max(1, len(responses)), 0, []
+        after = np.zeros((n + max(WIDTHS) - 1 - len(responses), responses.shape[1]), np.float32)
+        r = np.concatenate((responses, after))
         for k in WIDTHS:
-            best = np.full(FILTERS, -np.inf)
-            for at in range(0, n, 1 << 16):
-                to = min(n, at + (1 << 16))
-                r = self.tables[k][0][ids[at:to]]
-                for j in range(1, k):
-                    r = r + self.tables[k][j][ids[at + j : to + j]]
-                best = np.maximum(best, r.max(0))
-            pooled.append(np.maximum(best + self.b[k], 0))
+            whole = sum(r[j : j + n, at + j * FILTERS : at + (j + 1) * FILTERS] for j in range(k))
+            pooled.append(np.maximum(whole.max(0) + self.b[k], 0))
+            at += k * FILTERS
         return float(np.concatenate(pooled) @ self.v + self.c)
 
-    def language(self, ids: np.ndarray) -> int:
-        """Number of the language with most function words in the text (0: none)."""
-        n = np.bincount(self.languages[ids], minlength=len(LANGUAGES) + 1)
+    def language(self, spoken: np.ndarray) -> int:
+        """Number of the language with most function words among a text's words (0: none)."""
+        n = np.bincount(spoken, minlength=len(LANGUAGES) + 1)
         n[0] = 0
         return int(n.argmax()) if n.any() else 0
 
     def _calibrate(self, texts, y, rows) -> None:
-        logits = np.array([self.logit(texts[i]) for i in rows])
-        spoken = np.array([self.language(texts[i]) for i in rows])
+        logits = np.array([self.logit(self.responses(texts[i])) for i in rows])
+        spoken = np.array([self.language(self.languages[texts[i][:, 0]]) for i in rows])
         whole = self._best_cut(logits, y[rows])
         for k in range(len(self.cuts)):
             own = spoken == k
@@ -189,26 +203,52 @@ class TextCnn:
         at = int(np.argmax(np.where(new, right, -1)))
         return float((x[at - 1] + x[at]) / 2) if at else float(x[0] - 1)
 
-    def score(self, text: str | None) -> float:
-        ids = bucket_ids(text)
-        z = self.logit(ids) - self.cuts[self.language(ids)]
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
     def __getstate__(self):
-        keep = ("known", "tables", "b", "v", "c", "languages", "cuts")
+        keep = ("row", "table", "b", "v", "c", "languages", "cuts")
         return {k: self.__dict__[k] for k in keep}
 
 
+class Scorer:
+    """A model and what it gives for each distinct word (a bounded memory of words)."""
+
+    def __init__(self, model: TextCnn):
+        self.model, self.known = model, {}
+        self.responses = np.zeros((0, model.table.shape[1]), np.float32)
+        self.spoken = np.zeros(0, np.int8)
+
+    def _learn(self, words: set[bytes]) -> None:
+        fresh = [w for w in words if w not in self.known]
+        if len(self.known) + len(fresh) > WORDS:
+            self.known.clear()
+            fresh, self.responses, self.spoken = list(words), self.responses[:0], self.spoken[:0]
+        if fresh:
+            ids = bucket_ids(fresh)
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            self.responses = np.concatenate((self.responses, self.model.responses(ids)))
+            self.spoken = np.concatenate((self.spoken, self.model.languages[ids[:, 0]]))
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        """Probability of being toxic of each whole text."""
+        cut = [words_of(t) for t in texts]
+        self._learn({w for words in cut for w in words})
+        out = []
+        for words in cut:
+            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            z = self.model.logit(self.responses[at]) - self.model.cuts[self.model.language(self.spoken[at])]
+            out.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
+        return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> TextCnn | None:
     """Model of ``labels.toxic``; None without rows of both classes."""
     short = docs.where(F.length("text") <= 10 * MAX_WORDS)
     sample = labelled_sample(short, labels, "toxic", per_class, MOD, HELD_OUT)
-    made = add_arrow_columns(sample, "text", "x array<int>", lambda texts: [pa.array([bucket_ids(t).astype(np.int32) for t in texts], pa.list_(pa.int32()))])
+    made = add_arrow_columns(sample, "text", "x array<int>", lambda texts: [pa.array([bucket_ids(words_of(t)).ravel().astype(np.int32) for t in texts], pa.list_(pa.int32()))])
     rows = made.select("doc_id", "label", "fold", "x").toArrow().sort_by("doc_id")
     y = rows["label"].to_numpy().astype(np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    texts = [np.asarray(x.values, np.int64) for x in rows["x"].combine_chunks()] if len(y) else []
+    texts = [np.asarray(x.values).reshape(-1, 1 + len(STEMS)) for x in rows["x"].combine_chunks()]
     calibration = rows["fold"].to_numpy() == CALIBRATION
     if min((y[~calibration] == v).sum() for v in (0, 1)) == 0:
         calibration[:] = False
@@ -218,9 +258,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> TextC
 def score(docs: DataFrame, model: TextCnn | None, column: str = "score") -> DataFrame:
     """``docs`` with the probability that a text is toxic."""
     held = docs.sparkSession.sparkContext.broadcast(model)
+    spec = f"`{column}` double"
 
     def run(texts):
-        own = held.value
-        return [pa.array([own.score(t) if own else 0.0 for t in texts], pa.float64())]
+        model = held.value
+        if model is None:
+            return [pa.array(np.zeros(len(texts)))]
+        if _SCORERS.get("model") is not model:
+            _SCORERS.update(model=model, scorer=Scorer(model))
+        return [pa.array(_SCORERS["scorer"].scores(texts), pa.float64())]
 
-    return add_arrow_columns(docs, "text", f"`{column}` double", run)
+    return add_arrow_columns(docs, "text", spec, run)
