@@ -113,3 +113,12 @@ def html_escape_text(c: Column | str) -> Column:
     x = F.replace(_col(c), F.lit("&"), F.lit("&amp;"))
     x = F.replace(x, F.lit("<"), F.lit("&lt;"))
     return F.replace(x, F.lit(">"), F.lit("&gt;"))
+
+
+def utc_seconds(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a timestamp in UTC, whatever the session's time zone is (a
+    timestamp without zone is taken as UTC already)."""
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    seconds = F.unix_micros(ts.cast("timestamp")).cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")
+    moved = epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.substring(F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("string")).otherwise(moved.cast("string")), 1, 19)

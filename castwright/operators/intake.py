@@ -11,11 +11,13 @@ beyond 64 bits are typed as decimals.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from castwright.functions.encoding import is_strict_base64
-from castwright.functions.text import py_strip
+from castwright.functions.text import py_strip, utc_seconds
 from castwright.functions.urls import is_video_url
 from castwright.session import observed
 from castwright.settings import DEFAULT_SCRIPT_MODE, DEFAULT_STYLE, SCRIPT_MODES
@@ -181,7 +183,9 @@ def normalize_request(query: Column | None = None) -> dict[str, Column]:
     out["normalize_error"] = first_error(*checks)
     if query is not None:
         out["region"] = F.coalesce(query_param(query, "region"), F.lit(DEFAULT_REGION))
-        out["state_machine_arn"] = F.coalesce(out["state_machine_arn"], query_param(query, "state_machine_arn"))
+        # only an absent or null field falls through to the query parameter
+        out["state_machine_arn"] = F.when(_absent("state_machine_arn"), query_param(query, "state_machine_arn")).otherwise(
+            out["state_machine_arn"])
     return out
 
 
@@ -253,43 +257,34 @@ GENERATED_JOB_ID_RX = r"^job-[0-9]{8}T[0-9]{12}Z-[0-9a-f]{8}\z"
 
 
 def _generated_id() -> Column:
-    stamp = F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmssSSSSSS'Z'")
-    suffix = F.substring(F.replace(F.expr("uuid()"), F.lit("-"), F.lit("")), 1, 8)
-    return F.concat(F.lit("job-"), stamp, F.lit("-"), suffix)
+    """``job-<UTC yyyyMMddTHHmmssffffff>Z-<8 hex>``, no two alike within a batch by construction.
+
+    A row is its partition and its number there (``monotonically_increasing_id``). The number is
+    added to the batch time in microseconds, the partition gives the eight digits through an odd
+    factor and the batch's random start (one-to-one modulo 2^32)."""
+    place = F.monotonically_increasing_id()
+    row, part = place.bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright(place, 33)
+    micros = F.unix_micros(F.current_timestamp()) + row
+    seconds = F.translate(utc_seconds(F.timestamp_micros(micros)), " -:", "T")
+    stamp = F.concat(seconds, F.lpad((micros % 1000000).cast("string"), 6, "0"), F.lit("Z"))
+    digits = F.pmod(part * F.lit(0x9E3779B1) + F.lit(secrets.randbits(32)), F.lit(1 << 32))
+    return F.concat(F.lit("job-"), stamp, F.lit("-"), F.lower(F.lpad(F.hex(digits), 8, "0")))
 
 
 def assign_job_ids(accepted: DataFrame, job_col: str = "job_id") -> DataFrame:
-    """V5: keep a given id, else ``job-<UTC yyyyMMddTHHmmssffffff>Z-<8 hex>``.
+    """V5: keep a given id, else generate one.
 
     Non-deterministic: the caller must materialise the result (``session.materialize``)
-    before it is used twice; ``unique_job_ids`` does that and also repairs collisions."""
+    before it is used twice; ``unique_job_ids`` does that."""
     return accepted.withColumn(job_col, F.coalesce(F.col(job_col), _generated_id()))
 
 
-def unique_job_ids(accepted: DataFrame, key: str, job_col: str = "job_id", max_rounds: int = 5) -> DataFrame:
-    """V5 for a whole batch, written once. All ids of one batch share the batch timestamp, so
-    their 8-hex suffixes can collide in a large batch (about n^2 / 2^33 pairs); generated ids
-    that collide with another id are drawn again until none do (a few rounds at most). Each
-    round is one aggregation on the id column and a rewrite of the affected rows only."""
+def unique_job_ids(accepted: DataFrame, job_col: str = "job_id") -> DataFrame:
+    """V5 for a whole batch, written once: one pass, without a shuffle. Given ids stay as they are,
+    repeats included (``job_id`` only names artefacts; runs are told apart by their request key)."""
     from castwright.session import materialize
 
-    given = F.col(job_col).isNotNull()
-    ids = materialize(accepted.withColumn("_generated", ~given).withColumn(
-        job_col, F.coalesce(F.col(job_col), _generated_id())), "job-ids")
-    for _ in range(max_rounds):
-        dup = ids.groupBy(job_col).agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(~F.col("_generated"), 1)).alias("_has_given"),
-                                       F.min(key).alias("_first"))
-        clash = dup.where(F.col("_n") > 1)
-        if not clash.take(1):
-            break
-        # keep a given id, or else the first generated row of each clashing id; redraw the rest
-        redraw = ids.join(clash, job_col, "left").select(
-            *[F.col(c) for c in ids.columns if c != job_col],
-            F.when(F.col("_n").isNotNull() & F.col("_generated")
-                   & (F.col("_has_given").isNotNull() | (F.col(key) != F.col("_first"))),
-                   _generated_id()).otherwise(F.col(job_col)).alias(job_col))
-        ids = materialize(redraw, "job-ids")
-    return ids.drop("_generated")
+    return materialize(assign_job_ids(accepted, job_col), "job-ids")
 
 
 def accept_response(intake: DataFrame, key: str = "request_id") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from castwright.functions.text import py_strip
+from castwright.functions.text import py_strip, utc_seconds
 
 # Artefact names under jobs/<job_id>/.
 ARTEFACTS = (("source", "source.txt"), ("script", "script.txt"), ("script_metadata", "script.json"),
@@ -18,6 +18,7 @@ ARTEFACTS = (("source", "source.txt"), ("script", "script.txt"), ("script_metada
 STAGE_ORDER = ("fetch", "rewrite", "generate")
 
 E_MISSING_ARN = "missing required parameter: execution_arn"
+E_NO_OUTPUT = "stage gave no output: "
 
 
 def artefact_key(job_id: Column | str, file_name: str) -> Column:
@@ -45,7 +46,7 @@ def iso_timestamp(ts: Column | str) -> Column:
     when non-zero, ``+00:00`` offset)."""
     t = (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp")
     micros = F.unix_micros(t) % 1000000
-    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    base = F.translate(utc_seconds(F.col(ts) if isinstance(ts, str) else ts), " ", "T")
     frac = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(F.lit(""))
     return F.when(t.isNotNull(), F.concat(base, frac, F.lit("+00:00")))
 
@@ -83,7 +84,9 @@ def run_status(lookups: DataFrame, runs: DataFrame, key: str = "request_id", arn
     r = runs.select(
         F.col("execution_arn").alias("_arn"), "state_machine_arn", "status", "start_date", "stop_date",
         "input", "output")
-    j = ids.join(r, "_arn", "left")
+    # Blank ids get a key of their own each (no run has it), so they do not meet in one partition.
+    own = F.coalesce(F.col("_arn"), F.concat(F.lit("\u0000"), F.col(key).cast("string")))
+    j = ids.withColumn("_at", own).join(r.withColumnRenamed("_arn", "_at"), "_at", "left")
     found = F.col("status").isNotNull()
     i = json_or_raw("input")
     o = json_or_raw("output")
@@ -108,6 +111,9 @@ def run_ledger(stage_results: dict[str, DataFrame], key: str = "job_id",
     per job: status, failed stage, error of the first failing stage, plus the ``counts``
     columns (each taken from whichever stage table carries it).
 
+    A job has SUCCEEDED only with a row without error in the last stage; one that ended without
+    any error row is FAILED at the first stage it has no row of.
+
     The stage tables are unioned (narrow: key, stage rank, error, counts) and reduced with one
     aggregation per job (``min_by`` for the first failure, partial aggregation map-side), so the
     ledger costs one shuffle on the job key."""
@@ -122,10 +128,15 @@ def run_ledger(stage_results: dict[str, DataFrame], key: str = "job_id",
     agg = u.groupBy(key).agg(
         F.expr("min_by(_stage, _rank) FILTER (WHERE error IS NOT NULL)").alias("failed_stage"),
         F.expr("min_by(error, _rank) FILTER (WHERE error IS NOT NULL)").alias("error"),
+        F.max("_rank").alias("_reached"),
         *[F.max(c).alias(c) for c in counts],
     )
+    stages = F.array(*[F.lit(s) for s in stage_results])
+    missing = F.when(F.col("failed_stage").isNull() & (F.col("_reached") < len(stage_results) - 1),
+                     F.get(stages, F.col("_reached") + 1))
     return agg.select(
         key,
-        F.when(F.col("failed_stage").isNull(), F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("status"),
-        "failed_stage", "error", *counts,
+        F.when(F.coalesce("failed_stage", missing).isNull(), F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("status"),
+        F.coalesce("failed_stage", missing).alias("failed_stage"),
+        F.coalesce("error", F.concat(F.lit(E_NO_OUTPUT), missing)).alias("error"), *counts,
     )

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from castwright.session import materialize
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 DEFAULT_BLOCK_ROWS = 4096
@@ -77,8 +78,10 @@ def ranged_running_sum(df: DataFrame, key: str, order: list[str] | tuple[str, ..
     spark = df.sparkSession
     n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     order = list(order)
-    ranged = df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order]).withColumn(
-        "_range", F.spark_partition_id())
+    # The ranges are fixed by writing them: a plan that reads the exchange again (columns pruned
+    # differently) would sample other bounds.
+    ranged = materialize(df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order]).withColumn(
+        "_range", F.spark_partition_id()), "ranges")
     local_w = Window.partitionBy("_range", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum(value).over(local_w))
     # first and last key of each range: <= 2 * ranges rows

@@ -164,22 +164,25 @@ ModelCall = Callable[[str, str], str]
 
 
 def rewrite(jobs: DataFrame, call_factory: Callable[[], ModelCall], model_id: str, key: str = "job_id",
-            write_once: bool = True, concurrency: int = 1) -> DataFrame:
-    """M7: jobs(key, text, title, style, source_type, script_mode) -> (key, script, error).
+            write_once: bool = True, concurrency: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """M7: jobs(key, text, title, style, source_type, script_mode) -> (key, *keep, script, error).
 
     The prompt, family and body are native columns; the call runs once per row inside
     ``mapInPandas`` (one client per partition; ``concurrency`` > 1 overlaps that many calls per
     task for a latency-bound service, results kept in row order) and the result is written to
-    the shared checkpoint folder before use, so a task retry never calls the model twice."""
+    the shared checkpoint folder before use, so no later stage calls the model again. A task
+    attempt that fails or runs twice (speculation: leave it off here) repeats the calls of its
+    rows; ``key`` is one run, so a service can be given it to recognise a repeat."""
     fam = model_family(F.lit(model_id))
     prompt = prompt_column("text", "title", "style", "source_type", "script_mode")
     pre_error = F.coalesce(model_family_error(F.lit(model_id)), prompt_error("script_mode"))
     req = jobs.select(
         key, fam.alias("family"),
         F.when(pre_error.isNull(), request_body(fam, prompt)).alias("body"),
-        pre_error.alias("pre_error"),
+        pre_error.alias("pre_error"), *keep,
     )
-    key_type = jobs.schema[key].dataType.simpleString()
+    kept = [key, *keep]
+    kept_schema = ", ".join(f"{c} {jobs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from concurrent.futures import ThreadPoolExecutor
@@ -200,18 +203,18 @@ def rewrite(jobs: DataFrame, call_factory: Callable[[], ModelCall], model_id: st
                     call = call_factory()
                 done = iter(pool.map(one, todo) if pool else map(one, todo))
                 out = [(None, pre) if pre is not None else next(done) for pre in pdf["pre_error"]]
-                yield pd.DataFrame({key: pdf[key], "family": pdf["family"],
+                yield pd.DataFrame({**{c: pdf[c] for c in kept}, "family": pdf["family"],
                                     "response": [o[0] for o in out], "call_error": [o[1] for o in out]})
         finally:
             if pool:
                 pool.shutdown()
 
-    called = req.mapInPandas(run, f"{key} {key_type}, family string, response string, call_error string")
+    called = req.mapInPandas(run, f"{kept_schema}, family string, response string, call_error string")
     if write_once:
         called = materialize(called, "model")
-    parsed = called.select(key, "call_error", response_text("family", "response").alias("r"))
+    parsed = called.select(*kept, "call_error", response_text("family", "response").alias("r"))
     return parsed.select(
-        key,
+        *kept,
         F.when(F.col("call_error").isNull(), F.col("r.text")).alias("script"),
         F.coalesce(F.col("call_error"), F.col("r.error")).alias("error"),
     )

@@ -6,9 +6,9 @@ URL is an article page. The page download is replaced by an equi-join with a ``p
 keyed by URL. Inline payloads are dropped from the output (R14) and the source artefact key and
 character count are added (K1, R13).
 
-Plan: article pages are extracted once per distinct URL (pages semi-joined with the URLs jobs
-ask for), then one linear pipeline per job row (join the article texts -> one projection with
-the conditional file extractors -> optional PDF page-text join).
+Plan: three branches by source. Article rows (ids and URL only) join the texts of the pages they ask
+for, each URL extracted once; file and text rows are projections of their own row, payload dropped on
+the spot; PDF rows alone join page texts. The branches are unioned.
 """
 
 from __future__ import annotations
@@ -58,59 +58,78 @@ def route_error(df: DataFrame | None = None) -> Column:
     )
 
 
+def one_page_per_url(pages: DataFrame) -> DataFrame:
+    """(page_url, html) with one crawl of each URL: that of the largest ``page_id`` (of the page text
+    where the table has no ids). Only URLs and ids are compared; the pages themselves meet by id."""
+    named = pages.select(F.col("url").alias("page_url"), "html", *(["page_id"] if "page_id" in pages.columns else []))
+    if "page_id" not in named.columns:
+        return named.groupBy("page_url").agg(F.max("html").alias("html"))
+    last = named.groupBy("page_url").agg(F.max("page_id").alias("page_id"))
+    return named.join(last, ["page_url", "page_id"], "left_semi").dropDuplicates(["page_url"]).select("page_url", "html")
+
+
 def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: DataFrame | None = None,
-                  default_bucket: str = "podcast-artifacts", mode: str = "nested") -> DataFrame:
-    """jobs(job_id, source_url, source_text, source_file_name, source_file_base64[, bucket])
-    -> (job_id, bucket, source_type, text, article_s3_key, article_char_count, error)."""
+                  default_bucket: str = "podcast-artifacts", mode: str = "nested", key: str = "job_id",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """jobs(key, job_id, source_url, source_text, source_file_name, source_file_base64[, bucket], *keep)
+    -> (key, *keep, bucket, source_type, text, article_s3_key, article_char_count, error).
+
+    ``key`` tells runs apart; ``job_id`` only names the artefact. Article rows meet their page by
+    URL and carry no payload; all other rows stay in their scan partition, so the inline texts and
+    files are dropped before any shuffle (R14)."""
     bucket = F.coalesce(F.col("bucket"), F.lit(default_bucket)) if "bucket" in jobs.columns else F.lit(default_bucket)
-    base = jobs.select(
-        "job_id", "source_url", "source_text", "source_file_name", "source_file_base64",
-        bucket.alias("bucket"), route().alias("_route"),
-    )
-    is_article = (F.col("_route") == "article") & scheme_ok("source_url")
+    kept = list(dict.fromkeys([key, *keep, "job_id"]))
+    base = jobs.select(*kept, "source_url", "source_text", "source_file_name", "source_file_base64",
+                       bucket.alias("bucket"), route().alias("_route"))
+    asked = (F.col("_route") == "article") & scheme_ok("source_url")
+    empty = F.lit(None).cast("string")
+
+    # Articles: each distinct URL is extracted once, however many jobs point at it, and only pages
+    # that some job needs reach the extractor.
+    wanted = base.where(asked).select(*kept, "bucket", F.col("source_url").alias("page_url"))
+    not_found = F.concat(F.lit("Failed to fetch article from "), F.col("page_url"), F.lit(": page not found"))
     if pages is not None:
-        # Each distinct article URL is extracted once, however many jobs point at it (a hot URL
-        # costs one parse); only the pages that some job needs reach the extractor.
-        urls = base.where(is_article).select(F.col("source_url").alias("page_url")).distinct()
-        needed = pages.select(F.col("url").alias("page_url"), "html").join(urls, "page_url", "left_semi")
+        needed = one_page_per_url(pages).join(wanted.select("page_url").distinct(), "page_url", "left_semi")
         texts = extract_articles(needed, mode=mode, key="page_url").select(
-            "page_url", F.col("text").alias("_art_text"), F.col("error").alias("_art_error"),
-            F.lit(True).alias("_found"))
-        # Rows that need no page get a per-row key that cannot match a URL, so they spread by
-        # job id instead of all hashing to the null-key partition of the join.
-        key = F.when(is_article, F.col("source_url")).otherwise(F.concat(F.lit("\u0000"), F.col("job_id")))
-        base = base.withColumn("page_url", key).join(texts, "page_url", "left")
+            "page_url", F.col("text").alias("_text"), F.col("error").alias("_error"), F.lit(True).alias("_found"))
+        met = wanted.join(texts, "page_url", "left")
     else:
-        base = base.select("*", F.lit(None).cast("string").alias("_art_text"),
-                           F.lit(None).cast("string").alias("_art_error"), F.lit(None).cast("boolean").alias("_found"))
+        met = wanted.select("*", empty.alias("_text"), empty.alias("_error"), F.lit(None).cast("boolean").alias("_found"))
+    articles = met.select(
+        *kept, "bucket", F.lit(False).alias("_is_file"), F.lit("article").alias("doc_type"), F.col("_text").alias("text"),
+        F.when(F.col("_found").isNull(), not_found).otherwise(F.col("_error")).alias("error"))
 
+    # Everything else is a projection of its own row.
     r = F.col("_route")
     raw = F.when(r == "file", strict_unbase64("source_file_base64"))
     name = F.coalesce(F.col("source_file_name"), F.lit(DEFAULT_FILE_NAME))
     pre = (
         F.when((r == "file") & raw.isNull(), F.lit(E_FETCH_BAD_B64))
         .when(r == "video_without_text", F.lit(E_VIDEO_NO_TEXT))
-        .when((r == "article") & ~scheme_ok("source_url"), F.lit(SCHEME_ERROR))
-        .when((r == "article") & F.col("_found").isNull(),
-              F.concat(F.lit("Failed to fetch article from "), F.col("source_url"), F.lit(": page not found")))
+        .when(r == "article", F.lit(SCHEME_ERROR))
     )
-    staged = base.select("job_id", "bucket", "_route", "source_text", name.alias("_name"), raw.alias("_content"),
-                         "_art_text", "_art_error", pre.alias("_pre"))
+    staged = base.where(~F.coalesce(asked, F.lit(False))).select(
+        *kept, "bucket", "_route", "source_text", name.alias("_name"), raw.alias("_content"), pre.alias("_pre"))
     is_file = (F.col("_route") == "file") & F.col("_pre").isNull()
     doc = document_parts("_name", "_content", active=is_file)
-    extracted = staged.select(
-        "job_id", "bucket", is_file.alias("_is_file"),
-        F.when(is_file, doc["doc_type"]).when(F.col("_route") == "article", F.lit("article"))
-        .otherwise(F.col("_route")).alias("doc_type"),
-        F.when(is_file, doc["text"]).when(F.col("_route") == "article", F.col("_art_text"))
-        .otherwise(F.col("source_text")).alias("text"),
-        F.coalesce(F.col("_pre"), F.when(is_file, doc["error"]),
-                   F.when(F.col("_route") == "article", F.col("_art_error"))).alias("error"),
-    )
-    out = finish_documents(extracted, "job_id", page_texts, keep=("bucket",), active="_is_file")
+    others = staged.select(
+        *kept, "bucket", is_file.alias("_is_file"),
+        F.when(is_file, doc["doc_type"]).otherwise(F.col("_route")).alias("doc_type"),
+        F.when(is_file, doc["text"]).when(F.col("_route") != "article", F.col("source_text")).alias("text"),
+        F.coalesce(F.col("_pre"), F.when(is_file, doc["error"])).alias("error"))
+    carried = tuple(c for c in kept if c != key) + ("bucket",)
+    is_pdf = F.coalesce(F.col("_is_file") & (F.col("doc_type") == "pdf"), F.lit(False))
+    if page_texts is not None:  # only PDF rows meet the page texts
+        parts = [finish_documents(others.where(is_pdf), key, page_texts, keep=carried, active="_is_file"),
+                 finish_documents(others.where(~is_pdf), key, None, keep=carried, active="_is_file")]
+    else:
+        parts = [finish_documents(others, key, None, keep=carried, active="_is_file")]
+    out = finish_documents(articles, key, None, keep=carried, active="_is_file")
+    for part in parts:
+        out = out.unionByName(part)
     ok = F.col("error").isNull()
     return out.select(
-        "job_id", "bucket",
+        key, *[c for c in keep if c != key], "bucket",
         F.when(ok, F.col("doc_type")).alias("source_type"),
         "text",
         F.when(ok, F.concat(F.lit("jobs/"), F.col("job_id"), F.lit("/source.txt"))).alias("article_s3_key"),

@@ -1,19 +1,24 @@
 """Voice and format routing, synthesis request rows, the synthesis step with an
 injected callable, ordered audio concatenation and chunk metrics.
 
-The unit of work is the chunk: one long script spreads over many tasks. Routing and request
-rows are pure projections; the remote call is the only Python step and its output is written
-once to the shared checkpoint folder so a retried task never calls the service twice.
+The unit of work is the chunk: the request rows are dealt out by (run, turn, chunk) right before the
+call, so the chunks of one long script go to many tasks. Routing and request rows are pure
+projections; the remote call is the only Python step. Its output is written once to the shared
+checkpoint folder, so later stages never call again; a task attempt that fails or is run twice
+(speculation: leave it off for these jobs) does repeat the calls of its rows. Each call therefore
+carries an idempotency key made of those three values, for the service to recognise a repeat.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from castwright.functions.text import py_strip
 from castwright.operators.chunking import ssml_column
 from castwright.operators.turns import HOST_A
 from castwright.session import materialize
@@ -51,11 +56,11 @@ def single_voice(voice_id: Column | str, settings: Settings) -> Column:
 
 
 def normalized_provider(provider: Column | str) -> Column:
-    return F.lower(F.trim(_c(provider)))
+    return F.lower(py_strip(_c(provider)))
 
 
 def route_format(provider: Column | str, settings: Settings) -> Column:
-    """T4: struct(output_format, text_type, error) for the (trimmed, lower-cased) provider."""
+    """T4: struct(output_format, text_type, error) for the (stripped, lower-cased) provider."""
     p = normalized_provider(provider)
     el_format = settings.elevenlabs_output_format
     el_format = ELEVENLABS_MP3_FORMAT if el_format == "mp3" else el_format
@@ -137,14 +142,16 @@ def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys
 
     ``call_factory`` is invoked once per partition on the executor (one client per task);
     ``concurrency`` > 1 overlaps that many calls per task (results kept in row order).
-    Output: keys + chunk_no, input_chars, audio (binary), audio_bytes, error. Rows that already
-    carry a request error are passed through without a call.
+    A record has the request columns and ``idempotency_key`` (keys and chunk number). Output: keys +
+    chunk_no, input_chars, audio (binary), audio_bytes, elapsed_ms, error. Rows that already carry
+    a request error are passed through without a call.
     """
     cols = keys + ["chunk_no", "chunk", "provider", "voice_id", "output_format", "text_type",
                    "request_text", "engine", "endpoint", "model_id", "request_error"]
-    src = requests.select(*cols)
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = requests.select(*cols).repartition(tasks, *keys, "chunk_no")
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields if f.name in keys)
-    schema = f"{key_schema}, chunk_no bigint, input_chars bigint, audio binary, audio_bytes bigint, error string"
+    schema = f"{key_schema}, chunk_no bigint, input_chars bigint, audio binary, audio_bytes bigint, elapsed_ms double, error string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from concurrent.futures import ThreadPoolExecutor
@@ -154,13 +161,15 @@ def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys
 
         def one(rec: dict) -> tuple:
             status = audio = body = exc = None
+            began = time.perf_counter()
+            rec["idempotency_key"] = "/".join(str(rec[k]) for k in [*keys, "chunk_no"])
             try:
                 status, audio, body = state["call"](rec)
             except Exception as e:  # transport failure, recorded per chunk
                 exc = e
             index = int(rec["chunk_no"]) if rec["chunk_no"] is not None else -1
             err = _speech_error(rec["provider"], index, status, audio, body, exc)
-            return (None if err else bytes(audio)), err
+            return (None if err else bytes(audio)), err, 1000 * (time.perf_counter() - began)
 
         try:
             for pdf in batches:
@@ -169,12 +178,13 @@ def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys
                 if todo and state["call"] is None:
                     state["call"] = call_factory()
                 done = iter(pool.map(one, todo) if pool else map(one, todo))
-                results = [(None, r["request_error"]) if r.get("request_error") else next(done) for r in recs]
+                results = [(None, r["request_error"], None) if r.get("request_error") else next(done) for r in recs]
                 out = pdf[keys + ["chunk_no"]].copy()
                 out["input_chars"] = [len(t) if isinstance(t, str) else None for t in pdf["chunk"]]
-                out["audio"] = [a for a, _ in results]
-                out["audio_bytes"] = [len(a) if a is not None else None for a, _ in results]
-                out["error"] = [e for _, e in results]
+                out["audio"] = [a for a, _, _ in results]
+                out["audio_bytes"] = [len(a) if a is not None else None for a, _, _ in results]
+                out["elapsed_ms"] = [ms for _, _, ms in results]
+                out["error"] = [e for _, e, _ in results]
                 yield out
         finally:
             if pool:
@@ -213,23 +223,38 @@ def concat_audio(parts: DataFrame, job_key: str = "job_id", order: tuple[str, ..
     )
 
 
+def audio_sizes(parts: DataFrame, job_key: str = "job_id", order: tuple[str, ...] = ("turn_no", "chunk_no")) -> DataFrame:
+    """What ``concat_audio`` says of each job but the audio itself: sums over narrow columns, added up
+    map-side; no audio is read or moved."""
+    failed = F.col("error").isNotNull()
+    return parts.groupBy(job_key).agg(
+        F.sum("audio_bytes").cast("bigint").alias("_bytes"),
+        F.count(F.lit(1)).alias("chunk_count"),
+        F.expr(f"min_by(error, struct({', '.join(order)})) FILTER (WHERE error IS NOT NULL)").alias("error"),
+        F.max(failed).alias("_failed"),
+    ).select(job_key, F.when(~F.col("_failed"), F.col("_bytes")).alias("audio_bytes"), "chunk_count", "error")
+
+
 def write_audio_parts(parts: DataFrame, path: str, job_key: str = "job_id",
-                      order: tuple[str, ...] = ("turn_no", "chunk_no"), mode: str = "overwrite") -> None:
-    """T10/K3 without a per-job aggregate: the audio parts of every job are written in
-    (turn, chunk) order under ``<path>/<job_key>=<id>/``; reading a job's part rows in that
-    order and joining their bytes gives the job's audio file. Use this instead of
-    ``concat_audio`` when one job's audio may not fit in one value or one task's memory."""
-    ok = parts.where(F.col("error").isNull()).select(job_key, *order, "audio")
-    ok.repartition(job_key, *order[:1]).sortWithinPartitions(job_key, *order).write.mode(mode).partitionBy(
-        job_key).parquet(path)
+                      order: tuple[str, ...] = ("turn_no", "chunk_no"), mode: str = "overwrite", buckets: int = 64) -> None:
+    """T10/K3 without a per-job aggregate: the audio parts in (turn, chunk) order under one folder for
+    each of ``buckets`` hashes of the job (not one for each job); reading a job's part rows in that
+    order and joining their bytes gives the job's audio file. Use this instead of ``concat_audio``
+    when one job's audio may not fit in one value or one task's memory."""
+    ok = parts.where(F.col("error").isNull()).select(
+        job_key, *order, "audio", F.pmod(F.xxhash64(job_key), F.lit(buckets)).alias("bucket"))
+    ok.repartition("bucket", job_key, *order[:1]).sortWithinPartitions("bucket", job_key, *order).write.mode(
+        mode).partitionBy("bucket").parquet(path)
 
 
 def synthesis_report(parts: DataFrame, job_key: str = "job_id", turn_key: str = "turn_no") -> DataFrame:
-    """Per (job, turn) and per job (``level`` 1) chunk count, input characters, audio bytes."""
-    return parts.rollup(job_key, turn_key).agg(
+    """Per (job, turn) and per job (``level`` 1) chunk count, input characters, audio bytes and
+    milliseconds spent in calls."""
+    job, turn = F.col(job_key), F.col(turn_key)
+    return parts.groupingSets([[job, turn], [job]], job, turn).agg(
         F.count(F.lit(1)).alias("chunk_count"),
         F.sum("input_chars").cast("bigint").alias("input_chars"),
         F.sum("audio_bytes").cast("bigint").alias("audio_bytes"),
+        F.sum("elapsed_ms").alias("elapsed_ms"),
         F.grouping(turn_key).cast("bigint").alias("level"),
-        F.grouping(job_key).alias("_gj"),
-    ).where(F.col("_gj") == 0).drop("_gj")
+    )

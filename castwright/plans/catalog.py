@@ -34,18 +34,18 @@ def register(name: str):
 
 
 # Row key of each shipped table. These files hold one row group each, so the scan is a single
-# task; spreading them by key right after the scan puts the per-row work on every core and
-# leaves the data hash-partitioned by the key later windows and aggregations group on. On
-# large inputs (many splits) ``spread`` does nothing.
-TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "conversations": "conv_id", "events": "event_id"}
+# task; spreading them by row key right after the scan puts the per-row work on every core (a
+# conversation's rows by turn too, so that a hot one is not kept together). On large inputs (many
+# splits) ``spread`` does nothing.
+TABLE_KEYS = {"pages": ("page_id",), "documents": ("doc_id",), "conversations": ("conv_id", "turn"), "events": ("event_id",)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from castwright.session import spread
 
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = TABLE_KEYS.get(name)
-    return spread(df, key) if key else df
+    keys = TABLE_KEYS.get(name)
+    return spread(df, *keys) if keys else df
 
 
 # --- sources ---------------------------------------------------------------------------
@@ -188,7 +188,8 @@ def audio_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("synthesis_report")
 def synthesis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speech.synthesis_report(_audio_parts(spark, sf_dir), job_key="conv_id")
+    report = speech.synthesis_report(_audio_parts(spark, sf_dir), job_key="conv_id")
+    return report.withColumn("elapsed_known", F.col("elapsed_ms") >= 0).drop("elapsed_ms")
 
 
 @register("transcript_paragraphs")
@@ -266,7 +267,7 @@ def job_id_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     accepted = _intake(spark, sf_dir).where("status_code = 202").select(
         "event_id", F.col("job_id").alias("job_id_given"), "job_id")
-    ids = intake.unique_job_ids(accepted, key="event_id")
+    ids = intake.unique_job_ids(accepted)
     generated = F.col("job_id_given").isNull()
     well_formed = F.when(generated, F.col("job_id").rlike(intake.GENERATED_JOB_ID_RX)).otherwise(
         F.col("job_id") == F.col("job_id_given"))
@@ -524,7 +525,7 @@ def podcast_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.col("n_chars").alias("article_char_count"))
     parts = _audio_parts(spark, sf_dir)  # written once; turns and audio both come from it
     turns = parts.groupBy("conv_id").agg(F.countDistinct("turn_no").alias("turn_count"))
-    audio = speech.concat_audio(parts, job_key="conv_id").select(
+    audio = speech.audio_sizes(parts, job_key="conv_id").select(
         "conv_id", "chunk_count", "audio_bytes", F.col("error").alias("audio_error"))
     words = _script_words(conv)
     dur = ((F.col("words").cast("double") / F.lit(150.0)) * F.lit(60.0)).cast("bigint")
@@ -653,7 +654,7 @@ def request_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = Settings(model_id=LEDGER_MODEL, polly_voice_id="Amy", polly_duo_voice_id="Matthew")
     out = run_requests(req, settings, prompts.echo_model, speech.stand_in_speech,
                        pages=table(spark, sf_dir, "pages"))
-    book = out["jobs"].select("request_id", "job_id").join(out["ledger"], "job_id")
+    book = out["ledger"]
     return out["intake"].select("request_id", "status_code", F.col("error").alias("request_error")).join(
         book, "request_id", "left").select(
         F.col("request_id").alias("event_id"), "status_code", "request_error",

@@ -18,7 +18,8 @@ from castwright.operators import chunking, intake, ledger, prompts, routing, spe
 from castwright.session import materialize
 from castwright.settings import Settings
 
-SOURCE_COLUMNS = ("job_id", "source_url", "source_text", "source_file_name", "source_file_base64")
+ATTRIBUTES = ("job_id", "style", "script_mode", "voice_id", "voice_id_b")
+SOURCE_COLUMNS = ("source_url", "source_text", "source_file_name", "source_file_base64")
 
 
 def run_requests(requests: DataFrame, settings: Settings,
@@ -29,47 +30,66 @@ def run_requests(requests: DataFrame, settings: Settings,
     """requests(key, body, is_base64, query) -> dict of stage tables:
 
     ``intake`` (every request with status code / error), ``jobs`` (accepted, with job ids),
-    ``sources``, ``scripts``, ``turns``, ``chunks``, ``parts``, ``audio`` and ``ledger``
-    (one row per accepted job: status, failed stage, error, counts, duration estimate)."""
-    decided = intake.intake_requests(requests, key=key)
-    accepted = intake.unique_job_ids(
-        decided.where(F.col("status_code") == 202).drop("status_code", "error"), key=key)
-    attrs = accepted.select("job_id", "style", "script_mode", "voice_id", "voice_id_b",
-                            F.lit(None).cast("string").alias("title"))
+    ``sources``, ``scripts``, ``turns``, ``chunks``, ``parts``, ``audio``, ``artefacts`` and ``ledger``
+    (one row per accepted request: status, failed stage, error, counts, duration estimate).
 
+    A run is a request: every stage table is keyed by ``key``, and run attributes travel with the
+    rows. ``job_id`` may repeat (given ids are kept) and only names artefacts."""
+    decided = materialize(intake.intake_requests(requests, key=key), "intake")
+    accepted = intake.unique_job_ids(decided.where(F.col("status_code") == 202).drop("status_code", "error"))
     sources = materialize(routing.fetch_sources(
-        accepted.select(*SOURCE_COLUMNS), pages=pages, page_texts=page_texts,
-        default_bucket=settings.bucket), "sources")
-
-    rewrite_in = sources.where(F.col("error").isNull()).select("job_id", "text", "source_type").join(attrs, "job_id")
-    scripts = prompts.rewrite(rewrite_in, model_call_factory, settings.model_id, key="job_id")
-
-    ok_scripts = scripts.where(F.col("error").isNull()).select("job_id", "script").join(attrs, "job_id")
-    is_duo = F.col("script_mode") == "duo"
-    duo_turns = turns.parse_duo_turns(ok_scripts.where(is_duo).select("job_id", F.col("script").alias("text")))
-    duo_turns = duo_turns.join(attrs, "job_id").select(
-        "job_id", "turn_no", "text",
-        speech.route_voice("speaker", "voice_id", "voice_id_b", settings).alias("voice_id"))
+        accepted.select(key, *ATTRIBUTES, *SOURCE_COLUMNS), pages=pages, page_texts=page_texts,
+        default_bucket=settings.bucket, key=key, keep=ATTRIBUTES), "sources")
+
+    title = F.lit(None).cast("string").alias("title")
+    scripts = prompts.rewrite(sources.where(F.col("error").isNull()).select("*", title), model_call_factory,
+                              settings.model_id, key=key, keep=(*ATTRIBUTES, "source_type"))
+    ok_scripts = scripts.where(F.col("error").isNull())
+    is_duo = F.lower(F.trim("script_mode")) == "duo"
+    duo_scripts = ok_scripts.where(is_duo)
+    voices = duo_scripts.select(key, "voice_id", "voice_id_b")
+    duo_turns = turns.parse_duo_turns(duo_scripts.select(key, F.col("script").alias("text")), key=key)
+    duo_turns = duo_turns.join(voices, key).select(
+        key, "turn_no", "text", speech.route_voice("speaker", "voice_id", "voice_id_b", settings).alias("voice_id"))
     single = ok_scripts.where(~is_duo).select(
-        "job_id", F.lit(1).cast("bigint").alias("turn_no"), F.col("script").alias("text"),
+        key, F.lit(1).cast("bigint").alias("turn_no"), F.col("script").alias("text"),
         speech.single_voice("voice_id", settings).alias("voice_id"))
     all_turns = duo_turns.unionByName(single)
-    no_turns = turns.duo_rejects(ok_scripts.where(is_duo), duo_turns)
+    no_turns = turns.duo_rejects(duo_scripts, duo_turns, key=key)
 
-    chunks = chunking.explode_chunks(all_turns, ["job_id", "turn_no", "voice_id"], "text",
-                                     chunking.PIPELINE_CHUNK_LIMIT)
+    chunks = chunking.explode_chunks(all_turns, [key, "turn_no", "voice_id"], "text", chunking.PIPELINE_CHUNK_LIMIT)
     reqs = speech.synthesis_requests(chunks.where(F.col("error").isNull()), settings)
-    parts = speech.synthesize(reqs, speech_call_factory, keys=["job_id", "turn_no"])
-    audio = speech.concat_audio(parts)
+    parts = speech.synthesize(reqs, speech_call_factory, keys=[key, "turn_no"])
 
-    generate = audio.select("job_id", "error", "chunk_count", "audio_bytes").unionByName(
-        no_turns.select("job_id", "error", F.lit(None).cast("bigint").alias("chunk_count"),
-                        F.lit(None).cast("bigint").alias("audio_bytes")))
-    durations = ok_scripts.select("job_id", estimate_duration_sec("script").alias("duration_sec"))
+    # The generate stage: sizes of what was spoken, scripts without turns, texts without a chunk.
+    none = F.lit(None).cast("bigint")
+    failed = no_turns.select(key, "error").unionByName(chunks.where(F.col("error").isNotNull()).select(key, "error"))
+    generate = speech.audio_sizes(parts, job_key=key).select(key, "error", "chunk_count", "audio_bytes").unionByName(
+        failed.select("*", none.alias("chunk_count"), none.alias("audio_bytes")))
+    spoken = F.when(F.col("error").isNull(), estimate_duration_sec("script")).alias("duration_sec")
     book = ledger.run_ledger(
-        {"fetch": sources.select("job_id", "error", "article_char_count"),
-         "rewrite": scripts.select("job_id", "error", F.char_length("script").alias("script_chars")),
-         "generate": generate.join(durations, "job_id", "left")},
+        {"fetch": sources.select(key, "error", "article_char_count"),
+         "rewrite": scripts.select(key, "error", F.char_length("script").alias("script_chars"), spoken),
+         "generate": generate}, key=key,
         counts=("article_char_count", "script_chars", "chunk_count", "audio_bytes", "duration_sec"))
     return {"intake": decided, "jobs": accepted, "sources": sources, "scripts": scripts,
-            "turns": all_turns, "chunks": chunks, "parts": parts, "audio": audio, "ledger": book}
+            "turns": all_turns, "chunks": chunks, "parts": parts, "audio": speech.concat_audio(parts, job_key=key),
+            "artefacts": artefacts(accepted, sources, scripts, settings, key), "ledger": book}
+
+
+def artefacts(accepted: DataFrame, sources: DataFrame, scripts: DataFrame, settings: Settings, key: str) -> DataFrame:
+    """K1/K2: (key, job_id, artefact, object_key, text, json) of the source and script texts and the
+    script metadata of each run; ``ledger.write_artefacts`` writes them, ``speech.write_audio_parts``
+    the audio."""
+    absent = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, artefact: str, text, json) -> DataFrame:
+        return df.select(key, "job_id", F.lit(artefact).alias("artefact"),
+                         ledger.artefact_key("job_id", dict(ledger.ARTEFACTS)[artefact]).alias("object_key"),
+                         text.alias("text"), json.alias("json"))
+
+    ok = F.col("error").isNull()
+    written = scripts.where(ok).join(accepted.select(key, "source_url"), key).withColumn("title", absent)
+    return (rows(sources.where(ok), "source", F.col("text"), absent)
+            .unionByName(rows(written, "script", F.col("script"), absent))
+            .unionByName(rows(written, "script_metadata", absent, prompts.script_metadata(written, settings.model_id))))

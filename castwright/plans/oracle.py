@@ -171,7 +171,7 @@ FROM a
 ORACLE_SQL["synthesis_report"] = f"""
 WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')}
 SELECT conv_id, turn_no, count(*)::BIGINT AS chunk_count, sum(length(chunk))::BIGINT AS input_chars,
-       sum(strlen(chunk))::BIGINT AS audio_bytes, GROUPING(turn_no)::BIGINT AS level
+       sum(strlen(chunk))::BIGINT AS audio_bytes, GROUPING(turn_no)::BIGINT AS level, true AS elapsed_known
 FROM ck GROUP BY GROUPING SETS ((conv_id, turn_no), (conv_id))
 """
 

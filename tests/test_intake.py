@@ -80,20 +80,24 @@ def test_base64_wrapped_bodies(spark):
     assert out[3]["status_code"] == 202 and out[3]["source_url"] == "https://e.com"
 
 
-def test_unique_job_ids_repairs_collisions(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    calls = {"n": 0}
-    real = K._generated_id
-
-    def tiny_space():
-        # first draw: only 4 possible ids for 40 rows (forced clashes); later draws: the real rule
-        calls["n"] += 1
-        if calls["n"] == 1:
-            return F.concat(F.lit("job-x-"), (F.rand(7) * 4).cast("int").cast("string"))
-        return real()
-
-    monkeypatch.setattr(K, "_generated_id", tiny_space)
-    df = spark.createDataFrame([(i, "given" if i == 0 else None) for i in range(40)], "request_id long, job_id string")
-    ids = [r.job_id for r in K.unique_job_ids(df, key="request_id").collect()]
-    assert len(ids) == 40 and len(set(ids)) == 40 and "given" in ids
+def test_job_ids_of_a_batch_differ_by_construction(spark):
+    df = spark.range(0, 40000, numPartitions=7).selectExpr("id AS request_id", "CASE WHEN id < 3 THEN 'given' END AS job_id")
+    ids = [r.job_id for r in K.unique_job_ids(df).collect()]
+    made = [i for i in ids if i != "given"]
+    assert len(ids) == 40000 and ids.count("given") == 3 and len(set(made)) == len(made)
+    import re
+
+    assert all(re.fullmatch(K.GENERATED_JOB_ID_RX.replace("\\z", ""), i) for i in made)
+
+
+def test_job_id_stamp_is_utc(spark):
+    import datetime as dt
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        made = K.unique_job_ids(spark.createDataFrame([(1, None)], "request_id long, job_id string")).first().job_id
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    stamp = dt.datetime.strptime(made[4:25], "%Y%m%dT%H%M%S%f").replace(tzinfo=dt.timezone.utc)
+    assert abs((dt.datetime.now(dt.timezone.utc) - stamp).total_seconds()) < 600

@@ -63,3 +63,21 @@ def test_lookup_id_query_then_path(spark):
                                 ({}, {}), (None, {"execution_arn": "  "})],
                                "q map<string,string>, p map<string,string>")
     assert [r[0] for r in df.select(L.lookup_id("q", "p")).collect()] == ["a", "b", None, None]
+
+
+def test_iso_timestamp_in_another_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_micros(0) AS a, timestamp_micros(1500000) AS b, TIMESTAMP_NTZ '2024-03-10 02:30:00' AS c")
+        assert rows(df.select(*[L.iso_timestamp(c).alias(c) for c in "abc"])) == [
+            ("1970-01-01T00:00:00+00:00", "1970-01-01T00:00:01.500000+00:00", "2024-03-10T02:30:00+00:00")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_run_without_its_last_stage_has_not_succeeded(spark):
+    fetch = spark.createDataFrame([("a", None), ("b", None)], "job_id string, error string")
+    gen = spark.createDataFrame([("a", None)], "job_id string, error string")
+    out = {r[0]: r[1:] for r in rows(L.run_ledger({"fetch": fetch, "generate": gen}))}
+    assert out == {"a": ("SUCCEEDED", None, None), "b": ("FAILED", "generate", L.E_NO_OUTPUT + "generate")}
