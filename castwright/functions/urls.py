@@ -20,7 +20,7 @@ SCHEME_ERROR = "source_url must start with http:// or https://"
 NOT_VIDEO_ERROR = "source_url is not a supported YouTube URL"
 NO_VIDEO_ID_ERROR = "Could not extract video id from YouTube URL"
 
-AUTHORITY_RX = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
+AUTHORITY_RX = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
 HOST_RX = AUTHORITY_RX + r"(?:[^/?#]*@)?([^/?#:]*)"
 PATH_RX = AUTHORITY_RX + r"[^/?#]*([^?#]*)"
 QUERY_RX = r"^[^?#]*\?([^#]*)"
@@ -42,7 +42,8 @@ def url_host(url: Column | str) -> Column:
 
 
 def url_path(url: Column | str) -> Column:
-    return F.regexp_extract(_c(url), PATH_RX, 1)
+    """Path up to the query, without the ``;params`` of its last segment."""
+    return F.regexp_replace(F.regexp_extract(_c(url), PATH_RX, 1), r";[^/]*$", "")
 
 
 def url_query(url: Column | str) -> Column:

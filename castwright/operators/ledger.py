@@ -78,7 +78,7 @@ def lookup_id(query: Column | str, path_params: Column | str | None = None, name
 def run_status(lookups: DataFrame, runs: DataFrame, key: str = "request_id", arn: str = "execution_arn") -> DataFrame:
     """K6: a batch of status lookups joined with the runs table.
 
-    Blank id -> 400 with the missing-parameter error; unknown id -> 404; found -> 200 with the
+    Blank id -> 400 with the missing-parameter error; unknown id -> 400 too; found -> 200 with the
     7 fields (dates ISO, input/output JSON-or-raw)."""
     ids = lookups.select(key, F.when(py_strip(arn) != F.lit(""), py_strip(arn)).alias("_arn"))
     r = runs.select(
@@ -97,7 +97,7 @@ def run_status(lookups: DataFrame, runs: DataFrame, key: str = "request_id", arn
         iso_timestamp("start_date").alias("start_date"),
         iso_timestamp("stop_date").alias("stop_date"),
         i.alias("input"), o.alias("output"),
-        F.when(F.col("_arn").isNull(), F.lit(400)).when(~found, F.lit(404)).otherwise(F.lit(200)).alias("status_code"),
+        F.when(F.col("_arn").isNull() | ~found, F.lit(400)).otherwise(F.lit(200)).alias("status_code"),
         F.when(F.col("_arn").isNull(), F.lit(E_MISSING_ARN))
         .when(~found, F.concat(F.lit("execution not found: "), F.col("_arn"))).alias("error"),
     )

@@ -137,18 +137,23 @@ def _falsy(v: Column) -> Column:
     )
 
 
+def _json_string(v: Column) -> Column:
+    """The value of a JSON string; null for any other type."""
+    return F.when(F.schema_of_variant(v) == F.lit("STRING"), F.try_variant_get(v, "$", "string"))
+
+
 def response_text(family: Column | str, response: Column | str) -> Column:
     """M5/M6: struct(text, error) from the model's JSON response."""
     v = F.try_parse_json(_c(response))
     content = F.try_variant_get(v, "$.content", "variant")
     first = F.when(F.schema_of_variant(content).startswith("ARRAY"),
-                   F.try_variant_get(content, "$[0].text", "string"))
+                   _json_string(F.try_variant_get(content, "$[0].text", "variant")))
     a_err = F.when(_falsy(content), F.lit(E_A_NO_CONTENT)).when(
         first.isNull() | (first == F.lit("")), F.lit(E_A_NO_TEXT))
     items = F.coalesce(F.try_variant_get(v, "$.output.message.content", "array<variant>"),
                        F.array().cast("array<variant>"))
     with_text = F.filter(items, lambda x: F.try_variant_get(x, "$.text", "variant").isNotNull())
-    n_text = F.try_variant_get(F.try_element_at(with_text, F.lit(1)), "$.text", "string")
+    n_text = _json_string(F.try_variant_get(F.try_element_at(with_text, F.lit(1)), "$.text", "variant"))
     n_err = F.when(n_text.isNull(), F.lit(E_N_NO_TEXT))
     f = _c(family)
     text = F.when(f == "anthropic", F.when(a_err.isNull(), py_strip(first))).when(

@@ -376,11 +376,44 @@ def document_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files_src.extract_documents(inputs.document_files(docs), key="doc_id", page_texts=pages)
 
 
+def _write_files(docs: DataFrame, folder: str) -> DataFrame:
+    """One file for each document (every seventh is empty), written by the tasks to the shared folder;
+    a repeated task writes the same files again. Returns the ids and paths."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        from pyarrow import fs
+
+        for pdf in batches:
+            paths = []
+            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+                paths.append(f"{folder}/doc{doc_id}.txt")
+                files, at = fs.FileSystem.from_uri(paths[-1])
+                files.create_dir(at.rsplit("/", 1)[0])
+                with files.open_output_stream(at) as out:
+                    out.write(b"" if doc_id % 7 == 0 else (text or "").encode())
+            yield pdf[["doc_id"]].assign(source_file=paths)
+
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, source_file string")
+
+
 @register("file_scan")
 def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 over the shipped table files themselves (name, base64 payload size)."""
-    f = files_src.scan_files(spark, sf_dir, "*.parquet")
-    return f.select("name", "n_bytes", F.length("content_base64").cast("bigint").alias("base64_chars"), "error")
+    """S3 over files derived from the documents, asked for by path: name, payload, empty and missing
+    files (every eleventh path names no file)."""
+    import uuid
+
+    from castwright.session import checkpoint_dir, materialize
+
+    root = checkpoint_dir(spark).rstrip("/")
+    folder = f"{root if ':/' in root else 'file://' + root}/files-{uuid.uuid4().hex}"
+    paths = materialize(_write_files(table(spark, sf_dir, "documents"), folder), "file-paths")
+    asked = paths.withColumn("source_file", F.when(F.col("doc_id") % 11 == 3, F.concat("source_file", F.lit(".gone"))).otherwise(F.col("source_file")))
+    f = files_src.read_requested_files(asked, key="doc_id")
+    kind = F.when(F.startswith("error", F.lit(files_src.E_MISSING_FILE)), F.lit("missing")).when(
+        F.startswith("error", F.lit(files_src.E_EMPTY_SOURCE_FILE)), F.lit("empty"))
+    return f.select("doc_id", F.col("source_file_name").alias("name"), F.length("source_file_base64").cast("bigint").alias("base64_chars"),
+                    F.md5(F.unbase64("source_file_base64")).alias("content_md5"), kind.alias("error_kind"))
 
 
 # --- prompts and model ------------------------------------------------------------------------

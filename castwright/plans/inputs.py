@@ -16,11 +16,15 @@ from castwright.functions.text import split_lines
 ROLE_LABELS = {"user": "HOST_A: ", "assistant": "HOST_B: ", "system": ""}
 
 
+# Conversations whose number leaves this remainder have no labels: scripts that cannot be parsed.
+UNLABELLED = (9, 4)
+
+
 def role_label(role: str = "role"):
     expr = F.lit("")
     for r, label in ROLE_LABELS.items():
         expr = F.when(F.col(role) == F.lit(r), F.lit(label)).otherwise(expr)
-    return expr
+    return F.when(F.col("conv_id") % UNLABELLED[0] == UNLABELLED[1], F.lit("")).otherwise(expr)
 
 
 def conversation_pieces(conversations: DataFrame) -> DataFrame:
@@ -180,6 +184,9 @@ URL_VARIANTS = [
     "ftp://files{id}.example.com/f",
     "https://user@youtu.be:80/",
     "https://www.youtube.com/live/l{id}#t=1",
+    "//youtu.be/n{id}",
+    "https://youtu.be/p{id};x=1",
+    "https://www.youtube.com/watch;z?v=q{id}",
 ]
 
 
@@ -327,6 +334,8 @@ RESPONSES = [
     ("anthropic", '{"content": {"text": "x{id}"}}'),
     ("nova", '{"output": {}}'),
     ("anthropic", '{"content": [{"type": "text", "text": "line1\\nline2 {id}"}]}'),
+    ("anthropic", '{"content": [{"type": "text", "text": {id}}]}'),
+    ("nova", '{"output": {"message": {"content": [{"text": {id}}]}}}'),
 ]
 
 

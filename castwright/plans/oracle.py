@@ -90,7 +90,7 @@ _CONV_LINES = f"""conv_lines AS (
   SELECT conv_id, turn, (ln - 1)::BIGINT AS line_no, arr[ln] AS raw
   FROM (SELECT conv_id, turn, arr, unnest(generate_series(1, len(arr))) AS ln
         FROM (SELECT conv_id, turn,
-                     {q.piece_lines("CASE role WHEN 'user' THEN 'HOST_A: ' WHEN 'assistant' THEN 'HOST_B: ' ELSE '' END || text")} AS arr
+                     {q.piece_lines("CASE WHEN conv_id % 9 = 4 THEN '' WHEN role = 'user' THEN 'HOST_A: ' WHEN role = 'assistant' THEN 'HOST_B: ' ELSE '' END || text")} AS arr
               FROM conversations)))"""
 
 _CONV_TURNS = f"""{_CONV_LINES},
@@ -202,7 +202,7 @@ FROM c LEFT JOIN j ON c.conv_id = j.conv_id
 
 
 _HOST = f"lower(regexp_extract(url, '{U.HOST_RX}', 1))"
-_PATH = f"regexp_extract(url, '{U.PATH_RX}', 1)"
+_PATH = f"regexp_replace(regexp_extract(url, '{U.PATH_RX}', 1), ';[^/]*$', '')"
 _QUERY = f"regexp_extract(url, '{U.QUERY_RX}', 1)"
 _VIDEO_HOSTS = ", ".join(f"'{h}'" for h in U.VIDEO_HOSTS)
 _SHORT = ", ".join(f"'{h}'" for h in U.SHORT_HOSTS)
@@ -520,9 +520,9 @@ FROM b WHERE family IS NOT NULL AND prompt IS NOT NULL"""
 _A_CONTENT_T = "json_type(response, '$.content')"
 _A_FALSY = (f"({_A_CONTENT_T} IS NULL OR {_A_CONTENT_T} = 'NULL' "
             f"OR json_extract(response, '$.content')::VARCHAR IN ('[]', '{{}}', '\"\"', 'false', '0'))")
-_A_FIRST = f"CASE WHEN {_A_CONTENT_T} = 'ARRAY' THEN json_extract_string(response, '$.content[0].text') END"
+_A_FIRST = f"CASE WHEN {_A_CONTENT_T} = 'ARRAY' AND json_type(response, '$.content[0].text') = 'VARCHAR' THEN json_extract_string(response, '$.content[0].text') END"
 _N_HIT = "list_filter(coalesce(json_extract(response, '$.output.message.content[*]'), []), lambda x: json_exists(x, '$.text'))"
-_N_TEXT = f"json_extract_string({_N_HIT}[1], '$.text')"
+_N_TEXT = f"CASE WHEN json_type({_N_HIT}[1], '$.text') = 'VARCHAR' THEN json_extract_string({_N_HIT}[1], '$.text') END"
 ORACLE_SQL["model_response"] = f"""WITH {I.model_responses_sql()},
 x AS (
   SELECT doc_id, family,
@@ -604,7 +604,7 @@ FROM ck
 """
 
 
-_WORDS = q.words("CASE role WHEN 'user' THEN 'HOST_A: ' WHEN 'assistant' THEN 'HOST_B: ' ELSE '' END || text")
+_WORDS = q.words("CASE WHEN conv_id % 9 = 4 THEN '' WHEN role = 'user' THEN 'HOST_A: ' WHEN role = 'assistant' THEN 'HOST_B: ' ELSE '' END || text")
 ORACLE_SQL["podcast_jobs"] = f"""
 WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')},
 kept AS (SELECT conv_id, turn, line_no, {q.strip(q.collapse_ws('raw'))} AS line FROM conv_lines),
@@ -687,7 +687,7 @@ SELECT request_id, a AS execution_arn, state_machine_arn, status, {_iso('start_d
        CASE WHEN json_valid(input) THEN json_extract(input, '$.k')::BIGINT END AS input_k,
        CASE WHEN output IS NULL THEN NULL WHEN json_valid(output) THEN 'json' ELSE 'raw' END AS output_kind,
        CASE WHEN output IS NOT NULL AND NOT json_valid(output) THEN output END AS output_raw,
-       (CASE WHEN a IS NULL THEN 400 WHEN status IS NULL THEN 404 ELSE 200 END)::INTEGER AS status_code,
+       (CASE WHEN a IS NULL THEN 400 WHEN status IS NULL THEN 400 ELSE 200 END)::INTEGER AS status_code,
        CASE WHEN a IS NULL THEN '{LG.E_MISSING_ARN}' WHEN status IS NULL THEN 'execution not found: ' || a END AS error
 FROM ids LEFT JOIN runs2 ON ids.a = runs2.execution_arn
 """
@@ -772,3 +772,12 @@ SELECT r.event_id, CASE WHEN r.error IS NULL THEN 202 ELSE 400 END::INTEGER AS s
        b.chunk_count::BIGINT AS chunk_count, b.audio_bytes::BIGINT AS audio_bytes, b.duration_sec::BIGINT AS duration_sec
 FROM r LEFT JOIN book b ON r.event_id = b.event_id
 """
+
+
+ORACLE_SQL["file_scan"] = """
+SELECT doc_id, CASE WHEN kind IS NULL THEN 'doc' || CAST(doc_id AS VARCHAR) || '.txt' END AS name,
+       CASE WHEN kind IS NULL THEN (4 * ((strlen(t) + 2) // 3))::BIGINT END AS base64_chars,
+       CASE WHEN kind IS NULL THEN md5(t) END AS content_md5, kind AS error_kind
+FROM (SELECT *, CASE WHEN doc_id % 11 = 3 THEN 'missing' WHEN t = '' THEN 'empty' END AS kind
+      FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(text, '') END AS t FROM documents))
+"""

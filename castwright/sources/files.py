@@ -77,7 +77,8 @@ def no_text_error(kind: Column | str) -> Column:
 # --- S3 -----------------------------------------------------------------------------------
 
 def scan_files(spark, path: str, glob: str | None = None) -> DataFrame:
-    """S3: (path, name, content_base64, n_bytes, error); an empty file is kept with its error."""
+    """S3 over a folder: (path, name, content_base64, n_bytes, error). Spark's reader skips files of no
+    bytes; ``read_requested_files`` reports those (and missing ones) for a table of paths."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)

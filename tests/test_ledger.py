@@ -22,7 +22,7 @@ def test_status_lookup(spark):
     out = {r[0]: r[1:] for r in rows(L.run_status(look, runs), "request_id", "status_code", "error", "status")}
     assert out[1] == (200, None, "SUCCEEDED")
     assert out[2] == (400, L.E_MISSING_ARN, None)
-    assert out[3][0] == 404
+    assert out[3][0] == 400 and out[3][1].startswith("execution not found")
 
 
 def test_ledger_first_failure_wins(spark):
