@@ -19,6 +19,7 @@ other than doc_id, text and lang are not read.
 
 from __future__ import annotations
 
+import base64
 import functools
 from itertools import chain
 
@@ -26,10 +27,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from castwright.llm.bpe import RANKS, codec
+from castwright.llm.bpe import RANKS
 from castwright.llm.common import utf8
 from castwright.session import materialize
 
@@ -78,7 +80,10 @@ class Meter:
     def __init__(self, pieces: str, ranks: str):
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
-        self.ranks = codec(ranks)
+        with open(ranks, "rb") as file:
+            pairs = (line.split() for line in file if line.strip())
+            found = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={})
         self.ids: dict[bytes, tuple[int, ...]] = {}
         self.n_bytes: dict[bytes, int] = {}
 
@@ -91,8 +96,7 @@ class Meter:
         texts = [w.decode("utf-8", "replace") for w in fresh]
         for w, made in zip(fresh, self.pieces.encode(texts, num_threads=1)):
             self.ids[w] = tuple(made)
-        for w, made in zip(fresh, self.ranks.encode_all([f" {t}" for t in texts])):
-            self.n_bytes[w] = len(made)
+        self.n_bytes.update((w, len(self.ranks.encode_ordinary(f" {t}"))) for w, t in zip(fresh, texts))
 
     def measure(self, words: list[bytes], chars: int) -> tuple[float, float, float, float]:
         """The four MEASURES of a text, given its words and their characters."""
