@@ -78,26 +78,31 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/line-runs-{uuid.uuid4().hex}"
         self.levels: list[list[str]] = []
-        self.written = 0
+        self.paths: dict[str, str] = {}
 
     def _write(self, run: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        self.written += 1
+        self.paths[name] = f"{self.root}/{len(self.paths)}"
         dealt = run.repartition(self.buckets, *KEY)
-        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.root}/{self.written}").saveAsTable(name)
+        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", self.paths[name]).saveAsTable(name)
         return name
 
     @staticmethod
     def _merged(runs: DataFrame) -> DataFrame:
         return runs.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_id").alias("last_id"))
 
+    def _together(self, names: list[str]) -> DataFrame | None:
+        """Runs under one another. A single run is read as its bucketed table. Several are read as plain
+        files: a union of bucketed tables claims their bucketing, the planner drops the exchange on that
+        claim and then the bucketed reads, and equal keys of two runs would not meet."""
+        if len(names) > 1:
+            schema = self.spark.table(names[0]).schema  # runs without a row have no file to tell it
+            return self.spark.read.schema(schema).parquet(*[self.paths[name] for name in names])
+        return self.spark.table(names[0]) if names else None
+
     def all(self) -> DataFrame | None:
-        """Every live run under one another (a key may stand in several)."""
-        out = None
-        for name in (x for level in self.levels for x in level):
-            one = self.spark.table(name)
-            out = one if out is None else out.unionByName(one)
-        return out
+        """Every live run (a key may stand in several)."""
+        return self._together([name for level in self.levels for name in level])
 
     def add(self, records: DataFrame) -> None:
         """The run of a batch at level 0; full levels are merged into the next one."""
@@ -111,10 +116,7 @@ class LineRuns:
             self._compact(level, level + 1)
 
     def _compact(self, level: int, into: int) -> None:
-        old = self.levels[level]
-        runs = self.spark.table(old[0])
-        for name in old[1:]:
-            runs = runs.unionByName(self.spark.table(name))
+        runs = self._together(self.levels[level])
         self.levels[level] = []
         self._push(into, self._merged(runs))
 
