@@ -8,9 +8,10 @@ more automaton. Every other candidate token of a text is scored by the likelihoo
 automaton gives it; where a format fits as well as its own sample does and far better than ordinary
 text, the token is a further span of kind ``format``.
 
-Tasks scan whole texts; long words are found first, so patterns run only where they can match. Only
-the bounded sample (``per_kind`` values of at most ``MAX_LENGTH`` characters, those with the smallest
-hashes) reaches the driver. Texts are not shuffled.
+Tasks scan whole texts; long words are found first, so patterns run only where they can match. The
+distinct values to learn from are written to the shared folder in one pass over the texts, the spans come
+from a second one. Only the bounded sample (``per_kind`` values of at most ``MAX_LENGTH`` characters, those
+with the smallest hashes) reaches the driver. Texts are not shuffled.
 
 Edge cases: null and empty texts have no spans; repeated rows each get a row; without any credential
 to learn from there are base spans only (none); an empty table gives an empty result; columns other
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from castwright.llm.common import utf8
+from castwright.session import materialize
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -185,7 +187,8 @@ def sample(docs: DataFrame, per_kind: int = PER_KIND) -> dict[str, list[str]]:
                         values.append(text[start:end])
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])
 
-    made = docs.select("text").mapInArrow(run, "kind string, value string").where(F.length("value") <= MAX_LENGTH).distinct()
+    made = docs.select("text").mapInArrow(run, "kind string, value string").where(F.length("value") <= MAX_LENGTH)
+    made = materialize(made.distinct(), "credentials")
     out = {}
     for kind in (*KINDS[:3], PLAIN):
         some = made.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(per_kind).collect()
