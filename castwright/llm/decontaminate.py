@@ -35,6 +35,8 @@ from castwright.session import materialize
 MIN_TILE = 5
 MIN_COVER = 0.6
 BLOCK_BYTES = 4 << 20
+#: About how many seeds of a text are in memory at a time.
+SEEDS = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 _PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -67,14 +69,17 @@ class Block:
             at = np.arange(len(ids) - size + 1)
             starts[size].append((np.full(len(at), len(self.items)), at, _hashes(ids, size, at)))
             self.items.append((item_id, ids, size))
+        self.words = np.concatenate([ids for _, ids, _ in self.items]) if self.items else np.zeros(0, np.int64)
+        self.first = np.cumsum([0, *(len(ids) for _, ids, _ in self.items)])
         self.seeds = {}
         for size, parts in starts.items():
             item, at, h = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(h, kind="stable")
             self.seeds[size] = (h[order], item[order], at[order])
 
-    def shared(self, ids: np.ndarray, size: int):
-        """(item, place in the item, place in the text) of each seed that both hold."""
+    def matches(self, ids: np.ndarray, size: int):
+        """(item, place in the item, place in the text, seeds) of each maximal match of a text. Seeds are
+        taken in parts of bounded number, and matches cut by a part are put together again."""
         keys, item, start = self.seeds[size]
         inside = np.concatenate(([0], np.cumsum(ids > 0)))
         at = np.flatnonzero(inside[size:] - inside[:-size] == size)
@@ -82,8 +87,17 @@ class Block:
         low = np.searchsorted(keys, h, "left")
         n = np.searchsorted(keys, h, "right") - low
         at, low, n = at[n > 0], low[n > 0], n[n > 0]
-        row = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        return item[row], start[row], np.repeat(at, n)
+        part = np.cumsum(n) // SEEDS
+        found = []
+        for a, b in _spans(np.diff(part) != 0, len(n)):
+            m = n[a:b]
+            row = np.repeat(low[a:b] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            k, i, j = item[row], start[row], np.repeat(at[a:b], m)
+            same = np.ones(len(k), bool)
+            for w in range(size):
+                same &= self.words[self.first[k] + i + w] == ids[j + w]
+            found.append(_joined(k[same], i[same], j[same], np.ones(same.sum(), np.int64)))
+        return _joined(*(np.concatenate(x) for x in zip(*found))) if len(found) > 1 else found[0] if found else (at, at, at, at)
 
     def tiles(self, text: str | None) -> list[tuple]:
         """(item_id, tiles, covered words, words) for each item that shares a seed with the text."""
@@ -92,33 +106,35 @@ class Block:
         for size in self.seeds:
             if len(ids) < size:
                 continue
-            item, i, j = self.shared(ids, size)
-            order = np.lexsort((i, j - i, item))
-            item, i, j = item[order], i[order], j[order]
-            cuts = np.flatnonzero(np.diff(item)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(item)]):
-                if a < b:
-                    item_id, own, _ = self.items[item[a]]
-                    n, covered = greedy_tiles(own, ids, i[a:b], j[a:b], size)
-                    if n:
-                        out.append((item_id, n, covered, len(own)))
+            item, i, j, n = self.matches(ids, size)
+            for a, b in _spans(np.diff(item) != 0, len(item)):
+                item_id, own, _ = self.items[item[a]]
+                n_tiles, covered = greedy_tiles(len(own), len(ids), i[a:b], j[a:b], n[a:b] + size - 1, size)
+                out.append((item_id, n_tiles, covered, len(own)))
         return out
 
 
-def greedy_tiles(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, size: int) -> tuple[int, int]:
-    """Number of tiles and of words of ``a`` in them, from seeds sorted by diagonal and place."""
-    same = np.ones(len(i), bool)
-    for k in range(size):
-        same &= a[i + k] == b[j + k]
-    i, j = i[same], j[same]
-    if not len(i):
-        return 0, 0
-    new = np.flatnonzero((np.diff(j - i) != 0) | (np.diff(i) != 1)) + 1
-    first = np.concatenate(([0], new))
-    length = np.diff(np.concatenate((first, [len(i)]))) + size - 1
-    queue = list(zip((-length).tolist(), i[first].tolist(), j[first].tolist()))
+def _spans(new: np.ndarray, n: int):
+    """(start, end) of the stretches of ``n`` rows; ``new`` says where the next row begins another."""
+    cuts = (np.flatnonzero(new) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, n])) if n else []
+
+
+def _joined(item: np.ndarray, i: np.ndarray, j: np.ndarray, n: np.ndarray):
+    """Stretches of seeds put together where one goes on from another on its diagonal."""
+    order = np.lexsort((i, j - i, item))
+    item, i, j, n = item[order], i[order], j[order], n[order]
+    new = np.ones(len(i), bool)
+    new[1:] = (item[1:] != item[:-1]) | (np.diff(j - i) != 0) | (i[1:] != i[:-1] + n[:-1])
+    first = np.flatnonzero(new)
+    return item[first], i[first], j[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def greedy_tiles(len_a: int, len_b: int, i: np.ndarray, j: np.ndarray, length: np.ndarray, size: int) -> tuple[int, int]:
+    """Number of tiles and of words of the first text in them, from the maximal matches of two texts."""
+    queue = list(zip((-length).tolist(), i.tolist(), j.tolist()))
     heapq.heapify(queue)
-    in_a, in_b, tiles = np.zeros(len(a), bool), np.zeros(len(b), bool), 0
+    in_a, in_b, tiles = np.zeros(len_a, bool), np.zeros(len_b, bool), 0
     while queue and not in_a.all():
         n, x, y = heapq.heappop(queue)
         n = -n

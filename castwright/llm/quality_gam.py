@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from castwright.llm.common import add_arrow_columns, clashless, utf8
-from castwright.llm.training import label_odds, labelled_sample
+from castwright.llm.training import label_odds, labelled_sample, one_per_document
 
 FEATURES = ["log_words", "word_bytes", "symbols", "capitals", "digits", "exclaims", "stops", "distinct", "log_distinct", "adjacent", "repeat_lines", "line_words", "non_ascii", "pipes", "longest_word"]
 PER_CLASS = 3000
@@ -169,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Gam |
     """Model of ``labels.quality``; None without rows of both classes."""
     sample = labelled_sample(docs, labels, "quality", per_class, MOD, HELD_OUT)
     made = add_arrow_columns(sample, "text", "x array<double>", lambda texts: [pa.array([features(t) for t in texts], pa.list_(pa.float64()))])
-    rows = made.select("doc_id", "label", "x").orderBy("doc_id", "x").collect()
+    rows = one_per_document(made, "label").orderBy("doc_id").collect()
     y = np.array([r["label"] for r in rows], np.int64)
     if len(set(y.tolist())) < 2:
         return None

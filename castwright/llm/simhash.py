@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from castwright.llm.common import components, utf8, word_chunks
+from castwright.llm.common import add_arrow_columns, clashless, components, utf8, word_chunks
 from castwright.session import materialize
 
 SHINGLE = 4
@@ -163,22 +163,29 @@ def star_components(edges: DataFrame) -> DataFrame:
         before = after
 
 
+def grouped(owned: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``owned`` (a row for each distinct fingerprint fp) with the root of its component."""
+    roots = star_components(links(owned.select("fp"), radius, tile))
+    return owned.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) of each row."""
     made = materialize(fingerprints(docs, k), "fingerprints")
     owned = materialize(made.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = star_components(links(owned.select("fp"), radius, tile))
-    placed = owned.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = grouped(owned, radius, tile)
     first = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     groups = placed.join(first, "root").select("fp", "component_id")
     return made.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component: the row whose id names the component.
-
-    Exact repeats of that row stay once; rows without an id are kept, once each.
-    """
-    kept = near_duplicates(docs, k, radius).where("doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
-    return chosen.dropDuplicates(["doc_id", "text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id (rows without an id
+    come last), the first of them where rows repeat an id. Row numbers are fixed by a write."""
+    fp, row = clashless(docs, "fp", "row")
+    made = add_arrow_columns(docs, "text", f"`{fp}` long", lambda texts: [pa.array(np.fromiter((fingerprint(t, k) for t in texts), np.uint64, len(texts)).view(np.int64))])
+    made = materialize(made.withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col(row).alias("row"))
+    owned = materialize(made.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("first")), "distinct-fingerprints")
+    chosen = grouped(owned, radius, tile).groupBy("root").agg(F.min("first").alias("first"))
+    return made.join(chosen.select(F.col("first.row").alias(row)), row, "left_semi").drop(fp, row)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from castwright.llm.common import add_arrow_columns
 from castwright.llm.decontaminate import words_of
-from castwright.llm.training import labelled_sample
+from castwright.llm.training import labelled_sample, one_per_document
 
 BUCKETS, DIM, FILTERS, WIDTHS, STEMS = 1 << 20, 8, 6, (1, 2, 3), (4, 6)
 PER_CLASS, MAX_WORDS, MIN_DOCS = 2000, 20_000, 5
@@ -38,6 +38,8 @@ MOD, HELD_OUT, CALIBRATION = 5, 0, 4
 EPOCHS, BATCH, RATE, DECAY = 4, 32, 0.02, 1e-4
 #: Distinct words that a task remembers; it forgets them all when full.
 WORDS = 200_000
+#: Words of a long text whose responses are in memory at a time.
+PART = 1 << 16
 _SCORERS: dict = {}
 #: Function words that tell languages apart (fixed values).
 LANGUAGES = {
@@ -165,16 +167,23 @@ class TextCnn:
         """What each word adds to each filter at each of its positions (words x 36)."""
         return self.table[self.row[ids]].sum(1)
 
-    def logit(self, responses: np.ndarray) -> float:
-        """Largest response of each filter over the text, through the linear layer."""
-        n, at, pooled = max(1, len(responses)), 0, []
-        after = np.zeros((n + max(WIDTHS) - 1 - len(responses), responses.shape[1]), np.float32)
-        r = np.concatenate((responses, after))
-        for k in WIDTHS:
-            whole = sum(r[j : j + n, at + j * FILTERS : at + (j + 1) * FILTERS] for j in range(k))
-            pooled.append(np.maximum(whole.max(0) + self.b[k], 0))
-            at += k * FILTERS
-        return float(np.concatenate(pooled) @ self.v + self.c)
+    def logit(self, responses: np.ndarray, at: np.ndarray | None = None) -> float:
+        """Largest response of each filter over a text whose words have the rows ``at`` of ``responses``
+        (all, if not given), through the linear layer; a long text is pooled in parts of ``PART`` words."""
+        at = np.arange(len(responses)) if at is None else at
+        n, reach, best = max(1, len(at)), max(WIDTHS) - 1, None
+        for start in range(0, n, PART):
+            size = min(PART, n - start)
+            r = responses[at[start : start + size + reach]]
+            r = np.concatenate((r, np.zeros((size + reach - len(r), responses.shape[1]), np.float32)))
+            pooled, column = [], 0
+            for k in WIDTHS:
+                whole = sum(r[j : j + size, column + j * FILTERS : column + (j + 1) * FILTERS] for j in range(k))
+                pooled.append(whole.max(0) + self.b[k])
+                column += k * FILTERS
+            part = np.concatenate(pooled)
+            best = part if best is None else np.maximum(best, part)
+        return float(np.maximum(best, 0) @ self.v + self.c)
 
     def language(self, spoken: np.ndarray) -> int:
         """Number of the language with most function words among a text's words (0: none)."""
@@ -234,7 +243,7 @@ class Scorer:
         out = []
         for words in cut:
             at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            z = self.model.logit(self.responses[at]) - self.model.cuts[self.model.language(self.spoken[at])]
+            z = self.model.logit(self.responses, at) - self.model.cuts[self.model.language(self.spoken[at])]
             out.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
         return out
 
@@ -244,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> TextC
     short = docs.where(F.length("text") <= 10 * MAX_WORDS)
     sample = labelled_sample(short, labels, "toxic", per_class, MOD, HELD_OUT)
     made = add_arrow_columns(sample, "text", "x array<int>", lambda texts: [pa.array([bucket_ids(words_of(t)).ravel().astype(np.int32) for t in texts], pa.list_(pa.int32()))])
-    rows = made.select("doc_id", "label", "fold", "x").toArrow().sort_by("doc_id")
+    rows = one_per_document(made, "label", "fold").toArrow().sort_by("doc_id")
     y = rows["label"].to_numpy().astype(np.int64)
     if len(set(y.tolist())) < 2:
         return None

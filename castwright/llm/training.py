@@ -29,3 +29,9 @@ def label_odds(labels: DataFrame, label: str) -> float:
     """Natural odds of class 1 over all labels (1 where a class is missing)."""
     n = labels.agg(*[F.count(F.when(F.col(label) == v, 1)) for v in (0, 1)]).first()
     return n[1] / n[0] if n[0] and n[1] else 1.0
+
+
+def one_per_document(features: DataFrame, *by: str) -> DataFrame:
+    """One row (doc_id, *by, x) for each document of a sample, the smallest features where rows repeat an
+    id, so that what reaches the driver stays bounded however often an id is repeated."""
+    return features.groupBy("doc_id", *by).agg(F.min("x").alias("x"))

@@ -113,6 +113,22 @@ def test_tiles_against_brute_force():
         assert (found[0][1:3] if found else (0, 0)) == (n, covered) or found[0][2] == covered
 
 
+@pytest.mark.parametrize("seeds", [1, 3, 1000])
+def test_seeds_in_parts_give_the_same_tiles(seeds, monkeypatch):
+    r = random.Random(6)
+    items = [(k, " ".join(r.choice("abc") for _ in range(r.randint(3, 30)))) for k in range(12)]
+    block = decontaminate.Block(items, 4)
+    texts = [" ".join(r.choice("abcx") for _ in range(r.randint(0, 80))) for _ in range(40)]
+    whole = [block.tiles(t) for t in texts]
+    monkeypatch.setattr(decontaminate, "SEEDS", seeds)
+    assert [block.tiles(t) for t in texts] == whole and any(whole)
+
+
+def test_one_word_over_and_over():
+    block = decontaminate.Block([(1, "a " * 60)])
+    assert block.tiles("a " * 20_000) == [(1, 1, 60, 60)]
+
+
 ITEM = "The quick brown fox jumps over the lazy dog while seven grey wolves sleep under an old oak tree near water"
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from castwright.llm import catalog, quality_gam, toxicity
+from castwright.llm import catalog, quality_gam, toxicity, training
 from castwright.llm.common import crc_mod
 
 SF = "/root/testdata/sf0.01"
@@ -82,6 +82,23 @@ def test_pooled_response_is_the_largest_window():
     assert r is not None
 
 
+def test_long_texts_are_pooled_in_parts(monkeypatch):
+    r = np.random.default_rng(4)
+    texts = [toxicity.bucket_ids([b"good", b"day"] * 5 + [b"nastyword"] * int(k % 2)) for k in range(60)]
+    model = toxicity.TextCnn(texts, np.arange(60) % 2, np.zeros(60, bool))
+    words = [toxicity.bucket_ids([b"good", b"day", b"nastyword", b"odd"])[r.integers(0, 4, n)] for n in (0, 1, 2, 9, 30)]
+    whole = [model.logit(model.responses(ids)) for ids in words]
+    for part in (1, 2, 7):
+        monkeypatch.setattr(toxicity, "PART", part)
+        assert [model.logit(model.responses(ids)) for ids in words] == whole
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(1, [2.0, 1.0], 0)] * 50 + [(1, [1.0, 5.0], 0), (2, [], 1), (None, [0.0], 1)]
+    made = training.one_per_document(spark.createDataFrame(rows, "doc_id long, x array<double>, label int"), "label")
+    assert sorted(map(tuple, made.select("doc_id", "x").collect()), key=str) == [(1, [1.0, 5.0]), (2, []), (None, [0.0])]
+
+
 def test_cut_lies_in_the_gap():
     assert toxicity.TextCnn._best_cut(np.array([-2.0, -1.0, 3.0, 4.0]), np.array([0, 0, 1, 1])) == 1.0
     assert toxicity.TextCnn._best_cut(np.array([1.0]), np.array([1])) == 0.0

@@ -99,6 +99,14 @@ def test_empty_and_representatives(spark):
     assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(want)
 
 
+def test_one_row_of_each_group_stays(spark):
+    rows = [(5, "a b c d e"), (5, "a b c d e"), (5, "other words that stand alone here"), (None, "a b c d e"), (None, "only without an id"), (None, "only without an id"), (2, "OTHER words that stand alone here"), (9, None), (8, "")]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame([(d, t, 0) for d, t in rows], "doc_id long, text string, row int"))
+    assert kept.columns == ["doc_id", "text", "row"]
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(2, rows[6][1]), (5, "a b c d e"), (8, ""), (None, "only without an id")], key=str)
+
+
 def lines_kept(rows, min_chars=20, min_docs=3):
     def key(line):
         k = re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
