@@ -93,3 +93,29 @@ def ranged_running_sum(df: DataFrame, key: str, order: list[str] | tuple[str, ..
     offsets = totals.select("_range", key, F.coalesce(F.sum("_total").over(prev_w), F.lit(0)).alias("_offset"))
     return local.join(F.broadcast(offsets), ["_range", key], "left").select(
         *df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).alias(out))
+
+
+E_NO_POSITION = "piece has no position"
+E_REPEATED_POSITION = "position is repeated"
+
+
+def one_per_position(rows: DataFrame, key: str, order: tuple[str, ...], text: str) -> DataFrame:
+    """(key, *order, text): one piece for each position, the smallest text where a position is
+    repeated; pieces without a position have no place (``position_rejects`` reports both).
+
+    The minimum is taken map-side first, and its exchange on (key, order) is the one that the later
+    join on the same columns needs anyway."""
+    placed = rows.dropna(subset=[*order])
+    return placed.groupBy(key, *order).agg(F.min(text).alias(text))
+
+
+def position_rejects(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
+    """(key, *order, n_rejected, error): how many pieces of a job were left out at a position, and why."""
+    absent = F.lit(False)
+    for c in order:
+        absent = absent | F.col(c).isNull()
+    counted = rows.groupBy(key, *order).agg(F.count(F.lit(1)).alias("_n")).withColumn("_absent", absent)
+    lost = F.when(F.col("_absent"), F.col("_n")).otherwise(F.col("_n") - 1)
+    return counted.select(key, *order, lost.alias("n_rejected"),
+                          F.when(F.col("_absent"), F.lit(E_NO_POSITION)).otherwise(F.lit(E_REPEATED_POSITION)).alias("error")
+                          ).where("n_rejected > 0")

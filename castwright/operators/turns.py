@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from castwright.functions.text import WS_CLASS, char_count, piece_lines, py_strip, split_lines
-from castwright.operators.ordering import running_sum
+from castwright.operators.ordering import one_per_position, running_sum
 
 # The two speaker labels.
 HOST_A = "HOST_A"
@@ -42,6 +42,7 @@ def parse_duo_turns(rows: DataFrame, key: str = "job_id", order: tuple[str, ...]
     Plan: the only cross-row dependency is how many labels precede a piece. That count is a
     per-job running sum over narrow (key, order, count) rows, computed with the blocked scan
     (``ordering.running_sum``) so a job with a huge number of pieces is split over many tasks.
+    Each position holds one piece (``ordering.one_per_position``; ``position_rejects`` has the rest).
     The pieces are then joined back on (key, order), exploded into lines, numbered inside each
     piece, and grouped by (key, turn) -- every wide shuffle is keyed by more than the job, so no
     single job lands in one task.
@@ -50,6 +51,7 @@ def parse_duo_turns(rows: DataFrame, key: str = "job_id", order: tuple[str, ...]
     lines_of = piece_lines if order else split_lines
     n_labels = F.size(F.filter(lines_of(text), lambda ln: ln.rlike(LABEL_RX))).cast("bigint")
     if order:
+        rows = one_per_position(rows, key, order, text)
         narrow = rows.select(key, *order, n_labels.alias("_n"))
         before = running_sum(narrow, key, order, "_n", "_cum").select(
             key, *order, (F.col("_cum") - F.col("_n")).alias("_before"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from castwright.functions import encoding as enc
 from castwright.functions import text as tx
 from castwright.functions import urls as url_fn
-from castwright.operators import chunking, intake, ledger, prompts, routing, speech
+from castwright.operators import chunking, intake, ledger, ordering, prompts, routing, speech
 from castwright.operators import events as events_op
 from castwright.operators import turns as turns_op
 from castwright.plans import inputs
@@ -130,6 +130,16 @@ def duo_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conv_turns(spark, sf_dir)
 
 
+@register("position_rejects")
+def position_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces that T1 and R12 leave out: some rows of each conversation lose their position or
+    share it with the row before (chosen by the row key)."""
+    conv = table(spark, sf_dir, "conversations")
+    at = F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(11))
+    pos = F.when(at == 3, F.lit(None)).when(at == 5, F.col("turn") - 1).otherwise(F.col("turn")).cast("bigint")
+    return ordering.position_rejects(conv.select("conv_id", pos.alias("pos")), "conv_id", ("pos",))
+
+
 @register("duo_rejects")
 def duo_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")

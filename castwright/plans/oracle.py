@@ -781,3 +781,12 @@ SELECT doc_id, CASE WHEN kind IS NULL THEN 'doc' || CAST(doc_id AS VARCHAR) || '
 FROM (SELECT *, CASE WHEN doc_id % 11 = 3 THEN 'missing' WHEN t = '' THEN 'empty' END AS kind
       FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(text, '') END AS t FROM documents))
 """
+
+ORACLE_SQL["position_rejects"] = """
+WITH placed AS (
+  SELECT conv_id, CASE (conv_id * 7 + turn) % 11 WHEN 3 THEN NULL WHEN 5 THEN turn - 1 ELSE turn END AS pos FROM conversations),
+counted AS (SELECT conv_id, pos, count(*) AS n FROM placed GROUP BY conv_id, pos)
+SELECT conv_id, pos, CASE WHEN pos IS NULL THEN n ELSE n - 1 END AS n_rejected,
+  CASE WHEN pos IS NULL THEN 'piece has no position' ELSE 'position is repeated' END AS error
+FROM counted WHERE pos IS NULL OR n > 1
+"""

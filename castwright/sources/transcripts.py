@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from castwright.functions.text import collapse_whitespace, piece_lines, py_strip
-from castwright.operators.ordering import running_sum
+from castwright.operators.ordering import one_per_position, running_sum
 
 LINES_PER_PARAGRAPH = 6
 EMPTY_TRANSCRIPT_ERROR = "YouTube transcript is empty"
@@ -43,7 +43,8 @@ def transcript_paragraphs(rows: DataFrame, key: str = "job_id", order: tuple[str
 
     The global line index is a per-job running count of kept lines over narrow rows, computed
     with the blocked scan (``ordering.running_sum``) so one very long transcript is spread over
-    many tasks; the rows are joined back on (key, order) and grouped by (key, paragraph)."""
+    many tasks; the rows are joined back on (key, order) and grouped by (key, paragraph). Each
+    position holds one row (``ordering.one_per_position``; ``position_rejects`` has the rest)."""
     order = tuple(order)
 
     def clean(x):
@@ -54,6 +55,7 @@ def transcript_paragraphs(rows: DataFrame, key: str = "job_id", order: tuple[str
     else:
         n_kept = F.when(clean(F.col(text)) != F.lit(""), F.lit(1)).otherwise(F.lit(0))
     if order:
+        rows = one_per_position(rows, key, order, text)
         narrow = rows.select(key, *order, n_kept.cast("bigint").alias("_n"))
         before = running_sum(narrow, key, order, "_n", "_cum").select(
             key, *order, (F.col("_cum") - F.col("_n")).alias("_before"))

@@ -141,3 +141,16 @@ def test_segments_from_json_skip_non_string_text(spark):
     assert rows(lines.orderBy("pos"), "pos", "text") == [(0, "one  two"), (3, "three")]
     out = transcripts.transcript_text(transcripts.transcript_paragraphs(lines))
     assert rows(out, "job_id", "text") == [("j", "one two three")]
+
+
+def test_repeated_and_missing_positions(spark):
+    from castwright.operators.ordering import E_NO_POSITION, E_REPEATED_POSITION, position_rejects
+
+    rows = [("j", 1, "HOST_A: hi"), ("j", 2, "yo"), ("j", 2, "zz"), ("j", 2, "zz"), ("j", None, "lost"), ("j", 3, "HOST_B: bye")]
+    pieces = spark.createDataFrame(rows, "job_id string, pos long, text string")
+    made = T.parse_duo_turns(pieces, order=("pos",)).orderBy("turn_no").collect()
+    assert [(r["turn_no"], r["speaker"], r["text"]) for r in made] == [(1, "HOST_A", "hi\nyo"), (2, "HOST_B", "bye")]
+    lost = {(r["pos"], r["n_rejected"], r["error"]) for r in position_rejects(pieces, "job_id", ("pos",)).collect()}
+    assert lost == {(None, 1, E_NO_POSITION), (2, 2, E_REPEATED_POSITION)}
+    paras = transcripts.transcript_paragraphs(pieces, order=("pos",)).collect()
+    assert [r["text"] for r in paras] == ["HOST_A: hi yo HOST_B: bye"]
