@@ -1,11 +1,13 @@
 """Operator 7: licence scan with a positional rare-token index, DataFrame functions only.
 
 Words of a text are cut once. Every licence template is indexed by its words: postings of (template,
-position). Over all documents each licence word gets its IDF. A file looks up its ``top`` licence words
-of highest IDF; their postings are intersected by relative position (place in the file minus place in
-the template), so a template matches where enough of its rare words stand at the same distance from
-one another as in the template. A match counts after the template's mandatory key phrases are found in
-the file. Base phrases give base labels whatever the index says.
+position). Over all documents each licence word gets its IDF. A template whose mandatory key phrases are
+found in a file is looked up there: postings are intersected by relative position (place in the file
+minus place in the template). Each template's own ``top`` words of highest IDF are the seeds; at an offset
+with a seed the share is taken over all words of the template, so a template matches where enough of its
+words stand at the same distance from one another as in the template, however many notices a file has.
+With ``TOP`` seeds the other words of a template weigh less than ``MIN_SHARE``, so no match lacks a seed.
+Base phrases give base labels whatever the index says.
 
 The first pass writes ids, counts and, only for files with a core licence word (each key phrase has
 one), their words to the shared folder; everything later reads that. Row numbers are fixed by that
@@ -108,24 +110,23 @@ def base_places(indexed: DataFrame) -> DataFrame:
 
 
 def template_matches(indexed: DataFrame, top: int = TOP, min_share: float = MIN_SHARE) -> DataFrame:
-    """rid, template, share: the best aligned share of a verified template's rare words."""
+    """rid, template, share: the best aligned share of a verified template's words."""
     spark = indexed.sparkSession
     weights = materialize(idf(indexed), "licence-idf")
     index = postings(spark).join(F.broadcast(weights), "word", "left").withColumn("idf", F.coalesce("idf", F.lit(0.0)))
-    texts = indexed.where("words IS NOT NULL")
-    ranked = texts.select("rid", F.explode("found").alias("word")).join(F.broadcast(weights), "word")
-    order = Window.partitionBy("rid").orderBy(F.desc("idf"), "word")
-    rare = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("rid", "word")
-    hits = texts.select("rid", F.posexplode("words").alias("pos", "word")).where(F.col("word").isin(vocabulary()))
-    hits = hits.join(rare, ["rid", "word"]).join(F.broadcast(index), "word")
-    aligned = hits.groupBy("rid", "template", (F.col("pos") - F.col("tpos")).alias("offset")).agg(F.sum("idf").alias("weight"))
-    best = aligned.groupBy("rid", "template").agg(F.max("weight").alias("weight"))
-    whole = index.groupBy("template").agg(F.sum("idf").alias("whole"))
-    scored = best.join(F.broadcast(whole), "template").withColumn("share", F.least(F.col("weight") / F.col("whole"), F.lit(1.0)))
+    rare = Window.partitionBy("template").orderBy(F.desc("idf"), "word")
+    seeds = index.select("template", "word", "idf").distinct().withColumn("rank", F.row_number().over(rare))
+    index = index.join(F.broadcast(seeds.select("template", "word", (F.col("rank") <= top).alias("seed"))), ["template", "word"])
     text = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     held = F.array(*[F.when(_all_in(text, phrases), F.lit(k)) for k, (_, phrases, _) in enumerate(TEMPLATES)])
-    verified = texts.select("rid", F.explode(F.array_compact(held)).alias("template"))
-    return scored.where(F.col("share") >= min_share).join(verified, ["rid", "template"]).select("rid", "template", "share")
+    verified = indexed.where("words IS NOT NULL").select("rid", "words", F.array_compact(held).alias("held")).where(F.size("held") > 0)
+    hits = verified.select("rid", "held", F.posexplode("words").alias("pos", "word")).where(F.col("word").isin(vocabulary()))
+    hits = hits.join(F.broadcast(index), "word").where(F.array_contains("held", F.col("template")))
+    aligned = hits.groupBy("rid", "template", (F.col("pos") - F.col("tpos")).alias("offset")).agg(F.sum("idf").alias("weight"), F.max("seed").alias("seeded"))
+    best = aligned.where("seeded").groupBy("rid", "template").agg(F.max("weight").alias("weight"))
+    whole = index.groupBy("template").agg(F.sum("idf").alias("whole"))
+    scored = best.join(F.broadcast(whole), "template").withColumn("share", F.least(F.col("weight") / F.col("whole"), F.lit(1.0)))
+    return scored.where(F.col("share") >= min_share).select("rid", "template", "share")
 
 
 def _all_in(text: Column, phrases: list[str]) -> Column:

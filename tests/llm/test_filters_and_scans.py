@@ -1,6 +1,7 @@
 """URL filter, quality rules, licence scan and secret scan against plain statements of their rules."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -146,6 +147,37 @@ def test_license_moved_words_do_not_match(spark):
     assert all(not r["matches"] for r in license_scan.scan(docs).collect())
 
 
+def licence_shares(text, idf):
+    """Best aligned share of each template in a text whose key phrases it has, counted one by one."""
+    words, out = base_words(text), {}
+    for k, (_, phrases, notice) in enumerate(license_scan.TEMPLATES):
+        own = notice.split()
+        if all(f" {p} " in f" {' '.join(words)} " for p in phrases):
+            best = max(sum(idf[w] for j, w in enumerate(own) if 0 <= i + j < len(words) and words[i + j] == w) for i in range(-len(own), len(words)))
+            out[k] = best / sum(idf.get(w, 0.0) for w in own)
+    return {k: v for k, v in out.items() if v >= license_scan.MIN_SHARE}
+
+
+def base_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_license_many_notices_in_one_file(spark):
+    notices = [n for _, _, n in license_scan.TEMPLATES]
+    mit, lgpl, bsd, isc = notices[1], notices[5], notices[7], notices[12]
+    texts = [*notices, ". ".join([bsd, mit]), ". ".join([bsd, isc]), ". ".join([bsd, mit, lgpl]), ". and then\n".join(notices), mit[:70] + " x " + mit[70:]] + ["plain words of the text"] * 60
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    indexed = license_scan.index_words(docs)
+    seen = [set(base_words(t)) for t in texts]
+    idf = {w: math.log1p(len(texts) / sum(w in s for s in seen)) for w in license_scan.vocabulary() if any(w in s for s in seen)}
+    ids = {r["rid"]: r["doc_id"] for r in indexed.select("rid", "doc_id").collect()}
+    got = {(ids[r["rid"]], r["template"]): r["share"] for r in license_scan.template_matches(indexed).collect()}
+    want = {(i, k): v for i, t in enumerate(texts) for k, v in licence_shares(t, idf).items()}
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in want)
+    everything = len(notices) + 3
+    assert all(got[everything, k] > 0.999 for k in range(len(notices)))
+
+
 def base_secrets(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[1]) >= 12]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
