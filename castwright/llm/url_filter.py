@@ -7,12 +7,14 @@ word in a public vocabulary of lower-case words, so ``cheappills`` becomes ``che
 Bayes over those words gives block or allow.
 
 There are no labelled urls, so training is weak: urls with one of the seed words stand for block, the
-others that no rule blocks for allow. Word counts by class are aggregated over all pages; the
-``model_words`` most frequent words of each class make the model (its size is that parameter), the
-rest count as unseen. A host that a third of all pages share is segmented once per task.
+others that no rule blocks for allow. Word counts by class are aggregated over all pages, and every word
+counts with both of them. Tasks hold the odds of the ``held_words`` most frequent words (that parameter
+bounds memory, not the model); a page's other words, each a small share of all words, are joined with the
+table of counts, so no frequent word is a join key. Pages and their words are written once, which fixes the
+row numbers of that join. A host that a third of all pages share is segmented once per task.
 
 Edge cases: a null url or one without ``://`` has empty host and path and is judged without words (the
-prior). Repeated pages each get a row; an empty table gives an empty result; other columns are not read.
+prior). A word of unlabelled pages only (blocked by a rule) adds nothing. Repeated pages each get a row; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,12 +29,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from castwright.llm.common import clashless
+from castwright.session import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = "word_bpe_49k.json"
 #: (verdict, rule) of the production filter.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 #: Words that stand for unwanted pages in training (fixed values).
 SEEDS = ["adult", "ads", "bet", "bets", "betting", "casino", "gambling", "lottery", "pills", "poker", "porn", "sex", "spam", "viagra", "xxx"]
+#: Words whose odds every task holds; the others are joined.
 MODEL_WORDS = 20_000
 LONGEST = 24
 #: Distinct names that a task remembers.
@@ -117,37 +123,62 @@ def with_words(parts: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return parts.withColumn("words", cut("host", "path"))
 
 
-def train(worded: DataFrame, seeds: list[str] = SEEDS, model_words: int = MODEL_WORDS) -> dict:
-    """Log odds (block over allow) of the prior, of each model word and of an unseen word."""
+def word_counts(worded: DataFrame, seeds: list[str] = SEEDS) -> tuple[DataFrame, dict[int, int]]:
+    """word, n_block, n_allow, n of every word of all pages, and the number of pages of each label."""
     seeded = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]))
     label = F.when(seeded, F.lit(1)).when(F.coalesce("rule_verdict", F.lit("allow")) == "allow", F.lit(0))
-    labelled = worded.select(label.alias("label"), "words").where("label IS NOT NULL")
-    n = {r["label"]: (r["rows"], r["total"] or 0) for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("words")).alias("total")).collect()}
-    counts = labelled.select("label", F.explode("words").alias("word")).groupBy("label", "word").count()
-    top = {v: {r["word"]: r["count"] for r in counts.where(F.col("label") == v).orderBy(F.desc("count"), "word").limit(model_words).collect()} for v in (0, 1)}
-    vocab = sorted({*top[0], *top[1]})
-    rows, total = ([n.get(v, (0, 0))[k] for v in (0, 1)] for k in (0, 1))
-    size = len(vocab) + 1
-
-    def odds(word: str) -> float:
-        one, zero = (math.log((top[v].get(word, 0) + 1) / (total[v] + size)) for v in (1, 0))
+    labelled = worded.select(label.alias("label"), "words")
+    pages = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    met = labelled.select("label", F.explode("words").alias("word"))
+    counts = met.groupBy("word").agg(F.count_if(F.col("label") == 1).alias("n_block"), F.count_if(F.col("label") == 0).alias("n_allow"), F.count(F.lit(1)).alias("n"))
+    return materialize(counts, "url-words"), pages
+
+
+class Bayes:
+    """Log odds (block over allow) of the prior and of words by their counts; holds the hot words."""
+
+    def __init__(self, counts: DataFrame, pages: dict[int, int], held_words: int):
+        sums = counts.agg(F.sum("n_block"), F.sum("n_allow"), F.count_if(F.col("n_block") + F.col("n_allow") > 0)).first()
+        self.size = sums[2] + 1
+        self.total = (sums[1] or 0, sums[0] or 0)
+        self.prior = math.log((pages.get(1, 0) + 1) / (pages.get(0, 0) + 1))
+        hot = counts.orderBy(F.desc("n"), "word").limit(held_words).collect()
+        self.words = {r["word"]: self.odds(r["n_block"], r["n_allow"]) for r in hot}
+
+    def odds(self, n_block: int, n_allow: int) -> float:
+        """Log odds of a word; a word of unlabelled pages only says nothing."""
+        if not n_block + n_allow:
+            return 0.0
+        one, zero = (math.log((n + 1) / (self.total[v] + self.size)) for v, n in ((1, n_block), (0, n_allow)))
         return one - zero
 
-    return {"prior": math.log((rows[1] + 1) / (rows[0] + 1)), "words": {w: odds(w) for w in vocab}}
+    def page(self, words: list[str], rare: list[dict] | None) -> float:
+        """Log odds of a page, from its words and the counts of those that are not held."""
+        more = {r["word"]: self.odds(r["n_block"], r["n_allow"]) for r in rare} if rare is not None else {}
+        return self.prior + sum(self.words[w] if w in self.words else more[w] for w in words)
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, seeds: list[str] = SEEDS) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, seeds: list[str] = SEEDS, held_words: int = MODEL_WORDS) -> DataFrame:
     """``pages`` with host, path, rule, words, block_odds and verdict (the rule's, else the method's)."""
+    rid, rare = clashless(pages, "rid", "rare_words")
     worded = with_words(with_rule(with_parts(pages), rules))
-    held = pages.sparkSession.sparkContext.broadcast(train(worded, seeds))
+    worded = materialize(worded.withColumn(rid, F.monotonically_increasing_id()), "url-pages")
+    counts, labelled = word_counts(worded, seeds)
+    model = Bayes(counts, labelled, held_words)
+    held = pages.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("array<string>")
+    def others(words):
+        hot = held.value.words
+        return pd.Series([sorted({w for w in row if w not in hot}) for row in words])
+
+    asked = worded.select(rid, F.explode(others("words")).alias("word")).join(counts, "word")
+    found = asked.groupBy(rid).agg(F.collect_list(F.struct("word", "n_block", "n_allow")).alias(rare))
 
     @F.pandas_udf("double")
-    def odds(words):
-        model = held.value
-        of = model["words"].get
-        return pd.Series([model["prior"] + sum(of(w, 0.0) for w in row) for row in words])
+    def odds(words, rare):
+        return pd.Series([held.value.page(*row) for row in zip(words, rare)])
 
-    scored = worded.withColumn("block_odds", odds("words"))
+    scored = worded.join(found, rid, "left").withColumn("block_odds", odds("words", rare)).drop(rid, rare)
     method = F.when(F.col("block_odds") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return scored.withColumn("verdict", F.coalesce("rule_verdict", method))
-

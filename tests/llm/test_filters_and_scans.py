@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -64,6 +65,32 @@ def test_bayes_blocks_unwanted_hosts(spark):
     assert out.where(~bad & (F.col("verdict") == "block")).count() <= 0.02 * out.count()
 
 
+def bayes_odds(rows):
+    """Block odds of each (words, rule verdict), counted one by one."""
+    label = [1 if {*w} & {*url_filter.SEEDS} else 0 if v != "block" else None for w, v in rows]
+    counts = [Counter(w for (words, _), x in zip(rows, label) if x == v for w in words) for v in (0, 1)]
+    size, total = len({*counts[0], *counts[1]}) + 1, [c.total() for c in counts]
+
+    def odds(w):
+        one, zero = (math.log((counts[v][w] + 1) / (total[v] + size)) for v in (1, 0))
+        return one - zero if counts[0][w] + counts[1][w] else 0.0
+
+    return [math.log((label.count(1) + 1) / (label.count(0) + 1)) + sum(map(odds, words)) for words, _ in rows]
+
+
+def test_every_word_counts_in_both_classes(spark):
+    words = sorted(w for w in url_filter.segmenter(public_tokenizers.path(url_filter.WORDS)).cost if len(w) > 3 and w not in url_filter.SEEDS)
+    assert len(words) > url_filter.MODEL_WORDS + 2000
+    urls = [f"x://{w}.net/" for w in words] + [f"x://casino.net/{w}" for w in words[-30:]] + ["x://a.com/de/zebra", None, f"x://{words[-1]}.net/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "rid long, url string").repartition(4)
+    made = url_filter.judge(pages).orderBy("rid").collect()
+    want = bayes_odds([(r["words"], r["rule_verdict"]) for r in made])
+    assert [r["rid"] for r in made] == list(range(len(urls))) and all(abs(r["block_odds"] - x) < 1e-9 for r, x in zip(made, want))
+    few = pages.where(f"rid >= {len(words) - 100}")
+    key = ("rid", "words", "block_odds", "verdict")
+    assert url_filter.judge(few, held_words=2).select(*key).orderBy("rid").collect() == url_filter.judge(few).select(*key).orderBy("rid").collect()
+
+
 def base_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = list(zip(words, words[1:], words[2:]))
