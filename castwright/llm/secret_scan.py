@@ -11,7 +11,7 @@ text, the token is a further span of kind ``format``.
 Tasks scan whole texts; long words are found first, so patterns run only where they can match. The
 distinct values to learn from are written to the shared folder in one pass over the texts, the spans come
 from a second one. Only the bounded sample (``per_kind`` values of at most ``MAX_LENGTH`` characters, those
-with the smallest hashes) reaches the driver. Texts are not shuffled.
+with the smallest hashes) reaches the driver; candidates are rated whole, however long. Texts are not shuffled.
 
 Edge cases: null and empty texts have no spans; repeated rows each get a row; without any credential
 to learn from there are base spans only (none); an empty table gives an empty result; columns other
@@ -81,6 +81,8 @@ def symbols(value: str) -> str:
 _CLASSES = {ord(c): "d" for c in "0123456789"} | {ord(c): "h" for c in "abcdef"} | {ord(c): "l" for c in "ghijklmnopqrstuvwxyz"} | {ord(c): "H" for c in "ABCDEF"} | {ord(c): "L" for c in "GHIJKLMNOPQRSTUVWXYZ"}
 ALPHABET = 11
 END = ""
+#: Bits of a sign where the automaton has no state.
+LOST = math.log2(0.05 / (0.05 * (ALPHABET + 1)))
 
 
 class Automaton:
@@ -101,6 +103,7 @@ class Automaton:
                 at = self.next[at][c]
             self.count[at][END] += 1
         self._merge_all()
+        self.bits = [self._bits(seen) for seen in self.count]
         own = sorted(self.rate(w) for w in words)
         self.lowest = own[int(LOWEST * len(own))] if own else 0.0
 
@@ -155,15 +158,23 @@ class Automaton:
         self.next = [{c: number[t] for c, t in self.next[q].items()} for q in settled]
         self.count = [dict(self.count[q]) for q in settled]
 
+    @staticmethod
+    def _bits(seen: dict[str, float]) -> tuple[dict[str, float], float]:
+        """Bits of each sign met in a state, and of any other sign."""
+        whole = sum(seen.values()) + 0.05 * (ALPHABET + 1)
+        return {c: math.log2((n + 0.05) / whole) for c, n in seen.items()}, math.log2(0.05 / whole)
+
     def rate(self, word: str) -> float:
-        """Bits a character (minus sign: less likely) that the automaton gives a string."""
+        """Bits a character (minus sign: less likely) that the automaton gives a string of any length."""
         at, bits = 0, 0.0
-        for c in [*word, END]:
-            seen = self.count[at] if at is not None else {}
-            bits += math.log2((seen.get(c, 0) + 0.05) / (sum(seen.values()) + 0.05 * (ALPHABET + 1)))
-            if c:
-                at = self.next[at].get(c) if at is not None else None
-        return bits / (len(word) + 1)
+        for k, c in enumerate(word):
+            known, other = self.bits[at]
+            bits += known.get(c, other)
+            at = self.next[at].get(c)
+            if at is None:  # no state: every sign to come, the end included, is as likely as any other
+                return (bits + (len(word) - k) * LOST) / (len(word) + 1)
+        known, other = self.bits[at]
+        return (bits + known.get(END, other)) / (len(word) + 1)
 
 
 def sample(docs: DataFrame, per_kind: int = PER_KIND) -> dict[str, list[str]]:
@@ -205,7 +216,7 @@ class Formats:
 
     def likelihood(self, value: str) -> tuple[str | None, float]:
         """The format that fits best, and how far it is ahead of ordinary text; None: no format."""
-        word = symbols(value[: 4 * MAX_LENGTH])
+        word = symbols(value)
         plain, best = self.plain.rate(word), (None, 0.0)
         for kind, automaton in self.formats.items():
             rate = automaton.rate(word)

@@ -246,3 +246,30 @@ def test_merging_keeps_the_language_and_shrinks_the_tree():
     assert len(made.next) < 0.05 * sum(map(len, words))
     assert made.rate("dhdhhhddhdhd") > made.rate("LLLLLLLLLLLL")
     assert secret_scan.Automaton([]).rate("d") < 0
+
+
+def test_long_tokens_are_rated_to_their_end(spark):
+    r = random.Random(4)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    head = "ASIA" + "".join(r.choice(signs) for _ in range(380))
+    tail = "".join(r.choice(signs) for _ in range(4000))
+    plain = "/" + "ordinary/words/" * 300
+    rows = [(i, t) for i, t in enumerate(secret_texts())] + [(900, f"see {head}{tail} now"), (901, f"see {head}{plain} now"), (902, f"see {head} now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = {x["doc_id"]: [s for s in x["spans"] if not s["base"]] for x in secret_scan.scan(docs).collect()}
+    assert [(s["start"], s["end"]) for s in made[900]] == [(4, 4 + len(head + tail))] and len(made[902]) == 1 and made[901] == []
+    own = secret_scan.Formats(secret_scan.sample(docs))
+
+    def slow(automaton, word):
+        at, bits = 0, 0.0
+        for c in [*word, ""]:
+            seen = automaton.count[at] if at is not None else {}
+            bits += math.log2((seen.get(c, 0) + 0.05) / (sum(seen.values()) + 0.05 * 12))
+            at = automaton.next[at].get(c) if at is not None else None
+        return bits / (len(word) + 1)
+
+    for value in (head + tail, head + plain, head, "deadbeef" * 700, "", "x" * 900 + "!"):
+        for automaton in (own.plain, *own.formats.values()):
+            assert abs(automaton.rate(secret_scan.symbols(value)) - slow(automaton, secret_scan.symbols(value))) < 1e-9
+        kind, ahead = own.likelihood(value)
+        assert kind is None or abs(ahead - (slow(own.formats[kind], secret_scan.symbols(value)) - slow(own.plain, secret_scan.symbols(value)))) < 1e-9
