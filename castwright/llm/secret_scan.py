@@ -6,7 +6,9 @@ frequencies are compatible (Hoeffding bounds on ending and on each next class, d
 merged, which leaves a small probabilistic automaton for each format. Ordinary long tokens give one
 more automaton. Every other candidate token of a text is scored by the likelihood that each format's
 automaton gives it; where a format fits as well as its own sample does and far better than ordinary
-text, the token is a further span of kind ``format``.
+text, the token is a further span of kind ``format``. Candidates are the whole runs of ``[A-Za-z0-9+/_=-]``
+of at least ``SHORTEST`` characters, the length from which values are learnt, with or without a digit; a
+run that a base span touches is reported by that span and not scored again.
 
 Tasks scan whole texts; long words are found first, so patterns run only where they can match. The
 distinct values to learn from are written to the shared folder in one pass over the texts, the spans come
@@ -35,7 +37,9 @@ KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a run of the class is taken whole, so 18 or more in all
 HEX = re.compile(r"[0-9a-f]{16,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}")
+#: Shortest labelled value, and so the shortest candidate.
+SHORTEST = 12
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 PER_KIND, MAX_LENGTH = 300, 96
 #: Share of a format's own sample that may score lower than a hit, and bits a character that the
@@ -52,7 +56,7 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     found = []
     low = data.lower()
     if any(n in low for n in NAMES):
-        found += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
+        found += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= SHORTEST]
     if any(len(w) >= 16 for w in data.split()):
         if b"AKIA" in data:
             found += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text)]
@@ -61,8 +65,8 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str | None, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Spans of long tokens with a digit that no base match touches."""
-    if not text or not any(len(w) >= 16 for w in utf8(text).split()):
+    """Spans of tokens of at least ``SHORTEST`` characters that no base match touches."""
+    if not text or not any(len(w) >= SHORTEST for w in utf8(text).split()):
         return []
     out, k, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
@@ -189,11 +193,11 @@ def sample(docs: DataFrame, per_kind: int = PER_KIND) -> dict[str, list[str]]:
                     kinds.append(KINDS[kind])
                     values.append(found[2] if found else text[start:end])
                 for word in (text or "").split():
-                    if 12 <= len(word) <= MAX_LENGTH and word.isascii() and not any(c.isdigit() for c in word):
+                    if SHORTEST <= len(word) <= MAX_LENGTH and word.isascii() and not any(c.isdigit() for c in word):
                         kinds.append(PLAIN)
                         values.append(word)
                 for start, end in candidates(text, taken):
-                    if re.fullmatch(r"[a-z]+[0-9]+|[A-Za-z/-]+[0-9/-]*", text[start:end]):
+                    if re.fullmatch(r"[a-z]+[0-9]+|[A-Za-z/-]+[0-9/-]*", text[start:end]) and any(c.isdigit() for c in text[start:end]):
                         kinds.append(PLAIN)
                         values.append(text[start:end])
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])

@@ -273,3 +273,18 @@ def test_long_tokens_are_rated_to_their_end(spark):
             assert abs(automaton.rate(secret_scan.symbols(value)) - slow(automaton, secret_scan.symbols(value))) < 1e-9
         kind, ahead = own.likelihood(value)
         assert kind is None or abs(ahead - (slow(own.formats[kind], secret_scan.symbols(value)) - slow(own.plain, secret_scan.symbols(value)))) < 1e-9
+
+
+def test_short_and_letter_only_credentials_are_scored(spark):
+    r = random.Random(9)
+    made = ["".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(13)) for _ in range(60)]
+    mixed = ["".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(13)) for _ in range(60)]
+    ordinary = "internationalisation documentation-of-things acknowledgement notwithstanding characteristics responsibilities"
+    texts = [f"token={x} and {ordinary}" for x in made + mixed]
+    hidden = ["QJXWVKZPRTBMG", "Q7XWV2ZP9TBMG"]
+    docs = spark.createDataFrame(list(enumerate([*texts, *(f"see {x} now" for x in hidden), f"{ordinary} token={made[0]}/tail"])), "doc_id long, text string")
+    spans = {x["doc_id"]: x["spans"] for x in secret_scan.scan(docs).collect()}
+    for k, x in enumerate(hidden):
+        assert [(s["kind"], s["start"], s["end"]) for s in spans[len(texts) + k]] == [("format", 4, 4 + len(x))]
+    assert all(s["base"] for k in [*range(len(texts)), len(texts) + 2] for s in spans[k])
+    assert len(spans[len(texts) + 2]) == 1
