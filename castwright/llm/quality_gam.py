@@ -8,7 +8,8 @@ on either feature. A score is the sum of table entries, looked up for a whole Ar
 
 The model is fitted on a bounded sample (``per_class`` rows of each class, see training.py): tasks
 compute the features, the driver gets only those numbers. Classes are weighted to their natural
-odds over all labels. Scoring reads every row once and never shuffles.
+odds over all labels outside of the held-out fold, one a document. Scoring reads every row once and
+never shuffles.
 
 Edge cases: null and empty texts have all features zero and get a score like any other; without
 labelled rows of both classes every score is 0.5. Repeated rows score alike. Empty table: empty
@@ -173,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Gam |
     y = np.array([r["label"] for r in rows], np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    return Gam(np.array([r["x"] for r in rows]), y, label_odds(labels, "quality"))
+    return Gam(np.array([r["x"] for r in rows]), y, label_odds(labels, "quality", MOD, HELD_OUT))
 
 
 def score(docs: DataFrame, model: Gam | None, column: str = "score") -> DataFrame:

@@ -99,6 +99,21 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     assert sorted(map(tuple, made.select("doc_id", "x").collect()), key=str) == [(1, [1.0, 5.0]), (2, []), (None, [0.0])]
 
 
+def test_held_out_labels_do_not_reach_the_model(spark):
+    docs = spark.createDataFrame([(i, "word " * (i % 9 + 1) + "#" * (i % 2)) for i in range(60)], "doc_id long, text string")
+    schema = "doc_id long, quality int"
+    rows = [(i, i % 2) for i in range(60)]
+    held = {r["doc_id"] for r in docs.where(crc_mod(F.col("doc_id"), quality_gam.MOD) == quality_gam.HELD_OUT).collect()}
+    seen = [(d, v) for d, v in rows if d not in held]
+    want = sum(v for _, v in seen) / sum(1 - v for _, v in seen)
+    more = [(d, 1) for d in held] + [(None, 1)] * 9 + [r for r in seen if r[1]] * 3 + [(seen[0][0], 2)]
+    plain = quality_gam.fit(docs, spark.createDataFrame(seen, schema))
+    for labels in (rows, seen + more):
+        made = quality_gam.fit(docs, spark.createDataFrame(labels, schema))
+        assert held and made.base == pytest.approx(np.log(want)) == plain.base
+        assert all(np.array_equal(a, b) for a, b in zip(made.tables, plain.tables))
+
+
 def test_cut_lies_in_the_gap():
     assert toxicity.TextCnn._best_cut(np.array([-2.0, -1.0, 3.0, 4.0]), np.array([0, 0, 1, 1])) == 1.0
     assert toxicity.TextCnn._best_cut(np.array([1.0]), np.array([1])) == 0.0
