@@ -8,14 +8,17 @@ levels. A batch of documents is aggregated (map-side first) to a run of its own
 as a level has ``fanout`` runs they are merged to one run of the next level, so each record is
 rewritten once per level. Runs are Parquet tables in the shared folder, hash-bucketed and sorted by
 the line hash. ``unseen`` merge-anti-joins a new batch with the runs (lines not met before), the
-use on a growing corpus; ``decide`` merge-joins batches with the runs for rules that need counts.
+use on a growing corpus; ``dedup_lines`` needs counts of known keys as well and does not call it.
 
-``dedup_lines`` runs the whole corpus through the runs in batches and then drops, by anti-join, the
-lines of keys that at least ``min_docs`` documents hold, except in the largest doc_id holding them.
+``dedup_lines`` adds the whole corpus to the runs in batches, adds up the counts of each key over all
+runs (a group-by) and joins the records with the keys that at least ``min_docs`` documents hold (Spark
+chooses the kind of join); each document loses those lines unless it has the largest doc_id.
 
 * A hot line (a third of all documents) is pre-aggregated in each task; its records meet only in
   the join with the runs, which Spark splits when skewed (no aggregate by line follows).
 * Texts are shuffled once, to meet the hashes that their document loses.
+* Lost hashes are gathered by doc_id: where many rows share an id, or have none, theirs meet in one task
+  and the whole set is joined to each of those rows.
 
 Edge cases: each row is a document, repeated rows and equal ids included; a null ``doc_id`` ranks
 below every id. Null text gives one empty line and the text ''. Ties of the largest id all keep
