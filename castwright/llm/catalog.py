@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castwright.llm import bpe, decontaminate, license_scan, line_dedup, quality_gam, quality_rules, secret_scan, simhash, toxicity, url_filter
+from castwright.llm import bpe, decontaminate, importance, license_scan, line_dedup, quality_gam, quality_rules, secret_scan, simhash, toxicity, url_filter, vector_codes, warc
 from castwright.llm.common import crc_mod, prepare, read
 from castwright.llm.oracle import ORACLE_SQL  # noqa: F401
+from castwright.session import ensure_checkpoint_dir
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,10 +100,34 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features, weight, score and rank in the draw of every document."""
+    prepare(spark)
+    ranked = importance.rank(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives written of the whole table."""
+    prepare(spark)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    back = warc.archive_and_read(read(spark, sf_dir, "pages", "page_id", "url", "html"), path, payload=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and errors of every vector, with the digest of the codebooks."""
+    prepare(spark)
+    coded, books = vector_codes.compress(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    digest = F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", digest)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_url_filter, op3_quality_rules, op4_toxicity, op5_line_dedup,
         op6_quality_classifier, op7_license_scan, op8_benchmark_decontamination, op9_secret_scan, op10_byte_level_bpe,
+        op11_importance_resampling, op12_warc_archives, op13_vector_codes,
     )
 }

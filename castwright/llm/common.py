@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from castwright.session import ensure_checkpoint_dir, ship_package
@@ -108,3 +109,42 @@ def components(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
             if (up == parent).all():
                 break
             parent = up
+
+
+#: A group with more than 1/SHARE of all rows is met by a broadcast; there are fewer than SHARE of them.
+SHARE = 1000
+
+
+def join_groups(df: DataFrame, groups: DataFrame, keys: dict[str, str], n: str, cols: list[str], spread: Column, partitions: int | None = None, early=None) -> DataFrame:
+    """``df`` with the columns ``cols`` of each row's group (null where it has none).
+
+    ``groups`` has a row for each group, its number of rows in ``n``; ``keys`` maps columns of ``df`` to
+    its columns, null meets null. The few groups with more than 1/SHARE of all rows are broadcast (fewer
+    than SHARE rows); their rows are dealt by ``spread`` instead of their key, so that no task gets a hot group.
+    ``early(df, columns)`` may change rows of the broadcast groups before the shuffle.
+    """
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    hot = groups.where(F.col(n) * SHARE > total)
+    salt, met, *names = clashless(df, "group_salt", "group_met", *[f"group_{x}" for x in [*keys.values(), *cols]])
+    key_names, col_names = names[: len(keys)], names[len(keys) :]
+
+    def side(g: DataFrame) -> DataFrame:
+        return g.select(*[F.col(k).alias(x) for k, x in zip(keys.values(), key_names)], *[F.col(c).alias(x) for c, x in zip(cols, col_names)])
+
+    def on(right: DataFrame):
+        return functools.reduce(lambda a, b: a & b, [df_now[k].eqNullSafe(right[x]) for k, x in zip(keys, key_names)])
+
+    df_now = df
+    first = side(hot).withColumn(met, F.lit(True))
+    out = df.join(F.broadcast(first), on(first), "left").drop(*key_names)
+    out = out.withColumn(salt, F.when(F.col(met), 1 + F.pmod(spread, F.lit(1 << 20))).otherwise(F.lit(0)))
+    out = out.withColumnsRenamed({x: f"{x}_hot" for x in col_names})
+    if early:
+        out = early(out, F.col(met), {c: F.col(f"{x}_hot") for c, x in zip(cols, col_names)})
+    rest = side(groups.where(F.col(n) * SHARE <= total)).withColumn(f"{salt}_r", F.lit(0).cast("long"))
+    if partitions:
+        out, rest = out.repartition(partitions, *keys, salt), rest.repartition(partitions, *key_names, f"{salt}_r")
+    df_now = out
+    out = out.join(rest, on(rest) & (out[salt] == rest[f"{salt}_r"]), "left")
+    taken = [F.coalesce(F.col(f"{x}_hot"), F.col(x)).alias(c) for c, x in zip(cols, col_names)]
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *taken)
