@@ -121,6 +121,7 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: dict[str, str], n: str,
     ``groups`` has a row for each group, its number of rows in ``n``; ``keys`` maps columns of ``df`` to
     its columns, null meets null. The few groups with more than 1/SHARE of all rows are broadcast (fewer
     than SHARE rows); their rows are dealt by ``spread`` instead of their key, so that no task gets a hot group.
+    ``partitions`` fixes the number of result partitions, for keys that are never null.
     ``early(df, columns)`` may change rows of the broadcast groups before the shuffle.
     """
     total = groups.agg(F.sum(n)).first()[0] or 0
@@ -132,7 +133,9 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: dict[str, str], n: str,
         return g.select(*[F.col(k).alias(x) for k, x in zip(keys.values(), key_names)], *[F.col(c).alias(x) for c, x in zip(cols, col_names)])
 
     def on(right: DataFrame):
-        return functools.reduce(lambda a, b: a & b, [df_now[k].eqNullSafe(right[x]) for k, x in zip(keys, key_names)])
+        # with ``partitions`` the keys are never null: plain equality keeps the partitioning asked for
+        same = [df_now[k] == right[x] if partitions else df_now[k].eqNullSafe(right[x]) for k, x in zip(keys, key_names)]
+        return functools.reduce(lambda a, b: a & b, same)
 
     df_now = df
     first = side(hot).withColumn(met, F.lit(True))

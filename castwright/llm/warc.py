@@ -129,8 +129,8 @@ class Writer:
 
 def records(data: bytes):
     """The decompressed records of an archive, one frame after another."""
-    view, at, held = memoryview(data), 0, None
-    plain = zstandard.ZstdDecompressor()
+    view, at = memoryview(data), 0
+    plain = reader = zstandard.ZstdDecompressor()
     while at < len(view):
         magic, size = struct.unpack_from("<II", view, at) if len(view) - at >= 8 else (0, 0)
         if magic & 0xFFFFFFF0 == 0x184D2A50:
@@ -139,10 +139,10 @@ def records(data: bytes):
             if magic == DICTIONARY_MAGIC and at == 0:
                 raw = bytes(view[8 : 8 + size])
                 raw = plain.decompressobj().decompress(raw) if raw[:4] == zstandard.FRAME_HEADER else raw
-                held = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_FULLDICT)
+                reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_FULLDICT))
             at += 8 + size
             continue
-        one, parts = zstandard.ZstdDecompressor(dict_data=held).decompressobj() if held else plain.decompressobj(), []
+        one, parts = reader.decompressobj(), []
         while not one.eof:
             window = view[at : at + WINDOW]
             if not len(window):
