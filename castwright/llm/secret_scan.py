@@ -1,17 +1,16 @@
 """Operator 9: secret scan by grammar inference.
 
 Three base patterns find labelled credentials: assignments, access keys, long hex strings. From a
-bounded sample of them a prefix tree is built for each kind, over classes of characters; states whose
-frequencies are compatible (Hoeffding bounds on ending and on each next class, down the whole tree) are
-merged, which leaves a small probabilistic automaton for each format. Ordinary long tokens give one
-more automaton. Every other candidate token of a text is scored by the likelihood that each format's
-automaton gives it; where a format fits as well as its own sample does and far better than ordinary
-text, the token is a further span of kind ``format``. Candidates are the whole runs of ``[A-Za-z0-9+/_=-]``
+bounded sample of them a prefix tree is built for each kind, over classes of characters; states whose frequencies are compatible
+(Hoeffding bounds on ending and on each next class, down the whole tree) and that the same separators rule
+are merged, which leaves a small probabilistic automaton, and the lengths, for each format. Ordinary long tokens give one more automaton. Every candidate is scored by the
+likelihood that the formats' automata give it: base spans carry theirs; where a format fits another token
+as well as its own sample does and far better than ordinary text does, the token is a further span of kind ``format``. Candidates are the whole runs of ``[A-Za-z0-9+/_=-]``
 of at least ``SHORTEST`` characters, the length from which values are learnt, with or without a digit; a
-run that a base span touches is reported by that span and not scored again.
+run that a base span touches is reported and scored with that span.
 
 Tasks scan whole texts; long words are found first, so patterns run only where they can match. The
-distinct values to learn from are written to the shared folder in one pass over the texts, the spans come
+class strings of the values to learn from, with a hash of each value, are written to the shared folder in one pass over the texts (no value is), the spans come
 from a second one. Only the bounded sample (``per_kind`` values of at most ``MAX_LENGTH`` characters, those
 with the smallest hashes) reaches the driver; candidates are rated whole, however long. Texts are not shuffled.
 
@@ -24,9 +23,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +89,19 @@ END = ""
 LOST = math.log2(0.05 / (0.05 * (ALPHABET + 1)))
 
 
+#: Signs that give a format its structure, the end of the value among them.
+SEPARATORS = frozenset("+/_=-.") | {END}
+#: Values that must have met a state before its separators count against a merge.
+ENOUGH = 3
+
+
 class Automaton:
-    """Probabilistic automaton learnt from strings by merging states of their prefix tree."""
+    """Probabilistic automaton learnt from strings by merging states of their prefix tree.
+
+    Two states merge if their frequencies (of ending and of each next class, down their whole trees) are
+    compatible by Hoeffding bounds and the same separators, or the end, rule their next sign, which keeps a
+    format's structure; a state joins the settled one that is most like it. Runs of like signs become
+    loops, so the lengths of the values are kept beside the states."""
 
     def __init__(self, words: list[str], alpha: float = 0.05):
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
@@ -108,26 +119,34 @@ class Automaton:
             self.count[at][END] += 1
         self._merge_all()
         self.bits = [self._bits(seen) for seen in self.count]
-        own = sorted(self.rate(w) for w in words)
+        self.lengths = Counter(map(len, words))
+        own = sorted(self.fit(w) for w in words)
         self.lowest = own[int(LOWEST * len(own))] if own else 0.0
 
     def _visits(self, q: int) -> float:
         return sum(self.count[q].values())
 
-    def _alike(self, a: int, b: int) -> bool:
-        """Whether two states, and those they lead to, have compatible frequencies."""
-        todo = [(a, b)]
+    def _ruled(self, q: int) -> frozenset[str]:
+        """Separators, or the end, that are at least half of what comes next."""
+        n = self._visits(q)
+        return frozenset(c for c in SEPARATORS if 2 * self.count[q].get(c, 0) >= n)
+
+    def _apart(self, a: int, b: int) -> float | None:
+        """How far the frequencies of two states are apart; None if they, or states that they lead to, are
+        not compatible."""
+        todo, first = [(a, b)], None
         while todo:
             a, b = todo.pop()
             n, m = self._visits(a), self._visits(b)
-            if not n or not m:
-                continue
+            if min(n, m) >= ENOUGH and self._ruled(a) != self._ruled(b):
+                return None
             room = self.bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
-            for c in {*self.count[a], *self.count[b]}:
-                if abs(self.count[a].get(c, 0) / n - self.count[b].get(c, 0) / m) > room:
-                    return False
+            gaps = [abs(self.count[a].get(c, 0) / n - self.count[b].get(c, 0) / m) for c in {*self.count[a], *self.count[b]}]
+            if max(gaps) > room:
+                return None
+            first = sum(gaps) if first is None else first
             todo += [(self.next[a][c], self.next[b][c]) for c in self.next[a].keys() & self.next[b].keys()]
-        return True
+        return first
 
     def _fold(self, a: int, b: int) -> None:
         """Add the tree below state b to state a."""
@@ -143,7 +162,8 @@ class Automaton:
                     self.next[a][c] = to
 
     def _merge_all(self) -> None:
-        """Settle states outward from the root: each either joins a settled one or is settled."""
+        """Settle states outward from the root, those met most often first: each either joins a settled
+        one or is settled."""
         settled = [0]
         while True:
             edge = [(q, c) for q in settled for c in sorted(self.next[q]) if self.next[q][c] not in settled]
@@ -151,11 +171,10 @@ class Automaton:
                 break
             q, c = max(edge, key=lambda e: self._visits(self.next[e[0]][e[1]]))
             state = self.next[q][c]
-            for r in settled:
-                if self._alike(r, state):
-                    self.next[q][c] = r
-                    self._fold(r, state)
-                    break
+            near = [(gap, r) for r in settled if (gap := self._apart(r, state)) is not None]
+            if near:
+                self.next[q][c] = min(near)[1]
+                self._fold(min(near)[1], state)
             else:
                 settled.append(state)
         number = {q: k for k, q in enumerate(settled)}
@@ -168,6 +187,12 @@ class Automaton:
         whole = sum(seen.values()) + 0.05 * (ALPHABET + 1)
         return {c: math.log2((n + 0.05) / whole) for c, n in seen.items()}, math.log2(0.05 / whole)
 
+    def fit(self, word: str) -> float:
+        """The rate with the bits of the string's length: how well the string fits the format."""
+        n = sum(self.lengths.values())
+        near = sum(self.lengths.get(len(word) + d, 0) for d in (-1, 0, 1))
+        return self.rate(word) + math.log2((near + 0.01) / (n + 0.01 * MAX_LENGTH)) / (len(word) + 1)
+
     def rate(self, word: str) -> float:
         """Bits a character (minus sign: less likely) that the automaton gives a string of any length."""
         at, bits = 0, 0.0
@@ -182,16 +207,18 @@ class Automaton:
 
 
 def sample(docs: DataFrame, per_kind: int = PER_KIND) -> dict[str, list[str]]:
-    """Labelled values of each kind, and ordinary long tokens, at most ``per_kind`` of each."""
+    """Labelled values of each kind, and ordinary long tokens, at most ``per_kind`` of each, as classes.
+
+    What is written to the shared folder is the class string of a value and a hash that tells values apart,
+    never the value itself."""
     def run(parts):
         for part in parts:
             kinds, values = [], []
             for text in part.column(0).to_pylist():
                 taken = base_spans(text)
                 for start, end, kind in taken:
-                    found = ASSIGN.match(text, start, end) if kind == 0 else None
                     kinds.append(KINDS[kind])
-                    values.append(found[2] if found else text[start:end])
+                    values.append(value_of(text, start, end, kind))
                 for word in (text or "").split():
                     if SHORTEST <= len(word) <= MAX_LENGTH and word.isascii() and not any(c.isdigit() for c in word):
                         kinds.append(PLAIN)
@@ -200,17 +227,22 @@ def sample(docs: DataFrame, per_kind: int = PER_KIND) -> dict[str, list[str]]:
                     if re.fullmatch(r"[a-z]+[0-9]+|[A-Za-z/-]+[0-9/-]*", text[start:end]) and any(c.isdigit() for c in text[start:end]):
                         kinds.append(PLAIN)
                         values.append(text[start:end])
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])
+            kept = [(k, symbols(v), xxhash.xxh3_64_intdigest(v.encode(), 9) >> 1) for k, v in zip(kinds, values) if len(v) <= MAX_LENGTH]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in kept], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["kind", "classes", "hash"])
 
-    made = docs.select("text").mapInArrow(run, "kind string, value string").where(F.length("value") <= MAX_LENGTH)
-    made = materialize(made.distinct(), "credentials")
+    made = materialize(docs.select("text").mapInArrow(run, "kind string, classes string, hash long").distinct(), "credential-classes")
     out = {}
     for kind in (*KINDS[:3], PLAIN):
-        some = made.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(per_kind).collect()
-        out[kind] = [symbols(r["value"]) for r in some]
+        out[kind] = [r["classes"] for r in made.where(F.col("kind") == kind).orderBy("hash", "classes").limit(per_kind).collect()]
     return out
 
 
+def value_of(text: str, start: int, end: int, kind: int) -> str:
+    """The credential in a base span: an assignment's value, else the whole span."""
+    found = ASSIGN.match(text, start, end) if kind == 0 else None
+    return found[2] if found else text[start:end]
+
+
 class Formats:
     """Automata of the credential formats and of ordinary text."""
 
@@ -218,13 +250,19 @@ class Formats:
         self.formats = {k: Automaton(v) for k, v in values.items() if k != PLAIN and len(v) >= 5}
         self.plain = Automaton(values.get(PLAIN, []))
 
+    def ahead(self, value: str) -> float | None:
+        """Bits a character that the best format is ahead of ordinary text; None without a format."""
+        word = symbols(value)
+        plain = self.plain.rate(word)
+        return max((a.rate(word) - plain for a in self.formats.values()), default=None)
+
     def likelihood(self, value: str) -> tuple[str | None, float]:
         """The format that fits best, and how far it is ahead of ordinary text; None: no format."""
         word = symbols(value)
         plain, best = self.plain.rate(word), (None, 0.0)
         for kind, automaton in self.formats.items():
             rate = automaton.rate(word)
-            if rate >= automaton.lowest and rate - plain >= AHEAD and rate - plain > best[1]:
+            if automaton.fit(word) >= automaton.lowest and rate - plain >= AHEAD and rate - plain > best[1]:
                 best = kind, rate - plain
         return best
 
@@ -241,7 +279,7 @@ def scan(docs: DataFrame, per_kind: int = PER_KIND) -> DataFrame:
             rows = []
             for text in part.column(1).to_pylist():
                 taken = base_spans(text)
-                spans = [(s, k, {"kind": KINDS[k], "start": s, "end": e, "base": True, "likelihood": None}) for s, e, k in taken]
+                spans = [(s, k, {"kind": KINDS[k], "start": s, "end": e, "base": True, "likelihood": own.ahead(value_of(text, s, e, k))}) for s, e, k in taken]
                 for s, e in candidates(text, taken):
                     kind, ahead = own.likelihood(text[s:e])
                     if kind:
