@@ -1,18 +1,18 @@
 """Operator 7: licence scan with a positional rare-token index, DataFrame functions only.
 
-Words of a text are cut once. Every licence template is indexed by its words: postings of (template,
-position). Over all documents each licence word gets its IDF. A template whose mandatory key phrases are
-found in a file is looked up there: postings are intersected by relative position (place in the file
-minus place in the template). Each template's own ``top`` words of highest IDF are the seeds; at an offset
-with a seed the share is taken over all words of the template, so a template matches where enough of its
-words stand at the same distance from one another as in the template, however many notices a file has.
-With ``TOP`` seeds the other words of a template weigh less than ``MIN_SHARE``, so no match lacks a seed.
-Base phrases give base labels whatever the index says.
+Words of a text are cut once. Over all documents each licence word gets its IDF; the index holds, for each
+template, its words by falling IDF with their positions. In each file the licence words of highest IDF are
+looked up: for a template they are taken from the rarest on until a match without any of them could no
+longer reach ``min_share`` (so with these seeds no match is lost, however many notices a file has).
+Templates whose words in the file weigh too little for a match are left out at once. The postings of the
+seeds are intersected by relative position (place in the file minus place in the template); at each
+distance that a seed gives, the share is the IDF of all template words that stand at that distance.
+Last, a template counts if the file has its mandatory key phrases. Base phrases give base labels
+whatever the index says.
 
 The first pass writes ids, counts and, only for files with a core licence word (each key phrase has
-one), their words to the shared folder; everything later reads that. Row numbers are fixed by that
-write, so repeated or missing ids do no harm. Postings and IDF have a row for each template word, a
-size fixed by the templates, and are broadcast. Hits are aggregated by (row, template, offset).
+one), their words to the shared folder; everything later is one projection over that, without a shuffle:
+index and IDF have a size fixed by the templates and stand in the plan as constants.
 
 Edge cases: null and empty texts have no words: null places, empty labels, score 0. Repeated rows each
 get a row; ties between equal IDFs go by the word; an empty table gives an empty result; columns other
@@ -21,7 +21,7 @@ than doc_id and text are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from castwright.session import materialize
@@ -45,11 +45,16 @@ TEMPLATES = [
     ("cc-by-sa", ["cc by sa"], "licensed under cc by sa 4 0"),
     ("cc-by-nc", ["cc by nc"], "licensed under cc by nc 4 0"),
     ("isc", ["permission to use copy modify"], "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("mit", ["permission is hereby granted"], "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("apache", ["apache license"], "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("gpl", ["gnu general public license"], "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
 ]
+LABELS = sorted({label for label, _, _ in TEMPLATES})
 #: Words of which each key phrase and base phrase has one.
 CORE = ["license", "licensed", "permission", "redistribution", "cc"]
-TOP = 16
 MIN_SHARE = 0.6
+#: Weights are sums of doubles; what is left out must be short of the share by more than this.
+CLOSE = 1e-9
 
 
 def words_of(text: Column) -> Column:
@@ -67,12 +72,6 @@ def vocabulary() -> list[str]:
     return sorted({w for _, _, text in TEMPLATES for w in text.split()})
 
 
-def postings(spark) -> DataFrame:
-    """template, word, tpos: the positional index."""
-    rows = [(k, w, at) for k, (_, _, text) in enumerate(TEMPLATES) for at, w in enumerate(text.split())]
-    return spark.createDataFrame(rows, "template int, word string, tpos int")
-
-
 def _places(phrase: str, label: str) -> Column:
     """(start, label) of each place where the words of a phrase stand one after another."""
     wanted = phrase.split()
@@ -102,31 +101,68 @@ def idf(indexed: DataFrame) -> DataFrame:
     return df.select("word", F.log1p(F.lit(n) / F.col("df")).alias("idf"))
 
 
-def base_places(indexed: DataFrame) -> DataFrame:
-    """rid and the sorted (start, label) places of the base phrases."""
-    texts = indexed.where(F.array_contains("words", "license"))
+def base_places(words: Column) -> Column:
+    """The sorted (start, label) places of the base phrases in the array ``words``."""
     found = [_places(phrase, label) for phrase, label in PHRASES.items()]
-    return texts.select("rid", F.array_sort(F.flatten(F.array(*found))).alias("places"))
+    return F.when(F.array_contains(words, "license"), F.array_sort(F.flatten(F.array(*found))))
+
+
+def index(weights: dict[str, float]) -> list[tuple[list[str], list[str], dict[str, float]]]:
+    """For each template: its words in order, its distinct words by falling IDF, the weight of each (IDF
+    times its places in the template)."""
+    made = []
+    for _, _, text in TEMPLATES:
+        order = text.split()
+        rare = sorted(set(order), key=lambda w: (-weights.get(w, 0.0), w))
+        made.append((order, rare, {w: weights.get(w, 0.0) * order.count(w) for w in rare}))
+    return made
+
+
+def _template_share(order: list[str], rare: list[str], weight: dict[str, float], idf_of: dict[str, float], min_share: float) -> Column:
+    """The best share of a template in a file with ``words`` and ``found``; null if below ``min_share``."""
+    whole = sum(idf_of.get(w, 0.0) for w in order)
+    if not whole:
+        return F.lit(None).cast("double")
+    entries = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(weight[w]).alias("weight"), F.array(*[F.lit(i) for i, x in enumerate(order) if x == w]).alias("tpos")) for w in rare])
+    held = F.filter(entries, lambda e: F.array_contains("found", e["w"]))
+
+    def total(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0.0), lambda s, e: s + e["weight"])
 
+    present = total(held)
+    # a match without the seeds weighs at most what is present less what they weigh
+    seeds = F.filter(held, lambda e, i: present - total(F.slice(held, F.lit(1), i)) >= F.lit(min_share * whole - CLOSE))
 
-def template_matches(indexed: DataFrame, top: int = TOP, min_share: float = MIN_SHARE) -> DataFrame:
-    """rid, template, share: the best aligned share of a verified template's words."""
-    spark = indexed.sparkSession
-    weights = materialize(idf(indexed), "licence-idf")
-    index = postings(spark).join(F.broadcast(weights), "word", "left").withColumn("idf", F.coalesce("idf", F.lit(0.0)))
-    rare = Window.partitionBy("template").orderBy(F.desc("idf"), "word")
-    seeds = index.select("template", "word", "idf").distinct().withColumn("rank", F.row_number().over(rare))
-    index = index.join(F.broadcast(seeds.select("template", "word", (F.col("rank") <= top).alias("seed"))), ["template", "word"])
+    def starts(e: Column) -> Column:
+        spots = F.filter(F.transform("words", lambda w, i: F.when(w == e["w"], i)), lambda i: i.isNotNull())
+        return F.flatten(F.transform(e["tpos"], lambda at: F.transform(spots, lambda i: i - at)))
+
+    aligned = F.array_distinct(F.flatten(F.transform(seeds, starts)))
+    notice = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(idf_of.get(w, 0.0)).alias("idf"), F.lit(i).alias("at")) for i, w in enumerate(order)])
+
+    def share(start: Column) -> Column:
+        stands = lambda e: F.when((start + e["at"] >= 0) & (F.get("words", start + e["at"]) == e["w"]), e["idf"]).otherwise(0.0)
+        return F.aggregate(notice, F.lit(0.0), lambda s, e: s + F.coalesce(stands(e), F.lit(0.0))) / F.lit(whole)
+
+    best = F.least(F.array_max(F.transform(aligned, share)), F.lit(1.0))
+    return F.when(present >= F.lit(min_share * whole - CLOSE), F.when(best >= min_share, best))
+
+
+def with_matches(indexed: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+    """``indexed`` with matches: (template, share) of the templates whose words are aligned for at least
+    ``min_share`` of their weight and whose key phrases the file has."""
+    idf_of = {r["word"]: r["idf"] for r in materialize(idf(indexed), "licence-idf").collect()}  # at most the templates' words
+    shares = [_template_share(*t, idf_of, min_share).alias(f"s{k}") for k, t in enumerate(index(idf_of))]
+    searched = indexed.withColumn("shares", F.when(F.col("words").isNotNull(), F.struct(*shares)))
     text = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    held = F.array(*[F.when(_all_in(text, phrases), F.lit(k)) for k, (_, phrases, _) in enumerate(TEMPLATES)])
-    verified = indexed.where("words IS NOT NULL").select("rid", "words", F.array_compact(held).alias("held")).where(F.size("held") > 0)
-    hits = verified.select("rid", "held", F.posexplode("words").alias("pos", "word")).where(F.col("word").isin(vocabulary()))
-    hits = hits.join(F.broadcast(index), "word").where(F.array_contains("held", F.col("template")))
-    aligned = hits.groupBy("rid", "template", (F.col("pos") - F.col("tpos")).alias("offset")).agg(F.sum("idf").alias("weight"), F.max("seed").alias("seeded"))
-    best = aligned.where("seeded").groupBy("rid", "template").agg(F.max("weight").alias("weight"))
-    whole = index.groupBy("template").agg(F.sum("idf").alias("whole"))
-    scored = best.join(F.broadcast(whole), "template").withColumn("share", F.least(F.col("weight") / F.col("whole"), F.lit(1.0)))
-    return scored.where(F.col("share") >= min_share).select("rid", "template", "share")
+    verified = [F.when(F.col(f"shares.s{k}").isNotNull(), F.when(_all_in(text, phrases), F.struct(F.lit(k).alias("template"), F.col(f"shares.s{k}").alias("share"))))
+                for k, (_, phrases, _) in enumerate(TEMPLATES)]
+    return searched.withColumn("matches", F.array_compact(F.array(*verified))).drop("shares")
+
+
+def template_matches(indexed: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+    """rid, template, share of every match."""
+    return with_matches(indexed, min_share).select("rid", F.inline("matches"))
 
 
 def _all_in(text: Column, phrases: list[str]) -> Column:
@@ -138,9 +174,9 @@ def _all_in(text: Column, phrases: list[str]) -> Column:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, places (start, label), matches (label, share) of each row."""
-    indexed = index_words(docs)
     names = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
-    matches = template_matches(indexed).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct(F.get(names, F.col("template")).alias("label"), "share"))).alias("matches"))
-    met = indexed.select("rid", "doc_id", "n_words").join(base_places(indexed), "rid", "left").join(matches, "rid", "left")
+    met = with_matches(index_words(docs))
+    best = [F.array_max(F.transform(F.filter("matches", lambda m: F.get(names, m["template"]) == label), lambda m: m["share"])) for label in LABELS]
+    matches = F.array_compact(F.array(*[F.when(b.isNotNull(), F.struct(F.lit(label).alias("label"), b.alias("share"))) for label, b in zip(LABELS, best)]))
     empty = "array<struct<start: bigint, label: string>>", "array<struct<label: string, share: double>>"
-    return met.select("doc_id", "n_words", F.coalesce("places", F.array().cast(empty[0])).alias("places"), F.coalesce("matches", F.array().cast(empty[1])).alias("matches"))
+    return met.select("doc_id", "n_words", F.coalesce(base_places(F.col("words")), F.array().cast(empty[0])).alias("places"), F.coalesce(matches, F.array().cast(empty[1])).alias("matches"))
