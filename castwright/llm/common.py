@@ -129,8 +129,8 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: dict[str, str], n: str,
     salt, met, *names = clashless(df, "group_salt", "group_met", *[f"group_{x}" for x in [*keys.values(), *cols]])
     key_names, col_names = names[: len(keys)], names[len(keys) :]
 
-    def side(g: DataFrame) -> DataFrame:
-        return g.select(*[F.col(k).alias(x) for k, x in zip(keys.values(), key_names)], *[F.col(c).alias(x) for c, x in zip(cols, col_names)])
+    def side(g: DataFrame, *more: str) -> DataFrame:
+        return g.select(*[F.col(k).alias(x) for k, x in zip(keys.values(), key_names)], *[F.col(c).alias(x) for c, x in zip(cols, col_names)], *more)
 
     def on(right: DataFrame):
         # with ``partitions`` the keys are never null: plain equality keeps the partitioning asked for
@@ -140,11 +140,13 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: dict[str, str], n: str,
     df_now = df
     first = side(hot).withColumn(met, F.lit(True))
     out = df.join(F.broadcast(first), on(first), "left").drop(*key_names)
-    out = out.withColumn(salt, F.when(F.col(met), 1 + F.pmod(spread, F.lit(1 << 20))).otherwise(F.lit(0)))
+    out = out.withColumn(salt, F.when(F.col(met), 1 + F.pmod(spread, F.lit(1 << 20))).otherwise(F.lit(0)).cast("long"))
     out = out.withColumnsRenamed({x: f"{x}_hot" for x in col_names})
     if early:
         out = early(out, F.col(met), {c: F.col(f"{x}_hot") for c, x in zip(cols, col_names)})
-    rest = side(groups.where(F.col(n) * SHARE <= total)).withColumn(f"{salt}_r", F.lit(0).cast("long"))
+    # 0 for every group, in a form that the planner keeps as a join key
+    rest = groups.where(F.col(n) * SHARE <= total).withColumn(f"{salt}_r", F.least(F.col(n).cast("long"), F.lit(0).cast("long")))
+    rest = side(rest, f"{salt}_r")
     if partitions:
         out, rest = out.repartition(partitions, *keys, salt), rest.repartition(partitions, *key_names, f"{salt}_r")
     df_now = out
