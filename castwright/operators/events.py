@@ -72,7 +72,7 @@ def read_events(df: DataFrame, key: str = "event_id", body: str = "body") -> Dat
     """events(key, body[, stage]) -> key, the 18 typed fields, ``extras`` (map<string,variant>),
     ``error`` (first failing field, or the parse error). Other input columns pass through."""
     keep = [c for c in df.columns if c != body]
-    parsed = parse_bodies(df.select(*keep, F.col(body)), body, None, keep_text=True)
+    parsed = parse_bodies(df.select(*keep, F.col(body)), body, None, keep_text=True, tolerant=False)
     v = F.col("_payload")
     probes = probe_fields(v, EVENT_FIELDS)
     ints = [F.when(F.schema_of_variant(F.try_variant_get(v, f"$.{n}", "variant")) == F.lit("BIGINT"),

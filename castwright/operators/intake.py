@@ -4,9 +4,9 @@ Every rule is a native column expression over the parsed ``VARIANT`` body; a req
 raises, it gets ``status_code`` 400 and the reference's error text instead. The first failing
 rule wins, in the reference's order.
 
-Known differences of the JSON parser (documented, not hidden): ``try_parse_json`` rejects
-duplicate keys and ``NaN``/``Infinity`` literals, which a Python JSON reader accepts; integers
-beyond 64 bits are typed as decimals.
+Bodies that ``try_parse_json`` refuses are read a second time as the service reads them (repeated
+keys, ``NaN``, long numbers, odd base64: ``functions/jsonvals``); a body that would break the service
+itself is answered with 500 and the fixed text.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from castwright.functions.encoding import is_strict_base64
+from castwright.functions.jsonvals import BAD_BASE64, INTERNAL, read_refused
 from castwright.functions.text import py_strip, utc_seconds
 from castwright.functions.urls import is_video_url
 from castwright.session import observed
@@ -74,6 +75,19 @@ def string_value(v: Column, name: str) -> Column:
     return F.when(is_string(v, name), F.try_variant_get(v, f"$.{name}", "string"))
 
 
+def falsy(v: Column) -> Column:
+    """Truthiness of a JSON value held in a variant: absent, null, false, 0, "", [] and {} are false."""
+    t = F.schema_of_variant(v)
+    return (
+        v.isNull() | (t == F.lit("VOID"))
+        | ((t == F.lit("BOOLEAN")) & ~F.try_variant_get(v, "$", "boolean"))
+        | (t.rlike("^(BIGINT|DOUBLE|DECIMAL)") & (F.try_variant_get(v, "$", "double") == 0))
+        | ((t == F.lit("STRING")) & (F.try_variant_get(v, "$", "string") == F.lit("")))
+        | (t.startswith("ARRAY") & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 0))
+        | (t.startswith("OBJECT") & (t == F.lit("OBJECT<>")))
+    )
+
+
 def first_error(*pairs: tuple[Column, str | Column]) -> Column:
     """First (condition, message) pair whose condition holds, else null."""
     out = None
@@ -95,11 +109,13 @@ def _nonblank(c: Column) -> Column:
 # --- S1 ---------------------------------------------------------------------------------
 
 def parse_bodies(df: DataFrame, body: str = "body", is_base64: str | None = "is_base64",
-                 keep_text: bool = False) -> DataFrame:
+                 keep_text: bool = False, tolerant: bool = True) -> DataFrame:
     """Adds ``_payload`` (variant) and ``_parse_error``. Absent or empty body -> {};
     optional base64 layer (lenient alphabet, then UTF-8); invalid JSON or a non-object -> error.
 
-    Staged projections (text, parse, decide) so the parsed variant is computed once per row."""
+    Staged projections (text, parse, decide) so the parsed variant is computed once per row. With
+    ``tolerant`` the bodies that the native parser refuses are read again as the service reads them
+    (``functions/jsonvals``); what would break the service itself is an internal error."""
     wrapped = (F.coalesce(F.col(is_base64), F.lit(False)) if is_base64 and is_base64 in df.columns
                else F.lit(False))
     cleaned = F.regexp_replace(F.col(body), "[^A-Za-z0-9+/=]", "")
@@ -110,11 +126,19 @@ def parse_bodies(df: DataFrame, body: str = "body", is_base64: str | None = "is_
         (F.col(body).isNull() | (F.col(body) == F.lit(""))).alias("_empty"),
         wrapped.alias("_wrapped"),
         F.when(wrapped, decoded).otherwise(F.col(body)).alias("_text"),
+        *([F.col(body).alias("_body_as_sent")] if tolerant else []),
     )
-    parsed = staged.select(*keep, "_empty", "_wrapped", "_text", F.try_parse_json("_text").alias("_parsed"))
+    parsed = staged.select(*[c for c in staged.columns if c != "_text"], "_text", F.try_parse_json("_text").alias("_parsed"))
+    problem = F.lit(None).cast("string")
+    if tolerant:
+        refused = ~F.col("_empty") & F.col("_parsed").isNull()
+        read = parsed.withColumn("_again", read_refused(F.col("_body_as_sent"), F.col("_wrapped"), refused))
+        parsed = read.withColumn("_parsed", F.coalesce("_parsed", "_again.value"))
+        problem = F.col("_again.problem")
     error = first_error(
         (F.col("_empty"), F.lit(None).cast("string")),
-        (F.col("_wrapped") & F.col("_text").isNull(), E_BAD_BASE64_BODY),
+        (problem == INTERNAL, E_INTERNAL),
+        ((problem == BAD_BASE64) if tolerant else (F.col("_wrapped") & F.col("_text").isNull()), E_BAD_BASE64_BODY),
         (F.col("_parsed").isNull(), E_BAD_JSON),
         (~F.coalesce(F.schema_of_variant("_parsed").startswith("OBJECT"), F.lit(False)), E_NOT_OBJECT),
     )
@@ -183,8 +207,8 @@ def normalize_request(query: Column | None = None) -> dict[str, Column]:
     out["normalize_error"] = first_error(*checks)
     if query is not None:
         out["region"] = F.coalesce(query_param(query, "region"), F.lit(DEFAULT_REGION))
-        # only an absent or null field falls through to the query parameter
-        out["state_machine_arn"] = F.when(_absent("state_machine_arn"), query_param(query, "state_machine_arn")).otherwise(
+        # every value that counts as false falls through to the query parameter; a blank text does not
+        out["state_machine_arn"] = F.when(F.col("_f_state_machine_arn"), query_param(query, "state_machine_arn")).otherwise(
             out["state_machine_arn"])
     return out
 
@@ -218,7 +242,7 @@ REQUEST_FIELDS = ("job_id", "source_url", "source_text", "source_file_name", "so
 def intake_requests(requests: DataFrame, key: str = "request_id", body: str = "body",
                     is_base64: str = "is_base64", query: str = "query") -> DataFrame:
     """requests(key, body, is_base64, query) -> one row per request with the cleaned fields,
-    ``status_code`` (202 accepted / 400 rejected) and ``error``. Rejected rows keep their key
+    ``status_code`` (202 accepted / 400 rejected / 500 the body broke the reader) and ``error``. Rejected rows keep their key
     and reason; their cleaned fields are null.
 
     Three projections: parse + probe, clean, decide. Each stage's expressions are referenced
@@ -233,6 +257,7 @@ def intake_requests(requests: DataFrame, key: str = "request_id", body: str = "b
     probed = parsed.select(
         key, F.col("_parse_error"), "_q",
         *probe_fields(F.col("_payload"), REQUEST_INPUT_FIELDS),
+        falsy(field(F.col("_payload"), "state_machine_arn")).alias("_f_state_machine_arn"),
     )
     f = normalize_request(F.col("_q"))
     cleaned = probed.select(
@@ -248,7 +273,7 @@ def intake_requests(requests: DataFrame, key: str = "request_id", body: str = "b
     return decided.select(
         key,
         *[F.when(ok, F.col(n)).alias(n) for n in REQUEST_FIELDS],
-        F.when(ok, F.lit(202)).otherwise(F.lit(400)).cast("int").alias("status_code"),
+        F.when(ok, F.lit(202)).when(F.col("error") == E_INTERNAL, F.lit(500)).otherwise(F.lit(400)).cast("int").alias("status_code"),
         "error",
     )
 

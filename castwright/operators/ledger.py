@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from castwright.functions.jsonvals import INTERNAL, read_refused
 from castwright.functions.text import py_strip, utc_seconds
 
 # Artefact names under jobs/<job_id>/.
@@ -52,14 +53,17 @@ def iso_timestamp(ts: Column | str) -> Column:
 
 
 def json_or_raw(raw: Column | str) -> Column:
-    """K7: struct(kind, value): parsed JSON (as variant) when the text is JSON, else the raw text."""
+    """K7: struct(kind, json, raw): parsed JSON (as variant) when the text is JSON, else the raw text.
+
+    A text that the native parser refuses is read again as the service reads it (``functions/jsonvals``);
+    kind ``internal`` is one that would break the service."""
     r = F.col(raw) if isinstance(raw, str) else raw
     parsed = F.try_parse_json(r)
-    return F.struct(
-        F.when(r.isNull(), F.lit(None)).when(parsed.isNotNull(), F.lit("json")).otherwise(F.lit("raw")).alias("kind"),
-        parsed.alias("json"),
-        F.when(parsed.isNull(), r).alias("raw"),
-    )
+    again = read_refused(r, F.lit(False), parsed.isNull())
+    value = F.coalesce(parsed, again["value"])
+    kind = F.when(r.isNull(), F.lit(None)).when(value.isNotNull(), F.lit("json")).when(
+        again["problem"] == INTERNAL, F.lit(INTERNAL)).otherwise(F.lit("raw"))
+    return F.struct(kind.alias("kind"), value.alias("json"), F.when(kind == "raw", r).alias("raw"))
 
 
 def lookup_id(query: Column | str, path_params: Column | str | None = None, name: str = "execution_arn") -> Column:

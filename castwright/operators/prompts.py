@@ -14,9 +14,13 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from castwright.functions.text import py_strip
+from castwright.operators.intake import falsy
+from castwright.operators.journal import CALL_KEY, call_key, journaled_calls
 from castwright.session import materialize
+from castwright.sources.objects import json_object
 
 # Prompt wording of the reference pipeline.
 PROMPT_HEAD = "You are a podcast writer. "
@@ -124,19 +128,6 @@ def request_body(family: Column | str, prompt: Column | str,
 
 # --- M5/M6 ----------------------------------------------------------------------------------
 
-def _falsy(v: Column) -> Column:
-    """Python truthiness of a JSON value held in a variant: null, false, 0, "", [] and {}."""
-    t = F.schema_of_variant(v)
-    return (
-        v.isNull() | (t == F.lit("VOID"))
-        | ((t == F.lit("BOOLEAN")) & ~F.try_variant_get(v, "$", "boolean"))
-        | (t.rlike("^(BIGINT|DOUBLE|DECIMAL)") & (F.try_variant_get(v, "$", "double") == 0))
-        | ((t == F.lit("STRING")) & (F.try_variant_get(v, "$", "string") == F.lit("")))
-        | (t.startswith("ARRAY") & (F.size(F.try_variant_get(v, "$", "array<variant>")) == 0))
-        | (t.startswith("OBJECT") & (t == F.lit("OBJECT<>")))
-    )
-
-
 def _json_string(v: Column) -> Column:
     """The value of a JSON string; null for any other type."""
     return F.when(F.schema_of_variant(v) == F.lit("STRING"), F.try_variant_get(v, "$", "string"))
@@ -148,7 +139,7 @@ def response_text(family: Column | str, response: Column | str) -> Column:
     content = F.try_variant_get(v, "$.content", "variant")
     first = F.when(F.schema_of_variant(content).startswith("ARRAY"),
                    _json_string(F.try_variant_get(content, "$[0].text", "variant")))
-    a_err = F.when(_falsy(content), F.lit(E_A_NO_CONTENT)).when(
+    a_err = F.when(falsy(content), F.lit(E_A_NO_CONTENT)).when(
         first.isNull() | (first == F.lit("")), F.lit(E_A_NO_TEXT))
     items = F.coalesce(F.try_variant_get(v, "$.output.message.content", "array<variant>"),
                        F.array().cast("array<variant>"))
@@ -169,9 +160,12 @@ ModelCall = Callable[[str, str], str]
 
 
 def rewrite(jobs: DataFrame, call_factory: Callable[[], ModelCall], model_id: str, key: str = "job_id",
-            write_once: bool = True, concurrency: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+            write_once: bool = True, concurrency: int = 1, keep: tuple[str, ...] = (), journal: str | None = None) -> DataFrame:
     """M7: jobs(key, text, title, style, source_type, script_mode) -> (key, *keep, script, error).
 
+    With ``journal`` (a folder of the run) finished calls are kept there and not made again by a retry
+    or a rerun (``operators/journal``); without it:
+
     The prompt, family and body are native columns; the call runs once per row inside
     ``mapInPandas`` (one client per partition; ``concurrency`` > 1 overlaps that many calls per
     task for a latency-bound service, results kept in row order) and the result is written to
@@ -187,6 +181,8 @@ def rewrite(jobs: DataFrame, call_factory: Callable[[], ModelCall], model_id: st
         pre_error.alias("pre_error"), *keep,
     )
     kept = [key, *keep]
+    if journal:
+        return _parsed(_journaled(req, call_factory, model_id, kept, journal, concurrency), kept)
     kept_schema = ", ".join(f"{c} {jobs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,6 +213,26 @@ def rewrite(jobs: DataFrame, call_factory: Callable[[], ModelCall], model_id: st
     called = req.mapInPandas(run, f"{kept_schema}, family string, response string, call_error string")
     if write_once:
         called = materialize(called, "model")
+    return _parsed(called, kept)
+
+
+def _journaled(req: DataFrame, call_factory: Callable[[], ModelCall], model_id: str, kept: list[str], journal: str, concurrency: int) -> DataFrame:
+    """The calls of ``rewrite`` through the journal; jobs without a body pass by it."""
+    def one(call: ModelCall, record: dict) -> dict:
+        try:
+            return {"response": call(model_id, record["body"]), "call_error": None}
+        except Exception as exc:  # recorded per row
+            return {"response": None, "call_error": f"Model call failed: {exc}"}
+
+    asked = req.where(F.col("pre_error").isNull()).withColumn(CALL_KEY, call_key("model", F.lit(model_id), kept[0], "body"))
+    made = journaled_calls(asked, journal, call_factory, one, [*kept, "family"], "response string, call_error string",
+                           lambda r: r["call_error"] is None, concurrency)
+    passed = req.where(F.col("pre_error").isNotNull()).select(
+        *kept, "family", F.lit(None).cast("string").alias("response"), F.col("pre_error").alias("call_error"))
+    return made.drop(CALL_KEY).unionByName(passed)
+
+
+def _parsed(called: DataFrame, kept: list[str]) -> DataFrame:
     parsed = called.select(*kept, "call_error", response_text("family", "response").alias("r"))
     return parsed.select(
         *kept,
@@ -245,16 +261,22 @@ METADATA_FIELDS = ("job_id", "source_url", "source_type", "title", "style", "scr
                    "script_s3_key")
 
 
+def _metadata_fields(model_id: str, key: str) -> dict[str, Column]:
+    made = {"model_id": F.lit(model_id), "script_s3_key": F.concat(F.lit("jobs/"), F.col(key), F.lit("/script.txt")), "job_id": F.col(key)}
+    return {f: made[f] if f in made else F.col(f).cast("string") for f in METADATA_FIELDS}
+
+
 def script_metadata(df: DataFrame, model_id: str, key: str = "job_id") -> Column:
-    """M8: the 8-field metadata object as JSON, nulls kept (compact; compare parsed values)."""
-    cols = []
-    for f in METADATA_FIELDS:
-        if f == "model_id":
-            cols.append(F.lit(model_id).alias(f))
-        elif f == "script_s3_key":
-            cols.append(F.concat(F.lit("jobs/"), F.col(key), F.lit("/script.txt")).alias(f))
-        elif f == "job_id":
-            cols.append(F.col(key).alias(f))
-        else:
-            cols.append(F.col(f).cast("string").alias(f))
-    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    """M8: the 8-field metadata object as one compact line, nulls kept."""
+    fields = [c.alias(f) for f, c in _metadata_fields(model_id, key).items()]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def script_metadata_object(df: DataFrame, model_id: str, key: str = "job_id") -> Column:
+    """M8/K2: the same object as it is stored: ASCII, indented by two spaces."""
+    return json_object(_metadata_fields(model_id, key))
+
+
+def metadata_schema() -> T.StructType:
+    """Types of the metadata object's fields, to read it back."""
+    return T.StructType([T.StructField(f, T.StringType()) for f in METADATA_FIELDS])

@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from castwright.functions.text import py_strip
 from castwright.operators.chunking import ssml_column
+from castwright.operators.journal import CALL_KEY, call_key, journaled_calls
+from castwright.operators.ordering import running_sum
 from castwright.operators.turns import HOST_A
 from castwright.session import materialize
+from castwright.sources.objects import bare_path, last_writer, path_of_uri, write_objects
 from castwright.settings import PROVIDER_ELEVENLABS, PROVIDER_POLLY, Settings
 
 # Fixed values of the speech providers.
@@ -136,10 +139,45 @@ def _speech_error(provider: str, index: int, status, audio, body, exc: Exception
     return None
 
 
+def _speak(call: SpeechCall, rec: dict, keys: list[str]) -> tuple[bytes | None, str | None, float]:
+    """One call: (audio, error, milliseconds)."""
+    status = audio = body = exc = None
+    began = time.perf_counter()
+    rec["idempotency_key"] = "/".join(str(rec[k]) for k in [*keys, "chunk_no"])
+    try:
+        status, audio, body = call(rec)
+    except Exception as e:  # transport failure, recorded per chunk
+        exc = e
+    index = int(rec["chunk_no"]) if rec["chunk_no"] is not None else -1
+    err = _speech_error(rec["provider"], index, status, audio, body, exc)
+    return (None if err else bytes(audio)), err, 1000 * (time.perf_counter() - began)
+
+
+def _journaled(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys: list[str], journal: str, concurrency: int) -> DataFrame:
+    """The calls of ``synthesize`` through the journal; rows with a request error pass by it."""
+    def one(call: SpeechCall, record: dict) -> dict:
+        audio, error, ms = _speak(call, record, keys)
+        return {"audio": audio, "audio_bytes": None if audio is None else len(audio), "elapsed_ms": ms, "error": error}
+
+    carried = [*keys, "chunk_no", "input_chars"]
+    sized = requests.withColumn("input_chars", F.char_length("chunk").cast("bigint"))
+    asked = sized.where(F.col("request_error").isNull()).withColumn(
+        CALL_KEY, call_key("speech", *keys, "chunk_no", "provider", "voice_id", "output_format", "text_type", "request_text", "engine", "model_id"))
+    results = "audio binary, audio_bytes bigint, elapsed_ms double, error string"
+    made = journaled_calls(asked, journal, call_factory, one, carried, results, lambda r: r["error"] is None, concurrency).drop(CALL_KEY)
+    none = {"audio": "binary", "audio_bytes": "bigint", "elapsed_ms": "double"}
+    passed = sized.where(F.col("request_error").isNotNull()).select(
+        *carried, *[F.lit(None).cast(kind).alias(c) for c, kind in none.items()], F.col("request_error").alias("error"))
+    return made.unionByName(passed)
+
+
 def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys: list[str],
-               write_once: bool = True, concurrency: int = 1) -> DataFrame:
+               write_once: bool = True, concurrency: int = 1, journal: str | None = None) -> DataFrame:
     """Call the speech service once per request row.
 
+    With ``journal`` (a folder of the run) finished calls are kept there and not made again by a retry
+    or a rerun (``operators/journal``).
+
     ``call_factory`` is invoked once per partition on the executor (one client per task);
     ``concurrency`` > 1 overlaps that many calls per task (results kept in row order).
     A record has the request columns and ``idempotency_key`` (keys and chunk number). Output: keys +
@@ -148,6 +186,8 @@ def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys
     """
     cols = keys + ["chunk_no", "chunk", "provider", "voice_id", "output_format", "text_type",
                    "request_text", "engine", "endpoint", "model_id", "request_error"]
+    if journal:
+        return _journaled(requests.select(*cols), call_factory, keys, journal, concurrency)
     tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = requests.select(*cols).repartition(tasks, *keys, "chunk_no")
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields if f.name in keys)
@@ -160,16 +200,7 @@ def synthesize(requests: DataFrame, call_factory: Callable[[], SpeechCall], keys
         pool = ThreadPoolExecutor(max_workers=concurrency) if concurrency > 1 else None
 
         def one(rec: dict) -> tuple:
-            status = audio = body = exc = None
-            began = time.perf_counter()
-            rec["idempotency_key"] = "/".join(str(rec[k]) for k in [*keys, "chunk_no"])
-            try:
-                status, audio, body = state["call"](rec)
-            except Exception as e:  # transport failure, recorded per chunk
-                exc = e
-            index = int(rec["chunk_no"]) if rec["chunk_no"] is not None else -1
-            err = _speech_error(rec["provider"], index, status, audio, body, exc)
-            return (None if err else bytes(audio)), err, 1000 * (time.perf_counter() - began)
+            return _speak(state["call"], rec, keys)
 
         try:
             for pdf in batches:
@@ -247,6 +278,59 @@ def write_audio_parts(parts: DataFrame, path: str, job_key: str = "job_id",
         mode).partitionBy("bucket").parquet(path)
 
 
+#: Bytes of audio after which a new range file begins.
+RANGE_BYTES = 8 << 20
+
+
+def audio_places(parts: DataFrame, job_key: str = "job_id", order: tuple[str, ...] = ("turn_no", "chunk_no"),
+                 range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(job, *order, offset, range_no) of every part of the jobs without a failed part: where its bytes
+    begin in the job's audio, a running sum over the sizes, and the range that they are written with."""
+    sizes = parts.select(job_key, *order, F.coalesce("audio_bytes", F.lit(0)).alias("_bytes"), F.col("error").isNotNull().alias("_failed"))
+    failed = sizes.where("_failed").select(job_key).distinct()
+    good = sizes.drop("_failed").join(failed, job_key, "left_anti")
+    placed = running_sum(good, job_key, list(order), "_bytes", "_end")
+    start = (F.col("_end") - F.col("_bytes")).cast("bigint")
+    return placed.select(job_key, *order, start.alias("offset"), F.floor(start / F.lit(range_bytes)).cast("bigint").alias("range_no"))
+
+
+def audio_ranges(parts: DataFrame, job_key: str = "job_id", order: tuple[str, ...] = ("turn_no", "chunk_no"),
+                 range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(job, range_no, offset, n_bytes, content) of each job's audio in ranges of about
+    ``range_bytes``: the parts that begin in a range, joined in order. A range is the largest value that
+    is put together, however long a job's audio is and however few turns it has; jobs with a failed part
+    have none (``audio_sizes`` has their error)."""
+    places = audio_places(parts, job_key, order, range_bytes)
+    order_sql = ", ".join(order)
+    met = parts.select(job_key, *order, "audio").join(places, [job_key, *order])
+    return met.groupBy(job_key, "range_no").agg(
+        F.min("offset").alias("offset"), F.expr(f"listagg(audio) WITHIN GROUP (ORDER BY {order_sql})").alias("content"),
+    ).select(job_key, "range_no", "offset", F.octet_length("content").cast("bigint").alias("n_bytes"), "content")
+
+
+def write_audio(parts: DataFrame, names: DataFrame, root: str, job_key: str = "job_id", order: tuple[str, ...] = ("turn_no", "chunk_no"),
+                range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """K3: write each job's audio as range files under its object key and return the manifest
+    (job, object_key, range_no, offset, path, n_bytes, md5); lazy, as ``objects.write_objects``.
+
+    ``names`` has job and object_key. The object is its range files in ``range_no`` order, each beginning at
+    ``offset``. Where jobs share an object key the one with the largest key is written."""
+    owners = last_writer(names.select(job_key, "object_key"), job_key)
+    ranges = audio_ranges(parts, job_key, order, range_bytes).join(owners, job_key)
+    own = F.concat("object_key", F.lit("/"), F.lpad(F.col("range_no").cast("string"), 8, "0"))
+    filed = ranges.select(job_key, F.col("object_key").alias("audio_key"), "range_no", "offset", own.alias("object_key"), "content")
+    made = write_objects(filed, root, keep=(job_key, "audio_key", "range_no", "offset"))
+    return made.select(job_key, F.col("audio_key").alias("object_key"), "range_no", "offset", "path", "n_bytes", "md5")
+
+
+def read_audio(manifest: DataFrame, root: str, job_key: str = "job_id") -> DataFrame:
+    """(job, object_key, range_no, offset, content) of the ranges that a manifest names, read from their files."""
+    files = manifest.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    held = files.select(path_of_uri("_metadata.file_path").alias("_at"), "content")
+    met = manifest.withColumn("_at", bare_path("path")).join(held, "_at")
+    return met.select(job_key, "object_key", "range_no", "offset", "content")
+
+
 def synthesis_report(parts: DataFrame, job_key: str = "job_id", turn_key: str = "turn_no") -> DataFrame:
     """Per (job, turn) and per job (``level`` 1) chunk count, input characters, audio bytes and
     milliseconds spent in calls."""

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from castwright.functions import encoding as enc
@@ -686,20 +687,178 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- whole runs from request rows ----------------------------------------------------------------
 
+def _request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.request_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages"))
+
+
+RUN_SETTINGS = Settings(model_id=LEDGER_MODEL, polly_voice_id="Amy", polly_duo_voice_id="Matthew")
+RUN_COUNTS = ("article_char_count", "script_chars", "chunk_count", "audio_bytes", "duration_sec")
+
+
+def _run_report(out: dict[str, DataFrame], key: str) -> DataFrame:
+    """One row for each request: its answer, the ledger's row and the number of turns."""
+    turn_count = out["turns"].groupBy(key).agg(F.count(F.lit(1)).alias("turn_count"))
+    answers = out["intake"].select(key, "status_code", F.col("error").alias("request_error"))
+    return answers.join(out["ledger"].drop("batch_id"), key, "left").join(turn_count, key, "left").select(
+        F.col(key).alias("event_id"), "status_code", "request_error",
+        F.coalesce(F.col("status"), F.lit("REJECTED")).alias("status"), "failed_stage", "error",
+        F.when(F.col("status").isNotNull(), F.coalesce("turn_count", F.lit(0))).cast("bigint").alias("turn_count"), *RUN_COUNTS)
+
+
 @register("request_jobs")
 def request_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests derived from `events` through the whole chain (intake -> fetch against `pages`
     -> rewrite with the stand-in model -> turns/chunks -> stand-in speech -> ledger); one row
-    per request."""
+    per request. Some scripts are dialogues; some calls of each service fail."""
     from castwright.plans.jobs import run_requests
 
-    req = inputs.request_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages")).withColumnRenamed("event_id", "request_id")
-    settings = Settings(model_id=LEDGER_MODEL, polly_voice_id="Amy", polly_duo_voice_id="Matthew")
-    out = run_requests(req, settings, prompts.echo_model, speech.stand_in_speech,
-                       pages=table(spark, sf_dir, "pages"))
-    book = out["ledger"]
-    return out["intake"].select("request_id", "status_code", F.col("error").alias("request_error")).join(
-        book, "request_id", "left").select(
-        F.col("request_id").alias("event_id"), "status_code", "request_error",
-        F.coalesce(F.col("status"), F.lit("REJECTED")).alias("status"), "failed_stage", "error",
-        "article_char_count", "script_chars", "chunk_count", "audio_bytes", "duration_sec")
+    req = _request_rows(spark, sf_dir).withColumnRenamed("event_id", "request_id")
+    out = run_requests(req, RUN_SETTINGS, inputs.failing_model, inputs.failing_speech, pages=table(spark, sf_dir, "pages"))
+    return _run_report(out, "request_id")
+
+
+def _no_service():
+    """A service that is down: no client can be made."""
+    raise RuntimeError("service is down")
+
+
+@register("stream_jobs")
+def stream_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests as files, through the whole chain inside the stream. The first start
+    breaks in the speech stage of its first batch; the second goes on from there. Ends with the table of
+    the batch run, and with the audio's size as its range files' manifest has it."""
+    import uuid
+
+    from castwright.session import checkpoint_dir
+    from castwright.streaming.runs import read_runs, start_run_stream
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-jobs-{uuid.uuid4().hex}"
+    _request_rows(spark, sf_dir).repartition(2).write.parquet(f"{base}/in")
+
+    def start(speech_factory):
+        return start_run_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", RUN_SETTINGS, inputs.failing_model, speech_factory,
+                                pages=lambda s: s.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"), max_files_per_trigger=1,
+                                objects_at=f"{base}/objects")
+
+    try:
+        start(_no_service).awaitTermination()
+        raise RuntimeError("the first start was meant to break")
+    except StreamingQueryException:
+        pass
+    start(inputs.failing_speech).awaitTermination()
+    out = {name: read_runs(spark, f"{base}/out", name) for name in ("intake", "turns", "ledger", "audio_ranges")}
+    written = out["audio_ranges"].groupBy("event_id").agg(F.sum("n_bytes").cast("bigint").alias("written_bytes"))
+    return _run_report(out, "event_id").join(written, "event_id", "left")
+
+
+@register("call_journal")
+def call_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 through the call journal: the first run loses every second task, the second makes the calls
+    that are missing; script of each document and how many calls were made for it over both runs."""
+    from pyspark import TaskContext
+
+    from castwright.operators.journal import read_journal
+    from castwright.plans.runs import RunFolder
+
+    run = RunFolder(spark)
+    jobs = _jobs(spark, sf_dir)
+
+    def half_down():
+        if TaskContext.get().partitionId() % 2:
+            raise RuntimeError("worker lost")
+        return prompts.echo_model()
+
+    def go(factory):
+        return prompts.rewrite(jobs, factory, LEDGER_MODEL, key="doc_id", journal=run.journal("model"))
+
+    try:
+        go(half_down)
+        raise RuntimeError("the first run was meant to break")
+    except PySparkException:
+        pass
+    out = go(prompts.echo_model)
+    held = read_journal(spark, run.journal("model"), "doc_id bigint, call_id string")
+    made = held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("calls"))
+    return out.join(made, "doc_id", "left").select(
+        "doc_id", F.md5("script").alias("script_md5"), "error", F.coalesce("calls", F.lit(0)).cast("bigint").alias("calls"))
+
+
+@register("audio_objects")
+def audio_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation's audio written as range files under its object key, and read back
+    through the manifest."""
+    import uuid
+
+    from castwright.session import checkpoint_dir, materialize
+    from castwright.sources.objects import address
+
+    parts = _audio_parts(spark, sf_dir)
+    names = parts.select("conv_id").distinct().withColumn(
+        "object_key", ledger.artefact_key(F.concat(F.lit("job-"), F.col("conv_id").cast("string")), dict(ledger.ARTEFACTS)["audio"]))
+    root = f"{address(checkpoint_dir(spark).rstrip('/'))}/audio-{uuid.uuid4().hex}"
+    manifest = materialize(speech.write_audio(parts, names, root, job_key="conv_id", range_bytes=1024), "audio-manifest")
+    back = speech.read_audio(manifest, root, job_key="conv_id")
+    return back.select("conv_id", "object_key", "range_no", F.col("offset").alias("begins"), F.octet_length("content").cast("bigint").alias("n_bytes"),
+                       F.md5("content").alias("content_md5"))
+
+
+@register("script_objects")
+def script_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The script metadata of every job written as a JSON object under its key, and read back
+    with its schema. Some objects are cut off and some are asked for by a key that is not there; titles
+    are whole documents, in all their languages."""
+    import uuid
+
+    from castwright.session import checkpoint_dir, materialize
+    from castwright.sources import objects
+
+    jobs = _jobs(spark, sf_dir).withColumns({"source_url": F.lit(None).cast("string"), "title": F.col("text")})
+    fields = {f: F.concat(F.lit("jobs/"), F.col("job_id"), F.lit("/script.txt")) if f == "script_s3_key" else F.col(f) for f in prompts.METADATA_FIELDS}
+    body = objects.json_object(fields)
+    broken = F.col("doc_id") % 13 == 7
+    texts = jobs.select("doc_id", ledger.artefact_key("job_id", dict(ledger.ARTEFACTS)["script_metadata"]).alias("object_key"),
+                        F.when(broken, F.substring(body, F.lit(1), F.length(body) - 5)).otherwise(body).alias("content"))
+    root = f"{objects.address(checkpoint_dir(spark).rstrip('/'))}/scripts-{uuid.uuid4().hex}"
+    manifest = materialize(objects.write_objects(texts, root, keep=("doc_id",)), "script-manifest")
+    asked = manifest.withColumn("path", F.when(F.col("doc_id") % 17 == 5, F.concat("path", F.lit(".gone"))).otherwise(F.col("path")))
+    back = objects.read_json_objects(spark, asked, prompts.metadata_schema(), folder=root, keep=("doc_id", "object_key", "n_bytes", "md5"))
+    ok = F.col("error").isNull()
+    kind = F.when(F.startswith("error", F.lit(objects.E_MISSING_OBJECT)), F.lit("missing")).when(~ok, F.lit("broken"))
+    return back.select("doc_id", "object_key", F.when(ok, F.col("n_bytes")).alias("n_bytes"), F.when(ok, F.col("md5")).alias("content_md5"),
+                       F.md5("title").alias("title_md5"), "source_type", "model_id", kind.alias("error_kind"))
+
+
+@register("run_registry")
+def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5/K6: accepted requests start runs, most of which stop again; starts and stops are appended (some
+    twice, stops first), and every request then asks for a run, by query or path, padded, blank or unknown."""
+    import uuid
+
+    from castwright.operators import registry
+    from castwright.session import checkpoint_dir
+
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    accepted = registry.with_execution(_intake(spark, sf_dir).where("status_code = 202").join(ev, "event_id"), key="event_id")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    ended = accepted.where("event_type <> 'click'").withColumn("status", F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED"))
+    stopped = F.col("ts") + F.make_dt_interval(secs=F.col("value"))
+    output = F.when(F.col("status") == "FAILED", F.lit("stage failed")).otherwise(F.to_json(F.struct("event_id", "style")))
+    registry.append(registry.stops(ended, stopped, output), path)
+    registry.append(registry.starts(accepted, F.col("ts")), path)
+    registry.append(registry.starts(accepted.where("event_type = 'error'"), F.col("ts")), path)
+
+    own = registry.execution_arn(F.lit(registry.DEFAULT_STATE_MACHINE), F.concat(F.lit("run-"), F.col("event_id").cast("string")))
+    none = F.create_map().cast("map<string,string>")
+    by_query = F.create_map(F.lit("execution_arn"), F.when(F.col("event_id") % 50 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), own, F.lit(" "))))
+    by_path = F.create_map(F.lit("execution_arn"), own)
+    asked = ev.select(F.col("event_id").alias("request_id"), F.when(F.col("event_id") % 3 == 0, none).otherwise(by_query).alias("query"),
+                      F.when(F.col("event_id") % 3 == 0, by_path).otherwise(none).alias("path_params"))
+    found = registry.lookup(asked, registry.read(spark, path))
+    answers = registry.start_response(accepted, F.col("ts"), key="event_id").select(
+        F.col("event_id").alias("request_id"), F.col("execution_arn").alias("started_arn"), F.col("start_date").alias("started"))
+    return found.join(answers, "request_id", "left").select(
+        "request_id", "execution_arn", "state_machine_arn", "status", "start_date", "stop_date", "input.kind",
+        F.try_variant_get("input.json", "$.style", "string").alias("input_style"), F.try_variant_get("input.json", "$.source_url", "string").alias("input_url"),
+        F.col("output.kind").alias("output_kind"), F.col("output.raw").alias("output_raw"),
+        F.try_variant_get("output.json", "$.event_id", "bigint").alias("output_event"), F.col("status_code").cast("int").alias("status_code"), "error",
+        "started_arn", "started")

@@ -47,7 +47,7 @@ def conversation_lines(conversations: DataFrame) -> DataFrame:
 
 import re as _re  # noqa: E402
 
-_SLOT = _re.compile(r"\{(id|uid|etype|b64|url|page)\}")
+_SLOT = _re.compile(r"\{(id|uid|etype|b64|url|page|digits)\}")
 
 
 def _spark_slot(name: str):
@@ -57,6 +57,7 @@ def _spark_slot(name: str):
         "etype": lambda: F.col("event_type"),
         "b64": lambda: b64encode(F.encode(F.concat(F.lit("hello "), F.col("_id").cast("string")), "UTF-8")),
         "url": lambda: F.col("url"),
+        "digits": lambda: F.repeat(F.lit("7"), F.lit(4400)),
         "page": lambda: F.coalesce(F.col("_page_url"), F.concat(F.lit("https://example.com/a/"), F.col("_id").cast("string"))),
     }[name]()
 
@@ -67,6 +68,7 @@ SQL_SLOTS = {
     "etype": "event_type",
     "b64": "to_base64(encode('hello ' || CAST(_id AS VARCHAR)))",
     "url": "url",
+    "digits": "repeat('7', 4400)",
     "page": "coalesce(_page_url, 'https://example.com/a/' || CAST(_id AS VARCHAR))",
 }
 
@@ -125,10 +127,30 @@ REQUEST_BODIES = [
     '{"source_url": "https://www.youtube.com/watch?v=v{id}", "source_text": null, "transcript_text": "line {id}", "job_id": "job-{id}"}',
     '{"source_file_name": "  ", "source_file_base64": "aGVsbG8="}',
     '{"source_url": "https://example.com/{id}", "voice_id": 12, "state_machine_arn": " arn:sm:{uid} "}',
+    '{"source_url": "https://youtu.be/d{id}", "transcript_text": "intro\\nHOST_A: hello {id}\\n\\nmore words\\n host_b : reply {uid}\\nHOST_A:\\nHOST_B: {etype} end", "script_mode": "duo", "voice_id": "Joanna", "job_id": "job-{id}"}',
+    '{"source_url": "https://youtu.be/e{id}", "transcript_text": "HOST_A: hello\\nHOST_B: MUTED {id}", "script_mode": "duo", "job_id": "job-{id}"}',
+    '{"source_url": "https://example.com/t{id}", "source_text": "REFUSED words {uid}", "job_id": "job-{id}"}',
+    '{"source_url": "https://example.com/x{id}", "style": "first", "source_url": "{page}", "style": "{etype}", "job_id": "job-{id}"}',
+    '{"source_url": "{page}", "style": NaN, "weight": [-Infinity], "job_id": "job-{id}"}',
+    '{"source_url": "{page}", "n": {digits}}',
+    '{"source_url": "https://example.com/{id}", "source_text": "text {uid}", "state_machine_arn": ""}',
+    '{"source_url": "https://example.com/{id}", "source_text": "text {uid}", "state_machine_arn": 0, "voice_id": "Amy"}',
+    '{"source_url": "https://example.com/{id}", "source_text": "text {uid}", "state_machine_arn": "  "}',
+    '{"source_url": "https://example.com/{id}", "source_text": "padded {uid}", "job_id": "job-{id}"}',
 ]
 # Rows whose body is sent base64-wrapped (request case 0 and the empty body, on even users).
 BASE64_CASES = (0, 12)
 REGION_BY_CASE = {8: " eu-west-1 ", 0: "  "}
+# Rows that carry a state machine in the query (a value that counts as false falls through to it).
+ARN_QUERY_CASES = (26, 27, 28)
+# Bodies that the service reads but strict JSON does not: what it reads them as (the last repeated key, a
+# number that is no number), the body whose number breaks it, and the wrapped body with padding to spare.
+READ_AS = {
+    23: '{"source_url": "{page}", "style": "{etype}", "job_id": "job-{id}"}',
+    24: '{"source_url": "{page}", "style": 1, "weight": [1], "job_id": "job-{id}"}',
+}
+BREAKING_CASE = 25
+PADDED_CASE = 29
 
 
 def request_rows(events: DataFrame, pages: DataFrame | None = None) -> DataFrame:
@@ -148,13 +170,16 @@ def request_rows(events: DataFrame, pages: DataFrame | None = None) -> DataFrame
     region = F.lit(None).cast("string")
     for c, r in REGION_BY_CASE.items():
         region = F.when(case == c, F.lit(r)).otherwise(region)
-    query = F.when(region.isNotNull(), F.create_map(F.lit("region"), region)).otherwise(
+    arn = F.concat(F.lit(" arn:query:"), F.col("user_id").cast("string"), F.lit(" "))
+    query = F.when(region.isNotNull(), F.create_map(F.lit("region"), region)).when(
+        case.isin(*ARN_QUERY_CASES), F.create_map(F.lit("state_machine_arn"), arn)).otherwise(
         F.create_map().cast("map<string,string>")
     )
+    encoded = b64encode(F.encode(raw, "UTF-8"))
     return e.select(
         F.col("_id").alias("event_id"),
-        F.when(wrapped, b64encode(F.encode(raw, "UTF-8"))).otherwise(raw).alias("body"),
-        wrapped.alias("is_base64"),
+        F.when(wrapped, encoded).when(case == PADDED_CASE, F.concat(encoded, F.lit("=="))).otherwise(raw).alias("body"),
+        (wrapped | (case == PADDED_CASE)).alias("is_base64"),
         query.alias("query"),
     )
 
@@ -164,14 +189,38 @@ def request_rows_sql() -> str:
     wrapped = f"(_id % {n} IN {BASE64_CASES} AND user_id % 2 = 0)"
     raw = case_sql("_id", REQUEST_BODIES)
     region = "CASE " + " ".join(f"WHEN _id % {n} = {c} THEN '{r}'" for c, r in REGION_BY_CASE.items()) + " END"
+    read_as = " ".join(f"WHEN _id % {n} = {c} THEN {render_sql(t)}" for c, t in READ_AS.items())
     return f"""requests AS (
   SELECT _id AS event_id,
          CASE WHEN {wrapped} THEN to_base64(encode({raw})) ELSE {raw} END AS body,
-         {wrapped} AS is_base64, {region} AS region_param
+         {wrapped} AS is_base64, {region} AS region_param, CASE {read_as} END AS read_as, _id % {n} = {BREAKING_CASE} AS breaks,
+         CASE WHEN _id % {n} IN {ARN_QUERY_CASES} THEN ' arn:query:' || CAST(user_id AS VARCHAR) || ' ' END AS arn_param
   FROM (SELECT e.event_id AS _id, e.user_id, e.event_type, p.url AS _page_url
         FROM events e LEFT JOIN pages p ON p.page_id = e.event_id))"""
 
 
+def failing_model():
+    """The stand-in model, which refuses some texts."""
+    from castwright.operators.prompts import echo_model
+
+    call = echo_model()
+
+    def answer(model_id: str, body: str) -> str:
+        if "REFUSED" in body:
+            raise RuntimeError("model refused")
+        return call(model_id, body)
+
+    return answer
+
+
+def failing_speech():
+    """The stand-in speech service, which gives no audio for some chunks."""
+    from castwright.operators.speech import stand_in_speech
+
+    call = stand_in_speech()
+    return lambda rec: (200, None, None) if "MUTED" in rec["chunk"] else call(rec)
+
+
 # Derived source URLs for the URL rules (one variant per page, chosen by page id).
 URL_VARIANTS = [
     "{url}",

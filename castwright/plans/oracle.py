@@ -303,16 +303,17 @@ _SOURCE_ERROR = _first([
 
 _INTAKE = f"""{I.request_rows_sql()},
 p AS (
-  SELECT event_id, body, is_base64, region_param, (body IS NULL OR body = '') AS empty,
-         CASE WHEN is_base64 THEN decode(from_base64(regexp_replace(body, '[^A-Za-z0-9+/=]', '', 'g'))) ELSE body END AS text
+  SELECT event_id, body, is_base64, region_param, arn_param, breaks, (body IS NULL OR body = '') AS empty,
+         CASE WHEN read_as IS NOT NULL THEN read_as
+              WHEN is_base64 THEN decode(from_base64(regexp_replace(body, '[^A-Za-z0-9+/=]', '', 'g'))) ELSE body END AS text
   FROM requests),
 j0 AS (
-  SELECT *, CASE WHEN empty THEN NULL WHEN NOT json_valid(text) THEN '{K.E_BAD_JSON}'
+  SELECT *, CASE WHEN empty THEN NULL WHEN breaks THEN 'internal server error' WHEN NOT json_valid(text) THEN '{K.E_BAD_JSON}'
                  WHEN json_type(text) <> 'OBJECT' THEN '{K.E_NOT_OBJECT}' END AS parse_error
   FROM p),
 j AS (SELECT *, CASE WHEN empty OR parse_error IS NOT NULL THEN '{{}}' ELSE text END AS js FROM j0),
 n0 AS (
-  SELECT event_id, parse_error, js, region_param,
+  SELECT event_id, parse_error, js, region_param, arn_param,
     {_nonblank(_sval('source_url'))} AS source_url,
     {_nonblank(f"CASE WHEN {_absent('source_text')} THEN {_sval('transcript_text')} ELSE {_sval('source_text')} END")} AS source_text,
     {_nonblank(_sval('source_file_name'))} AS source_file_name,
@@ -323,7 +324,8 @@ n0 AS (
     {_nonblank(_sval('voice_id'))} AS voice_id,
     {_nonblank(_sval('voice_id_b'))} AS voice_id_b,
     coalesce({_nonblank('region_param')}, 'us-east-1') AS region,
-    {_nonblank(_sval('state_machine_arn'))} AS state_machine_arn
+    CASE WHEN coalesce(json_extract(js, '$.state_machine_arn')::VARCHAR, 'null') IN ('null', '""', '0', '0.0', 'false', '[]', '{{}}')
+         THEN {_nonblank('arn_param')} ELSE {_nonblank(_sval('state_machine_arn'))} END AS state_machine_arn
   FROM j),
 n AS (SELECT *, {_NORMALIZE_ERROR} AS normalize_error, {_SOURCE_ERROR} AS source_error FROM n0),
 r AS (SELECT *, coalesce(parse_error, normalize_error, source_error) AS error FROM n)"""
@@ -338,11 +340,11 @@ FROM r
 """
 ORACLE_SQL["request_validate"] = f"""
 WITH {_INTAKE}
-SELECT event_id, CASE WHEN error IS NULL THEN 202 ELSE 400 END::INTEGER AS status_code, error FROM r
+SELECT event_id, CASE WHEN error IS NULL THEN 202 WHEN error = 'internal server error' THEN 500 ELSE 400 END::INTEGER AS status_code, error FROM r
 """
 ORACLE_SQL["request_normalize"] = f"""
 WITH {_INTAKE}
-SELECT event_id, {_REQ_FIELDS}, CASE WHEN error IS NULL THEN 202 ELSE 400 END::INTEGER AS status_code, error FROM r
+SELECT event_id, {_REQ_FIELDS}, CASE WHEN error IS NULL THEN 202 WHEN error = 'internal server error' THEN 500 ELSE 400 END::INTEGER AS status_code, error FROM r
 """
 ORACLE_SQL["request_accept"] = f"""
 WITH {_INTAKE}
@@ -735,7 +737,7 @@ fetched AS (
          WHEN route = 'article' THEN art_text END AS src
   FROM routed LEFT JOIN art_url ON routed.route = 'article' AND art_url.url = routed.source_url),
 scripts AS (
-  SELECT event_id, script_mode, {q.strip('src')} AS script FROM fetched WHERE fetch_error IS NULL),
+  SELECT event_id, script_mode, {q.strip('src')} AS script FROM fetched WHERE fetch_error IS NULL AND NOT contains(src, 'REFUSED')),
 s_lines AS (
   SELECT event_id, ln, arr[ln] AS raw
   FROM (SELECT event_id, arr, unnest(generate_series(1, len(arr))) AS ln
@@ -754,26 +756,85 @@ all_turns AS (
   UNION ALL
   SELECT event_id, 1::BIGINT, script FROM scripts WHERE script_mode <> 'duo'),
 {q.chunks_cte('all_turns', 'event_id, turn_no', 'text', 1800)},
-gen AS (SELECT event_id, count(*) AS chunk_count, sum(strlen(chunk)) AS audio_bytes FROM ck GROUP BY event_id),
+gen AS (SELECT event_id, count(*) AS chunk_count, CASE WHEN NOT bool_or(contains(chunk, 'MUTED')) THEN sum(strlen(chunk)) END AS audio_bytes,
+               arg_min(chunk_no, turn_no * 1000000 + chunk_no) FILTER (contains(chunk, 'MUTED')) AS muted
+        FROM ck GROUP BY event_id),
+turned AS (SELECT event_id, count(*) AS turn_count FROM all_turns GROUP BY event_id),
 book AS (
-  SELECT f.event_id, f.fetch_error,
+  SELECT f.event_id, f.fetch_error, CASE WHEN f.fetch_error IS NULL AND contains(f.src, 'REFUSED') THEN 'Model call failed: model refused' END AS model_error, turned.turn_count,
          CASE WHEN f.fetch_error IS NULL THEN length(f.src) END AS article_char_count,
          length(s.script) AS script_chars,
-         CASE WHEN s.script IS NOT NULL AND s.script_mode = 'duo' AND gen.event_id IS NULL THEN '{_NO_TURNS}' END AS gen_error,
+         CASE WHEN s.script IS NOT NULL AND s.script_mode = 'duo' AND gen.event_id IS NULL THEN '{_NO_TURNS}'
+              WHEN gen.muted IS NOT NULL THEN 'Polly response missing AudioStream for chunk ' || gen.muted || '.' END AS gen_error,
          gen.chunk_count, gen.audio_bytes,
          CASE WHEN s.script IS NOT NULL THEN trunc((len({q.words('s.script')})::DOUBLE / 150.0) * 60.0) END AS duration_sec
-  FROM fetched f LEFT JOIN scripts s ON f.event_id = s.event_id LEFT JOIN gen ON f.event_id = gen.event_id)
-SELECT r.event_id, CASE WHEN r.error IS NULL THEN 202 ELSE 400 END::INTEGER AS status_code, r.error AS request_error,
-       CASE WHEN r.error IS NOT NULL THEN 'REJECTED' WHEN coalesce(b.fetch_error, b.gen_error) IS NULL THEN 'SUCCEEDED'
+  FROM fetched f LEFT JOIN scripts s ON f.event_id = s.event_id LEFT JOIN gen ON f.event_id = gen.event_id
+       LEFT JOIN turned ON f.event_id = turned.event_id)
+SELECT r.event_id, CASE WHEN r.error IS NULL THEN 202 WHEN r.error = 'internal server error' THEN 500 ELSE 400 END::INTEGER AS status_code, r.error AS request_error,
+       CASE WHEN r.error IS NOT NULL THEN 'REJECTED' WHEN coalesce(b.fetch_error, b.model_error, b.gen_error) IS NULL THEN 'SUCCEEDED'
             ELSE 'FAILED' END AS status,
-       CASE WHEN b.fetch_error IS NOT NULL THEN 'fetch' WHEN b.gen_error IS NOT NULL THEN 'generate' END AS failed_stage,
-       coalesce(b.fetch_error, b.gen_error) AS error,
+       CASE WHEN b.fetch_error IS NOT NULL THEN 'fetch' WHEN b.model_error IS NOT NULL THEN 'rewrite' WHEN b.gen_error IS NOT NULL THEN 'generate' END AS failed_stage,
+       coalesce(b.fetch_error, b.model_error, b.gen_error) AS error, CASE WHEN r.error IS NULL THEN coalesce(b.turn_count, 0) END::BIGINT AS turn_count,
        b.article_char_count::BIGINT AS article_char_count, b.script_chars::BIGINT AS script_chars,
        b.chunk_count::BIGINT AS chunk_count, b.audio_bytes::BIGINT AS audio_bytes, b.duration_sec::BIGINT AS duration_sec
 FROM r LEFT JOIN book b ON r.event_id = b.event_id
 """
 
 
+# The stream of whole runs, broken and started again, ends with the table of the batch run; its audio is read
+# off the manifest.
+ORACLE_SQL["stream_jobs"] = f"""
+SELECT *, CASE WHEN status = 'SUCCEEDED' THEN audio_bytes END AS written_bytes FROM ({ORACLE_SQL["request_jobs"]})
+"""
+
+ORACLE_SQL["call_journal"] = f"""
+WITH {I.rewrite_jobs_sql()}
+SELECT doc_id, CASE WHEN {_PROMPT_ERR} IS NULL THEN md5({q.strip('text')}) END AS script_md5,
+       {_PROMPT_ERR} AS error, CASE WHEN ({_PROMPT_ERR}) IS NULL THEN 1 ELSE 0 END::BIGINT AS calls
+FROM jobs
+"""
+
+# Parts of a job's audio in order; a range file holds the parts that begin in it.
+ORACLE_SQL["audio_objects"] = f"""
+WITH RECURSIVE {_turn_chunks('Amy', 'Matthew')},
+placed AS (
+  SELECT conv_id, turn_no, chunk_no, chunk,
+         (sum(strlen(chunk)) OVER (PARTITION BY conv_id ORDER BY turn_no, chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+          - strlen(chunk))::BIGINT AS begins FROM ck)
+SELECT conv_id, 'jobs/job-' || CAST(conv_id AS VARCHAR) || '/audio.mp3' AS object_key, (begins // 1024)::BIGINT AS range_no,
+       min(begins)::BIGINT AS begins, sum(strlen(chunk))::BIGINT AS n_bytes, md5(string_agg(chunk, '' ORDER BY turn_no, chunk_no)) AS content_md5
+FROM placed GROUP BY conv_id, begins // 1024
+"""
+
+
+def _json_text(x: str) -> str:
+    """A text as an ASCII JSON string, character by character (two units above U+FFFF)."""
+    def unit(n: str) -> str:
+        return f"'\\u' || lpad(lower(to_hex({n})), 4, '0')"
+
+    char = (f"CASE WHEN c = '\"' THEN '\\\"' WHEN c = '\\' THEN '\\\\' WHEN unicode(c) = 8 THEN '\\b' WHEN unicode(c) = 12 THEN '\\f' "
+            f"WHEN unicode(c) = 10 THEN '\\n' WHEN unicode(c) = 13 THEN '\\r' WHEN unicode(c) = 9 THEN '\\t' "
+            f"WHEN unicode(c) BETWEEN 32 AND 126 THEN c WHEN unicode(c) < 65536 THEN {unit('unicode(c)')} "
+            f"ELSE {unit('55296 + ((unicode(c) - 65536) >> 10)')} || {unit('56320 + ((unicode(c) - 65536) & 1023)')} END")
+    body = f"array_to_string(list_transform(regexp_extract_all({x}, '(?s).'), lambda c: {char}), '')"
+    return f"coalesce('\"' || {body} || '\"', 'null')"
+
+
+_META = {"job_id": "job_id", "source_url": "NULL", "source_type": "source_type", "title": "text", "style": "style", "script_mode": "script_mode",
+         "model_id": "model_id", "script_s3_key": "'jobs/' || job_id || '/script.txt'"}
+_META_JSON = "'{' || chr(10) || " + " || ',' || chr(10) || ".join(
+    f"'  \"{f}\": ' || {_json_text(f'CAST({v} AS VARCHAR)')}" for f, v in _META.items()) + " || chr(10) || '}'"
+ORACLE_SQL["script_objects"] = f"""
+WITH {I.rewrite_jobs_sql()},
+made AS (SELECT *, {_META_JSON} AS js,
+                CASE WHEN doc_id % 17 = 5 THEN 'missing' WHEN doc_id % 13 = 7 THEN 'broken' END AS fault FROM jobs)
+SELECT doc_id, 'jobs/' || job_id || '/script.json' AS object_key,
+       CASE WHEN fault IS NULL THEN strlen(js) END::BIGINT AS n_bytes, CASE WHEN fault IS NULL THEN md5(js) END AS content_md5,
+       CASE WHEN fault IS NULL THEN md5(text) END AS title_md5, CASE WHEN fault IS NULL THEN source_type END AS source_type,
+       CASE WHEN fault IS NULL THEN model_id END AS model_id, fault AS error_kind
+FROM made
+"""
+
 ORACLE_SQL["file_scan"] = """
 SELECT doc_id, CASE WHEN kind IS NULL THEN 'doc' || CAST(doc_id AS VARCHAR) || '.txt' END AS name,
        CASE WHEN kind IS NULL THEN (4 * ((strlen(t) + 2) // 3))::BIGINT END AS base64_chars,
@@ -790,3 +851,27 @@ SELECT conv_id, pos, CASE WHEN pos IS NULL THEN n ELSE n - 1 END AS n_rejected,
   CASE WHEN pos IS NULL THEN 'piece has no position' ELSE 'position is repeated' END AS error
 FROM counted WHERE pos IS NULL OR n > 1
 """
+
+_MACHINE = "arn:aws:states:us-east-1:000000000000:stateMachine:podcast"
+ORACLE_SQL["run_registry"] = f"""
+WITH {_INTAKE},
+acc AS (
+  SELECT r.*, e.event_type, e.ts, e.value, coalesce(r.state_machine_arn, '{_MACHINE}') AS machine
+  FROM r JOIN events e USING (event_id) WHERE r.error IS NULL),
+runs AS (
+  SELECT event_id, machine, replace(machine, ':stateMachine:', ':execution:') || ':run-' || event_id AS arn, style, source_url, ts AS started,
+         CASE event_type WHEN 'click' THEN 'RUNNING' WHEN 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+         CASE WHEN event_type <> 'click' THEN ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END AS stopped FROM acc),
+asked AS (
+  SELECT event_id AS request_id,
+         CASE WHEN event_id % 3 <> 0 AND event_id % 50 = 0 THEN NULL
+              ELSE replace('{_MACHINE}', ':stateMachine:', ':execution:') || ':run-' || event_id END AS a FROM events)
+SELECT request_id, a AS execution_arn, w.machine AS state_machine_arn, w.status, {_iso('w.started')} AS start_date, {_iso('w.stopped')} AS stop_date,
+       CASE WHEN w.status IS NOT NULL THEN 'json' END AS kind, w.style AS input_style, w.source_url AS input_url,
+       CASE w.status WHEN 'FAILED' THEN 'raw' WHEN 'SUCCEEDED' THEN 'json' END AS output_kind,
+       CASE WHEN w.status = 'FAILED' THEN 'stage failed' END AS output_raw, CASE WHEN w.status = 'SUCCEEDED' THEN w.event_id END AS output_event,
+       CASE WHEN w.status IS NULL THEN 400 ELSE 200 END::INTEGER AS status_code,
+       CASE WHEN a IS NULL THEN 'missing required parameter: execution_arn' WHEN w.status IS NULL THEN 'execution not found: ' || a END AS error,
+       o.arn AS started_arn, {_iso('o.started')} AS started
+FROM asked LEFT JOIN runs w ON asked.a = w.arn LEFT JOIN runs o ON o.event_id = request_id
+"""

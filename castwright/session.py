@@ -74,6 +74,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def is_whole(spark: SparkSession, path: str) -> bool:
+    """True for a written table whose job was committed."""
+    at, files = _hadoop(spark, f"{path}/_SUCCESS")
+    return files.exists(at)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    at, files = _hadoop(spark, path)
+    files.mkdirs(at)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    at, files = _hadoop(spark, path)
+    files.delete(at, True)
+
+
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
     """Hash-spread the rows of a freshly read table when the scan gave too few splits.
 
