@@ -103,10 +103,11 @@ def one_per_position(rows: DataFrame, key: str, order: tuple[str, ...], text: st
     """(key, *order, text): one piece for each position, the smallest text where a position is
     repeated; pieces without a position have no place (``position_rejects`` reports both).
 
-    The minimum is taken map-side first, and its exchange on (key, order) is the one that the later
-    join on the same columns needs anyway."""
-    placed = rows.dropna(subset=[*order])
-    return placed.groupBy(key, *order).agg(F.min(text).alias(text))
+    Whether any position is repeated is found over keys and positions alone; only then are the texts
+    compared (a minimum of texts sorts them). That chooses the plan, not the result."""
+    placed = rows.dropna(subset=[*order]).select(key, *order, text)
+    most = placed.groupBy(key, *order).count().agg(F.max("count")).first()[0] or 0
+    return placed if most <= 1 else placed.groupBy(key, *order).agg(F.min(text).alias(text))
 
 
 def position_rejects(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:

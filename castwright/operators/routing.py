@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from castwright.functions.encoding import strict_unbase64
 from castwright.functions.urls import SCHEME_ERROR, is_video_url, scheme_ok
+from castwright.operators.events import resolved_bucket
+from castwright.session import materialize
 from castwright.sources.files import E_FETCH_BAD_B64, doc_type, doc_type_error, document_parts, finish_documents
 from castwright.sources.pages import extract_articles
 
@@ -58,14 +60,23 @@ def route_error(df: DataFrame | None = None) -> Column:
     )
 
 
-def one_page_per_url(pages: DataFrame) -> DataFrame:
-    """(page_url, html) with one crawl of each URL: that of the largest ``page_id`` (of the page text
-    where the table has no ids). Only URLs and ids are compared; the pages themselves meet by id."""
+def one_page_per_url(pages: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(page_url, html) with one crawl of each URL (of those in ``wanted``): that of the largest ``page_id``,
+    then the largest html; by html alone where the table has no ids.
+
+    URLs and ids are narrowed down first; the pages themselves meet the chosen ids once. Texts are compared
+    only if some URL and id are repeated, which chooses the plan, not the result."""
     named = pages.select(F.col("url").alias("page_url"), "html", *(["page_id"] if "page_id" in pages.columns else []))
     if "page_id" not in named.columns:
-        return named.groupBy("page_url").agg(F.max("html").alias("html"))
-    last = named.groupBy("page_url").agg(F.max("page_id").alias("page_id"))
-    return named.join(last, ["page_url", "page_id"], "left_semi").dropDuplicates(["page_url"]).select("page_url", "html")
+        needed = named if wanted is None else named.join(wanted, "page_url", "left_semi")
+        return needed.groupBy("page_url").agg(F.max("html").alias("html"))
+    ids = named.select("page_url", "page_id")
+    ids = ids if wanted is None else ids.join(wanted, "page_url", "left_semi")
+    counted = ids.groupBy("page_url", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    last = materialize(counted.groupBy("page_url").agg(F.max(F.struct("page_id", "n")).alias("last")).select("page_url", "last.*"), "page-ids")
+    met = named.join(last, (named["page_url"] == last["page_url"]) & named["page_id"].eqNullSafe(last["page_id"]), "left_semi")
+    repeated = (last.agg(F.max("n")).first()[0] or 0) > 1
+    return met.groupBy("page_url").agg(F.max("html").alias("html")) if repeated else met.select("page_url", "html")
 
 
 def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: DataFrame | None = None,
@@ -77,7 +88,7 @@ def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: D
     ``key`` tells runs apart; ``job_id`` only names the artefact. Article rows meet their page by
     URL and carry no payload; all other rows stay in their scan partition, so the inline texts and
     files are dropped before any shuffle (R14)."""
-    bucket = F.coalesce(F.col("bucket"), F.lit(default_bucket)) if "bucket" in jobs.columns else F.lit(default_bucket)
+    bucket = resolved_bucket(default_bucket) if "bucket" in jobs.columns else F.lit(default_bucket)
     kept = list(dict.fromkeys([key, *keep, "job_id"]))
     base = jobs.select(*kept, "source_url", "source_text", "source_file_name", "source_file_base64",
                        bucket.alias("bucket"), route().alias("_route"))
@@ -89,7 +100,7 @@ def fetch_sources(jobs: DataFrame, pages: DataFrame | None = None, page_texts: D
     wanted = base.where(asked).select(*kept, "bucket", F.col("source_url").alias("page_url"))
     not_found = F.concat(F.lit("Failed to fetch article from "), F.col("page_url"), F.lit(": page not found"))
     if pages is not None:
-        needed = one_page_per_url(pages).join(wanted.select("page_url").distinct(), "page_url", "left_semi")
+        needed = one_page_per_url(pages, wanted.select("page_url").distinct())
         texts = extract_articles(needed, mode=mode, key="page_url").select(
             "page_url", F.col("text").alias("_text"), F.col("error").alias("_error"), F.lit(True).alias("_found"))
         met = wanted.join(texts, "page_url", "left")

@@ -209,6 +209,21 @@ def transcript_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts.transcript_paragraphs(pieces, key="conv_id", order=("turn",), split_rows=True)
 
 
+@register("transcript_segments")
+def transcript_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 -> R12: the lines of each document as transcript segments held as JSON: a list, or an object that
+    wraps one; some items are bare or have a text that is no text, some documents hold no list."""
+    doc = F.col("doc_id")
+    item = lambda x, i: F.when(i % 7 == 3, F.lit('{"text": 7}')).when(i % 7 == 5, F.to_json(F.array(x))).otherwise(
+        F.to_json(F.struct(i.alias("start"), x.alias("text"))))
+    items = F.concat(F.lit("["), F.array_join(F.transform(tx.split_lines("text"), item), ","), F.lit("]"))
+    held = (F.when(doc % 11 == 4, F.lit('{"segments": 3}')).when(doc % 3 == 1, F.concat(F.lit('{"segments": '), items, F.lit("}")))
+            .when(doc % 3 == 2, F.concat(F.lit('{"lang": "en", "snippets": '), items, F.lit("}"))).otherwise(items))
+    docs = table(spark, sf_dir, "documents").select("doc_id", held.alias("segments"))
+    segments = transcripts.segments_of(docs, key="doc_id")
+    return transcripts.transcript_paragraphs(segments, key="doc_id", order=("pos",))
+
+
 @register("transcript_source")
 def transcript_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
@@ -359,12 +374,22 @@ def base64_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _in_encodings(text: str, key: str):
+    """Bytes of a text: UTF-8 with and without a byte order mark, UTF-16 of both byte orders, Latin-1 (of odd
+    length, which no UTF-16 has, and beginning with what no UTF-8 has)."""
+    latin = F.encode(F.concat(F.lit("\u00e9 "), F.regexp_replace(text, "[^\\x00-\\xFF]", "?")), "ISO-8859-1")
+    latin = F.when(F.octet_length(latin) % 2 == 0, F.concat(latin, F.unhex(F.lit("20")))).otherwise(latin)
+    case = F.col(key) % 6
+    return (F.when(case == 0, F.concat(F.unhex(F.lit("EFBBBF")), F.encode(text, "UTF-8")))
+            .when(case == 1, F.concat(F.unhex(F.lit("FEFF")), F.encode(text, "UTF-16BE")))
+            .when(case == 4, F.concat(F.unhex(F.lit("FFFE")), F.encode(text, "UTF-16LE")))
+            .when(case == 2, latin).otherwise(F.encode(text, "UTF-8")))
+
+
 @register("txt_decode")
 def txt_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    raw = F.when(F.col("doc_id") % 3 == 0, F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"))).otherwise(
-        F.encode("text", "UTF-8"))
-    dec = enc.decode_text_bytes(raw)
+    dec = enc.decode_text_bytes(_in_encodings("text", "doc_id"))
     return d.select("doc_id", dec["text"].alias("text"), dec["encoding"].alias("encoding"))
 
 

@@ -187,6 +187,14 @@ paras AS (
 
 ORACLE_SQL["transcript_paragraphs"] = f"WITH {_PARAGRAPHS}\nSELECT conv_id, paragraph_no, text FROM paras"
 
+ORACLE_SQL["transcript_segments"] = f"""
+WITH arr AS (SELECT doc_id, {q.lines('text')} AS ls FROM documents WHERE doc_id % 11 <> 4),
+li AS (SELECT doc_id, unnest(generate_series(1, len(ls))) - 1 AS i, ls FROM arr),
+kept AS (SELECT doc_id, i, {q.strip(q.collapse_ws('ls[i + 1]'))} AS line FROM li WHERE i % 7 NOT IN (3, 5)),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1) // 6 AS paragraph_no FROM kept WHERE line <> '')
+SELECT doc_id, paragraph_no::BIGINT AS paragraph_no, string_agg(line, ' ' ORDER BY i) AS text FROM numbered GROUP BY doc_id, paragraph_no
+"""
+
 ORACLE_SQL["transcript_source"] = f"""
 WITH {_PARAGRAPHS},
 j AS (SELECT conv_id, {q.strip("string_agg(text, chr(10) || chr(10) ORDER BY paragraph_no)")} AS text
@@ -458,7 +466,11 @@ SELECT doc_id, valid, CASE WHEN valid THEN md5(from_base64(b64)) END AS decoded_
        CASE WHEN NOT valid THEN '{FS.E_FETCH_BAD_B64}' END AS error
 FROM v
 """
-ORACLE_SQL["txt_decode"] = f"SELECT doc_id, {q.strip('text')} AS text, 'utf-8-sig' AS encoding FROM documents"
+_LATIN = "'é ' || regexp_replace(text, '[^\\x{00}-\\x{FF}]', '?', 'g')"
+ORACLE_SQL["txt_decode"] = f"""
+SELECT doc_id, CASE WHEN doc_id % 6 = 2 THEN {q.strip(_LATIN)} ELSE {q.strip('text')} END AS text,
+       CASE doc_id % 6 WHEN 1 THEN 'utf-16' WHEN 4 THEN 'utf-16' WHEN 2 THEN 'latin-1' ELSE 'utf-8-sig' END AS encoding FROM documents
+"""
 
 _PAGES_TEXT = q.strip(
     f"array_to_string(list_filter(list_transform({q.lines('text')}, lambda x: {q.strip('x')}), lambda x: x <> ''), chr(10) || chr(10))"

@@ -17,22 +17,44 @@ LINES_PER_PARAGRAPH = 6
 EMPTY_TRANSCRIPT_ERROR = "YouTube transcript is empty"
 
 
-def segments_from_array(df: DataFrame, key: str = "job_id", segments: str = "segments") -> DataFrame:
-    """array<struct<text ...>> per job -> (key, pos, text); segments without string text are skipped."""
-    return df.select(key, F.posexplode(segments).alias("pos", "seg")).select(
-        key, F.col("pos").cast("bigint").alias("pos"), F.col("seg.text").alias("text")
+# Fields under which an object holds its list of segments.
+WRAPPERS = ("segments", "snippets", "raw_data")
+
+
+def segments_of(df: DataFrame, key: str = "job_id", segments: str = "segments") -> DataFrame:
+    """(key, pos, text) of the segments in order, from any form that they come in: an array of structs
+    or maps, a variant, or JSON text, which may be a list or an object that wraps one (``WRAPPERS``).
+
+    An item counts if it is an object with a ``text`` that is a string; ``pos`` is its place among all items.
+    Everything goes through one variant path; rows that hold no list give no segments."""
+    kind = df.schema[segments].dataType.simpleString()
+    held = F.col(segments)
+    if kind == "string":
+        held = F.try_parse_json(held)
+    elif kind != "variant":
+        held = F.to_variant_object(held)
+
+    def a_list(path: str):
+        at = F.try_variant_get("_held", path, "variant")
+        return F.when(F.startswith(F.schema_of_variant(at), F.lit("ARRAY")), F.try_variant_get("_held", path, "array<variant>"))
+
+    items = F.coalesce(a_list("$"), *[a_list(f"$.{w}") for w in WRAPPERS])
+    text = F.try_variant_get("seg", "$.text", "variant")
+    exploded = df.select(key, held.alias("_held")).select(key, F.posexplode(items).alias("pos", "seg"))
+    return exploded.select(
+        key, F.col("pos").cast("bigint").alias("pos"),
+        F.when(F.schema_of_variant(text) == F.lit("STRING"), F.try_variant_get("seg", "$.text", "string")).alias("text"),
     ).where(F.col("text").isNotNull())
 
 
+def segments_from_array(df: DataFrame, key: str = "job_id", segments: str = "segments") -> DataFrame:
+    """S6 for an array of segments."""
+    return segments_of(df, key, segments)
+
+
 def segments_from_json(df: DataFrame, key: str = "job_id", segments: str = "segments_json") -> DataFrame:
-    """S6 for segments held as JSON text (a list of objects): keep, in order, the ``text`` of
-    every item whose ``text`` is a JSON string; other items are skipped."""
-    items = F.try_variant_get(F.try_parse_json(segments), "$", "array<variant>")
-    return df.select(key, F.posexplode(items).alias("pos", "seg")).select(
-        key, F.col("pos").cast("bigint").alias("pos"),
-        F.when(F.schema_of_variant(F.try_variant_get("seg", "$.text", "variant")) == F.lit("STRING"),
-               F.try_variant_get("seg", "$.text", "string")).alias("text"),
-    ).where(F.col("text").isNotNull())
+    """S6 for segments held as JSON text."""
+    return segments_of(df, key, segments)
 
 
 def transcript_paragraphs(rows: DataFrame, key: str = "job_id", order: tuple[str, ...] = ("pos",),

@@ -36,3 +36,18 @@ def test_ssml(spark):
     assert '<break time="700ms"/>' in got and '<break time="350ms"/>' in got
     assert "&amp;" in got and "&lt;three&gt;" in got and "'q'" in got
     assert one(spark, chunking.ssml_column(F.col("x")), "   ") is None
+
+
+def test_segments_in_every_form(spark):
+    from castwright.sources.transcripts import segments_of
+
+    held = [(1, '[{"text": "a"}, {"text": 3}, "bare", {"text": "b", "start": 1.5}, {"other": 1}, {"text": null}]'), (2, '{"segments": [{"text": "c"}]}'),
+            (3, '{"snippets": [{"text": "d"}, {"text": ["x"]}]}'), (4, '{"segments": 5}'), (5, "not json"), (6, None), (7, "[]"), (8, "7")]
+    want = [(1, 0, "a"), (1, 3, "b"), (2, 0, "c"), (3, 0, "d")]
+    df = spark.createDataFrame(held, "job_id int, segments string")
+    assert sorted(map(tuple, segments_of(df).collect())) == want
+    assert sorted(map(tuple, segments_of(df.selectExpr("job_id", "try_parse_json(segments) AS segments")).collect())) == want
+    structs = spark.createDataFrame([(1, [("a", 0.5), (None, 1.0), ("b", 2.0)]), (2, None), (3, [])], "job_id int, segments array<struct<text: string, start: double>>")
+    assert sorted(map(tuple, segments_of(structs).collect())) == [(1, 0, "a"), (1, 2, "b")]
+    nested = structs.selectExpr("job_id", "named_struct('segments', segments) AS segments")
+    assert sorted(map(tuple, segments_of(nested).collect())) == [(1, 0, "a"), (1, 2, "b")]
