@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import pyarrow as pa
 import xxhash
@@ -40,6 +40,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 #: Shortest labelled value, and so the shortest candidate.
 SHORTEST = 12
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
+#: Words that are long enough for an ordinary token.
+WORD = re.compile(r"(?<!\S)\S{%d,}(?!\S)" % SHORTEST)
 NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 PER_KIND, MAX_LENGTH = 300, 96
 #: Share of a format's own sample that may score lower than a hit, and bits a character that the
@@ -68,8 +70,13 @@ def candidates(text: str | None, taken: list[tuple[int, int, int]]) -> list[tupl
     """Spans of tokens of at least ``SHORTEST`` characters that no base match touches."""
     if not text or not any(len(w) >= SHORTEST for w in utf8(text).split()):
         return []
+    return untouched(CANDIDATE, text, taken)
+
+
+def untouched(pattern: re.Pattern, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans of a pattern that no base match touches."""
     out, k, reach = [], 0, 0
-    for m in CANDIDATE.finditer(text):
+    for m in pattern.finditer(text):
         while k < len(taken) and taken[k][0] < m.end():
             reach, k = max(reach, taken[k][1]), k + 1
         if reach <= m.start():
@@ -89,8 +96,8 @@ END = ""
 LOST = math.log2(0.05 / (0.05 * (ALPHABET + 1)))
 
 
-#: Signs that give a format its structure, the end of the value among them.
-SEPARATORS = frozenset("+/_=-.") | {END}
+#: Signs that give a format its structure.
+SEPARATORS = frozenset("+/_=-.")
 #: Values that must have met a state before its separators count against a merge.
 ENOUGH = 3
 
@@ -99,11 +106,12 @@ class Automaton:
     """Probabilistic automaton learnt from strings by merging states of their prefix tree.
 
     Two states merge if their frequencies (of ending and of each next class, down their whole trees) are
-    compatible by Hoeffding bounds and the same separators, or the end, rule their next sign, which keeps a
-    format's structure; a state joins the settled one that is most like it. Runs of like signs become
+    compatible by Hoeffding bounds and (with ``structured``) the same separators rule their next sign, which
+    keeps a format's structure; a state joins the settled one that is most like it. Runs of like signs become
     loops, so the lengths of the values are kept beside the states."""
 
-    def __init__(self, words: list[str], alpha: float = 0.05):
+    def __init__(self, words: list[str], alpha: float = 0.05, structured: bool = True):
+        self.structured = structured
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self.next: list[dict[str, int]] = [{}]
         self.count: list[dict[str, float]] = [defaultdict(float)]
@@ -119,15 +127,15 @@ class Automaton:
             self.count[at][END] += 1
         self._merge_all()
         self.bits = [self._bits(seen) for seen in self.count]
-        self.lengths = Counter(map(len, words))
-        own = sorted(self.fit(w) for w in words)
+        self.lengths, self.longest = set(map(len, words)), max(map(len, words), default=0)
+        own = sorted(self.rate(w) for w in words)
         self.lowest = own[int(LOWEST * len(own))] if own else 0.0
 
     def _visits(self, q: int) -> float:
         return sum(self.count[q].values())
 
     def _ruled(self, q: int) -> frozenset[str]:
-        """Separators, or the end, that are at least half of what comes next."""
+        """Separators that are at least half of what comes next."""
         n = self._visits(q)
         return frozenset(c for c in SEPARATORS if 2 * self.count[q].get(c, 0) >= n)
 
@@ -138,7 +146,7 @@ class Automaton:
         while todo:
             a, b = todo.pop()
             n, m = self._visits(a), self._visits(b)
-            if min(n, m) >= ENOUGH and self._ruled(a) != self._ruled(b):
+            if self.structured and min(n, m) >= ENOUGH and self._ruled(a) != self._ruled(b):
                 return None
             room = self.bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
             gaps = [abs(self.count[a].get(c, 0) / n - self.count[b].get(c, 0) / m) for c in {*self.count[a], *self.count[b]}]
@@ -187,11 +195,14 @@ class Automaton:
         whole = sum(seen.values()) + 0.05 * (ALPHABET + 1)
         return {c: math.log2((n + 0.05) / whole) for c, n in seen.items()}, math.log2(0.05 / whole)
 
-    def fit(self, word: str) -> float:
-        """The rate with the bits of the string's length: how well the string fits the format."""
-        n = sum(self.lengths.values())
-        near = sum(self.lengths.get(len(word) + d, 0) for d in (-1, 0, 1))
-        return self.rate(word) + math.log2((near + 0.01) / (n + 0.01 * MAX_LENGTH)) / (len(word) + 1)
+    def known_length(self, word: str) -> bool:
+        """Whether values about as long were learnt; what is longer than all of them is a long run of
+        the format, if of the format at all."""
+        return len(word) > self.longest or any(len(word) + d in self.lengths for d in (-1, 0, 1))
+
+    def fits(self, word: str) -> bool:
+        """Whether a string is of the format: as long as learnt values, and no less likely than they are."""
+        return self.known_length(word) and self.rate(word) >= self.lowest
 
     def rate(self, word: str) -> float:
         """Bits a character (minus sign: less likely) that the automaton gives a string of any length."""
@@ -219,8 +230,9 @@ def sample(docs: DataFrame, per_kind: int = PER_KIND) -> dict[str, list[str]]:
                 for start, end, kind in taken:
                     kinds.append(KINDS[kind])
                     values.append(value_of(text, start, end, kind))
-                for word in (text or "").split():
-                    if SHORTEST <= len(word) <= MAX_LENGTH and word.isascii() and not any(c.isdigit() for c in word):
+                for start, end in untouched(WORD, text or "", taken) if text and any(len(w) >= SHORTEST for w in utf8(text).split()) else ():
+                    word = text[start:end]
+                    if word.isascii() and not any(c.isdigit() for c in word):
                         kinds.append(PLAIN)
                         values.append(word)
                 for start, end in candidates(text, taken):
@@ -248,7 +260,7 @@ class Formats:
 
     def __init__(self, values: dict[str, list[str]]):
         self.formats = {k: Automaton(v) for k, v in values.items() if k != PLAIN and len(v) >= 5}
-        self.plain = Automaton(values.get(PLAIN, []))
+        self.plain = Automaton(values.get(PLAIN, []), structured=False)
 
     def ahead(self, value: str) -> float | None:
         """Bits a character that the best format is ahead of ordinary text; None without a format."""
@@ -262,7 +274,7 @@ class Formats:
         plain, best = self.plain.rate(word), (None, 0.0)
         for kind, automaton in self.formats.items():
             rate = automaton.rate(word)
-            if automaton.fit(word) >= automaton.lowest and rate - plain >= AHEAD and rate - plain > best[1]:
+            if automaton.fits(word) and rate - plain >= AHEAD and rate - plain > best[1]:
                 best = kind, rate - plain
         return best
 
