@@ -7,14 +7,16 @@ word in a public vocabulary of lower-case words, so ``cheappills`` becomes ``che
 Bayes over those words gives block or allow.
 
 There are no labelled urls, so training is weak: urls with one of the seed words stand for block, the
-others that no rule blocks for allow. Word counts by class are aggregated over all pages, and every word
+others that no rule blocks for allow, but for the doubtful ones, which share a word with seeded pages that those
+hold most of (so hosts whose own word is no seed are still blocked by the words beside it). Word counts by class are aggregated over all pages, and every word
 counts with both of them. Tasks hold the odds of the ``held_words`` most frequent words (that parameter
 bounds memory, not the model); a page's other words, each a small share of all words, are joined with the
 table of counts, so no frequent word is a join key. Pages and their words are written once, which fixes the
 row numbers of that join. A host that a third of all pages share is segmented once per task.
 
 Edge cases: a null url or one without ``://`` has empty host and path and is judged without words (the
-prior). A word of unlabelled pages only (blocked by a rule) adds nothing. Repeated pages each get a row; an empty table gives an empty result; other columns are not read.
+prior). A word of unlabelled pages only (blocked by a rule) adds nothing. Repeated pages each get a row; an empty table gives an empty result; other columns
+pass through, those with the names of new ones give way.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from castwright.llm.common import clashless
+from castwright.llm.common import clashless, join_groups
 from castwright.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,6 +42,8 @@ RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 SEEDS = ["adult", "ads", "bet", "bets", "betting", "casino", "gambling", "lottery", "pills", "poker", "porn", "sex", "spam", "viagra", "xxx"]
 #: Words whose odds every task holds; the others are joined.
 MODEL_WORDS = 20_000
+#: Seeded occurrences from which a word marks a page as doubtful.
+SUPPORT = 5
 LONGEST = 24
 #: Distinct names that a task remembers.
 NAMES = 100_000
@@ -123,15 +127,35 @@ def with_words(parts: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return parts.withColumn("words", cut("host", "path"))
 
 
-def word_counts(worded: DataFrame, seeds: list[str] = SEEDS) -> tuple[DataFrame, dict[int, int]]:
-    """word, n_block, n_allow, n of every word of all pages, and the number of pages of each label."""
-    seeded = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]))
-    label = F.when(seeded, F.lit(1)).when(F.coalesce("rule_verdict", F.lit("allow")) == "allow", F.lit(0))
-    labelled = worded.select(label.alias("label"), "words")
-    pages = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+def _counts(labelled: DataFrame, name: str) -> DataFrame:
+    """word, n_block, n_allow, n over the pages' labels."""
     met = labelled.select("label", F.explode("words").alias("word"))
     counts = met.groupBy("word").agg(F.count_if(F.col("label") == 1).alias("n_block"), F.count_if(F.col("label") == 0).alias("n_allow"), F.count(F.lit(1)).alias("n"))
-    return materialize(counts, "url-words"), pages
+    return materialize(counts, name)
+
+
+def doubtful(labelled: DataFrame, counts: DataFrame, rid: str, support: int = SUPPORT) -> DataFrame:
+    """Row numbers of the pages that no seed labels and that share a marked word with those that one does:
+    a word of at least ``support`` seeded occurrences, which are no fewer than the others. Such a page is no
+    sure example of what to allow."""
+    marked = counts.where((F.col("n_block") >= support) & (F.col("n_block") >= F.col("n_allow"))).select("word", "n", F.lit(True).alias("marked"))
+    met = labelled.where("label = 0").select(rid, F.explode("words").alias("word"))
+    found = join_groups(met, marked, {"word": "word"}, "n", ["marked"], F.xxhash64(rid))
+    return found.where("marked").select(rid).distinct()
+
+
+def word_counts(worded: DataFrame, seeds: list[str] = SEEDS, rid: str = "rid") -> tuple[DataFrame, dict[int, int]]:
+    """word, n_block, n_allow, n of every word of all pages, and the number of pages of each label.
+
+    Pages with a seed word stand for block; those without one, unless a rule blocks them, for allow, less
+    the doubtful ones. So a name that goes with seeded names' words is not learnt as allowed for want of a seed."""
+    seeded = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]))
+    label = F.when(seeded, F.lit(1)).when(F.coalesce("rule_verdict", F.lit("allow")) == "allow", F.lit(0))
+    labelled = worded.select(rid, label.alias("label"), "words")
+    out = materialize(doubtful(labelled, _counts(labelled, "url-words-first"), rid).withColumn("out", F.lit(True)), "url-doubtful")
+    sure = labelled.join(out, rid, "left").withColumn("label", F.when(F.col("out").isNull(), F.col("label")))
+    pages = {r["label"]: r["count"] for r in sure.groupBy("label").count().collect()}
+    return _counts(sure, "url-words"), pages
 
 
 class Bayes:
@@ -163,7 +187,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, seeds: list[st
     rid, rare = clashless(pages, "rid", "rare_words")
     worded = with_words(with_rule(with_parts(pages), rules))
     worded = materialize(worded.withColumn(rid, F.monotonically_increasing_id()), "url-pages")
-    counts, labelled = word_counts(worded, seeds)
+    counts, labelled = word_counts(worded, seeds, rid)
     model = Bayes(counts, labelled, held_words)
     held = pages.sparkSession.sparkContext.broadcast(model)
 
