@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from castwright.llm.bpe import RANKS
-from castwright.llm.common import utf8
+from castwright.llm.common import join_groups, utf8
 from castwright.session import materialize
 
 PIECES = "piece_bpe_32k.model"
@@ -143,9 +143,9 @@ def measures(docs: DataFrame, pieces: str | None = None, ranks: str | None = Non
 
 
 def bands(measured: DataFrame, reach: float = REACH) -> DataFrame:
-    """language and the low and high end of each measure's band, from all rows that pass the base rules."""
-    quartiles = measured.where("NOT base_failed").groupBy("language").agg(*[F.percentile_approx(m, [0.25, 0.75]).alias(m) for m in MEASURES])
-    out = [F.col("language")]
+    """language, its rows, and the low and high end of each measure's band, from all rows that pass the base rules."""
+    quartiles = measured.where("NOT base_failed").groupBy("language").agg(F.count(F.lit(1)).alias("n_passed"), *[F.percentile_approx(m, [0.25, 0.75]).alias(m) for m in MEASURES])
+    out = [F.col("language"), F.col("n_passed")]
     for m in MEASURES:
         room = reach * F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(SLACK[m]))
         out += [(F.col(m)[0] - room).alias(f"{m}_low"), (F.col(m)[1] + room).alias(f"{m}_high")]
@@ -156,7 +156,9 @@ def judge(docs: DataFrame, reach: float = REACH) -> DataFrame:
     """The measures of each row with base_failed, the reasons of the bands and kept."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     measured = materialize(measures(docs).withColumn("base_failed", failed), "fertility")
-    met = measured.join(bands(measured, reach), "language", "left")
+    ends = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
+    by_language = materialize(bands(measured, reach), "fertility-bands")
+    met = join_groups(measured, by_language, {"language": "language"}, "n_passed", ends, F.xxhash64("doc_id"))
     outside = [F.when(~F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(m)) for m in MEASURES]
     reasons = F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*outside)))
     return met.withColumn("reasons", reasons).withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0)).select(*measured.columns, "reasons", "kept")
