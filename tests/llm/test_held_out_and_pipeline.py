@@ -1,6 +1,7 @@
 """What the methods decide beyond their seeds and base rules, held-out quality, and the pipeline stage by stage."""
 
 import random
+import uuid
 
 import numpy as np
 import pytest
@@ -172,7 +173,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         before = now.collect()
         out = stage(spark, now, str(sf))
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/test-{tmp_path.name}-{name}"
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/test-{uuid.uuid4().hex}-{name}"
         out.write.parquet(path)
         now = spark.read.parquet(path)
         after = now.collect()
