@@ -89,10 +89,8 @@ def tts_chunks_min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("ssml")
 def ssml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = _doc_chunks(spark, sf_dir, chunking.PIPELINE_CHUNK_LIMIT).where(F.col("error").isNull())
-    return ch.select(
-        "doc_id", "chunk_no", chunking.ssml_column("chunk").alias("ssml")
-    )
+    ch = _doc_chunks(spark, sf_dir, chunking.PIPELINE_CHUNK_LIMIT)
+    return ch.select("doc_id", "chunk_no", chunking.ssml_column("chunk").alias("ssml"), "error")
 
 
 @register("duration")
@@ -395,8 +393,8 @@ def txt_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("page_assembly")
 def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inputs.document_pages(table(spark, sf_dir, "documents"))
-    return files_src.assemble_pages(pages, "doc_id", "page_no", "text")
+    pages = inputs.document_pages(table(spark, sf_dir, "documents"), outer=True)
+    return files_src.assemble_pages(pages, "doc_id", "page_no", "text", keep_blank=True)
 
 
 @register("docx_text")
@@ -481,9 +479,9 @@ def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _jobs(spark, sf_dir).select(
         "doc_id", prompts.model_family("model_id").alias("family"),
         prompts.prompt_column("text", "title", "style", "source_type", "script_mode").alias("prompt"),
-    ).where(F.col("family").isNotNull() & F.col("prompt").isNotNull())
-    body = prompts.request_body("family", "prompt")
-    b = j.select("doc_id", "family", body.alias("body"))
+        F.coalesce(prompts.model_family_error("model_id"), prompts.prompt_error("script_mode")).alias("error"))
+    body = F.when(F.col("prompt").isNotNull(), prompts.request_body("family", "prompt"))
+    b = j.select("doc_id", "family", body.alias("body"), "error")
     anth = F.col("family") == "anthropic"
     return b.select(
         "doc_id", "family",
@@ -493,7 +491,7 @@ def model_request(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.get_json_object("body", "$.inferenceConfig.temperature")).cast("double").alias("temperature"),
         F.get_json_object("body", "$.messages[0].role").alias("role"),
         F.get_json_object("body", "$.anthropic_version").alias("version"),
-        F.md5(F.get_json_object("body", "$.messages[0].content[0].text")).alias("prompt_md5"),
+        F.md5(F.get_json_object("body", "$.messages[0].content[0].text")).alias("prompt_md5"), "error",
     )
 
 

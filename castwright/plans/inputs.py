@@ -322,9 +322,11 @@ def document_files(documents: DataFrame) -> DataFrame:
                     content.alias("content"))
 
 
-def document_pages(documents: DataFrame) -> DataFrame:
-    """documents -> page_texts(doc_id, page_no, text): each line of a document is a page."""
-    return documents.select("doc_id", F.posexplode(split_lines("text")).alias("page_no", "text"))
+def document_pages(documents: DataFrame, outer: bool = False) -> DataFrame:
+    """documents -> page_texts(doc_id, page_no, text): each line of a document is a page; with ``outer`` a
+    document without a line has one row without a page."""
+    pages = (F.posexplode_outer if outer else F.posexplode)(split_lines("text"))
+    return documents.select("doc_id", pages.alias("page_no", "text"))
 
 
 # --- rewrite-stage jobs derived from `documents` ---------------------------------------------

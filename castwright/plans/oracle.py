@@ -73,7 +73,9 @@ ORACLE_SQL["tts_chunks"] = _chunk_sql(1800)
 ORACLE_SQL["tts_chunks_min"] = _chunk_sql(100)
 ORACLE_SQL["ssml"] = f"""
 WITH RECURSIVE {q.chunks_cte('documents', 'doc_id', 'text', 1800)}
-SELECT doc_id, chunk_no, {q.ssml('chunk')} AS ssml FROM ck
+SELECT doc_id, chunk_no, {q.ssml('chunk')} AS ssml, NULL::VARCHAR AS error FROM ck
+UNION ALL
+SELECT doc_id, NULL::BIGINT, NULL::VARCHAR, 'Input text is empty.' FROM documents WHERE text IS NULL OR {q.strip('text')} = ''
 """
 
 _wc = f"len({q.words('text')})"
@@ -476,7 +478,7 @@ _PAGES_TEXT = q.strip(
     f"array_to_string(list_filter(list_transform({q.lines('text')}, lambda x: {q.strip('x')}), lambda x: x <> ''), chr(10) || chr(10))"
 )
 ORACLE_SQL["page_assembly"] = f"""
-SELECT doc_id, {_PAGES_TEXT} AS text FROM documents WHERE {_PAGES_TEXT} <> ''
+SELECT doc_id, nullif({_PAGES_TEXT}, '') AS text, CASE WHEN coalesce({_PAGES_TEXT}, '') = '' THEN 'document has no readable page' END AS error FROM documents
 """
 ORACLE_SQL["docx_text"] = f"SELECT doc_id, {_PAGES_TEXT} AS text, NULL::VARCHAR AS error FROM documents"
 
@@ -526,10 +528,13 @@ SELECT doc_id, model_id, {_FAMILY} AS family,
        CASE WHEN ({_FAMILY}) IS NULL THEN 'Unsupported Bedrock model_id: ' || model_id END AS error
 FROM jobs"""
 ORACLE_SQL["model_request"] = f"""WITH {I.rewrite_jobs_sql()},
-b AS (SELECT doc_id, {_FAMILY} AS family, {_PROMPT} AS prompt FROM jobs)
-SELECT doc_id, family, {P.MAX_TOKENS}::BIGINT AS max_tokens, {P.TEMPERATURE}::DOUBLE AS temperature, 'user' AS role,
-       CASE WHEN family = 'anthropic' THEN '{P.FAMILY_A_VERSION}' END AS version, md5(prompt) AS prompt_md5
-FROM b WHERE family IS NOT NULL AND prompt IS NOT NULL"""
+b AS (SELECT doc_id, {_FAMILY} AS family, {_PROMPT} AS prompt,
+             CASE WHEN {_FAMILY} IS NULL THEN 'Unsupported Bedrock model_id: ' || model_id ELSE {_PROMPT_ERR} END AS error FROM jobs),
+c AS (SELECT *, family IS NOT NULL AND prompt IS NOT NULL AS made FROM b)
+SELECT doc_id, family, CASE WHEN made THEN {P.MAX_TOKENS} END::BIGINT AS max_tokens, CASE WHEN made THEN {P.TEMPERATURE} END::DOUBLE AS temperature,
+       CASE WHEN made THEN 'user' END AS role, CASE WHEN made AND family = 'anthropic' THEN '{P.FAMILY_A_VERSION}' END AS version,
+       CASE WHEN made THEN md5(prompt) END AS prompt_md5, error
+FROM c"""
 
 _A_CONTENT_T = "json_type(response, '$.content')"
 _A_FALSY = (f"({_A_CONTENT_T} IS NULL OR {_A_CONTENT_T} = 'NULL' "

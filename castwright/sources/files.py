@@ -241,8 +241,17 @@ def build_docx(lines: list[str]) -> bytes:
 
 # --- R10 ----------------------------------------------------------------------------------
 
-def assemble_pages(page_texts: DataFrame, key: str = "doc_id", page: str = "page_no", text: str = "text") -> DataFrame:
-    """Stripped non-blank page texts joined by a blank line in page order."""
+E_BLANK_PAGES = "document has no readable page"
+
+
+def assemble_pages(page_texts: DataFrame, key: str = "doc_id", page: str = "page_no", text: str = "text", keep_blank: bool = False) -> DataFrame:
+    """Stripped non-blank page texts joined by a blank line in page order. With ``keep_blank`` documents
+    whose pages are all blank keep a row, with the reason in ``error``."""
+    if keep_blank:
+        stripped = F.nullif(py_strip(text), F.lit(""))
+        made = page_texts.select(key, page, stripped.alias("_t")).groupBy(key).agg(
+            py_strip(F.expr(f"listagg(_t, '\\n\\n') WITHIN GROUP (ORDER BY {page})")).alias("text"))
+        return made.withColumn("error", F.when(F.col("text").isNull(), F.lit(E_BLANK_PAGES)))
     kept = page_texts.select(key, page, py_strip(text).alias("_t")).where(F.col("_t") != F.lit(""))
     return kept.groupBy(key).agg(
         py_strip(F.expr(f"listagg(_t, '\\n\\n') WITHIN GROUP (ORDER BY {page})")).alias("text")
