@@ -13,7 +13,8 @@ Thresholds are calibrated by language: the language is guessed from function wor
 from the column ``lang``), the best cut of each language is found on a fold that training did not
 see, and the logit is moved so that this cut is the score 0.5.
 
-The sample is bounded by ``per_class`` rows of at most ``MAX_WORDS`` words; scoring uses whole texts
+The sample is bounded by ``per_class`` rows of at most ``MAX_WORDS`` words and 10 characters a word of that, and by
+``SAMPLE_WORDS`` words in all (those of the smallest hashes of doc_id first); scoring uses whole texts
 of all rows, without a shuffle. Edge cases: null and empty texts score as a text without known words;
 without labelled rows of both classes every score is 0. Repeated rows score alike; empty table, empty
 result; extra columns pass through.
@@ -25,7 +26,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from castwright.llm.common import add_arrow_columns
@@ -33,7 +34,7 @@ from castwright.llm.decontaminate import words_of
 from castwright.llm.training import labelled_sample, one_per_document
 
 BUCKETS, DIM, FILTERS, WIDTHS, STEMS = 1 << 20, 8, 6, (1, 2, 3), (4, 6)
-PER_CLASS, MAX_WORDS, MIN_DOCS = 2000, 20_000, 5
+PER_CLASS, MAX_WORDS, SAMPLE_WORDS, MIN_DOCS = 2000, 20_000, 8_000_000, 5
 MOD, HELD_OUT, CALIBRATION = 5, 0, 4
 EPOCHS, BATCH, RATE, DECAY = 4, 32, 0.02, 1e-4
 #: Distinct words that a task remembers; it forgets them all when full.
@@ -248,12 +249,21 @@ class Scorer:
         return out
 
 
+def bounded(rows: DataFrame, each: int = MAX_WORDS, whole: int = SAMPLE_WORDS) -> DataFrame:
+    """The rows of at most ``each`` words, taken in the order of a hash of doc_id until they have ``whole``
+    words. Only ids and sizes of the sample's few thousand rows are put in order."""
+    sized = rows.select("doc_id", (F.size("x") / (1 + len(STEMS))).alias("n")).where(F.col("n") <= each)
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    kept = sized.withColumn("upto", upto).where(F.col("upto") <= whole).select("doc_id")
+    return rows.join(F.broadcast(kept), "doc_id", "left_semi")
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> TextCnn | None:
     """Model of ``labels.toxic``; None without rows of both classes."""
     short = docs.where(F.length("text") <= 10 * MAX_WORDS)
     sample = labelled_sample(short, labels, "toxic", per_class, MOD, HELD_OUT)
     made = add_arrow_columns(sample, "text", "x array<int>", lambda texts: [pa.array([bucket_ids(words_of(t)).ravel().astype(np.int32) for t in texts], pa.list_(pa.int32()))])
-    rows = one_per_document(made, "label", "fold").toArrow().sort_by("doc_id")
+    rows = bounded(one_per_document(made, "label", "fold")).toArrow().sort_by("doc_id")
     y = rows["label"].to_numpy().astype(np.int64)
     if len(set(y.tolist())) < 2:
         return None

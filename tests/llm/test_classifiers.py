@@ -130,3 +130,12 @@ def test_edge_tables(spark):
         assert module.fit(docs.limit(0), labels.limit(0)) is None
     kept = quality_gam.keep_good(docs, labels)
     assert kept.columns == docs.columns and kept.count() == 4
+
+
+def test_the_training_sample_is_bounded_in_words(spark):
+    rows = [(i, [1, 2, 3] * (i % 5)) for i in range(100)] + [(200, [1, 2, 3] * 50)]
+    df = spark.createDataFrame(rows, "doc_id long, x array<int>")
+    size = {d: len(x) // 3 for d, x in rows}
+    kept = [r["doc_id"] for r in toxicity.bounded(df, each=10, whole=60).collect()]
+    assert 200 not in kept and 50 <= sum(size[d] for d in kept) <= 60
+    assert toxicity.bounded(df, each=10, whole=10_000).count() == 100 and toxicity.bounded(df.limit(0)).count() == 0
