@@ -263,6 +263,10 @@ def test_frequent_groups_meet_their_rows(spark):
 
     df = spark.range(6000).select("id", F.when(F.col("id") % 3 != 0, F.lit(-1)).when(F.col("id") % 6 != 0, F.col("id")).alias("k"), F.lit(1).alias("group_n"))
     groups = df.groupBy(F.col("k").alias("of")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
-    made = join_groups(df, groups, {"k": "of"}, "n", ["least"], F.xxhash64("id"), 5)
+    made = join_groups(df, groups, {"k": "of"}, "n", ["least"], F.xxhash64("id"))
     assert made.columns == ["id", "k", "group_n", "least"] and made.count() == 6000
     assert made.where("least <> CASE WHEN k = -1 THEN 1 WHEN k IS NULL THEN 0 ELSE id END OR least IS NULL").count() == 0
+    # a fixed number of partitions is for keys that are never null: the rows move once
+    dealt = join_groups(df.where("k IS NOT NULL"), groups.where("of IS NOT NULL"), {"k": "of"}, "n", ["least"], F.xxhash64("id"), 5)
+    assert dealt.count() == 5000 and dealt.rdd.getNumPartitions() == 5
+    assert dealt.where("least <> CASE WHEN k = -1 THEN 1 ELSE id END OR least IS NULL").count() == 0
