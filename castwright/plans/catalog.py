@@ -688,6 +688,17 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming intake ---------------------------------------------------------------------------
 
+# Micro-batches that the request files make at least, and the most requests of one file.
+MICRO_BATCHES, FILE_ROWS = 4, 100_000
+
+
+def _request_files(requests: DataFrame, path: str, at_least: int) -> int:
+    """Write request rows as files, whose number grows with the rows, and return it."""
+    n = max(at_least, requests.sparkSession.sparkContext.defaultParallelism)
+    requests.repartition(n).write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    return len(requests.sparkSession.read.parquet(path).inputFiles())
+
+
 @register("stream_intake")
 def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request rows written as files, consumed by the intake stream in several micro-batches,
@@ -699,9 +710,8 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ensure_checkpoint_dir(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-intake-{uuid.uuid4().hex}"
-    req = inputs.request_rows(table(spark, sf_dir, "events"), table(spark, sf_dir, "pages"))
-    req.repartition(4).write.parquet(f"{base}/in")
-    q = start_intake_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
+    n_files = _request_files(_request_rows(spark, sf_dir), f"{base}/in", MICRO_BATCHES)
+    q = start_intake_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=max(1, n_files // MICRO_BATCHES))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -756,11 +766,11 @@ def stream_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from castwright.streaming.runs import read_runs, start_run_stream
 
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-jobs-{uuid.uuid4().hex}"
-    _request_rows(spark, sf_dir).repartition(2).write.parquet(f"{base}/in")
+    n_files = _request_files(_request_rows(spark, sf_dir), f"{base}/in", 2)
 
     def start(speech_factory):
         return start_run_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", RUN_SETTINGS, inputs.failing_model, speech_factory,
-                                pages=lambda s: s.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"), max_files_per_trigger=1,
+                                pages=lambda s: s.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"), max_files_per_trigger=max(1, (n_files + 1) // 2),
                                 objects_at=f"{base}/objects")
 
     try:

@@ -24,7 +24,7 @@ from castwright.plans.jobs import run_requests
 from castwright.plans.runs import RunFolder
 from castwright.session import drop_folder
 from castwright.settings import Settings
-from castwright.streaming.intake import REQUEST_SCHEMA
+from castwright.streaming.intake import REQUEST_SCHEMA, dealt
 
 TABLES = ("intake", "jobs", "sources", "scripts", "turns", "chunks", "ledger")
 OBJECT_TABLES = ("objects", "audio_ranges")
@@ -42,7 +42,7 @@ def run_batch(out_path: str, settings: Settings, model_call_factory: Callable[[]
         if batch_id and not keep_runs:
             drop_folder(spark, folder(batch_id - 1))
         run = RunFolder(spark, folder(batch_id))
-        out = run_requests(batch, settings, model_call_factory, speech_call_factory, pages=pages(spark) if pages else None,
+        out = run_requests(dealt(batch), settings, model_call_factory, speech_call_factory, pages=pages(spark) if pages else None,
                            key=key, run=run, objects_at=objects_at)
         for name in (*TABLES, *(OBJECT_TABLES if objects_at else ())):
             out[name].write.mode("overwrite").parquet(f"{out_path}/{name}/batch_id={batch_id}")

@@ -1,0 +1,20 @@
+"""What must not stay in one task, or be done again and again, as tables grow."""
+
+import glob
+import json
+import re
+import tempfile
+
+from castwright.streaming.intake import read_intake_output, start_intake_stream
+
+
+def test_stream_deals_one_file_to_all_cores(spark):
+    base = tempfile.mkdtemp(prefix="castwright-dealt-test-")
+    body = json.dumps({"source_url": "https://e.com/a"})
+    rows = [(i if i % 3 else None, body if i % 2 else "{bad", False, {}) for i in range(400)]
+    spark.createDataFrame(rows, "event_id long, body string, is_base64 boolean, query map<string,string>").coalesce(1).write.parquet(f"{base}/in")
+    start_intake_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    out = read_intake_output(spark, f"{base}/out")
+    assert out.groupBy("status_code").count().orderBy("status_code").collect() == [(202, 200), (400, 200)]
+    parts = {re.search(r"part-(\d+)", f).group(1) for f in glob.glob(f"{base}/out/batch_id=0/*/part-*.parquet")}
+    assert len(parts) == spark.sparkContext.defaultParallelism
