@@ -2,12 +2,14 @@
 
 Tasks write each object under its own name, first to a name of the attempt and then renamed, so a task that
 runs twice leaves one whole object. The folder may be on any file system that the tasks can open by
-its address (``pyarrow.fs``); every reader here uses Spark's own file sources.
+its address (``pyarrow.fs``). Objects are read back by path in the same way, without listing a folder.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import uuid
 from urllib.parse import quote
 
@@ -116,22 +118,82 @@ def json_object(fields: dict[str, Column]) -> Column:
 E_MISSING_OBJECT = "object not found: "
 E_BROKEN_OBJECT = "object is not a JSON object of the expected fields: "
 _BROKEN = "_broken"
+# Bytes of objects after which a batch of them is handed on, so that a task holds no more than about that and one object.
+READ_BYTES = 16 << 20
+
+
+def get_whole(files, at: str) -> bytes | None:
+    """The content of a file; null where there is none."""
+    from pyarrow import fs
+
+    try:
+        with files.open_input_file(at) as held:
+            return held.read()
+    except FileNotFoundError:
+        return None
+    except OSError:
+        if files.get_file_info(at).type == fs.FileType.File:
+            raise
+        return None
+
+
+def json_text(data: bytes) -> str | None:
+    """The text of a JSON file in the encoding that its first bytes show; null for broken bytes."""
+    try:
+        return data.decode(json.detect_encoding(data))
+    except UnicodeDecodeError:
+        return None
+
+
+def read_texts(asked: DataFrame, folder: str, path: str = "path", suffix: str = ".json") -> DataFrame:
+    """``asked`` with ``_found`` and ``_text``: the file of each row's path, opened by the row's task. Nothing is listed,
+    so the work is that of the rows asked for. A path outside ``folder`` or without the suffix names no object."""
+    schema = T.StructType([*asked.schema.fields, T.StructField("_found", T.BooleanType()), T.StructField("_text", T.StringType())])
+    at = asked.columns.index(path)
+
+    def bare(name: str) -> str:
+        return re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", name)
+
+    def run(batches):
+        files, root = open_folder(folder)
+        below = bare(address(folder)).rstrip("/") + "/"
+
+        def content(name: str | None) -> bytes | None:
+            name = bare(name or "")
+            if not name.startswith(below) or not name.endswith(suffix) or ".." in name.split("/"):
+                return None
+            return get_whole(files, f"{root.rstrip('/')}/{name[len(below):]}")
+
+        for batch in batches:
+            begin, size, found, texts = 0, 0, [], []
+            for row, name in enumerate(batch.column(at).to_pylist(), 1):
+                data = content(name)
+                found.append(data is not None)
+                texts.append(None if data is None else json_text(data))
+                size += len(data or b"")
+                if size > READ_BYTES or row == batch.num_rows:
+                    made = [pa.array(found, pa.bool_()), pa.array(texts, pa.string())]
+                    yield pa.RecordBatch.from_arrays([*batch.slice(begin, row - begin).columns, *made], names=[f.name for f in schema])
+                    begin, size, found, texts = row, 0, [], []
+
+    return asked.mapInArrow(run, schema)
 
 
 def read_json_objects(spark: SparkSession, asked: DataFrame, schema: T.StructType, path: str = "path", folder: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """(*keep, path, *fields, error) for every row of ``asked``: the JSON object at its path.
 
-    The objects under ``folder`` are read by Spark's JSON source, one object a file, with the given
-    schema and a column for what does not fit it; they meet the asked rows by path. Missing objects and
-    objects that are no JSON of that shape keep their row, with an error."""
+    Each row's task opens the object by its path (``read_texts``); the text is read natively, with the given schema
+    and a column for what does not fit it. Missing objects and objects that are no JSON of that shape keep
+    their row, with an error."""
     names = [f.name for f in schema]
     full = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
-    objects = (spark.read.schema(full).option("multiLine", "true").option("columnNameOfCorruptRecord", _BROKEN).option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.json").json(folder))
-    held = objects.select(path_of_uri(F.col("_metadata.file_path")).alias("_at"), F.struct(*names, _BROKEN).alias("_object"))
-    # a file that holds an array gives a row for each element: no single object
-    held = held.groupBy("_at").agg(F.any_value("_object").alias("_object"), F.count(F.lit(1)).alias("_n"))
-    met = asked.withColumn("_at", bare_path(path)).join(held, "_at", "left")
-    broken = F.col(f"_object.{_BROKEN}").isNotNull() | (F.col("_n") > 1)
-    error = F.when(F.col("_n").isNull(), F.concat(F.lit(E_MISSING_OBJECT), F.col(path))).when(broken, F.concat(F.lit(E_BROKEN_OBJECT), F.col(path)))
+    held = read_texts(asked.select(*keep, path), folder, path)
+    # an array of one object is that object; an array of none holds no object, one of several no single one
+    listed = F.startswith(F.ltrim("_text", F.lit(" \t\r\n")), F.lit("["))
+    n = F.when(listed, F.json_array_length("_text"))
+    text = F.when(n == 1, F.get_json_object("_text", "$[0]")).when(n.isNull(), F.col("_text"))
+    met = held.withColumn("_n", n).withColumn("_object", F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}))
+    broken = F.col("_text").isNull() | F.col(f"_object.{_BROKEN}").isNotNull() | F.coalesce(F.col("_n") > 1, F.lit(False))
+    error = F.when(~F.col("_found"), F.concat(F.lit(E_MISSING_OBJECT), F.col(path))).when(broken, F.concat(F.lit(E_BROKEN_OBJECT), F.col(path))).when(
+        F.col("_object").isNull(), F.concat(F.lit(E_MISSING_OBJECT), F.col(path)))
     return met.select(*keep, path, *[F.when(error.isNull(), F.col(f"_object.{n}")).alias(n) for n in names], error.alias("error"))
