@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from castwright.functions.text import collapse_whitespace, piece_lines, py_strip
 from castwright.operators.ordering import one_per_position, running_sum
+from castwright.session import materialize
 
 LINES_PER_PARAGRAPH = 6
 EMPTY_TRANSCRIPT_ERROR = "YouTube transcript is empty"
@@ -34,9 +35,8 @@ def segments_of(df: DataFrame, key: str = "job_id", segments: str = "segments")
     elif kind != "variant":
         held = F.to_variant_object(held)
 
-    def a_list(path: str):
-        at = F.try_variant_get("_held", path, "variant")
-        return F.when(F.startswith(F.schema_of_variant(at), F.lit("ARRAY")), F.try_variant_get("_held", path, "array<variant>"))
+    def a_list(path: str):  # null for what is no list
+        return F.try_variant_get("_held", path, "array<variant>")
 
     items = F.coalesce(a_list("$"), *[a_list(f"$.{w}") for w in WRAPPERS])
     text = F.try_variant_get("seg", "$.text", "variant")
@@ -72,27 +72,20 @@ def transcript_paragraphs(rows: DataFrame, key: str = "job_id", order: tuple[str
     def clean(x):
         return py_strip(collapse_whitespace(x))
 
-    if split_rows:
-        n_kept = F.size(F.filter(F.transform(piece_lines(text), clean), lambda ln: ln != F.lit("")))
-    else:
-        n_kept = F.when(clean(F.col(text)) != F.lit(""), F.lit(1)).otherwise(F.lit(0))
+    lines = F.transform(piece_lines(text), clean) if split_rows else F.array(clean(F.col(text)))
+    lines = F.filter(lines, lambda ln: ln != F.lit("")).alias("_lines")
     if order:
-        rows = one_per_position(rows, key, order, text)
-        narrow = rows.select(key, *order, n_kept.cast("bigint").alias("_n"))
-        before = running_sum(narrow, key, order, "_n", "_cum").select(
+        # Cleaned once and written: the numbering reads the counts several times, the lines once.
+        rows = materialize(one_per_position(rows, key, order, text).select(key, *order, lines).where(F.size("_lines") > 0)
+                           .withColumn("_n", F.size("_lines").cast("bigint")), "lines")
+        before = running_sum(rows.select(key, *order, "_n"), key, order, "_n", "_cum").select(
             key, *order, (F.col("_cum") - F.col("_n")).alias("_before"))
-        wide = rows.select(key, *order, text).join(before, [key, *order])
-    else:
-        wide = rows.select(key, text, F.lit(0).cast("bigint").alias("_before"))
-    if split_rows:
-        lines = wide.select(key, *order, "_before", F.posexplode(piece_lines(text)).alias("_line", "_raw"))
-        kept = lines.select(key, *order, "_before", "_line", clean("_raw").alias("line")).where(F.col("line") != F.lit(""))
-        w = Window.partitionBy(key, *order).orderBy("_line")
-        idx = F.col("_before") + F.row_number().over(w)
+        kept = rows.select(key, *order, "_lines").join(before, [key, *order]).select(
+            key, *order, "_before", F.posexplode("_lines").alias("_line", "line"))
+        idx = F.col("_before") + F.col("_line") + F.lit(1)
     else:
-        kept = wide.select(key, *order, "_before", F.lit(0).alias("_line"), clean(text).alias("line")).where(
-            F.col("line") != F.lit(""))
-        idx = F.col("_before") + F.lit(1)
+        kept = rows.select(key, F.posexplode(lines).alias("_line", "line"))
+        idx = F.row_number().over(Window.partitionBy(key).orderBy("_line")) if split_rows else F.lit(1)
     numbered = kept.withColumn("paragraph_no", F.floor((idx - 1) / group_size).cast("bigint"))
     order_sql = ", ".join([*order, "_line"])
     return numbered.groupBy(key, "paragraph_no").agg(
