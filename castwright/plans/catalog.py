@@ -211,6 +211,8 @@ def transcript_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transcript_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S6 -> R12: the lines of each document as transcript segments held as JSON: a list, or an object that
     wraps one; some items are bare or have a text that is no text, some documents hold no list."""
+    from castwright.session import materialize
+
     doc = F.col("doc_id")
     item = lambda x, i: F.when(i % 7 == 3, F.lit('{"text": 7}')).when(i % 7 == 5, F.to_json(F.array(x))).otherwise(
         F.to_json(F.struct(i.alias("start"), x.alias("text"))))
@@ -218,7 +220,8 @@ def transcript_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = (F.when(doc % 11 == 4, F.lit('{"segments": 3}')).when(doc % 3 == 1, F.concat(F.lit('{"segments": '), items, F.lit("}")))
             .when(doc % 3 == 2, F.concat(F.lit('{"lang": "en", "snippets": '), items, F.lit("}"))).otherwise(items))
     docs = table(spark, sf_dir, "documents").select("doc_id", held.alias("segments"))
-    segments = transcripts.segments_of(docs, key="doc_id")
+    # The numbering reads the segments several times (positions, counts, texts): parsed and written once.
+    segments = materialize(transcripts.segments_of(docs, key="doc_id"), "segments")
     return transcripts.transcript_paragraphs(segments, key="doc_id", order=("pos",))
 
 
