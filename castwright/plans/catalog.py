@@ -871,10 +871,11 @@ def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
     from castwright.operators import registry
-    from castwright.session import checkpoint_dir
+    from castwright.session import checkpoint_dir, materialize
 
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    accepted = registry.with_execution(_intake(spark, sf_dir).where("status_code = 202").join(ev, "event_id"), key="event_id")
+    # The accepted requests are read four times (stops, starts, repeated starts, answers): decided and written once.
+    accepted = materialize(registry.with_execution(_intake(spark, sf_dir).where("status_code = 202").join(ev, "event_id"), key="event_id"), "accepted")
     path = f"{checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
     ended = accepted.where("event_type <> 'click'").withColumn("status", F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCEEDED"))
     stopped = F.col("ts") + F.make_dt_interval(secs=F.col("value"))

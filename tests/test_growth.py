@@ -5,6 +5,9 @@ import json
 import re
 import tempfile
 
+import pyspark.sql.types as T
+
+from castwright.sources import objects, transcripts
 from castwright.streaming.intake import read_intake_output, start_intake_stream
 
 
@@ -18,3 +21,45 @@ def test_stream_deals_one_file_to_all_cores(spark):
     assert out.groupBy("status_code").count().orderBy("status_code").collect() == [(202, 200), (400, 200)]
     parts = {re.search(r"part-(\d+)", f).group(1) for f in glob.glob(f"{base}/out/batch_id=0/*/part-*.parquet")}
     assert len(parts) == spark.sparkContext.defaultParallelism
+
+
+def test_registry_decides_requests_once(spark, monkeypatch):
+    from castwright.operators import registry
+    from castwright.plans.catalog import QUERIES
+
+    plans, append = [], registry.append
+    monkeypatch.setattr(registry, "append", lambda rows, path: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), append(rows, path)))
+    found = QUERIES["run_registry"](spark, "/root/testdata/sf0.001")
+    plans.append(found.select("request_id", "started_arn", "started")._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) == 4 and not any("_body_as_sent" in p for p in plans)  # no plan reads the bodies again
+
+
+def test_json_objects_are_opened_by_path_without_listing(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="castwright-by-path-")
+    held = {"a.json": b'{"x": "1"}', "b.json": b'[{"x": "2"}]', "c.json": b'[{"x": "3"}, {"x": "4"}]', "d.json": b"[]", "e.json": b'{"x": "', "f.json": b"",
+            "g.json": '{"x": "\u00e4"}'.encode("utf-16"), "h.json": b'{"x": "\xff"}', "i.txt": b'{"x": "9"}'}
+    for name, data in held.items():
+        with open(f"{root}/{name}", "wb") as out:
+            out.write(data)
+    asked = spark.createDataFrame([(n, f"file://{root}/{n}") for n in [*held, "gone.json"]] + [("out", f"file://{root}/../{root.split('/')[-1]}/a.json"), ("null", None), ("a.json", f"{root}/a.json")], "name string, path string")
+    monkeypatch.setattr(objects, "READ_BYTES", 8)
+    back = objects.read_json_objects(spark, asked, T.StructType.fromDDL("x string"), folder=root, keep=("name",))
+    assert "FileScan json" not in back._jdf.queryExecution().executedPlan().toString()
+    found = [(r["name"], r["x"], (r["error"] or "").split(":")[0] or None) for r in back.collect()]
+    missing, broken = objects.E_MISSING_OBJECT.split(":")[0], objects.E_BROKEN_OBJECT.split(":")[0]
+    assert found == [("a.json", "1", None), ("b.json", "2", None), ("c.json", None, broken), ("d.json", None, missing), ("e.json", None, broken), ("f.json", None, missing),
+                     ("g.json", "\u00e4", None), ("h.json", None, broken), ("i.txt", None, missing), ("gone.json", None, missing), ("out", None, missing), ("null", None, None), ("a.json", "1", None)]
+
+
+def test_transcript_lines_are_cleaned_once(spark):
+    rows = [("a", i, f"  w{i}\t x " if i % 5 else " ") for i in range(40)] + [("a", 3, "zz"), ("a", None, "q"), ("b", 0, None)]
+    paras = transcripts.transcript_paragraphs(spark.createDataFrame(rows, "job_id string, pos int, text string"), order=("pos",))
+    kept = [f"w{i} x" for i in range(40) if i % 5]
+    assert [(r["paragraph_no"], r["text"]) for r in paras.orderBy("paragraph_no").collect()] == [(k // 6, " ".join(kept[k : k + 6])) for k in range(0, len(kept), 6)]
+    assert "regexp_replace" not in paras._jdf.queryExecution().optimizedPlan().toString()  # the numbering's plan reads cleaned lines
+
+
+def test_segments_are_parsed_once(spark):
+    from castwright.plans.catalog import QUERIES
+
+    assert "parse_json" not in QUERIES["transcript_segments"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
