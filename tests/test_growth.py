@@ -5,6 +5,7 @@ import json
 import re
 import tempfile
 
+import pandas as pd
 import pyspark.sql.types as T
 
 from castwright.sources import objects, transcripts
@@ -63,3 +64,20 @@ def test_segments_are_parsed_once(spark):
     from castwright.plans.catalog import QUERIES
 
     assert "parse_json" not in QUERIES["transcript_segments"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pages_reach_the_worker_in_small_batches(spark, monkeypatch):
+    from castwright.sources import pages
+
+    def kernel(mode):
+        def run(html: pd.Series) -> pd.Series:
+            return pd.Series([[str(len(html))]] * len(html), dtype=object)
+
+        return run
+
+    monkeypatch.setattr(pages, "_kernel", kernel)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    made = spark.range(0, 900, 1, 1).selectExpr("id AS page_id", "repeat('x', 100) AS html")
+    sizes = [int(r["text"]) for r in pages.extract_articles(made).collect()]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    assert len(sizes) == 900 and max(sizes) <= pages.BATCH_PAGES
