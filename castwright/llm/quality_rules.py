@@ -37,7 +37,7 @@ from castwright.session import materialize
 
 PIECES = "piece_bpe_32k.model"
 #: Distinct words that a task remembers; it forgets them all when full.
-WORDS = 200_000
+WORDS = 400_000
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: How many quartile ranges outside the quartiles a band reaches, and its least half width.
 REACH = 4.0

@@ -81,3 +81,15 @@ def test_pages_reach_the_worker_in_small_batches(spark, monkeypatch):
     sizes = [int(r["text"]) for r in pages.extract_articles(made).collect()]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     assert len(sizes) == 900 and max(sizes) <= pages.BATCH_PAGES
+
+
+def test_meter_remembers_the_words_of_a_task():
+    import public_tokenizers
+
+    from castwright.llm import quality_rules
+
+    own = quality_rules.Meter(public_tokenizers.path(quality_rules.PIECES), public_tokenizers.path(quality_rules.RANKS))
+    early, late = ({b"%c%d" % (c, i) for i in range(110_000)} for c in (97, 98))
+    own.learn(early)
+    own.learn(late)
+    assert early <= own.ids.keys() and late <= own.ids.keys()
