@@ -4,7 +4,8 @@ Every request has a call key, a hash of all that the call is made of. Tasks appe
 call, as it returns, as a line of JSON to a file of their own in the journal's folder, outside the job's
 commit, so what was paid for stays when the task, the job or the driver is lost; a line that was cut off is no
 result. A run asks only for requests that have no good result in the journal (an anti-join on the
-keys); a task that is tried again first reads what its earlier attempts wrote. A call that was under way
+keys); a task that is tried again first reads what its earlier attempts wrote. A run that breaks ends when its tasks
+have, so that no call is made behind the back of the next run (``tasks_ended``). A call that was under way
 when its process ended is made again; it carries its key for a service that recognises repeats. Stores that
 show a file only when it is closed lose what a killed task wrote since its last file (``FILE_SECONDS``).
 """
@@ -20,7 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ from castwright.sources.objects import address, open_folder
 CALL_KEY = "call_key"
 #: A task goes on to a new file after this many seconds.
 FILE_SECONDS = 10.0
+#: Longest wait for the tasks of a job that failed; Spark ends their workers after ``spark.python.task.killTimeout`` (2 s).
+END_SECONDS = 60.0
 
 #: The last fields of a line; one without its id was cut off.
 _ROW = "call_ok boolean, finished_at double, call_id string"
@@ -120,10 +123,35 @@ def journaled_calls(requests: DataFrame, folder: str, make_call: Callable[[], Ca
                 pool.shutdown(cancel_futures=True)
         yield pa.RecordBatch.from_arrays([pa.array([made], pa.int64())], names=["calls"])
 
-    dealt.mapInArrow(run, "calls bigint").agg(F.sum("calls")).collect()
+    tag = f"calls-{job}"
+    spark.sparkContext.addJobTag(tag)
+    try:
+        dealt.mapInArrow(run, "calls bigint").agg(F.sum("calls")).collect()
+    except Exception:
+        tasks_ended(spark, tag)
+        raise
+    finally:
+        spark.sparkContext.removeJobTag(tag)
     return latest_results(spark, folder, schema, requests).select(CALL_KEY, *carried, *[f.name for f in T.StructType.fromDDL(results)])
 
 
+def tasks_ended(spark: SparkSession, tag: str, seconds: float = END_SECONDS) -> None:
+    """Wait until no task of the jobs with this tag is running. A job fails with its first task; the others go on
+    calling until they are stopped, and what they call would not be in the journal yet when the next run reads it."""
+    context = spark.sparkContext
+    by_tag, tracker = context._jsc.sc().statusTracker(), context.statusTracker()
+
+    def running() -> bool:
+        jobs = [j for j in map(tracker.getJobInfo, by_tag.getJobIdsForTag(tag)) if j]
+        stages = [s for j in jobs for s in map(tracker.getStageInfo, j.stageIds) if s]
+        return any(j.status == "RUNNING" for j in jobs) or any(s.numActiveTasks for s in stages)
+
+    until = time.monotonic() + seconds
+    time.sleep(0.1)  # the status comes a little later than the error
+    while running() and time.monotonic() < until:
+        time.sleep(0.1)
+
+
 def read_journal(spark, folder: str, schema: T.StructType | str) -> DataFrame:
     """All whole lines of a journal, whichever attempt wrote them."""
     lines = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").json(folder)

@@ -4,9 +4,11 @@ import base64
 import json
 import os
 import tempfile
+import time
 import uuid
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from castwright.operators import prompts, speech
@@ -65,6 +67,24 @@ def test_finished_calls_are_not_made_again(spark):
     assert len(made) == len(again) == 60 and sorted((r["id"], r["answer"], r["problem"]) for r in again) == [(i, str(i) * 2, None) for i in range(60)]
 
 
+def test_a_broken_run_makes_no_calls_after_its_end(spark):
+    folder, seen = tempfile.mkdtemp(prefix="castwright-journal-"), tempfile.mkdtemp(prefix="castwright-calls-")
+    requests = spark.range(60).select("id").withColumn("call_key", call_key("t", "id"))
+
+    def factory():
+        if TaskContext.get().partitionId() == 0:
+            while not os.listdir(seen):  # breaks when another task has begun to call
+                time.sleep(0.01)
+            raise SystemError("worker lost")
+        return counted(seen, lambda i: time.sleep(0.3), "one")
+
+    with pytest.raises(Exception, match="worker lost"):
+        journaled_calls(requests, folder, factory, lambda call, r: {"answer": str(call(r["id"]))}, ["id"], "answer string", lambda r: True)
+    made = len(calls(seen, "one"))
+    time.sleep(1.0)
+    assert 0 < made == len(calls(seen, "one"))
+
+
 def test_other_requests_and_repeats_leave_the_journal_alone(spark):
     folder = tempfile.mkdtemp(prefix="castwright-journal-")
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None)], "id long, text string").withColumn("call_key", call_key("t", "id", "text"))
